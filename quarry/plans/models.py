@@ -1 +1,198 @@
-"""Registered queries (filled in below)."""
+"""Registered model, density and nested-price queries."""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import functions as F
+
+from quarry.functions import scalar
+from quarry.operators import density, prices, regress
+from quarry.plans.registry import register
+from quarry.sources.tables import load
+
+# ---------------------------------------------------------------- gradient descent
+
+RATE, EPOCHS = 0.02, 5
+
+
+def _gd_sql() -> str:
+    ctes = ["""s AS (SELECT avg(l_quantity) AS mx, stddev_samp(l_quantity) AS sx,
+              avg(l_extendedprice) AS my, stddev_samp(l_extendedprice) AS sy FROM lineitem)""",
+            "d AS (SELECT (l_quantity - mx) / sx AS x, (l_extendedprice - my) / sy AS y FROM lineitem, s)",
+            "i1 AS (SELECT 1 AS epoch, 1.0::DOUBLE AS b, 1.0::DOUBLE AS w)",
+            "n1 AS (SELECT 1 AS epoch, 1.0::DOUBLE AS w)"]
+    for e in range(1, EPOCHS + 1):
+        ctes.append(f"""gi{e} AS (SELECT avg((b + w * x - y) * (b + w * x - y)) AS loss,
+      avg(b + w * x - y) AS gb, avg((b + w * x - y) * x) AS gw FROM d, i{e})""")
+        ctes.append(f"""gn{e} AS (SELECT avg((w * x - y) * (w * x - y)) AS loss,
+      avg((w * x - y) * x) AS gw FROM d, n{e})""")
+        if e < EPOCHS:
+            ctes.append(f"i{e + 1} AS (SELECT {e + 1} AS epoch, b - {RATE} * gb AS b, w - {RATE} * gw AS w FROM i{e}, gi{e})")
+            ctes.append(f"n{e + 1} AS (SELECT {e + 1} AS epoch, w - {RATE} * gw AS w FROM n{e}, gn{e})")
+    sel = []
+    for e in range(1, EPOCHS + 1):
+        sel.append(f"SELECT 'intercept' AS model, epoch, loss, b, w FROM i{e}, gi{e}")
+        sel.append(f"SELECT 'no_intercept' AS model, epoch, loss, NULL::DOUBLE AS b, w FROM n{e}, gn{e}")
+    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(sel)
+
+
+@register("gradient_epochs", _gd_sql())
+def gradient_epochs(spark, sf_dir):
+    """R1 + R2 + A14 + A15: price from quantity, both standardised; weights start at 1,
+    rate 0.02, five epochs; loss and weights recorded before each update."""
+    li = load(spark, sf_dir, "lineitem")
+    std = regress.standardize(li, ["l_quantity", "l_extendedprice"])
+    rows = []
+    for model, icpt in (("intercept", True), ("no_intercept", False)):
+        hist = regress.gradient_descent(std, ["l_quantity"], "l_extendedprice", RATE, EPOCHS,
+                                        intercept=icpt)
+        for epoch, loss, w in hist:
+            rows.append((model, epoch, loss, w[0] if icpt else None, w[-1]))
+    return spark.createDataFrame(rows, "model string, epoch int, loss double, b double, w double")
+
+
+@register("ols_exact", """
+SELECT regr_slope(l_extendedprice, l_quantity) AS slope,
+       regr_intercept(l_extendedprice, l_quantity) AS intercept,
+       regr_r2(l_extendedprice, l_quantity) AS r2,
+       CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n
+FROM lineitem""")
+def ols_exact(spark, sf_dir):
+    """Exact least squares of price on quantity."""
+    return regress.least_squares(load(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice") \
+        .withColumn("n", F.col("n").cast("bigint"))
+
+
+# ---------------------------------------------------------------- densities
+
+# Grid of 1000 points from -10 to 30 and kernel bandwidth 0.1.
+GRID_LO, GRID_HI, GRID_N, BANDWIDTH = -10.0, 30.0, 1000, 0.1
+_STEP = (GRID_HI - GRID_LO) / (GRID_N - 1)
+_NORM = BANDWIDTH * math.sqrt(2 * math.pi)
+_TWO_H2 = 2 * BANDWIDTH * BANDWIDTH
+
+def _d(v: float) -> str:
+    """A DOUBLE literal in DuckDB (plain decimal literals would be DECIMAL)."""
+    return f"CAST({v!r} AS DOUBLE)"
+
+
+_GRID_SQL = f"g AS (SELECT CAST(i AS INTEGER) AS grid_idx, {_d(GRID_LO)} + i * {_d(_STEP)} AS x FROM range({GRID_N}) t(i))"
+_KDE_SQL = f"""{_GRID_SQL},
+k AS (SELECT g.grid_idx, g.x, sum(exp(-((g.x - e.value) * (g.x - e.value)) / {_d(_TWO_H2)}))
+        / ((SELECT count(value) FROM events) * {_d(_NORM)}) AS density
+      FROM g, events e GROUP BY g.grid_idx, g.x)"""
+
+
+@register("kde_grid", f"WITH {_KDE_SQL}\nSELECT grid_idx, x, density FROM k")
+def kde_grid(spark, sf_dir):
+    """E1 + J5 + S10: Gaussian kernel density of event values on the grid."""
+    ev = load(spark, sf_dir, "events")
+    return density.gaussian_kde(ev, "value", GRID_LO, GRID_HI, GRID_N, BANDWIDTH)
+
+
+def _cauchy_sql(x: str) -> str:
+    terms = [f"{_d(w)} * ({_d(1.0)} / ({_d(math.pi * g)} * ({_d(1.0)} + (({x} - {_d(m)}) / {_d(g)}) * (({x} - {_d(m)}) / {_d(g)}))))"
+             for m, g, w in scalar.CAUCHY_MIXTURE]
+    out = _d(0.0)
+    for t in terms:
+        out = f"({out} + {t})"
+    return out
+
+
+@register("cauchy_at_values", f"""
+SELECT event_id, value, {_cauchy_sql('value')} AS cauchy_density FROM events""")
+def cauchy_at_values(spark, sf_dir):
+    """The five-part Cauchy mixture density at each event value."""
+    ev = load(spark, sf_dir, "events")
+    return ev.select("event_id", "value", scalar.cauchy_mixture_pdf("value").alias("cauchy_density"))
+
+
+@register("density_compare", f"""WITH {_KDE_SQL}
+SELECT max(abs(density - {_cauchy_sql('x')})) AS max_abs_diff,
+       sum(density) * {_d(_STEP)} AS kde_mass, sum({_cauchy_sql('x')}) * {_d(_STEP)} AS true_mass FROM k""")
+def density_compare(spark, sf_dir):
+    """Largest gap between the estimated (kernel) and the true (Cauchy mixture)
+    density on the grid, and the mass of each on the grid (rectangle rule)."""
+    k = kde_grid(spark, sf_dir).withColumn("true", scalar.cauchy_mixture_pdf("x"))
+    return k.agg(F.max(F.abs(F.col("density") - F.col("true"))).alias("max_abs_diff"),
+                 (F.sum("density") * F.lit(_STEP)).alias("kde_mass"),
+                 (F.sum("true") * F.lit(_STEP)).alias("true_mass"))
+
+
+@register("kde_interp", f"""WITH {_KDE_SQL},
+kk AS (SELECT grid_idx, x AS x0, density AS y0, lead(x) OVER (ORDER BY grid_idx) AS x1,
+              lead(density) OVER (ORDER BY grid_idx) AS y1 FROM k),
+p AS (SELECT event_id, value, CASE WHEN value >= {_d(GRID_LO)} AND value <= {_d(GRID_HI)}
+        THEN least(CAST(floor((value - {_d(GRID_LO)}) / {_d(_STEP)}) AS INTEGER), {GRID_N - 2}) END AS grid_idx
+      FROM events)
+SELECT event_id, value, y0 + (value - x0) / (x1 - x0) * (y1 - y0) AS interpolated
+FROM p LEFT JOIN kk USING (grid_idx)""")
+def kde_interp(spark, sf_dir):
+    """Kernel density at each event value by linear interpolation between nodes."""
+    ev = load(spark, sf_dir, "events").select("event_id", "value")
+    k = density.gaussian_kde(ev, "value", GRID_LO, GRID_HI, GRID_N, BANDWIDTH)
+    return density.interpolate(ev, "value", k, GRID_LO, GRID_HI, GRID_N)
+
+
+@register("gmm_density")
+def gmm_density(spark, sf_dir):
+    """13-component Gaussian mixture of event values, density on the grid (MLlib;
+    starting points differ between libraries, so no SQL oracle)."""
+    ev = load(spark, sf_dir, "events")
+    return density.gaussian_mixture_density(ev, "value", 13, 42, GRID_LO, GRID_HI, GRID_N)
+
+
+# ---------------------------------------------------------------- nested prices
+
+def price_text_per_order(lineitem):
+    """Build the reference's input shape from lineitem: one row per order holding its
+    price list as text (a list of dicts in single quotes).  An order has at most seven
+    lines, so each list is small."""
+    day = F.to_date("l_shipdate")
+    url = F.concat(F.lit("https://shop.example/p/"), F.col("l_partkey").cast("string"))
+    url2 = F.concat(url, F.lit("?s="), F.col("l_suppkey").cast("string"))
+    urls = (F.when(F.col("l_linenumber") == 7, F.array().cast("array<string>"))
+             .when(F.col("l_linenumber") % 2 == 0, F.array(url, url2))
+             .otherwise(F.array(url)))
+    elem = F.struct(
+        F.col("l_extendedprice").alias("amountMax"),
+        (F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).alias("amountMin"),
+        F.when(F.col("l_linenumber") == 1, F.lit("In Stock")).alias("availability"),
+        F.when(F.col("l_returnflag") == "N", F.lit("new")).alias("condition"),
+        F.lit("USD").alias("currency"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("dateAdded"),
+        F.array(day.cast("string"), F.date_add(day, F.col("l_linenumber")).cast("string")).alias("dateSeen"),
+        F.when(F.col("l_discount") > 0.05, "true").otherwise("false").alias("isSale"),
+        F.concat(F.lit("supplier#"), F.col("l_suppkey").cast("string")).alias("merchant"),
+        F.col("l_linestatus").alias("shipping"),
+        urls.alias("sourceURLs"))
+    return (lineitem.groupBy(F.col("l_orderkey").alias("id"))
+                    .agg(F.regexp_replace(F.to_json(F.collect_list(elem)), '"', "'").alias("prices")))
+
+
+@register("price_unnest", """
+WITH b AS (
+  SELECT l_orderkey AS id, l_extendedprice AS amountMax, l_extendedprice * (1 - l_discount) AS amountMin,
+         CASE WHEN l_linenumber = 1 THEN 'In Stock' END AS availability,
+         CASE WHEN l_returnflag = 'N' THEN 'new' END AS condition,
+         'USD' AS currency, strftime(l_shipdate, '%Y-%m-%d') AS dateAdded,
+         [CAST(CAST(l_shipdate AS DATE) AS VARCHAR),
+          CAST(CAST(l_shipdate AS DATE) + l_linenumber AS VARCHAR)] AS ds,
+         CASE WHEN l_discount > 0.05 THEN 'true' ELSE 'false' END AS isSale,
+         'supplier#' || CAST(l_suppkey AS VARCHAR) AS merchant, l_linestatus AS shipping,
+         CASE WHEN l_linenumber = 7 THEN []::VARCHAR[]
+              WHEN l_linenumber % 2 = 0 THEN ['https://shop.example/p/' || CAST(l_partkey AS VARCHAR),
+                   'https://shop.example/p/' || CAST(l_partkey AS VARCHAR) || '?s=' || CAST(l_suppkey AS VARCHAR)]
+              ELSE ['https://shop.example/p/' || CAST(l_partkey AS VARCHAR)] END AS urls
+  FROM lineitem),
+x AS (SELECT DISTINCT id, amountMax, amountMin, availability, condition, currency, dateAdded, dateSeen,
+             isSale, merchant, shipping, sourceURLs
+      FROM b, unnest(ds) AS t(dateSeen),
+           unnest(CASE WHEN len(urls) = 0 THEN [NULL]::VARCHAR[] ELSE urls END) AS u(sourceURLs))
+SELECT id, amountMax, amountMin, currency, dateAdded, dateSeen, isSale, merchant, shipping, sourceURLs FROM x""")
+def price_unnest(spark, sf_dir):
+    """X14-X16 + D3 + L9 + A7: parse each order's price text, one row per element,
+    unnest dates and URLs, drop duplicates, drop the sparse columns."""
+    texts = price_text_per_order(load(spark, sf_dir, "lineitem"))
+    return prices.unnest_prices(texts, "id", "prices")
