@@ -71,9 +71,13 @@ def gaussian_mixture_density(values: DataFrame, col: str, k: int, seed: int, lo:
     grid as a column expression of the fitted weights, means and variances."""
     from pyspark.ml.clustering import GaussianMixture
     from pyspark.ml.feature import VectorAssembler
-    feats = VectorAssembler(inputCols=[col], outputCol="features").transform(
-        values.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias(col)))
-    model = GaussianMixture(k=k, seed=seed, maxIter=max_iter).fit(feats)
+    # EM on (distinct value, count) with the count as weight is the same EM as on the
+    # rows; equal values are collapsed by a partial aggregate first.
+    freq = (values.where(F.col(col).isNotNull())
+                  .groupBy(F.col(col).cast("double").alias(col))
+                  .agg(F.count(F.lit(1)).cast("double").alias("__w")))
+    feats = VectorAssembler(inputCols=[col], outputCol="features").transform(freq)
+    model = GaussianMixture(k=k, seed=seed, maxIter=max_iter, weightCol="__w").fit(feats)
     g = model.gaussians
     dens = F.lit(0.0)
     x = F.col("x")

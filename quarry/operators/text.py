@@ -94,31 +94,33 @@ STOP_WORDS = {
 UNDETECTABLE = "undetectable"
 
 
-def language_hits(tokens: Column, stop_words: Mapping[str, Sequence[str]] = STOP_WORDS) -> dict:
-    """Per language, how many tokens are its stop words (per row, no shuffle)."""
-    out = {}
-    for lang in sorted(stop_words):
-        arr = F.array(*[F.lit(w) for w in stop_words[lang]])
-        out[lang] = F.size(F.filter(tokens, lambda t: F.array_contains(arr, t)))
-    return out
+def stop_word_table(spark, stop_words: Mapping[str, Sequence[str]] = STOP_WORDS) -> DataFrame:
+    return spark.createDataFrame(
+        [(w, lang) for lang in sorted(stop_words) for w in stop_words[lang]],
+        "word string, lang string")
 
 
-def tag_language(df: DataFrame, text_col: str,
+def tag_language(df: DataFrame, id_col: str, text_col: str,
                  stop_words: Mapping[str, Sequence[str]] = STOP_WORDS,
                  out: str = "language") -> DataFrame:
     """The language with most stop-word hits, ties by language code; no hit gives
-    'undetectable'.  A narrow per-row expression: it scales with the text, not with
-    any group."""
-    # tokens once per row; the hit counts read the column instead of re-splitting
-    toks = df.withColumn("__toks", tx.letter_tokens(text_col))
-    hits = language_hits(F.col("__toks"), stop_words)
-    tmp = toks.withColumns({f"__h_{k}": v for k, v in hits.items()}).drop("__toks")
-    best = F.greatest(*[F.col(f"__h_{k}") for k in hits])
-    pick = F.lit(UNDETECTABLE)
-    for k in sorted(hits, reverse=True):  # first code in order wins a tie
-        pick = F.when(F.col(f"__h_{k}") == best, F.lit(k)).otherwise(pick)
-    pick = F.when(best == 0, F.lit(UNDETECTABLE)).otherwise(pick)
-    return tmp.withColumn(out, pick).drop(*[f"__h_{k}" for k in hits])
+    'undetectable'.
+
+    Letter tokens are exploded and joined to the stop-word table (fixed size, so
+    broadcast), hits are counted per (document, language) with partial aggregation and
+    the best language is ``min(struct(-hits, lang))``; documents without hits come back
+    through a left join.  The whole path is code-generated.
+    """
+    spark = df.sparkSession
+    toks = df.select(id_col, F.explode(tx.letter_tokens(text_col)).alias("word"))
+    hits = (toks.join(F.broadcast(stop_word_table(spark, stop_words)), "word")
+                .groupBy(id_col, "lang").agg(F.count(F.lit(1)).alias("hits")))
+    best = hits.groupBy(id_col).agg(F.min(F.struct((-F.col("hits")).alias("h"),
+                                                   F.col("lang"))).alias("b"))
+    keep = [c for c in df.columns if c != text_col]
+    return (df.select(*keep).join(best, id_col, "left")
+              .withColumn(out, F.coalesce(F.col("b.lang"), F.lit(UNDETECTABLE)))
+              .drop("b"))
 
 
 def next_turn_pairs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",

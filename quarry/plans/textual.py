@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quarry.functions import text as tx
 from quarry.operators import text as ops
 from quarry.plans.registry import register
-from quarry.sources.tables import load
+from quarry.sources.tables import load, load_by_key, load_spread, spread
 
 
 def _q(s: str) -> str:
@@ -44,7 +44,7 @@ SELECT doc_id, word_num, word_num > 10 AS above_10 FROM (
   FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL)
 WHERE word_num > 1""")
 def word_count_filter(spark, sf_dir):
-    d = load(spark, sf_dir, "documents").select("doc_id", "text")
+    d = load_spread(spark, sf_dir, "documents", "doc_id", "text")
     r = ops.review_word_counts(d, "doc_id", "text", 1)
     return r.select("doc_id", F.col("word_num").cast("bigint").alias("word_num"),
                     (F.col("word_num") > 10).alias("above_10"))
@@ -57,7 +57,7 @@ def _token_freq_sql(where: str = "") -> str:
 
 @register("token_freq", _token_freq_sql())
 def token_freq(spark, sf_dir):
-    d = load(spark, sf_dir, "documents")
+    d = load_spread(spark, sf_dir, "documents", "doc_id", "text")
     return ops.token_frequencies(d, tx.basic_english_tokens("text"))
 
 
@@ -69,7 +69,7 @@ UNION ALL SELECT * FROM (VALUES {SPECIALS_SQL}) s(token, idx)"""
 
 @register("vocab", _vocab_sql())
 def vocab(spark, sf_dir):
-    d = load(spark, sf_dir, "documents")
+    d = load_spread(spark, sf_dir, "documents", "doc_id", "text")
     return ops.build_vocabulary(ops.token_frequencies(d, tx.basic_english_tokens("text")))
 
 
@@ -80,7 +80,7 @@ def vocab_top(spark, sf_dir):
 
 
 def _english_vocab(spark, sf_dir):
-    d = load(spark, sf_dir, "documents").where(F.col("lang") == "en")
+    d = spread(load(spark, sf_dir, "documents").where(F.col("lang") == "en").select("text"))
     return ops.build_vocabulary(ops.token_frequencies(d, tx.basic_english_tokens("text")))
 
 
@@ -97,7 +97,7 @@ FROM e GROUP BY doc_id""")
 def encode_texts(spark, sf_dir):
     """J3 + L7: every document encoded with the vocabulary of the English documents,
     so words of the other languages become <unk>."""
-    d = load(spark, sf_dir, "documents")
+    d = load_by_key(spark, sf_dir, "documents", "doc_id", "doc_id", "text")
     return ops.encode(d, "doc_id", tx.basic_english_tokens("text"), _english_vocab(spark, sf_dir))
 
 
@@ -107,7 +107,7 @@ FROM e LEFT JOIN v USING (idx) GROUP BY e.doc_id""")
 def decode_texts(spark, sf_dir):
     """J4 + L7: decode the encoded documents back to tokens."""
     v = _english_vocab(spark, sf_dir)
-    d = load(spark, sf_dir, "documents")
+    d = load_by_key(spark, sf_dir, "documents", "doc_id", "doc_id", "text")
     enc = ops.encode(d, "doc_id", tx.basic_english_tokens("text"), v)
     return ops.decode(enc, "doc_id", v)
 
@@ -119,7 +119,7 @@ SELECT doc_id, array_to_string(list_filter(list_transform(
        lambda w: regexp_matches(w, '^\p{L}+$')), ' ') AS clean
 FROM documents""")
 def clean_text(spark, sf_dir):
-    d = load(spark, sf_dir, "documents")
+    d = load_spread(spark, sf_dir, "documents", "doc_id", "text")
     return d.select("doc_id", tx.clean_sentence("text").alias("clean"))
 
 
@@ -128,7 +128,7 @@ SELECT doc_id, array_to_string(list_slice(toks, 1, 315), ' ') AS truncated FROM
   SELECT doc_id, {_duck_ws_tokens('text')} AS toks FROM documents) WHERE len(toks) > 10""")
 def truncate_315(spark, sf_dir):
     """T7 + F11: reviews above ten words, cut to their first 315 words."""
-    d = load(spark, sf_dir, "documents")
+    d = load_spread(spark, sf_dir, "documents", "doc_id", "text")
     return (d.where(tx.word_count("text") > 10)
              .select("doc_id", tx.truncate_words("text", 315).alias("truncated")))
 
@@ -146,8 +146,8 @@ FROM (SELECT doc_id, {hits} FROM (SELECT doc_id, {_duck_letter_tokens('text')} A
 
 @register("lang_tag", _lang_sql())
 def lang_tag(spark, sf_dir):
-    d = load(spark, sf_dir, "documents").select("doc_id", "text")
-    return ops.tag_language(d, "text").select("doc_id", "language")
+    d = load_by_key(spark, sf_dir, "documents", "doc_id", "doc_id", "text")
+    return ops.tag_language(d, "doc_id", "text").select("doc_id", "language")
 
 
 @register("lang_counts", f"""SELECT language, count(*) AS "count" FROM ({_lang_sql()}) GROUP BY language""")
@@ -161,8 +161,8 @@ SELECT d.doc_id, d.n_chars FROM documents d JOIN ({_lang_sql()}) t USING (doc_id
 WHERE t.language = 'en'""")
 def english_only(spark, sf_dir):
     """L1 + F1: keep the documents tagged English."""
-    d = load(spark, sf_dir, "documents").select("doc_id", "n_chars", "text")
-    return ops.tag_language(d, "text").where(F.col("language") == "en").select("doc_id", "n_chars")
+    d = load_by_key(spark, sf_dir, "documents", "doc_id", "doc_id", "n_chars", "text")
+    return ops.tag_language(d, "doc_id", "text").where(F.col("language") == "en").select("doc_id", "n_chars")
 
 
 _PAIRS_SQL = """SELECT u.conv_id, u.turn, u.text AS source, a.text AS target
@@ -201,7 +201,7 @@ sc AS (SELECT d.doc_id, coalesce(s0, 0) + ln(p0) AS a0, coalesce(s1, 0) + ln(p1)
 SELECT doc_id, CASE WHEN a0 >= a1 THEN 0 ELSE 1 END AS predicted FROM sc""")
 def naive_bayes_counts(spark, sf_dir):
     """Train on the labelled documents (label = quality), predict every document."""
-    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = load_by_key(spark, sf_dir, "documents", "doc_id", "doc_id", "text")
     train = docs.join(load(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")),
                       "doc_id")
     return ops.naive_bayes(train, "label", tx.letter_tokens("text"), docs, "doc_id",

@@ -14,6 +14,46 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when the input has fewer partitions than the
+    cluster's parallelism (e.g. one unsplittable file or a single row group).
+
+    Large inputs arrive in many splits and pass through untouched, so this never adds
+    a shuffle at scale; it only keeps per-row heavy work (tokenising, parsing) from
+    running in one task on small or unsplittable inputs.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def load_spread(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """``load`` + column pruning + ``spread`` (prune first so only used columns move)."""
+    df = load(spark, sf_dir, name)
+    if cols:
+        df = df.select(*cols)
+    return spread(df)
+
+
+def by_key(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Hash-partition by ``key`` with an explicit count (so AQE keeps the parallelism).
+
+    Per-key pipelines (explode -> broadcast join -> regroup by the same key) then run
+    without another shuffle: Spark sees the existing partitioning.  One shuffle of the
+    rows replaces a shuffle of their (larger) exploded pieces.
+    """
+    spark = df.sparkSession
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                          spark.sparkContext.defaultParallelism)
+    return df.repartition(n, key)
+
+
+def load_by_key(spark: SparkSession, sf_dir: str, name: str, key: str, *cols: str) -> DataFrame:
+    df = load(spark, sf_dir, name)
+    if cols:
+        df = df.select(*cols)
+    return by_key(df, key)
+
+
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     for t in TABLES:
         load(spark, sf_dir, t).createOrReplaceTempView(t)
