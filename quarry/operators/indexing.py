@@ -1,27 +1,37 @@
 """Dense global numbering without a single-task window.
 
 ``dense_index`` sorts with a range-partitioned ``orderBy`` (distributed), tags each row
-with ``monotonically_increasing_id`` (partition id in the upper bits, position in the
-lower bits), cuts lineage with a reliable ``checkpoint`` so both uses below see the same
-rows, counts rows per partition (one row per partition), turns the counts into
-offsets, and adds offset + local position.  Only the per-partition count table -- its
-size is the number of partitions -- is broadcast.
+with ``monotonically_increasing_id`` (partition id in the upper 31 bits, position within
+the partition in the lower 33), and writes the tagged rows once as a parquet table in
+the session's checkpoint folder -- this cuts lineage, survives executor loss and fixes
+the ids for the two reads below (a re-run sort could tie-break differently).  Rows per
+partition are then counted (one row per partition), turned into offsets with a window
+over that small table, and each row gets offset + position.  Only the per-partition
+table -- as many rows as partitions -- is broadcast.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.session import ensure_checkpoint_dir
 
 
+def materialize(df: DataFrame, tag: str = "table") -> DataFrame:
+    """Write ``df`` as parquet under the checkpoint folder and read it back."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-{tag}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
+
+
 def dense_index(df: DataFrame, order: list[str | Column], name: str = "idx",
                 start: int = 0) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    tagged = (df.orderBy(*order)
-                .withColumn("__mid", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
+    tagged = materialize(df.orderBy(*order)
+                           .withColumn("__mid", F.monotonically_increasing_id()), "index")
     pid = F.shiftright(F.col("__mid"), 33)
     counts = tagged.groupBy(pid.alias("__pid")).agg(
         F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
