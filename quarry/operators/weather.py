@@ -95,20 +95,13 @@ def daily_table(measurements: DataFrame, stations: DataFrame, types: Sequence[st
 
 
 def daily_tables(measurements: DataFrame, stations: DataFrame) -> dict[str, DataFrame]:
-    """The four published tables from one scan/join; each is a projection of one pivot."""
+    """The four published tables from one scan/join/pivot; each is a projection of it
+    (a (station, day) belongs to a table when it has any of that table's types)."""
     groups = {"precipitation": PRECIPITATION_TYPES, "temperature": TEMPERATURE_TYPES,
               "wind": WIND_TYPES, "sunshine": SUNSHINE_TYPES}
     all_types = [t for g in groups.values() for t in g]
     wide = daily_table(measurements, stations, all_types, scaled=TEMPERATURE_TYPES)
-    out = {}
-    for name, ts in groups.items():
-        cols = ["station_id", "date_key"] + [f"{t}_{f}" for t in ts for f in MEASURE_FIELDS]
-        first = F.col(f"{ts[0]}_measurement_value").isNotNull()
-        for t in ts[1:]:
-            first = first | F.col(f"{t}_measurement_value").isNotNull()
-        # A (station, day) belongs to a table when it has any of that table's types.
-        out[name] = wide.filter(first).select(*cols, "year", "date")
-    return out
+    return _split_daily(wide, groups)
 
 
 # Code tables for the flags of the daily climate files (public format
@@ -145,3 +138,32 @@ QC_FLAG_CODES = {
 def code_table(spark, codes: dict[str, str], code_col: str = "code",
                desc_col: str = "description") -> DataFrame:
     return spark.createDataFrame(sorted(codes.items()), f"{code_col} string, {desc_col} string")
+
+
+def write_daily_tables(measurements: DataFrame, stations: DataFrame, out_base: str,
+                       partitions: int | None = None) -> dict[str, str]:
+    """K3 + K6: the four daily tables as parquet partitioned by year, from one pivot
+    that is persisted for the four writes and released afterwards."""
+    from quarry.sources.sinks import persisted, write_parquet
+    groups = {"precipitation": PRECIPITATION_TYPES, "temperature": TEMPERATURE_TYPES,
+              "wind": WIND_TYPES, "sunshine": SUNSHINE_TYPES}
+    all_types = [t for g in groups.values() for t in g]
+    wide = daily_table(measurements, stations, all_types, scaled=TEMPERATURE_TYPES)
+    paths = {}
+    with persisted(wide):
+        for name, df in _split_daily(wide, groups).items():
+            path = f"{out_base.rstrip('/')}/{name}"
+            write_parquet(df, path, partition_by=("year",), partitions=partitions)
+            paths[name] = path
+    return paths
+
+
+def _split_daily(wide: DataFrame, groups) -> dict[str, DataFrame]:
+    out = {}
+    for name, ts in groups.items():
+        cols = ["station_id", "date_key"] + [f"{t}_{f}" for t in ts for f in MEASURE_FIELDS]
+        has = F.col(f"{ts[0]}_measurement_value").isNotNull()
+        for t in ts[1:]:
+            has = has | F.col(f"{t}_measurement_value").isNotNull()
+        out[name] = wide.where(has).select(*cols, "year", "date")
+    return out
