@@ -55,29 +55,33 @@ def build_vocabulary(freq: DataFrame, min_freq: int = 1,
 def encode(df: DataFrame, id_col: str, tokens: Column, vocab: DataFrame) -> DataFrame:
     """Token -> index with ``<unk>`` (0) for unknown words, order kept.
 
-    Returns (id, n_tokens, n_unknown, ids) with ids as space-joined text.
+    Returns (id, n_tokens, n_unknown, ids) with ids as space-joined text.  The regroup
+    by id needs no shuffle when the input is already partitioned by id.
     """
-    exploded = df.select(id_col, F.posexplode(tokens).alias("pos", "token"))
-    v = maybe_broadcast(vocab.select("token", "idx"), VOCAB_BROADCAST_ROWS)
-    looked = exploded.join(v, "token", "left").withColumn(
-        "idx", F.coalesce(F.col("idx"), F.lit(UNK_IDX)))
+    exploded = df.select(id_col, F.posexplode(tokens).alias("__pos", "__token"))
+    v = maybe_broadcast(vocab.select(F.col("token").alias("__token"), F.col("idx").alias("__idx")),
+                        VOCAB_BROADCAST_ROWS)
+    looked = exploded.join(v, "__token", "left").withColumn(
+        "__idx", F.coalesce(F.col("__idx"), F.lit(UNK_IDX)))
     grouped = looked.groupBy(id_col).agg(
-        F.sort_array(F.collect_list(F.struct("pos", "idx"))).alias("s"),
+        F.sort_array(F.collect_list(F.struct("__pos", "__idx"))).alias("__s"),
         F.count(F.lit(1)).alias("n_tokens"),
-        F.sum((F.col("idx") == UNK_IDX).cast("long")).alias("n_unknown"))
+        F.sum((F.col("__idx") == UNK_IDX).cast("long")).alias("n_unknown"))
     return grouped.select(id_col, "n_tokens", "n_unknown",
-                          F.array_join(F.transform("s", lambda x: x["idx"].cast("string")),
+                          F.array_join(F.transform("__s", lambda x: x["__idx"].cast("string")),
                                        " ").alias("ids"))
 
 
 def decode(encoded: DataFrame, id_col: str, vocab: DataFrame, ids_col: str = "ids") -> DataFrame:
     """Index -> token, order kept; returns (id, text)."""
-    ex = encoded.select(id_col, F.posexplode(F.split(ids_col, " ")).alias("pos", "i"))
-    ex = ex.where(F.col("i") != "").withColumn("idx", F.col("i").cast("long"))
-    v = maybe_broadcast(vocab.select("token", "idx"), VOCAB_BROADCAST_ROWS)
-    j = ex.join(v, "idx", "left")
-    return j.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("s")) \
-            .select(id_col, F.array_join(F.transform("s", lambda x: x["token"]), " ").alias("text"))
+    ex = encoded.select(id_col, F.posexplode(F.split(ids_col, " ")).alias("__pos", "__i"))
+    ex = ex.where(F.col("__i") != "").withColumn("__idx", F.col("__i").cast("long"))
+    v = maybe_broadcast(vocab.select(F.col("token").alias("__token"), F.col("idx").alias("__idx")),
+                        VOCAB_BROADCAST_ROWS)
+    j = ex.join(v, "__idx", "left")
+    return (j.groupBy(id_col)
+             .agg(F.sort_array(F.collect_list(F.struct("__pos", "__token"))).alias("__s"))
+             .select(id_col, F.array_join(F.transform("__s", lambda x: x["__token"]), " ").alias("text")))
 
 
 # Short stop-word lists used to tag a text's language.
