@@ -36,11 +36,17 @@ def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     buckets: int = 1024, final_rows: int = 100_000,
-                    max_passes: int = 64) -> dict[tuple[str, float], float | None]:
-    """Linear-interpolated quantiles, exact, computed by distributed refinement."""
+                    max_passes: int = 64, persist: bool = False) -> dict[tuple[str, float], float | None]:
+    """Linear-interpolated quantiles, exact, computed by distributed refinement.
+
+    Each pass re-reads the (pruned) input; ``persist`` keeps the value table cached
+    instead, which pays off only when it fits the cluster's memory.
+    """
     cols = list(cols)
     spark: SparkSession = df.sparkSession
-    long = _long_values(df, cols).persist()
+    long = _long_values(df, cols)
+    if persist:
+        long = long.persist()
     try:
         stats = long.groupBy("ci").agg(F.count("*").alias("n"), F.min("v").alias("lo"),
                                        F.max("v").alias("hi")).collect()
@@ -115,7 +121,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         if pending:
             raise RuntimeError("quantile refinement did not converge")
     finally:
-        long.unpersist()
+        if persist:
+            long.unpersist()
     out: dict[tuple[str, float], float | None] = {}
     for ci, c in enumerate(cols):
         if ci not in info:

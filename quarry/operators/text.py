@@ -178,7 +178,7 @@ def naive_bayes(train: DataFrame, label: str, tokens: Column, score: DataFrame,
               F.lit(tot[f"t{i}"] + smoothing * vsize)).alias(f"__lp{i}")
         for i in range(len(classes))])
     st = score.select(score_id, F.explode(score_tokens).alias("token"))
-    sums = st.join(model, "token").groupBy(score_id).agg(
+    sums = st.join(maybe_broadcast(model, VOCAB_BROADCAST_ROWS), "token").groupBy(score_id).agg(
         *[F.sum(f"__lp{i}").alias(f"__s{i}") for i in range(len(classes))])
     scored = score.select(score_id).distinct().join(sums, score_id, "left")
     s = {i: F.coalesce(F.col(f"__s{i}"), F.lit(0.0)) + F.lit(math.log(prior[c]))

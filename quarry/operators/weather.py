@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.relational import join_on_dimension_keys
+from quarry.operators.relational import DEFAULT_BROADCAST_ROWS, has_at_most
 
 MEASURE_FIELDS = ("measurement_value", "measurement_flag", "qc_flag", "source_flag")
 
@@ -84,11 +84,23 @@ def scale_tenths(df: DataFrame, types: Sequence[str], divisor: int = 10) -> Data
 
 
 def daily_table(measurements: DataFrame, stations: DataFrame, types: Sequence[str],
-                scaled: Sequence[str] = (), station_key: str = "station_id") -> DataFrame:
-    """Filter to types (F2), join station keys (J1), pivot (A2), day columns."""
+                scaled: Sequence[str] = (), station_key: str = "station_id",
+                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Filter to types (F2), keep listed stations (J1), pivot (A2), day columns.
+
+    Max is insensitive to repeated rows, so keeping the listed stations is a semi join
+    and gives the inner join's result.  A station list under the bound is broadcast
+    and filters the facts before the aggregation (no shuffle for the join).  A larger
+    list is applied after the aggregation: the pivot shuffles on (station, day) with
+    partial aggregation, so a station holding a third of the rows is spread over its
+    days, and only one row per (station, day) meets the station shuffle.
+    """
     facts = measurements.filter(F.col("measurement_type").isin(list(types)))
-    facts = join_on_dimension_keys(facts, stations, station_key)
-    wide = pivot_daily(facts, types)
+    keys = stations.select(station_key)
+    if has_at_most(keys, max_broadcast_rows):
+        wide = pivot_daily(facts.join(F.broadcast(keys), station_key, "left_semi"), types)
+    else:
+        wide = pivot_daily(facts, types).join(keys, station_key, "left_semi")
     if scaled:
         wide = scale_tenths(wide, scaled)
     return add_day_columns(wide)

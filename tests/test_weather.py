@@ -108,3 +108,12 @@ def test_flag_code_tables(spark):
     from quarry.operators.relational import decode_codes
     out = {r.qc: r.meaning for r in decode_codes(df, "qc", codes, "code", "description", "meaning").collect()}
     assert out["G"] == "failed gap check" and out["Q"] is None and out[None] is None
+
+
+def test_large_station_list_path_same_result(spark):
+    types = ["PRCP", "TMIN", "TMAX", "TAVG"]
+    small = weather.daily_table(_facts(spark), _stations(spark), types)
+    big = weather.daily_table(_facts(spark), _stations(spark), types, max_broadcast_rows=0)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.select(*small.columns).collect()))
+    plan = big._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan
