@@ -44,9 +44,17 @@ def weight_in_pounds(df: DataFrame, weight_col: str) -> DataFrame:
                            "weight_value": pounds, "units": F.lit("lbs")})
 
 
+def dashed_day(c: str | Column) -> Column:
+    """X8 + X9: 'yyyyMMdd' -> 'yyyy-MM-dd' from substrings at 1, 5 and 7 (Spark reads a
+    start of 0 as 1; DuckDB does not, so 1 is written)."""
+    c = as_col(c)
+    return F.concat_ws("-", F.substring(c, 1, 4), F.substring(c, 5, 2), F.substring(c, 7, 2))
+
+
 def day_key_to_date(c: str | Column) -> Column:
-    """X10: 'yyyyMMdd' text to date; a bad key gives null (try_ form, ANSI-safe)."""
-    return F.try_to_date(as_col(c), "yyyyMMdd")
+    """Day key to date through the dashed text; a bad key gives null (try_ form,
+    ANSI-safe).  Characters after the eighth are ignored, as the substrings do."""
+    return F.try_to_date(dashed_day(c), "yyyy-MM-dd")
 
 
 def text_to_timestamp(c: str | Column, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:

@@ -109,8 +109,14 @@ def basic_english_tokens_by_rules(c: str | Column) -> Column:
     return F.filter(F.split(s, WS), lambda t: t != "")
 
 
-def truncate_words(c: str | Column, n: int) -> Column:  # T7
-    return join_tokens(F.slice(split_whitespace(c), 1, n))
+def truncate_words(c: str | Column, n: int) -> Column:
+    """The first n whitespace-separated words joined by one space.
+
+    The truncation is the feature, so only the first n words are scanned: one regex
+    captures them (up to n-1 word+space pairs, then a word) and the whitespace inside
+    the capture is collapsed.  Same result as joining ``slice(split, 1, n)``."""
+    head = F.regexp_extract(as_col(c), r"(?U)^\s*((?:\S+\s+){0,%d}\S+)" % (n - 1), 1)
+    return F.regexp_replace(head, WS, " ")
 
 
 def remove_stop_words(tokens: Column, stop_words) -> Column:

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.scalar import day_key_to_date
 from quarry.operators.relational import DEFAULT_BROADCAST_ROWS, has_at_most
 
 MEASURE_FIELDS = ("measurement_value", "measurement_flag", "qc_flag", "source_flag")
@@ -72,7 +73,7 @@ def add_day_columns(df: DataFrame) -> DataFrame:
     key = F.trim(F.col("date_key"))
     return (df.withColumn("date_key", key)
               .withColumn("year", F.substring("date_key", 1, 4))
-              .withColumn("date", F.try_to_date(F.col("date_key"), "yyyyMMdd"))
+              .withColumn("date", day_key_to_date("date_key"))
               .filter(F.col("date_key").isNotNull()))
 
 

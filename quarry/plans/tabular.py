@@ -38,7 +38,7 @@ def _pivot_sql(types, scaled=()) -> str:
     return f"""WITH {_measurements_sql(types)},
   p AS (SELECT station_id, trim(date_key) AS date_key, {', '.join(cols)}
         FROM j GROUP BY station_id, date_key)
-SELECT p.*, substr(date_key, 1, 4) AS year, CAST(try_strptime(date_key, '%Y%m%d') AS DATE) AS date
+SELECT p.*, substr(date_key, 1, 4) AS year, CAST(try_strptime(substr(date_key, 1, 4) || '-' || substr(date_key, 5, 2) || '-' || substr(date_key, 7, 2), '%Y-%m-%d') AS DATE) AS date
 FROM p WHERE date_key IS NOT NULL"""
 
 

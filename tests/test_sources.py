@@ -131,3 +131,21 @@ def test_records_grid_and_table(spark, tmp_dir):
     assert len(g) == 1000 and g[0].x == -10.0 and abs(g[-1].x - 30.0) < 1e-12
     ids = spark.range(1, 100).where((F.col("id") % 5 == 0) & (F.col("id") % 7 == 0))
     assert [r.id for r in ids.collect()] == [35, 70]        # F7 + F8 golden
+
+
+def test_scalar_helpers(spark):
+    from quarry.functions import scalar
+    df = spark.createDataFrame([("20240105", "2024-01-05 10:11:12", 3),
+                                ("202401051", "bad", -2), ("20241341", None, 0)],
+                               "k string, ts string, x int")
+    r = df.select(scalar.day_key_to_date("k").alias("d"), scalar.text_to_timestamp("ts").alias("t"),
+                  scalar.year_of_key("k").alias("y"), (F.col("x") * F.col("x")).alias("sq"),   # P9
+                  F.exp(F.lit(0.0)).alias("e")).collect()                                       # X22
+    assert str(r[0].d) == "2024-01-05" and str(r[1].d) == "2024-01-05" and r[2].d is None
+    assert str(r[0].t) == "2024-01-05 10:11:12" and r[1].t is None
+    assert r[0].y == "2024" and [x.sq for x in r] == [9, 4, 0] and r[0].e == 1.0
+    w = scalar.weight_in_pounds(spark.createDataFrame(
+        [("16 ounces",), ("1000 grams",), ("2 pounds",), ("3 lbs",), (None,), ("7",)], "w string"), "w")
+    got = [(x.weight_value, x.units) for x in w.collect()]
+    assert got[0] == (1.0, "lbs") and abs(got[1][0] - 2.20462) < 1e-12
+    assert got[2][0] == 2.0 and got[3][0] == 3.0 and got[4][0] is None and got[5][0] == 7.0
