@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quarry.functions import scalar
 from quarry.operators import density, prices, regress
 from quarry.plans.registry import register
-from quarry.sources.tables import load, spread
+from quarry.sources.tables import by_key, load
 
 # ---------------------------------------------------------------- gradient descent
 
@@ -194,5 +194,6 @@ SELECT id, amountMax, amountMin, currency, dateAdded, dateSeen, isSale, merchant
 def price_unnest(spark, sf_dir):
     """X14-X16 + D3 + L9 + A7: parse each order's price text, one row per element,
     unnest dates and URLs, drop duplicates, drop the sparse columns."""
-    texts = price_text_per_order(spread(load(spark, sf_dir, "lineitem")))
+    # hash-partitioned by order once: the per-order lists are then built locally
+    texts = price_text_per_order(by_key(load(spark, sf_dir, "lineitem"), "l_orderkey"))
     return prices.unnest_prices(texts, "id", "prices")
