@@ -23,5 +23,5 @@ def norm(a: str | Column) -> Column:
 
 
 def cosine(a: str | Column, b: str | Column) -> Column:
-    """V2: dot / (|a| |b|)."""
-    return dot(a, b) / (norm(a) * norm(b))
+    """V2: dot / (|a| |b|); null for a zero vector (ANSI mode raises on x / 0)."""
+    return F.try_divide(dot(a, b), norm(a) * norm(b))

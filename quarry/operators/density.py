@@ -45,7 +45,7 @@ def gaussian_kde(values: DataFrame, col: str, lo: float, hi: float, n: int,
     n_points = values.where(F.col(col).isNotNull()).select(F.count(F.lit(1))).scalar()
     norm = n_points * F.lit(bandwidth * math.sqrt(2 * math.pi))
     return (grid(spark, lo, hi, n).join(sums, "grid_idx", "left")
-            .select("grid_idx", "x", (F.coalesce(F.col("s"), F.lit(0.0)) / norm).alias("density")))
+            .select("grid_idx", "x", F.try_divide(F.coalesce(F.col("s"), F.lit(0.0)), norm).alias("density")))
 
 
 def interpolate(points: DataFrame, col: str, curve: DataFrame, lo: float, hi: float,

@@ -175,7 +175,7 @@ def missing_report(df: DataFrame) -> DataFrame:
     parts = ", ".join(f"'{c}', '{types[c]}', __nn{i}" for i, c in enumerate(names))
     return counted.selectExpr(
         f"stack({len(names)}, {parts}) as (column, dtype, non_null)", "__rows as rows"
-    ).withColumn("non_null_share", F.col("non_null") / F.col("rows"))
+    ).withColumn("non_null_share", F.try_divide(F.col("non_null"), F.col("rows")))
 
 
 def _min_max(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:

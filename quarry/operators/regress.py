@@ -29,7 +29,7 @@ def standardize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     for c in cols:
         aggs += [F.avg(c), F.stddev_samp(c)]
     r = df.agg(*aggs).first()
-    return df.select(*[((F.col(c) - F.lit(r[2 * i])) / F.lit(r[2 * i + 1])).alias(c)
+    return df.select(*[F.try_divide(F.col(c) - F.lit(r[2 * i]), F.lit(r[2 * i + 1])).alias(c)
                        for i, c in enumerate(cols)])
 
 
