@@ -160,34 +160,32 @@ def naive_bayes(train: DataFrame, label: str, tokens: Column, score: DataFrame,
                 smoothing: float = 1.0) -> DataFrame:
     """Multinomial Naive Bayes from counts, add-one smoothing, unsmoothed priors.
 
-    Training is one aggregation of (token, class) counts; scoring joins each scored
-    token to the per-token log-likelihood row and sums per document.  Tokens outside
-    the training vocabulary are ignored.  Ties go to the smaller class.
+    Training is one aggregation of per-token class counts; the vocabulary size, the
+    per-class token totals and the priors are scalar subqueries of the same plan (the
+    count shuffle is shared, nothing is collected).  Scoring joins each scored token to
+    its per-token log-likelihood row and sums per document.  Tokens outside the training
+    vocabulary are ignored; ties go to the smaller class.
     """
     if classes is None:  # the class list is a handful of labels
         classes = sorted(r[0] for r in train.select(label).distinct().collect())
-    n_docs = train.groupBy(label).count().collect()
-    total = sum(r["count"] for r in n_docs)
-    prior = {r[label]: r["count"] / total for r in n_docs}
+    k = len(classes)
+    hit = [(F.col(label) == F.lit(c)).cast("long") for c in classes]
+    n_docs = train.select(F.count(F.lit(1))).scalar()
+    prior = [train.select(F.sum(h)).scalar() / n_docs for h in hit]
     tok = train.select(label, F.explode(tokens).alias("token"))
-    counts = tok.groupBy("token").agg(*[
-        F.sum((F.col(label) == F.lit(c)).cast("long")).alias(f"__n{i}")
-        for i, c in enumerate(classes)])
-    tot = counts.agg(F.count(F.lit(1)).alias("v"),
-                     *[F.sum(f"__n{i}").alias(f"t{i}") for i in range(len(classes))]).first()
-    vsize = tot["v"]
+    counts = tok.groupBy("token").agg(*[F.sum(h).alias(f"__n{i}") for i, h in enumerate(hit)])
+    vsize = counts.select(F.count(F.lit(1))).scalar()
+    totals = [counts.select(F.sum(f"__n{i}")).scalar() for i in range(k)]
     model = counts.select("token", *[
-        F.log((F.col(f"__n{i}") + F.lit(smoothing)) /
-              F.lit(tot[f"t{i}"] + smoothing * vsize)).alias(f"__lp{i}")
-        for i in range(len(classes))])
+        F.log((F.col(f"__n{i}") + F.lit(smoothing)) / (totals[i] + F.lit(smoothing) * vsize)).alias(f"__lp{i}")
+        for i in range(k)])
     st = score.select(score_id, F.explode(score_tokens).alias("token"))
     sums = st.join(maybe_broadcast(model, VOCAB_BROADCAST_ROWS), "token").groupBy(score_id).agg(
-        *[F.sum(f"__lp{i}").alias(f"__s{i}") for i in range(len(classes))])
+        *[F.sum(f"__lp{i}").alias(f"__s{i}") for i in range(k)])
     scored = score.select(score_id).distinct().join(sums, score_id, "left")
-    s = {i: F.coalesce(F.col(f"__s{i}"), F.lit(0.0)) + F.lit(math.log(prior[c]))
-         for i, c in enumerate(classes)}
-    best = F.greatest(*s.values()) if len(s) > 1 else s[0]
+    s = {i: F.coalesce(F.col(f"__s{i}"), F.lit(0.0)) + F.log(prior[i]) for i in range(k)}
+    best = F.greatest(*s.values()) if k > 1 else s[0]
     pick = F.lit(classes[-1])
-    for i in reversed(range(len(classes))):
+    for i in reversed(range(k)):
         pick = F.when(s[i] == best, F.lit(classes[i])).otherwise(pick)
     return scored.select(score_id, pick.alias("predicted"))
