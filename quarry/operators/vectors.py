@@ -52,10 +52,9 @@ def cosine_top_k(keys: DataFrame, key_id: str, key_vec: str, queries: DataFrame,
 
 
 def _scores(keys, key_id, key_vec, queries, qid, qvec, dim):
-    scale = 1.0 / math.sqrt(dim)
     return _with_queries(keys.select(key_id, key_vec), queries, qid, qvec).select(
         F.col("__qid").alias(qid), key_id, key_vec,
-        (vf.dot("__qvec", key_vec) * F.lit(scale)).alias("score"))
+        (vf.dot("__qvec", key_vec) / F.lit(math.sqrt(dim))).alias("score"))
 
 
 def vector_dim(df: DataFrame, vec: str) -> int:
@@ -83,8 +82,7 @@ def attention_context(keys: DataFrame, key_id: str, key_vec: str, queries: DataF
     """
     value_vec = value_vec or key_vec
     dim = vector_dim(keys, key_vec)
-    src = keys.select(key_id, key_vec) if value_vec == key_vec else keys.select(key_id, key_vec, value_vec)
-    s = _scores(src if value_vec == key_vec else src, key_id, key_vec, queries, qid, qvec, dim)
+    s = _scores(keys, key_id, key_vec, queries, qid, qvec, dim)
     if value_vec != key_vec:
         s = s.join(keys.select(key_id, value_vec), key_id)
     mx = s.groupBy(qid).agg(F.max("score").alias("__m"))
