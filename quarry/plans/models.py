@@ -145,10 +145,17 @@ def gmm_density(spark, sf_dir):
 
 # ---------------------------------------------------------------- nested prices
 
+PRICE_LIST_CHUNK = 64
+
+
 def price_text_per_order(lineitem):
-    """Build the reference's input shape from lineitem: one row per order holding its
-    price list as text (a list of dicts in single quotes).  An order has at most seven
-    lines, so each list is small."""
+    """Build the reference's input shape from lineitem: rows keyed by order holding a
+    price list as text (a list of dicts in single quotes).
+
+    Lists hold at most ``PRICE_LIST_CHUNK`` lines (an order with more lines gives
+    several rows with its id), so even an order holding a large share of the lines is
+    spread over many small lists; unnesting is per element, so the result is the same
+    as with one list per order."""
     day = F.to_date("l_shipdate")
     url = F.concat(F.lit("https://shop.example/p/"), F.col("l_partkey").cast("string"))
     url2 = F.concat(url, F.lit("?s="), F.col("l_suppkey").cast("string"))
@@ -167,8 +174,10 @@ def price_text_per_order(lineitem):
         F.concat(F.lit("supplier#"), F.col("l_suppkey").cast("string")).alias("merchant"),
         F.col("l_linestatus").alias("shipping"),
         urls.alias("sourceURLs"))
-    return (lineitem.groupBy(F.col("l_orderkey").alias("id"))
-                    .agg(F.regexp_replace(F.to_json(F.collect_list(elem)), '"', "'").alias("prices")))
+    chunk = F.floor((F.col("l_linenumber") - 1) / F.lit(PRICE_LIST_CHUNK))
+    return (lineitem.groupBy(F.col("l_orderkey").alias("id"), chunk.alias("__chunk"))
+                    .agg(F.regexp_replace(F.to_json(F.collect_list(elem)), '"', "'").alias("prices"))
+                    .drop("__chunk"))
 
 
 @register("price_unnest", """
@@ -194,6 +203,6 @@ SELECT id, amountMax, amountMin, currency, dateAdded, dateSeen, isSale, merchant
 def price_unnest(spark, sf_dir):
     """X14-X16 + D3 + L9 + A7: parse each order's price text, one row per element,
     unnest dates and URLs, drop duplicates, drop the sparse columns."""
-    # hash-partitioned by order once: the per-order lists are then built locally
+    # hash-partitioned by order once: the lists are then built without another shuffle
     texts = price_text_per_order(by_key(load(spark, sf_dir, "lineitem"), "l_orderkey"))
     return prices.unnest_prices(texts, "id", "prices")

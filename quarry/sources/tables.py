@@ -35,16 +35,15 @@ def load_spread(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> Data
 
 
 def by_key(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """Hash-partition by ``key`` with an explicit count (so AQE keeps the parallelism).
+    """Hash-partition by ``key``.
 
     Per-key pipelines (explode -> broadcast join -> regroup by the same key) then run
     without another shuffle: Spark sees the existing partitioning.  One shuffle of the
-    rows replaces a shuffle of their (larger) exploded pieces.
+    rows replaces a shuffle of their (larger) exploded pieces.  Without an explicit
+    count the shuffle uses ``spark.sql.shuffle.partitions`` and AQE may coalesce small
+    partitions (keeping the cluster's parallelism by default).
     """
-    spark = df.sparkSession
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                          spark.sparkContext.defaultParallelism)
-    return df.repartition(n, key)
+    return df.repartition(partitions, key) if partitions else df.repartition(key)
 
 
 def load_by_key(spark: SparkSession, sf_dir: str, name: str, key: str, *cols: str) -> DataFrame:
