@@ -170,12 +170,17 @@ def naive_bayes(train: DataFrame, label: str, tokens: Column, score: DataFrame,
         classes = sorted(r[0] for r in train.select(label).distinct().collect())
     k = len(classes)
     hit = [(F.col(label) == F.lit(c)).cast("long") for c in classes]
-    n_docs = train.select(F.count(F.lit(1))).scalar()
-    prior = [train.select(F.sum(h)).scalar() / n_docs for h in hit]
+    # one scalar subquery per summary: documents per class, and (vocabulary size,
+    # tokens per class); each is one aggregate evaluated once
+    docs = train.select(F.struct(F.count(F.lit(1)).alias("n"),
+                                 *[F.sum(h).alias(f"c{i}") for i, h in enumerate(hit)])).scalar()
+    prior = [docs.getField(f"c{i}") / docs.getField("n") for i in range(k)]
     tok = train.select(label, F.explode(tokens).alias("token"))
     counts = tok.groupBy("token").agg(*[F.sum(h).alias(f"__n{i}") for i, h in enumerate(hit)])
-    vsize = counts.select(F.count(F.lit(1))).scalar()
-    totals = [counts.select(F.sum(f"__n{i}")).scalar() for i in range(k)]
+    tot = counts.select(F.struct(F.count(F.lit(1)).alias("v"),
+                                 *[F.sum(f"__n{i}").alias(f"t{i}") for i in range(k)])).scalar()
+    vsize = tot.getField("v")
+    totals = [tot.getField(f"t{i}") for i in range(k)]
     model = counts.select("token", *[
         F.log((F.col(f"__n{i}") + F.lit(smoothing)) / (totals[i] + F.lit(smoothing) * vsize)).alias(f"__lp{i}")
         for i in range(k)])
