@@ -23,10 +23,27 @@ PRICE_LIST_DDL = (
 SPARSE_PRICE_COLUMNS = ("condition", "offer", "returnPolicy", "warranty", "availability")
 
 
+_JSON_OPTS = {"allowSingleQuotes": "true"}
+# a bare Python literal in value position: after ':' '[' or ',' and before ',' '}' or ']'
+_VALUE_BEFORE = r"(?<=[:\[,]\s{0,16})"
+_VALUE_AFTER = r"(?=\s*[,}\]])"
+
+
+def python_literals_to_json(c):
+    """Rewrite bare True / False / None values to JSON true / false / null; words
+    inside quoted strings are not in value position and stay as they are."""
+    for py, js in (("True", "true"), ("False", "false"), ("None", "null")):
+        c = F.regexp_replace(c, _VALUE_BEFORE + py + _VALUE_AFTER, js)
+    return c
+
+
 def parse_price_list(text_col: str):
-    """Text of a list of dicts -> ARRAY<STRUCT>; single quotes accepted, bad text
-    (e.g. Python True/None) gives null for the whole value."""
-    return F.from_json(F.col(text_col), PRICE_LIST_DDL, {"allowSingleQuotes": "true"})
+    """Text of a list of dicts -> ARRAY<STRUCT>; single quotes accepted.  Text that
+    does not parse as JSON is retried with Python literals rewritten (only for those
+    rows: ``coalesce`` stops at the first non-null); what still fails is null."""
+    c = F.col(text_col)
+    return F.coalesce(F.from_json(c, PRICE_LIST_DDL, _JSON_OPTS),
+                      F.from_json(python_literals_to_json(c), PRICE_LIST_DDL, _JSON_OPTS))
 
 
 def unnest_prices(df: DataFrame, id_col: str, text_col: str, drop_sparse: bool = True) -> DataFrame:

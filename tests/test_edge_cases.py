@@ -73,7 +73,7 @@ def test_empty_models(spark):
 def test_prices_null_and_bad_lists(spark):
     df = spark.createDataFrame([
         (1, "[{'amountMax': 5.0, 'dateSeen': ['d1', 'd2'], 'sourceURLs': ['u1', 'u2', 'u3'], 'extra': 1}]"),
-        (2, "[{'amountMax': 1.0, 'isSale': True}]"),      # Python literal: whole value null
+        (2, "[{'amountMax': 1.0, 'isSale': True, 'offer': 'True deal', 'warranty': None}]"),  # Python literals
         (3, None), (4, "not a list"),
         (5, "[{'amountMin': 2.0, 'dateSeen': [], 'sourceURLs': null}]"),
         (6, "[{'amountMax': 5.0, 'dateSeen': ['d1', 'd1'], 'sourceURLs': ['u1']}]")],
@@ -83,9 +83,11 @@ def test_prices_null_and_bad_lists(spark):
     assert [g for g in got if g[0] == 1] == [(1, d, u) for d in ("d1", "d2") for u in ("u1", "u2", "u3")]
     assert [g for g in got if g[0] == 5] == [(5, None, None)]            # empty/null lists keep a row
     assert [g for g in got if g[0] == 6] == [(6, "d1", "u1")]            # exact duplicates dropped
-    assert {g[0] for g in got} == {1, 5, 6}
+    assert {g[0] for g in got} == {1, 2, 5, 6}
     assert "availability" not in out.columns and "amountMax" in out.columns
-    assert sorted(r.id for r in bad_price_lists(df, "prices").collect()) == [2, 4]
+    full = {r.id: r for r in unnest_prices(df, "id", "prices", drop_sparse=False).collect()}
+    assert full[2].isSale == "true" and full[2].offer == "True deal" and full[2].warranty is None
+    assert sorted(r.id for r in bad_price_lists(df, "prices").collect()) == [4]
 
 
 def test_relational_helpers(spark):
