@@ -111,23 +111,26 @@ def tag_language(df: DataFrame, id_col: str, text_col: str,
                  stop_words: Mapping[str, Sequence[str]] = STOP_WORDS,
                  out: str = "language") -> DataFrame:
     """The language with most stop-word hits, ties by language code; no hit gives
-    'undetectable'.
+    'undetectable'.  Other columns of ``df`` are carried along.
 
-    Letter tokens are exploded and joined to the stop-word table (fixed size, so
-    broadcast), hits are counted per (document, language) with partial aggregation and
-    the best language is ``min(struct(-hits, lang))``; documents without hits come back
-    through a left join.  The whole path is code-generated.
+    One pass: letter tokens are exploded (``explode_outer`` keeps texts without tokens),
+    left-joined to the stop-word table (fixed size, so broadcast) and counted per
+    (document, language) with partial aggregation; the best language is the minimum of
+    (no language, -hits, code).  When ``df`` is partitioned by the id nothing is
+    shuffled after the scan.
     """
     spark = df.sparkSession
-    toks = df.select(id_col, F.explode(tx.letter_tokens(text_col)).alias("word"))
-    hits = (toks.join(F.broadcast(stop_word_table(spark, stop_words)), "word")
-                .groupBy(id_col, "lang").agg(F.count(F.lit(1)).alias("hits")))
-    best = hits.groupBy(id_col).agg(F.min(F.struct((-F.col("hits")).alias("h"),
-                                                   F.col("lang"))).alias("b"))
-    keep = [c for c in df.columns if c != text_col]
-    return (df.select(*keep).join(best, id_col, "left")
-              .withColumn(out, F.coalesce(F.col("b.lang"), F.lit(UNDETECTABLE)))
-              .drop("b"))
+    keep = [c for c in df.columns if c not in (id_col, text_col)]
+    toks = df.select(id_col, *keep, F.explode_outer(tx.letter_tokens(text_col)).alias("__word"))
+    stops = stop_word_table(spark, stop_words).toDF("__word", "__lang")
+    joined = toks.join(F.broadcast(stops), "__word", "left")
+    hits = joined.groupBy(id_col, "__lang").agg(F.count(F.lit(1)).alias("__hits"),
+                                                *[F.first(c).alias(c) for c in keep])
+    rank = F.struct(F.col("__lang").isNull().alias("none"), (-F.col("__hits")).alias("h"),
+                    F.col("__lang").alias("lang"))
+    best = hits.groupBy(id_col).agg(F.min(rank).alias("__b"), *[F.first(c).alias(c) for c in keep])
+    return best.select(id_col, *keep,
+                       F.coalesce(F.col("__b.lang"), F.lit(UNDETECTABLE)).alias(out))
 
 
 def next_turn_pairs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
