@@ -9,7 +9,6 @@ checked row bound, in which case it is broadcast.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame

@@ -3,7 +3,6 @@ incremental stream (G1)."""
 
 import os
 
-from pyspark.sql import functions as F
 
 from quarry.operators import weather
 from quarry.streaming.daily import run_incremental_daily
