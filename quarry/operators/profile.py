@@ -178,6 +178,13 @@ def missing_report(df: DataFrame) -> DataFrame:
     ).withColumn("non_null_share", F.try_divide(F.col("non_null"), F.col("rows")))
 
 
+def drop_sparse_columns(df: DataFrame, min_share: float) -> DataFrame:
+    """Drop the columns whose non-null share is below ``min_share`` (one aggregate;
+    the decision is made on one number per column)."""
+    shares = {r["column"]: r["non_null_share"] for r in missing_report(df).collect()}
+    return df.drop(*[c for c, v in shares.items() if v is not None and v < min_share])
+
+
 def _min_max(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:
     r = df.agg(*[F.min(F.col(c).cast("double")) for c in cols],
                *[F.max(F.col(c).cast("double")) for c in cols]).first()

@@ -165,6 +165,19 @@ def english_only(spark, sf_dir):
     return ops.tag_language(d, "doc_id", "text").where(F.col("language") == "en").select("doc_id", "n_chars")
 
 
+@register("lang_accuracy", f"""
+SELECT d.lang, count(*) AS docs, CAST(sum(CASE WHEN t.language = d.lang THEN 1 ELSE 0 END) AS BIGINT) AS correct,
+       sum(CASE WHEN t.language = d.lang THEN 1 ELSE 0 END) / count(*) AS accuracy
+FROM documents d JOIN ({_lang_sql()}) t USING (doc_id) GROUP BY d.lang""")
+def lang_accuracy(spark, sf_dir):
+    """L1 measured: per labelled language, documents tagged with that language."""
+    d = load_by_key(spark, sf_dir, "documents", "doc_id", "doc_id", "lang", "text")
+    t = ops.tag_language(d, "doc_id", "text")
+    hit = (F.col("language") == F.col("lang")).cast("long")
+    return t.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), F.sum(hit).alias("correct"),
+                                 (F.sum(hit) / F.count(F.lit(1))).alias("accuracy"))
+
+
 _PAIRS_SQL = """SELECT u.conv_id, u.turn, u.text AS source, a.text AS target
 FROM conversations u JOIN conversations a
   ON a.conv_id = u.conv_id AND a.turn = u.turn + 1

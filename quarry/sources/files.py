@@ -132,9 +132,12 @@ def pair_lines(left: DataFrame, right: DataFrame, left_name: str = "src",
     return l_.join(r_, "line_no", "inner")
 
 
-def read_years(spark: SparkSession, base: str, years: Sequence[int], schema: str,
+def read_years(spark: SparkSession, base: str, years: Sequence[int] | None, schema: str,
                pattern: str = "{year}.csv.gz", header: bool = False) -> DataFrame:
-    """A list of yearly files as one table, with the year taken from the file name."""
+    """A list of yearly files as one table, with the year taken from the file name;
+    ``years=None`` loads the current year (X13)."""
+    if years is None:
+        years = [spark.range(1).select(F.year(F.current_date())).first()[0]]
     paths = [f"{base.rstrip('/')}/{pattern.format(year=y)}" for y in years]
     df = read_csv_schema(spark, paths, schema, header)
     return spread(df.withColumn("file_year", F.regexp_extract(

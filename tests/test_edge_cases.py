@@ -99,3 +99,17 @@ def test_relational_helpers(spark):
     assert rel.first_value(spark.createDataFrame([], "k int")) is None
     u = rel.concat_rows(df.select("k"), df.select("k", "v"))
     assert u.columns == ["k", "v"] and u.where(F.col("v").isNull()).count() == 3
+
+
+def test_drop_sparse_columns_and_current_year(spark, tmp_dir):
+    df = spark.createDataFrame([(1, None, "a"), (2, None, None), (3, 5.0, "c")], "k int, v double, s string")
+    assert profile.drop_sparse_columns(df, 0.5).columns == ["k", "s"]
+    import datetime
+    import gzip
+    import os
+    y = datetime.date.today().year
+    with gzip.open(os.path.join(tmp_dir, f"{y}.csv.gz"), "wt") as f:
+        f.write("S1,20240101,PRCP,1.0,,,,\n")
+    from quarry.operators.weather import MEASUREMENT_DDL
+    from quarry.sources.files import read_years
+    assert read_years(spark, tmp_dir, None, MEASUREMENT_DDL).first().file_year == y
