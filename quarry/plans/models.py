@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import scalar
 from quarry.operators import density, prices, regress
-from quarry.plans.registry import register
+from quarry.plans.registry import DIGITS, register, rounded
 from quarry.sources.tables import by_key, load
 
 # ---------------------------------------------------------------- gradient descent
@@ -32,8 +32,10 @@ def _gd_sql() -> str:
             ctes.append(f"n{e + 1} AS (SELECT {e + 1} AS epoch, w - {RATE} * gw AS w FROM n{e}, gn{e})")
     sel = []
     for e in range(1, EPOCHS + 1):
-        sel.append(f"SELECT 'intercept' AS model, epoch, loss, b, w FROM i{e}, gi{e}")
-        sel.append(f"SELECT 'no_intercept' AS model, epoch, loss, NULL::DOUBLE AS b, w FROM n{e}, gn{e}")
+        sel.append(f"SELECT 'intercept' AS model, epoch, round(loss, {DIGITS}) AS loss, "
+                   f"round(b, {DIGITS}) AS b, round(w, {DIGITS}) AS w FROM i{e}, gi{e}")
+        sel.append(f"SELECT 'no_intercept' AS model, epoch, round(loss, {DIGITS}) AS loss, "
+                   f"NULL::DOUBLE AS b, round(w, {DIGITS}) AS w FROM n{e}, gn{e}")
     return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(sel)
 
 
@@ -49,19 +51,21 @@ def gradient_epochs(spark, sf_dir):
                                         intercept=icpt)
         for epoch, loss, w in hist:
             rows.append((model, epoch, loss, w[0] if icpt else None, w[-1]))
-    return spark.createDataFrame(rows, "model string, epoch int, loss double, b double, w double")
+    out = spark.createDataFrame(rows, "model string, epoch int, loss double, b double, w double")
+    return rounded(out, "loss", "b", "w")
 
 
-@register("ols_exact", """
-SELECT regr_slope(l_extendedprice, l_quantity) AS slope,
-       regr_intercept(l_extendedprice, l_quantity) AS intercept,
-       regr_r2(l_extendedprice, l_quantity) AS r2,
+@register("ols_exact", f"""
+SELECT round(regr_slope(l_extendedprice, l_quantity), 6) AS slope,
+       round(regr_intercept(l_extendedprice, l_quantity), 6) AS intercept,
+       round(regr_r2(l_extendedprice, l_quantity), 6) AS r2,
        CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n
 FROM lineitem""")
 def ols_exact(spark, sf_dir):
     """Exact least squares of price on quantity."""
-    return regress.least_squares(load(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice") \
-        .withColumn("n", F.col("n").cast("bigint"))
+    fit = regress.least_squares(load(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice")
+    # two different algorithms agree to about 12 significant digits on the intercept
+    return rounded(fit.withColumn("n", F.col("n").cast("bigint")), "slope", "intercept", "r2", digits=6)
 
 
 # ---------------------------------------------------------------- densities
@@ -84,11 +88,11 @@ k AS (SELECT g.grid_idx, g.x, sum(exp(-((g.x - e.value) * (g.x - e.value)) / {_d
       FROM g, events e GROUP BY g.grid_idx, g.x)"""
 
 
-@register("kde_grid", f"WITH {_KDE_SQL}\nSELECT grid_idx, x, density FROM k")
+@register("kde_grid", f"WITH {_KDE_SQL}\nSELECT grid_idx, x, round(density, {DIGITS}) AS density FROM k")
 def kde_grid(spark, sf_dir):
     """E1 + J5 + S10: Gaussian kernel density of event values on the grid."""
     ev = load(spark, sf_dir, "events")
-    return density.gaussian_kde(ev, "value", GRID_LO, GRID_HI, GRID_N, BANDWIDTH)
+    return rounded(density.gaussian_kde(ev, "value", GRID_LO, GRID_HI, GRID_N, BANDWIDTH), "density")
 
 
 def _cauchy_sql(x: str) -> str:
@@ -101,23 +105,28 @@ def _cauchy_sql(x: str) -> str:
 
 
 @register("cauchy_at_values", f"""
-SELECT event_id, value, {_cauchy_sql('value')} AS cauchy_density FROM events""")
+SELECT event_id, value, round({_cauchy_sql('value')}, {DIGITS}) AS cauchy_density FROM events""")
 def cauchy_at_values(spark, sf_dir):
     """The five-part Cauchy mixture density at each event value."""
     ev = load(spark, sf_dir, "events")
-    return ev.select("event_id", "value", scalar.cauchy_mixture_pdf("value").alias("cauchy_density"))
+    return rounded(ev.select("event_id", "value", scalar.cauchy_mixture_pdf("value").alias("cauchy_density")),
+                   "cauchy_density")
 
 
 @register("density_compare", f"""WITH {_KDE_SQL}
-SELECT max(abs(density - {_cauchy_sql('x')})) AS max_abs_diff,
-       sum(density) * {_d(_STEP)} AS kde_mass, sum({_cauchy_sql('x')}) * {_d(_STEP)} AS true_mass FROM k""")
+SELECT round(max(abs(density - {_cauchy_sql('x')})), {DIGITS}) AS max_abs_diff,
+       round(sum(density) * {_d(_STEP)}, {DIGITS}) AS kde_mass,
+       round(sum({_cauchy_sql('x')}) * {_d(_STEP)}, {DIGITS}) AS true_mass FROM k""")
 def density_compare(spark, sf_dir):
     """Largest gap between the estimated (kernel) and the true (Cauchy mixture)
     density on the grid, and the mass of each on the grid (rectangle rule)."""
-    k = kde_grid(spark, sf_dir).withColumn("true", scalar.cauchy_mixture_pdf("x"))
-    return k.agg(F.max(F.abs(F.col("density") - F.col("true"))).alias("max_abs_diff"),
-                 (F.sum("density") * F.lit(_STEP)).alias("kde_mass"),
-                 (F.sum("true") * F.lit(_STEP)).alias("true_mass"))
+    ev = load(spark, sf_dir, "events")
+    k = density.gaussian_kde(ev, "value", GRID_LO, GRID_HI, GRID_N, BANDWIDTH) \
+        .withColumn("true", scalar.cauchy_mixture_pdf("x"))
+    out = k.agg(F.max(F.abs(F.col("density") - F.col("true"))).alias("max_abs_diff"),
+                (F.sum("density") * F.lit(_STEP)).alias("kde_mass"),
+                (F.sum("true") * F.lit(_STEP)).alias("true_mass"))
+    return rounded(out, "max_abs_diff", "kde_mass", "true_mass")
 
 
 @register("kde_interp", f"""WITH {_KDE_SQL},
@@ -126,13 +135,13 @@ kk AS (SELECT grid_idx, x AS x0, density AS y0, lead(x) OVER (ORDER BY grid_idx)
 p AS (SELECT event_id, value, CASE WHEN value >= {_d(GRID_LO)} AND value <= {_d(GRID_HI)}
         THEN least(CAST(floor((value - {_d(GRID_LO)}) / {_d(_STEP)}) AS INTEGER), {GRID_N - 2}) END AS grid_idx
       FROM events)
-SELECT event_id, value, y0 + (value - x0) / (x1 - x0) * (y1 - y0) AS interpolated
+SELECT event_id, value, round(y0 + (value - x0) / (x1 - x0) * (y1 - y0), {DIGITS}) AS interpolated
 FROM p LEFT JOIN kk USING (grid_idx)""")
 def kde_interp(spark, sf_dir):
     """Kernel density at each event value by linear interpolation between nodes."""
     ev = load(spark, sf_dir, "events").select("event_id", "value")
     k = density.gaussian_kde(ev, "value", GRID_LO, GRID_HI, GRID_N, BANDWIDTH)
-    return density.interpolate(ev, "value", k, GRID_LO, GRID_HI, GRID_N)
+    return rounded(density.interpolate(ev, "value", k, GRID_LO, GRID_HI, GRID_N), "interpolated")
 
 
 @register("gmm_density")

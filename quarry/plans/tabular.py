@@ -237,15 +237,16 @@ def _describe_sql():
     for c in LINE_NUMERIC:
         parts.append(f"""SELECT '{c}' AS "column", count({c}) AS "count",
   round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, min({c}) AS "min",
-  quantile_cont({c}, 0.25) AS q25, quantile_cont({c}, 0.5) AS q50,
-  quantile_cont({c}, 0.75) AS q75, max({c}) AS "max" FROM lineitem""")
+  round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50,
+  round(quantile_cont({c}, 0.75), 6) AS q75, max({c}) AS "max" FROM lineitem""")
     return "\nUNION ALL\n".join(parts)
 
 
 @register("describe_numeric", _describe_sql())
 def describe_numeric(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem")
-    return profile.describe(li, LINE_NUMERIC, digits=6)
+    d = profile.describe(li, LINE_NUMERIC)
+    return d.withColumns({c: F.round(c, 6) for c in ("mean", "std", "q25", "q50", "q75")})
 
 
 @register("null_report", """

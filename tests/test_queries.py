@@ -15,11 +15,10 @@ ORACLE = entry.oracle_sql()
 
 
 def _norm(v):
+    # floats must match bit for bit: registered outputs that come from sums are
+    # rounded in the query and in its SQL alike
     if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
-        r = round(v, 6)
-        return 0.0 if r == 0 else r
+        return "nan" if math.isnan(v) else v
     if hasattr(v, "isoformat"):
         return v.isoformat()
     if isinstance(v, (list, tuple)):
