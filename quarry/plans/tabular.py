@@ -177,6 +177,18 @@ def intersect_ranges(spark, sf_dir):
                                   o.where(rel.multiple_of("o_orderkey", 7)))
 
 
+@register("square_pairs", """
+SELECT o_orderkey, o_orderkey * o_orderkey AS key_squared, o_totalprice,
+       o_totalprice * o_totalprice AS price_squared
+FROM orders WHERE o_orderkey % 2 = 1""")
+def square_pairs(spark, sf_dir):
+    """P9 + X22 + F7: each odd order key mapped to the pair (x, x squared), the same for
+    the order total."""
+    o = load(spark, sf_dir, "orders").where(F.col("o_orderkey") % 2 == 1)
+    return o.select("o_orderkey", (F.col("o_orderkey") * F.col("o_orderkey")).alias("key_squared"),
+                    "o_totalprice", F.pow("o_totalprice", 2).alias("price_squared"))
+
+
 @register("filter_regex", "SELECT n_nationkey, n_name FROM nation WHERE regexp_matches(n_name, '1')")
 def filter_regex(spark, sf_dir):
     n = load(spark, sf_dir, "nation")

@@ -178,6 +178,21 @@ def lang_accuracy(spark, sf_dir):
                                  (F.sum(hit) / F.count(F.lit(1))).alias("accuracy"))
 
 
+_EN_STOPS_SQL = ", ".join(_q(w) for w in ops.STOP_WORDS["en"])
+
+
+@register("stop_words_removed", f"""
+SELECT doc_id, CAST(len(kept) AS BIGINT) AS n_kept, array_to_string(kept, ' ') AS kept_text FROM (
+  SELECT doc_id, list_filter({_duck_letter_tokens('text')}, lambda t: NOT list_contains([{_EN_STOPS_SQL}], t)) AS kept
+  FROM documents)""")
+def stop_words_removed(spark, sf_dir):
+    """L3: letter tokens without the English stop words; repeats of other words kept."""
+    d = load_spread(spark, sf_dir, "documents", "doc_id", "text")
+    kept = d.select("doc_id", tx.remove_stop_words(tx.letter_tokens("text"), ops.STOP_WORDS["en"]).alias("k"))
+    return kept.select("doc_id", F.size("k").cast("bigint").alias("n_kept"),
+                       F.array_join("k", " ").alias("kept_text"))
+
+
 _PAIRS_SQL = """SELECT u.conv_id, u.turn, u.text AS source, a.text AS target
 FROM conversations u JOIN conversations a
   ON a.conv_id = u.conv_id AND a.turn = u.turn + 1

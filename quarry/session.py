@@ -63,3 +63,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20,
+               broadcast_bytes: int = 64 << 20) -> dict[str, str]:
+    """Session settings sized for a given input volume and cluster (pass to
+    ``build_session(extra=...)`` or the cluster's defaults).
+
+    Scan splits and shuffle partitions target ``partition_bytes`` each (so a task's
+    share fits executor memory with room for sorts and hash tables); the shuffle
+    partition count is at least twice the cores and a multiple of them, AQE starts from
+    it and coalesces what turns out small, and splits skewed partitions in joins.
+    Example: 100 TB (10^14 bytes) on 8,000 cores -> 376,000 partitions of at most 256 MB.
+    """
+    import math
+    parts = max(2 * total_cores, math.ceil(input_bytes / partition_bytes))
+    parts = math.ceil(parts / total_cores) * total_cores
+    mb = f"{partition_bytes >> 20}m"
+    return {
+        "spark.sql.files.maxPartitionBytes": mb,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": mb,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": mb,
+        "spark.sql.autoBroadcastJoinThreshold": f"{broadcast_bytes >> 20}m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": f"{broadcast_bytes >> 20}m",
+    }

@@ -113,3 +113,11 @@ def test_drop_sparse_columns_and_current_year(spark, tmp_dir):
     from quarry.operators.weather import MEASUREMENT_DDL
     from quarry.sources.files import read_years
     assert read_years(spark, tmp_dir, None, MEASUREMENT_DDL).first().file_year == y
+
+
+def test_scale_conf():
+    from quarry.session import scale_conf
+    c = scale_conf(100 * 10**12, 8000)
+    n = int(c["spark.sql.shuffle.partitions"])
+    assert n % 8000 == 0 and 100 * 10**12 / n <= 256 * 2**20
+    assert int(scale_conf(10**6, 8)["spark.sql.shuffle.partitions"]) == 16
