@@ -149,3 +149,15 @@ def test_scalar_helpers(spark):
     got = [(x.weight_value, x.units) for x in w.collect()]
     assert got[0] == (1.0, "lbs") and abs(got[1][0] - 2.20462) < 1e-12
     assert got[2][0] == 2.0 and got[3][0] == 3.0 and got[4][0] is None and got[5][0] == 7.0
+
+
+def test_read_lines_gzip_and_crlf(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "lines.txt.gz")
+    _write(p, "".join(f"row {i}\r\n" for i in range(3000)), gz=True)
+    q = os.path.join(tmp_dir, "other.txt")
+    _write(q, "a\nb\n")
+    df = files.read_lines(spark, [p, q])
+    got = {(os.path.basename(r.file), r.line_no): r.value for r in df.collect()}
+    assert len(got) == 3002
+    assert got[("lines.txt.gz", 0)] == "row 0" and got[("lines.txt.gz", 2999)] == "row 2999"
+    assert got[("other.txt", 1)] == "b"
