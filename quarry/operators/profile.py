@@ -36,11 +36,14 @@ def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     buckets: int = 1024, final_rows: int = 100_000,
-                    max_passes: int = 64, persist: bool = False) -> dict[tuple[str, float], float | None]:
+                    max_passes: int = 64, persist: bool = False,
+                    stats: dict[str, tuple] | None = None) -> dict[tuple[str, float], float | None]:
     """Linear-interpolated quantiles, exact, computed by distributed refinement.
 
     Each pass re-reads the (pruned) input; ``persist`` keeps the value table cached
-    instead, which pays off only when it fits the cluster's memory.
+    instead, which pays off only when it fits the cluster's memory.  ``stats`` --
+    column -> (non-null count, min, max) already known to the caller -- saves the
+    first pass.
     """
     cols = list(cols)
     spark: SparkSession = df.sparkSession
@@ -48,9 +51,13 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     if persist:
         long = long.persist()
     try:
-        stats = long.groupBy("ci").agg(F.count("*").alias("n"), F.min("v").alias("lo"),
-                                       F.max("v").alias("hi")).collect()
-        info = {r["ci"]: (r["n"], r["lo"], r["hi"]) for r in stats}
+        if stats is not None:
+            info = {i: tuple(float(x) if k else x for k, x in enumerate(stats[c]))
+                    for i, c in enumerate(cols) if stats[c][0]}
+        else:
+            rows = long.groupBy("ci").agg(F.count("*").alias("n"), F.min("v").alias("lo"),
+                                          F.max("v").alias("hi")).collect()
+            info = {r["ci"]: (r["n"], r["lo"], r["hi"]) for r in rows}
         # target (ci, rank) -> [lo, hi, below]; resolved -> value
         pending: dict[tuple[int, int], list] = {}
         resolved: dict[tuple[int, int], float] = {}
@@ -150,7 +157,8 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None,
         x = F.col(c).cast("double")
         aggs += [F.count(x), F.avg(x), F.stddev_samp(x), F.min(x), F.max(x)]
     row = df.agg(*aggs).first()
-    qs = exact_quantiles(df, cols, (0.25, 0.5, 0.75))
+    known = {c: (row[5 * i], row[5 * i + 3], row[5 * i + 4]) for i, c in enumerate(cols)}
+    qs = exact_quantiles(df, cols, (0.25, 0.5, 0.75), stats=known)
 
     def rnd(v):
         return None if v is None or digits is None else round(v, digits)
