@@ -18,6 +18,8 @@ TRICKY = [
     "",
     "   ",
     "Ünïcödé ÉCOLE straße ÇA",
+    'a<br;/>b <br "/>c <br ./>d it\'s<br />ok <br /><br />x <BR />y',
+    "(a).b,c!d?e;f:g 'h' \"i\" <br/>j",
 ]
 
 
