@@ -54,6 +54,25 @@ def build_vocabulary(freq: DataFrame, min_freq: int = 1,
     return ranked.select("token", "idx").unionByName(sp)
 
 
+def vocabulary_head(freq: DataFrame, n: int, min_freq: int = 1,
+                    specials: Sequence[str] = SPECIALS) -> DataFrame:
+    """T4: the first ``n`` vocabulary entries, equal to ``build_vocabulary(...)`` filtered
+    to idx < n, from a top-k (per-partition top n, then a merge of those) instead of
+    numbering the whole vocabulary."""
+    from pyspark.sql import Window
+    spark = freq.sparkSession
+    k = max(0, n - len(specials))
+    order = [F.col("count").desc(), F.col("token").asc()]
+    top = (freq.where(F.col("count") >= min_freq).where(~F.col("token").isin(list(specials)))
+               .orderBy(*order).limit(k))
+    # at most n rows: a window over them is small by construction
+    ranked = top.select("token", (F.row_number().over(Window.orderBy(*order)) - 1
+                                  + F.lit(len(specials))).cast("long").alias("idx"))
+    sp = spark.createDataFrame([(t, i) for i, t in enumerate(specials) if i < n],
+                               "token string, idx long")
+    return ranked.unionByName(sp)
+
+
 def encode(df: DataFrame, id_col: str, tokens: Column, vocab: DataFrame) -> DataFrame:
     """Token -> index with ``<unk>`` (0) for unknown words, order kept.
 

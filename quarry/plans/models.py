@@ -185,7 +185,7 @@ def price_text_per_order(lineitem):
         urls.alias("sourceURLs"))
     chunk = F.floor((F.col("l_linenumber") - 1) / F.lit(PRICE_LIST_CHUNK))
     return (lineitem.groupBy(F.col("l_orderkey").alias("id"), chunk.alias("__chunk"))
-                    .agg(F.regexp_replace(F.to_json(F.collect_list(elem)), '"', "'").alias("prices"))
+                    .agg(F.translate(F.to_json(F.collect_list(elem)), '"', "'").alias("prices"))
                     .drop("__chunk"))
 
 

@@ -76,7 +76,8 @@ def vocab(spark, sf_dir):
 @register("vocab_top", f"SELECT token, idx FROM ({_vocab_sql()}) v WHERE idx < 10")
 def vocab_top(spark, sf_dir):
     """T4: the first ten vocabulary entries."""
-    return vocab(spark, sf_dir).where(F.col("idx") < 10)
+    d = load_spread(spark, sf_dir, "documents", "doc_id", "text")
+    return ops.vocabulary_head(ops.token_frequencies(d, tx.basic_english_tokens("text")), 10)
 
 
 def _english_vocab(spark, sf_dir):

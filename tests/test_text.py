@@ -146,3 +146,12 @@ def test_turn_pairs_and_targets(spark):
     assert got == [(1, 1, "hi", "hello"), (1, 4, "hi", "hey"), (2, 0, "hi", "hello")]
     n = {r.source: r.n_targets for r in ops.targets_per_source(pairs).collect()}
     assert n == {"hi": 2}
+
+
+def test_vocabulary_head_equals_filtered_vocabulary(spark):
+    d = load(spark, "/root/testdata/sf0.001", "documents")
+    freq = ops.token_frequencies(d, tx.basic_english_tokens("text"))
+    full = {(r.token, r.idx) for r in ops.build_vocabulary(freq).where(F.col("idx") < 25).collect()}
+    head = {(r.token, r.idx) for r in ops.vocabulary_head(freq, 25).collect()}
+    assert head == full and len(head) == 25
+    assert {r.idx for r in ops.vocabulary_head(freq, 2).collect()} == {0, 1}
