@@ -66,9 +66,10 @@ def interpolate(points: DataFrame, col: str, curve: DataFrame, lo: float, hi: fl
 
 
 def gaussian_mixture_density(values: DataFrame, col: str, k: int, seed: int, lo: float,
-                             hi: float, n: int, max_iter: int = 50) -> DataFrame:
-    """Fit a k-component Gaussian mixture with MLlib, evaluate its density on the
-    grid as a column expression of the fitted weights, means and variances."""
+                             hi: float, n: int, max_iter: int = 100, tol: float = 1e-3) -> DataFrame:
+    """Fit a k-component Gaussian mixture with MLlib (100 iterations and tolerance
+    1e-3 by default, the usual library defaults for this fit), evaluate its density on
+    the grid as a column expression of the fitted weights, means and variances."""
     from pyspark.ml.clustering import GaussianMixture
     from pyspark.ml.feature import VectorAssembler
     # EM on (distinct value, count) with the count as weight is the same EM as on the
@@ -77,7 +78,7 @@ def gaussian_mixture_density(values: DataFrame, col: str, k: int, seed: int, lo:
                   .groupBy(F.col(col).cast("double").alias(col))
                   .agg(F.count(F.lit(1)).cast("double").alias("__w")))
     feats = VectorAssembler(inputCols=[col], outputCol="features").transform(freq)
-    model = GaussianMixture(k=k, seed=seed, maxIter=max_iter, weightCol="__w").fit(feats)
+    model = GaussianMixture(k=k, seed=seed, maxIter=max_iter, tol=tol, weightCol="__w").fit(feats)
     g = model.gaussians
     dens = F.lit(0.0)
     x = F.col("x")
