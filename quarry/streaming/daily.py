@@ -6,6 +6,10 @@ job.  Each micro-batch finds the years its rows touch, re-pivots those years fro
 whole landing folder (late files may change old days) and overwrites just those year
 partitions (dynamic overwrite).  Re-running a batch rewrites the same partitions, so a
 retried batch leaves the same result.
+
+At scale, land the files under one folder per year (or keep one file per year, as the
+yearly archive does): the re-read of a touched year then lists and scans that year only,
+instead of filtering every file by its date keys.
 """
 
 from __future__ import annotations
