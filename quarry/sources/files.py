@@ -30,11 +30,14 @@ def read_csv_inferred(spark: SparkSession, path: str | Sequence[str]) -> DataFra
 
 def read_csv_quoted(spark: SparkSession, path: str | Sequence[str], schema: str | None = None,
                     header: bool = True) -> DataFrame:
-    """Free text with quotes, embedded commas and line breaks (pandas-like)."""
+    """Free text with quotes, embedded commas and line breaks (pandas-like).
+
+    Multi-line CSV files cannot be split, so each is read by one task; the result is
+    spread when there are fewer files than the cluster's parallelism."""
     r = (spark.read.option("header", header).option("multiLine", True)
          .option("quote", '"').option("escape", '"'))
     r = r.schema(schema) if schema else r.option("inferSchema", True)
-    return r.csv(path)
+    return spread(r.csv(path))
 
 
 def read_csv_schema(spark: SparkSession, path: str | Sequence[str], schema: str,
