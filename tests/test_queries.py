@@ -80,3 +80,62 @@ def test_plan_has_no_python_udf_or_cartesian(spark, name):
 def test_filters_and_columns_reach_the_scan(spark, name, needle):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert needle in plan
+
+
+# Every query registered so far; a later change may add queries but must not drop one.
+REGISTERED = {
+    "attention",
+    "attention_weights",
+    "cauchy_at_values",
+    "centroids",
+    "clean_text",
+    "conditional_units",
+    "corr_matrix",
+    "cosine_topk",
+    "daily_pivot",
+    "decode_texts",
+    "density_compare",
+    "describe_numeric",
+    "dim_join",
+    "distinct_types",
+    "dropna",
+    "encode_texts",
+    "english_only",
+    "filter_modulo",
+    "filter_regex",
+    "flag_decode",
+    "gmm_density",
+    "gradient_epochs",
+    "group_count",
+    "histogram30",
+    "intersect_ranges",
+    "json_key_count",
+    "kde_grid",
+    "kde_interp",
+    "lang_accuracy",
+    "lang_counts",
+    "lang_tag",
+    "line_pairs",
+    "minmax_rows",
+    "naive_bayes_counts",
+    "null_report",
+    "ols_exact",
+    "open_range",
+    "pair_bins",
+    "pivot_scaled",
+    "price_unnest",
+    "rename_drop_project",
+    "square_pairs",
+    "stop_words_removed",
+    "targets_per_source",
+    "token_freq",
+    "truncate_315",
+    "union_concat",
+    "vocab",
+    "vocab_top",
+    "word_count_filter",
+}
+
+
+def test_no_registered_query_is_dropped():
+    assert REGISTERED <= set(QUERIES)
