@@ -58,13 +58,14 @@ def _scores(keys, key_id, key_vec, queries, qid, qvec, dim):
 
 
 def vector_dim(df: DataFrame, vec: str) -> int:
-    return df.select(F.size(vec)).first()[0]
+    """Largest vector length in ``df`` (used on the small query set)."""
+    return df.select(F.max(F.size(vec))).first()[0] or 0
 
 
 def attention_weights(keys: DataFrame, key_id: str, key_vec: str, queries: DataFrame,
                       qid: str, qvec: str) -> DataFrame:
     """N1 + N3: softmax over the keys of each query of q.k / sqrt(d)."""
-    dim = vector_dim(keys, key_vec)
+    dim = vector_dim(queries, qvec)
     s = _scores(keys, key_id, key_vec, queries, qid, qvec, dim)
     mx = s.groupBy(qid).agg(F.max("score").alias("__m"))
     e = s.join(F.broadcast(mx), qid).withColumn("__e", F.exp(F.col("score") - F.col("__m")))
@@ -81,7 +82,7 @@ def attention_context(keys: DataFrame, key_id: str, key_vec: str, queries: DataF
     never materialised.  Values default to the keys (self-attention over the table).
     """
     value_vec = value_vec or key_vec
-    dim = vector_dim(keys, key_vec)
+    dim = vector_dim(queries, qvec)
     s = _scores(keys, key_id, key_vec, queries, qid, qvec, dim)
     if value_vec != key_vec:
         s = s.join(keys.select(key_id, value_vec), key_id)
