@@ -161,3 +161,20 @@ def test_read_lines_gzip_and_crlf(spark, tmp_dir):
     assert len(got) == 3002
     assert got[("lines.txt.gz", 0)] == "row 0" and got[("lines.txt.gz", 2999)] == "row 2999"
     assert got[("other.txt", 1)] == "b"
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey", "l_quantity")
+    od = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_totalprice")
+    sinks.save_bucketed_table(li, "quarry_li_b", "l_orderkey", 8)
+    sinks.save_bucketed_table(od, "quarry_od_b", "l_orderkey", 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("quarry_li_b").join(spark.table("quarry_od_b"), "l_orderkey")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        n = j.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert n == li.join(od, "l_orderkey").count()
