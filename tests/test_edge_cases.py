@@ -121,3 +121,20 @@ def test_scale_conf():
     n = int(c["spark.sql.shuffle.partitions"])
     assert n % 8000 == 0 and 100 * 10**12 / n <= 256 * 2**20
     assert int(scale_conf(10**6, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_spread_and_bounded_broadcast(spark):
+    from quarry.sources.tables import spread
+    wide = spark.range(0, 1000, numPartitions=16)
+    assert "Exchange" not in spread(wide, 8)._jdf.queryExecution().executedPlan().toString()
+    narrow = spark.range(0, 1000, numPartitions=1)
+    assert "RoundRobinPartitioning" in spread(narrow, 8)._jdf.queryExecution().executedPlan().toString()
+    big = spark.range(0, 5000).withColumnRenamed("id", "k")
+    facts = spark.range(0, 20000).select((F.col("id") % 5000).alias("k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        under = facts.join(rel.maybe_broadcast(big, 10_000), "k")._jdf.queryExecution().executedPlan().toString()
+        over = facts.join(rel.maybe_broadcast(big, 100), "k")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in under and "BroadcastHashJoin" not in over
