@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -63,32 +64,46 @@ def budget(n: int, q: int = Q, rate: float = RATE) -> int:
     return max(0, min(int(n * rate), (n - q) // q))
 
 
-def align(item: np.ndarray, region: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
-    """(edits, start, end) of the best match of the whole ``item`` inside ``region``, over
-    alignments whose diagonals (region place minus item place) stay in [low, high]."""
-    n, far = len(item), len(item) + 1
-    diagonals = np.arange(low, high + 1)
-    free = (diagonals >= 0) & (diagonals <= len(region))
-    cost = np.where(free, 0, far)
-    start = np.where(free, diagonals, 0)
-    step = np.arange(len(diagonals))
-    padded = np.concatenate([region, [np.uint64(1 << 40)]])  # equals no character
-    for i in range(n):
-        place = diagonals + i  # region character that the diagonal move reads
-        inside = (place >= 0) & (place < len(region))
-        best = np.where(inside, cost + (padded[np.where(inside, place, len(region))] != item[i]), far)
-        came = start
-        up = np.append(cost[1:] + 1, far)  # skip a character of the item
-        best, came = np.minimum(best, up), np.where(up < best, np.append(start[1:], 0), came)
-        # characters inserted from the region: the running minimum along the row
-        slope = best - step
-        low_at = np.minimum.accumulate(slope)
-        origin = np.maximum.accumulate(np.where(slope == low_at, step, 0))
-        reached = (diagonals + i + 1 >= 0) & (diagonals + i + 1 <= len(region))
-        cost = np.where(reached, np.minimum(low_at + step, far), far)
-        start = came[origin]
+def _edits(item: np.ndarray, region: np.ndarray, low: int, high: int, limit: int, free: bool) -> np.ndarray | None:
+    """Edits of the whole ``item`` against the region up to place len(item) + diagonal, for
+    the diagonals (region place minus item place) ``low`` to ``high``; None once all exceed
+    ``limit``.  The match may begin anywhere if ``free``, else at the region's start.
+    Places outside the region hold a character that equals none, which costs the same as
+    skipping the item's."""
+    n, width, before = len(item), high - low + 1, max(0, -low)
+    after = max(0, high + n + 1 - len(region))
+    outside = np.uint64(1 << 40)
+    rows = sliding_window_view(np.pad(region, (before, after), constant_values=outside), width)[low + before:]
+    step = np.arange(width, dtype=np.int32)
+    diagonals = step + low
+    cost = np.zeros(width, np.int32) if free else np.where(diagonals >= 0, diagonals, n + limit + 1).astype(np.int32)
+    for at in range(0, n, 32):
+        differ = (rows[at:at + 32][:len(item[at:at + 32])] != item[at:at + 32, None]).astype(np.int32)
+        for d in differ:
+            d += cost
+            cost += 1  # skips a character of the item
+            np.minimum(d[:-1], cost[1:], out=d[:-1])
+            d -= step  # skips of the region's characters: a running minimum along the row
+            np.minimum.accumulate(d, out=d)
+            d += step
+            cost = d
+        if cost.min() > limit:
+            return None
+    return cost
+
+
+def align(item: np.ndarray, region: np.ndarray, low: int, high: int, limit: int) -> tuple[int, int, int] | None:
+    """(edits, start, end) of the best match of the whole ``item`` inside ``region`` over
+    alignments whose diagonals stay in [low, high], or None above ``limit`` edits."""
+    cost = _edits(item, region, low, high, limit, True)
+    if cost is None or cost.min() > limit:
+        return None
     k = int(cost.argmin())
-    return int(cost[k]), int(start[k]), int(diagonals[k] + n)
+    end = min(len(region), max(0, len(item) + low + k))
+    # the same match read backward from its end gives its start
+    back = _edits(item[::-1], region[:end][::-1], -limit, limit, limit, False)
+    length = len(item) - limit + int(back.argmin())
+    return int(cost[k]), max(0, end - length), end
 
 
 class ItemIndex:
@@ -115,8 +130,9 @@ class ItemIndex:
         self.seen[(self.keys >> np.uint64(44)).astype(np.int64)] = True
 
     def candidates(self, c: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(item, band start, band end, shared q-grams) of the bands that meet the bound;
-        the most q-grams first."""
+        """(item, lowest and highest diagonal, shared q-grams) of the bands that meet the
+        bound, the most q-grams first; the diagonals reach one width past the band, since
+        an alignment may stray there between its kept q-grams."""
         h = grams(c, self.q)
         at = np.flatnonzero(self.seen[(h >> np.uint64(44)).astype(np.int64)]) if len(self.keys) else np.zeros(0, np.int64)
         slot = np.searchsorted(self.keys, h[at])
@@ -127,16 +143,26 @@ class ItemIndex:
         if not n.sum():
             return []
         entry = np.repeat(self.first[slot] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
-        item = self.item[entry]
-        width = 2 * self.edits[item] + 1
-        band = (np.repeat(at, n) - self.place[entry]) // width  # lower of its two bands: band - 1
+        item, place, at = self.item[entry], self.place[entry], np.repeat(at, n)
+        # cells of one band width; a band is a cell and the next
         span = 1 << 32
-        key, shared = np.unique(np.concatenate([item * span + band, item * span + band - 1]) + (span >> 1), return_counts=True)
-        item, band = key // span, key % span - (span >> 1)
-        good = np.flatnonzero(shared >= self.bound[item])
-        good = good[np.argsort(-shared[good], kind="stable")]
-        width = 2 * self.edits[item] + 1
-        return [(int(item[k]), int(band[k] * width[k]), int((band[k] + 2) * width[k] - 1), int(shared[k])) for k in good]
+        cell = item * span + (at - place) // (2 * self.edits[item] + 1) + (span >> 1)
+        order = np.argsort(cell, kind="stable")
+        cell, place, at = cell[order], place[order], at[order]
+        first = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+        key, last = cell[first], np.append(first[1:], len(cell))
+        joined = np.append(key[1:] == key[:-1] + 1, False)
+        last = np.where(joined, np.append(last[1:], 0), last)
+        good = []
+        for k in np.flatnonzero(last - first >= self.bound[key // span]).tolist():
+            i, mine = int(key[k] // span), slice(first[k], last[k])
+            # each kept q-gram of the item meets a place of its own in the text
+            alone = min(len(np.unique(place[mine])), len(np.unique(at[mine])))
+            if alone >= self.bound[i]:
+                width = 2 * int(self.edits[i]) + 1
+                low = int(key[k] % span - (span >> 1)) * width
+                good.append((i, low - width, low + 3 * width, alone))
+        return sorted(good, key=lambda g: -g[3])
 
     def search(self, text: str) -> list[tuple]:
         """One match (item id, start, end, edits) per item found in the text."""
@@ -151,14 +177,11 @@ class ItemIndex:
             begin = max(0, low)
             end = min(len(c), high + n + 1)
             p = text.find(self.texts[k], begin, end)
-            if p >= 0:
-                edits, start, stop = 0, p, p + n
-            else:
-                edits, start, stop = align(self.codes[k], c[begin:end], low - begin, high - begin)
-                start, stop = start + begin, stop + begin
-            if edits <= self.edits[k]:
+            found = (0, p - begin, p - begin + n) if p >= 0 else \
+                align(self.codes[k], c[begin:end], low - begin, high - begin, int(self.edits[k]))
+            if found:
                 done.add(k)
-                out.append((self.ids[k], start, stop, edits))
+                out.append((self.ids[k], begin + found[1], begin + found[2], found[0]))
         return sorted(out, key=lambda m: (m[0] is None, m[0], m[1]))
 
 
