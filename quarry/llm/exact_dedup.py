@@ -81,6 +81,8 @@ def groups(docs: DataFrame) -> DataFrame:
     maybe = tested.filter("__maybe").select("doc_id", "text_sha256")
     sizes = maybe.groupBy("text_sha256").agg(F.min("doc_id").alias("keep_id"),
                                              F.count(F.lit(1)).alias("group_size"))
+    # read back, so that the join has plain exchanges whose hot partitions can be split
+    sizes = written(sizes, "exact-sizes")
     again = maybe.join(sizes, "text_sha256").select("doc_id", "keep_id", "group_size", "text_sha256")
     return alone.unionByName(again).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
