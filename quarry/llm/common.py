@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -35,7 +36,7 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
-def chunks(values: pa.Array, rows: int = 256, nbytes: int = 4 << 20) -> Iterator[pa.Array]:
+def chunks(values: pa.Array, rows: int = 512, nbytes: int = 4 << 20) -> Iterator[pa.Array]:
     """Slices of a string array of at most ``rows`` values, closed once they hold
     ``nbytes``; values are never cut."""
     sizes = pc.fill_null(pc.binary_length(values), 0).to_pylist()
@@ -70,30 +71,47 @@ def text_udf(setup: Callable[[], Callable[[list], list]], fields: dict[str, str]
     return arrow_udf(run, f"struct<{ddl.replace(' ', ':').replace(',:', ',')}>")
 
 
-class Memo(dict):
+class Memo:
     """Values of ``fn_many`` by key, for streams of words that often repeat.
 
-    Two generations of at most ``limit`` keys each bound the memory: when the young one
-    is full it becomes the old one, and keys still in use move back.  ``fill(keys)``
-    computes what is missing in one call; afterwards ``self[key]`` is a plain lookup."""
+    Two generations of at most ``limit`` keys each (and one call's keys) bound the memory:
+    a full young generation becomes the old one, and keys still in use move back."""
 
     def __init__(self, fn_many: Callable[[list], Iterable], limit: int = 250_000):
-        super().__init__()
-        self.fn_many, self.limit, self.old = fn_many, limit, {}
-
-    def fill(self, keys) -> None:
-        if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
-        old, new = self.old, []
-        for k in set(keys).difference(self):
-            v = old.get(k)
-            if v is None:
-                new.append(k)
-            else:
-                self[k] = v
-        if new:
-            self.update(zip(new, self.fn_many(new), strict=True))
+        self.fn_many, self.limit, self.young, self.old = fn_many, limit, {}, {}
+
+    def look(self, keys: list) -> list:
+        """The value of every key; missing ones are computed in one call."""
+        if len(self.young) >= self.limit:
+            self.old, self.young = self.young, {}
+        # the call's own words first: a small table that stays in the processor's cache
+        own = dict.fromkeys(keys)
+        found = list(map(self.young.get, own))
+        if None in found:
+            missing, new = [k for k, v in zip(own, found) if v is None], []
+            for k in missing:
+                v = self.old.get(k)
+                if v is None:
+                    new.append(k)
+                else:
+                    self.young[k] = v
+            if new:
+                self.young.update(zip(new, self.fn_many(new), strict=True))
+            found = list(map(self.young.__getitem__, own))
+        own = dict(zip(own, found))
+        return list(map(own.__getitem__, keys))
+
+
+_KEPT: dict = {}
+
+
+def per_worker(make: Callable, data: bytes):
+    """``make(data)``, built once in each Python worker process and kept for its later
+    tasks (with the memos inside)."""
+    key = (make.__module__, make.__qualname__, hashlib.sha256(data).digest())
+    if key not in _KEPT:
+        _KEPT[key] = make(data)
+    return _KEPT[key]
 
 
 def broadcast_file(spark: SparkSession, path: str):

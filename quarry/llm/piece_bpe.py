@@ -25,7 +25,7 @@ from itertools import chain
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import Memo, broadcast_file, text_udf, whole_text
+from quarry.llm.common import Memo, broadcast_file, per_worker, text_udf, whole_text
 
 MARK = "▁"
 FIELDS = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
@@ -102,12 +102,11 @@ class PieceModel:
     def encode(self, texts: list[str]) -> list[tuple[str, list[int]]]:
         """Per text: its ids as decimal text and as a list."""
         split = [self.segment.findall(x) for x in self.library.normalize(texts)]
-        self.memo.fill(chain.from_iterable(split))
-        look = self.memo.__getitem__
-        out = []
+        found, out, at = self.memo.look(list(chain.from_iterable(split))), [], 0
         for segments in split:
-            found = list(map(look, segments))
-            out.append((" ".join([f[0] for f in found]), list(chain.from_iterable([f[1] for f in found]))))
+            own = found[at:at + len(segments)]
+            at += len(segments)
+            out.append((" ".join([f[0] for f in own]), list(chain.from_iterable([f[1] for f in own]))))
         return out
 
     def decode(self, ids: list[list[int]]) -> list[str]:
@@ -132,7 +131,7 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
     held = broadcast_file(docs.sparkSession, model)
 
     def setup():
-        own = PieceModel(held.value)
+        own = per_worker(PieceModel, held.value)
         return lambda texts: round_trips(own, texts)
 
     return docs.select(F.col("doc_id"), text_udf(setup, FIELDS)(whole_text()).alias("__r")).select("doc_id", "__r.*")

@@ -7,8 +7,8 @@ use delta encoding.  Row groups and pages are small enough for the page index to
 selective reads: ``read_metadata`` never touches the token pages and ``read_tokens`` skips
 the row groups and pages outside its range of documents.
 
-Encoding runs the tokenizers library on the distinct space-separated words of a batch and
-joins their ids.  With the byte-level pattern a token never holds a non-space character
+Encoding runs the tokenizers library on the distinct space-separated words of a batch, many
+in one text, and joins their ids.  With the byte-level pattern a token never holds a non-space character
 followed by a space, so every such place is a boundary; a line feed between two non-space
 characters is a token of its own.  Texts with other or adjacent white space go to the
 library whole.
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from quarry.llm.common import Memo, broadcast_file, chunks, whole_text
+from quarry.llm.common import Memo, broadcast_file, chunks, per_worker, whole_text
 
 SCHEMA = ("doc_id long, file_key int, local_start long, n_tokens long, "
           "ids array<int>")
@@ -40,7 +40,7 @@ SCHEMA = ("doc_id long, file_key int, local_start long, n_tokens long, "
 def parquet_options(row_group_bytes: int = 32 << 20, page_bytes: int = 256 << 10,
                     page_rows: int = 1000) -> dict[str, str]:
     return {
-        "compression": "zstd",
+        "compression": "lz4_raw",
         "parquet.block.size": str(row_group_bytes),
         "parquet.page.size": str(page_bytes),
         "parquet.page.row.count.limit": str(page_rows),
@@ -61,29 +61,45 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(vocabulary.decode())
         self.tokenizer.encode_special_tokens = True
-        self.words = Memo(self._middle)
+        # a space or line feed only ever begins a token, and each word begins with one
+        size = self.tokenizer.get_vocab_size()
+        self.begins = np.array([(self.tokenizer.id_to_token(i) or "")[:1] in ("\u0120", "\u010a") for i in range(size)])
+        self.words = Memo(self._words, limit=400_000)
         self.firsts = Memo(self._library, limit=50_000)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _middle(self, words: list[str]) -> list[bytes]:
-        return self._library([w if w[:1] == "\n" else " " + w for w in words])
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, empty for one with other white space in it; the library
+        gets many words in one text, which is cut where words begin."""
+        out, plain = dict.fromkeys(words, b""), []
+        for w in words:
+            body = w[1:] if w[:1] == "\n" else w
+            if body.split() == [body]:
+                plain.append(w)
+        for at in range(0, len(plain), 512):
+            part = plain[at:at + 512]
+            raw = self._library(["".join([w if w[0] == "\n" else " " + w for w in part])])[0]
+            cuts = np.append(np.flatnonzero(self.begins[np.frombuffer(raw, "<u4")]) * 4, len(raw)).tolist()
+            if len(cuts) != len(part) + 1:
+                raise ValueError("the vocabulary does not begin every word with a white-space token")
+            out.update(zip(part, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
+        return list(out.values())
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(texts)
-        split, keys = {}, []
-        for i, t in enumerate(texts):
-            if " ".join(t.split()) == t.replace("\n", " "):
-                split[i] = pieces = t.replace("\n", " \n").split(" ")
-                keys += pieces[1:]
-            else:
-                out[i] = self._library([t])[0]
-        self.words.fill(keys)
-        self.firsts.fill([p[0] for p in split.values()])
-        for i, p in split.items():
-            out[i] = self.firsts[p[0]] + b"".join(map(self.words.__getitem__, p[1:]))
+        split, keys = [], []
+        for t in texts:
+            pieces = t.replace("\n", " \n").split(" ")
+            keys += pieces[1:]
+            split.append((pieces[0], len(keys)))
+        found, at, out = self.words.look(keys), 0, []
+        for t, (first, end), head in zip(texts, split, self.firsts.look([f for f, _ in split])):
+            own = found[at:end]
+            regular = first.split() == [first] and b"" not in own
+            out.append(head + b"".join(own) if regular else self._library([t])[0])
+            at = end
         return out
 
 
@@ -98,7 +114,7 @@ def encode(docs: DataFrame, vocabulary: str, end_id: int = 0) -> DataFrame:
                 .repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, key, start = WordEncoder(held.value), TaskContext.get().partitionId(), 0
+        encoder, key, start = per_worker(WordEncoder, held.value), TaskContext.get().partitionId(), 0
         for batch in batches:
             at = 0
             for part in chunks(batch.column("text")):

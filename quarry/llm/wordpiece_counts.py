@@ -28,7 +28,7 @@ from itertools import chain
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import Memo, broadcast_file, text_udf, whole_text
+from quarry.llm.common import Memo, broadcast_file, per_worker, text_udf, whole_text
 
 WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 LAST = 256  # added to the last byte of a word
@@ -110,18 +110,18 @@ def vocabulary_symbols(tokenizer_json: bytes, suffix: str = "</w>") -> list[tupl
 
 
 class Counter:
-    def __init__(self, vocabulary: Iterable[tuple[int, ...]]):
-        automaton = Automaton(vocabulary)
+    def __init__(self, tokenizer_json: bytes):
+        automaton = Automaton(vocabulary_symbols(tokenizer_json))
         self.memo = Memo(lambda words: [automaton.count(word_symbols(w)) for w in words])
 
     def __call__(self, texts: list[str]) -> list[tuple[int, int, int]]:
         split = [WORD.findall(unicodedata.normalize("NFC", t).lower()) for t in texts]
-        self.memo.fill(chain.from_iterable(split))
-        look, out = self.memo.__getitem__, []
+        found, out, at = self.memo.look(list(chain.from_iterable(split))), [], 0
         for words in split:
-            found = list(map(look, words))
-            unknown = found.count(0)
-            out.append((len(words), sum(found) + unknown, unknown))
+            own = found[at:at + len(words)]
+            at += len(words)
+            unknown = own.count(0)
+            out.append((len(words), sum(own) + unknown, unknown))
         return out
 
 
@@ -130,6 +130,6 @@ def count_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
     held = broadcast_file(docs.sparkSession, vocabulary)
 
     def setup():
-        return Counter(vocabulary_symbols(held.value))
+        return per_worker(Counter, held.value)
 
     return docs.select(F.col("doc_id"), text_udf(setup, FIELDS)(whole_text()).alias("__r")).select("doc_id", "__r.*")
