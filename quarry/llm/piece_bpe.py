@@ -20,8 +20,10 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+import struct
 from itertools import chain
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,12 +46,32 @@ class PieceModel:
         self.rank = {p: -lib.get_score(i) for p, i in self.ids.items()}
         self.bytes = [lib.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         crossing = re.compile(f"[^{MARK}]{MARK}|.\\n|\\n.", re.S)
-        self.segment = re.compile(".+" if any(map(crossing.search, self.ids))
-                                  else f"{MARK}*[^{MARK}\n]+|{MARK}+|\n", re.S)
-        self.memo = Memo(self._encode_segments)
+        # segments are spelt with spaces for marks: shorter strings to keep
+        self.segment = re.compile(".+" if any(map(crossing.search, self.ids)) else " *[^ \n]+| +|\n", re.S)
+        self.said = [str(i) for i in range(lib.get_piece_size())]
+        self.pairs = {a + b for p in self.ids for a, b in zip(p, p[1:])}
+        self.closers = {c for c in ".,!?;:" if c in self.ids}
+        self.memo = Memo(self._encode_segments, limit=350_000)
 
     def merge(self, text: str) -> list[str]:
-        """The pieces of one segment, by the agenda."""
+        """The pieces of one segment, by the agenda: a list in text order while it is
+        short enough to be searched for its best pair, else a heap."""
+        if len(text) > 32:
+            return self.merge_long(text)
+        rank, far, symbols = self.rank.get, float("inf"), list(text)
+        agenda = [rank(a + b, far) for a, b in zip(text, text[1:])]
+        while agenda and (best := min(agenda)) < far:
+            i = agenda.index(best)
+            joined = symbols[i] + symbols[i + 1]
+            symbols[i:i + 2] = [joined]
+            del agenda[i]
+            if i:
+                agenda[i - 1] = rank(symbols[i - 1] + joined, far)
+            if i < len(agenda):
+                agenda[i] = rank(joined + symbols[i + 1], far)
+        return symbols
+
+    def merge_long(self, text: str) -> list[str]:
         symbols, rank, n = list(text), self.rank, len(text)
         right, left = list(range(1, n + 1)), list(range(-1, n - 1))
         agenda = []
@@ -78,35 +100,43 @@ class PieceModel:
         return [s for s in symbols if s]
 
     def piece_ids(self, pieces: list[str]) -> tuple[int, ...]:
-        out = []
-        for p in pieces:
-            i = self.ids.get(p)
-            out.extend([i] if i is not None else [self.bytes[b] for b in p.encode("utf-8")])
-        return tuple(out)
-
-    def _encode_segments(self, segments: list[str]) -> list[tuple[str, tuple[int, ...]]]:
-        found = [self.piece_ids(self.merge(s)) for s in segments]
+        found = tuple(map(self.ids.get, pieces))
+        if None not in found:
+            return found
+        return tuple(chain.from_iterable([i] if i is not None else [self.bytes[b] for b in p.encode("utf-8")]
+                                         for p, i in zip(pieces, found)))
+
+    def _encode_segments(self, segments: list[str]) -> list[bytes]:
+        """Ids of each segment as 32-bit integers."""
+        known, pairs, found = self.memo.young, self.pairs, []
+        for s in segments:
+            # a last character that joins no piece with the one before it stands alone
+            stem = known.get(s[:-1]) if s[-1] in self.closers and s[-2:] not in pairs else None
+            if stem is None:
+                ids = self.piece_ids(self.merge(s.replace(" ", MARK)))
+                found.append(struct.pack(f"<{len(ids)}i", *ids))
+            else:
+                found.append(stem + struct.pack("<i", self.ids[s[-1]]))
         self.check(segments, found)
-        return [(" ".join(map(str, ids)), ids) for ids in found]
+        return found
 
-    def check(self, segments: list[str], found: list[tuple[int, ...]]) -> None:
+    def check(self, segments: list[str], found: list[bytes]) -> None:
         """The library on the same segments: it adds one mark in front itself, so one
         that starts otherwise (after a line feed) is checked behind a line feed."""
-        texts = [s[1:].replace(MARK, " ") if s[0] == MARK else "\n" + s.replace(MARK, " ") for s in segments]
-        lead = self.library.encode("\n")
+        texts = [s[1:] if s[0] == " " else "\n" + s for s in segments]
+        lead = len(self.library.encode("\n"))
         for s, ids, own in zip(segments, self.library.encode(texts, num_threads=1), found):
-            want = ids if s[0] == MARK else ids[len(lead):]
-            if tuple(want) != own and s != MARK:
+            if s[0] != " ":
+                ids = ids[lead:]
+            if struct.pack(f"<{len(ids)}i", *ids) != own and s != " ":
                 raise ValueError(f"pieces of {s!r} differ from the sentencepiece library")
 
-    def encode(self, texts: list[str]) -> list[tuple[str, list[int]]]:
-        """Per text: its ids as decimal text and as a list."""
-        split = [self.segment.findall(x) for x in self.library.normalize(texts)]
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        split = [self.segment.findall(x.replace(MARK, " ")) for x in self.library.normalize(texts)]
         found, out, at = self.memo.look(list(chain.from_iterable(split))), [], 0
         for segments in split:
-            own = found[at:at + len(segments)]
+            out.append(np.frombuffer(b"".join(found[at:at + len(segments)]), "<i4").tolist())
             at += len(segments)
-            out.append((" ".join([f[0] for f in own]), list(chain.from_iterable([f[1] for f in own]))))
         return out
 
     def decode(self, ids: list[list[int]]) -> list[str]:
@@ -115,15 +145,13 @@ class PieceModel:
 
 def round_trips(model: PieceModel, texts: list[str]) -> list[tuple[int, str, str]]:
     """Per text, with an end id: ids, sha256 of the ids, sha256 of the decoded text."""
-    end = model.library.eos_id()
-    found = model.encode(texts)
-    decoded = model.decode([ids + [end] for _, ids in found])
+    end, said = model.library.eos_id(), model.said.__getitem__
+    found = [ids + [end] for ids in model.encode(texts)]
 
     def sha(s: str) -> str:
         return hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
 
-    return [(len(ids) + 1, sha(f"{said} {end}" if said else f"{end}"), sha(back))
-            for (said, ids), back in zip(found, decoded)]
+    return [(len(ids), sha(" ".join(map(said, ids))), sha(back)) for ids, back in zip(found, model.decode(found))]
 
 
 def encode_documents(docs: DataFrame, model: str) -> DataFrame:

@@ -193,7 +193,9 @@ def links(codes: DataFrame, radius: int, levels: int | None = None) -> DataFrame
         u, v = ordered[hit], ordered[root[hit]]
         return pa.table({"u": np.maximum(u, v), "v": np.minimum(u, v)})
 
-    routed = codes.select("fp").mapInArrow(route, "shard long, fp long, home boolean")
+    # little data but much work per byte: keep all partitions instead of joining small ones
+    tasks = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    routed = codes.select("fp").mapInArrow(route, "shard long, fp long, home boolean").repartition(tasks, "shard")
     return routed.groupBy("shard").applyInArrow(search, "u long, v long")
 
 

@@ -64,7 +64,7 @@ class WordEncoder:
         # a space or line feed only ever begins a token, and each word begins with one
         size = self.tokenizer.get_vocab_size()
         self.begins = np.array([(self.tokenizer.id_to_token(i) or "")[:1] in ("\u0120", "\u010a") for i in range(size)])
-        self.words = Memo(self._words, limit=400_000)
+        self.words = Memo(self._words)
         self.firsts = Memo(self._library, limit=50_000)
 
     def _library(self, texts: list[str]) -> list[bytes]:

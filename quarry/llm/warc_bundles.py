@@ -41,6 +41,7 @@ INDEX = ("page_id long, archive string, frame int, frame_start long, frame_bytes
          "record_start long, record_bytes long")
 RECORD = ("page_id long, payload_bytes long, payload_digest string, record_type string, "
           "refers_to long")
+MOST_TASKS = 100_000
 # fixed values of the formats
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -228,7 +229,10 @@ def read_bundles(index: DataFrame) -> DataFrame:
                 for data in read_frames(path):
                     yield _described([describe(*r) for r in parse_records(data)])
 
-    return index.select("archive").distinct().mapInArrow(run, RECORD)
+    # one row per archive, but much work per row: spread by count, not by bytes
+    archives = index.select("archive").distinct()
+    tasks = max(1, min(archives.count(), MOST_TASKS))
+    return archives.repartition(tasks, "archive").mapInArrow(run, RECORD)
 
 
 def read_records(index: DataFrame, wanted: DataFrame) -> DataFrame:
