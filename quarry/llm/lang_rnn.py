@@ -183,13 +183,15 @@ def train(docs: DataFrame, per_lang: int = 400, train_window: int = 96) -> Netwo
     ids = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
                       & ~held_out(F.col("doc_id")))
     ids = ids.select(F.col("doc_id").cast("long").alias("doc_id"), "lang").withColumn("h", F.xxhash64("doc_id"))
-    # first within 256 ranges of the hash, so that a common language is not one task
-    ids = ids.withColumn("part", F.pmod("h", F.lit(256)))
-    some = Window.partitionBy("lang", "part").orderBy("h", "doc_id")
-    best = Window.partitionBy("lang").orderBy("h", "doc_id")
-    for w in (some, best):
-        ids = ids.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= per_lang)
-    chosen = ids.select("doc_id", "h", "lang")
+    # the hash range that holds each language's smallest per_lang, from counts by range
+    ids = ids.withColumn("range", F.shiftrightunsigned("h", 52))
+    before = Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = (ids.groupBy("lang", "range").agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).filter(F.col("before") < per_lang)
+            .groupBy("lang").agg(F.max("range").alias("last")))
+    best = Window.partitionBy("lang").orderBy("range", "h", "doc_id")
+    chosen = (ids.join(F.broadcast(cuts), "lang").filter(F.col("range") <= F.col("last"))
+              .withColumn("n", F.row_number().over(best)).filter(F.col("n") <= per_lang).select("doc_id", "h", "lang"))
     # at most per_lang ids a language; repeated ids are cut to one row each
     chosen = F.broadcast(chosen.dropDuplicates(["doc_id", "lang"]))
     raw = F.encode(F.col("text"), "UTF-8")
