@@ -71,7 +71,7 @@ def current_year() -> Column:  # X13
 
 
 def scale_by(c: str | Column, divisor: int = 10) -> Column:  # P8
-    return as_col(c).cast("int") / F.lit(divisor)
+    return as_col(c).try_cast("int") / F.lit(divisor)
 
 
 def linear_prediction(features: Sequence[str | Column], weights: Sequence[float]) -> Column:

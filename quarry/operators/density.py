@@ -1,9 +1,8 @@
 """Density estimates on an even grid.
 
-Gaussian kernel density without pairing every point with every grid node: equal values
-are first counted (partial aggregation, so a value holding a third of the rows is one
-row), then each distinct value emits only the grid nodes within ``h * sqrt(2 * 750)``
-of it.  Beyond that distance exp(-d^2 / 2h^2) is exactly 0.0 in double precision, so the
+Gaussian kernel density without pairing every point with every grid node: each value
+within reach of the grid emits only the nodes within ``h * sqrt(2 * 750)`` of it, and the
+sums per node are partially aggregated, so that a task shuffles one row per node at most.  Beyond that distance exp(-d^2 / 2h^2) is exactly 0.0 in double precision, so the
 sum over the band equals the sum over all points.  Grid nodes nothing reaches get 0.
 """
 
@@ -33,16 +32,18 @@ def gaussian_kde(values: DataFrame, col: str, lo: float, hi: float, n: int,
     spark = values.sparkSession
     step = (hi - lo) / (n - 1)
     reach = bandwidth * math.sqrt(2 * _EXP_ZERO)
-    freq = values.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).count()
+    v = F.col(col).cast("double")
+    present = values.where(v.isNotNull() & ~F.isnan(v)).select(v.alias("v"))  # NaN counts as missing
+    close = present.where((F.col("v") >= lo - reach) & (F.col("v") <= hi + reach))
     first = F.greatest(F.lit(0), F.floor((F.col("v") - F.lit(reach) - F.lit(lo)) / F.lit(step)).cast("int"))
     last = F.least(F.lit(n - 1), F.ceil((F.col("v") + F.lit(reach) - F.lit(lo)) / F.lit(step)).cast("int"))
-    near = (freq.where(first <= last)
-                .select("v", "count", F.explode(F.sequence(first, last)).alias("grid_idx")))
+    near = (close.where(first <= last)
+                 .select("v", F.explode(F.sequence(first, last)).alias("grid_idx")))
     g = grid_point("grid_idx", lo, hi, n)
     two_h2 = 2 * bandwidth * bandwidth
     k = F.exp(-((g - F.col("v")) * (g - F.col("v"))) / F.lit(two_h2))
-    sums = near.groupBy("grid_idx").agg(F.sum(F.col("count") * k).alias("s"))
-    n_points = values.where(F.col(col).isNotNull()).select(F.count(F.lit(1))).scalar()
+    sums = near.groupBy("grid_idx").agg(F.sum(k).alias("s"))
+    n_points = present.select(F.count(F.lit(1))).scalar()
     norm = n_points * F.lit(bandwidth * math.sqrt(2 * math.pi))
     return (grid(spark, lo, hi, n).join(sums, "grid_idx", "left")
             .select("grid_idx", "x", F.try_divide(F.coalesce(F.col("s"), F.lit(0.0)), norm).alias("density")))

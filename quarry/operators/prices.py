@@ -25,7 +25,7 @@ SPARSE_PRICE_COLUMNS = ("condition", "offer", "returnPolicy", "warranty", "avail
 
 _JSON_OPTS = {"allowSingleQuotes": "true"}
 # a bare Python literal in value position: after ':' '[' or ',' and before ',' '}' or ']'
-_VALUE_BEFORE = r"(?<=[:\[,]\s{0,16})"
+_VALUE_BEFORE = r"([:\[,]\s*)"
 _VALUE_AFTER = r"(?=\s*[,}\]])"
 
 
@@ -33,7 +33,7 @@ def python_literals_to_json(c):
     """Rewrite bare True / False / None values to JSON true / false / null; words
     inside quoted strings are not in value position and stay as they are."""
     for py, js in (("True", "true"), ("False", "false"), ("None", "null")):
-        c = F.regexp_replace(c, _VALUE_BEFORE + py + _VALUE_AFTER, js)
+        c = F.regexp_replace(c, _VALUE_BEFORE + py + _VALUE_AFTER, "$1" + js)
     return c
 
 
@@ -55,6 +55,13 @@ def unnest_prices(df: DataFrame, id_col: str, text_col: str, drop_sparse: bool =
     return rows.drop(*SPARSE_PRICE_COLUMNS) if drop_sparse else rows
 
 
+def price_parse_report(df: DataFrame, text_col: str) -> DataFrame:
+    """One row: lists present, lists parsed, lists rejected (from one parse)."""
+    ok = df.select(F.col(text_col).isNotNull().alias("here"), parse_price_list(text_col).isNotNull().alias("ok"))
+    return ok.agg(F.count_if("here").alias("lists"), F.count_if("ok").alias("parsed"),
+                  F.count_if(F.col("here") & ~F.col("ok")).alias("rejected"))
+
+
 def bad_price_lists(df: DataFrame, text_col: str) -> DataFrame:
     """Rows whose price text is present but does not parse (reported, not dropped silently)."""
     return df.where(F.col(text_col).isNotNull() & parse_price_list(text_col).isNull())

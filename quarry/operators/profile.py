@@ -31,7 +31,7 @@ def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     arr = F.array(*[F.struct(F.lit(i).alias("ci"), F.col(c).cast("double").alias("v"))
                     for i, c in enumerate(cols)])
     return (df.select(F.explode(arr).alias("s")).select("s.ci", "s.v")
-              .where(F.col("v").isNotNull()))
+              .where(F.col("v").isNotNull() & ~F.isnan("v")))
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
@@ -154,7 +154,7 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None,
     cols = list(cols or numeric_columns(df))
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
+        x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))  # NaN counts as missing
         aggs += [F.count(x), F.avg(x), F.stddev_samp(x), F.min(x), F.max(x)]
     row = df.agg(*aggs).first()
     known = {c: (row[5 * i], row[5 * i + 3], row[5 * i + 4]) for i, c in enumerate(cols)}
@@ -166,8 +166,9 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None,
     rows = []
     for i, c in enumerate(cols):
         n, mean, std, mn, mx = row[5 * i: 5 * i + 5]
-        rows.append((c, n, rnd(mean) if digits else mean, rnd(std) if digits else std, mn,
-                     qs[(c, 0.25)], qs[(c, 0.5)], qs[(c, 0.75)], mx))
+        quartiles = [qs[(c, p)] for p in (0.25, 0.5, 0.75)]
+        shown = [v if digits is None else rnd(v) for v in (mean, std, *quartiles)]
+        rows.append((c, n, *shown[:2], mn, *shown[2:], mx))
     return df.sparkSession.createDataFrame(rows, DESCRIBE_SCHEMA)
 
 
@@ -193,20 +194,25 @@ def drop_sparse_columns(df: DataFrame, min_share: float) -> DataFrame:
     return df.drop(*[c for c, v in shares.items() if v is not None and v < min_share])
 
 
+def _finite(c: str) -> Column:
+    """The column as a double; NaN and infinities, which no bin can hold, as null."""
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x)
+
+
 def _min_max(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:
-    r = df.agg(*[F.min(F.col(c).cast("double")) for c in cols],
-               *[F.max(F.col(c).cast("double")) for c in cols]).first()
+    r = df.agg(*[F.min(_finite(c)) for c in cols], *[F.max(_finite(c)) for c in cols]).first()
     k = len(cols)
     return {c: (r[i], r[k + i]) for i, c in enumerate(cols)}
 
 
 def bin_expr(c: str, lo: float, hi: float, bins: int) -> Column:
     """Equal-width bin index in [0, bins-1]; the maximum lands in the last bin."""
-    x = F.col(c).cast("double")
+    x = _finite(c)
     if lo is None or hi is None or hi == lo:
         return F.when(x.isNotNull(), F.lit(0))
     width = (F.lit(hi) - F.lit(lo)) / F.lit(bins)
-    return F.least(F.floor((x - F.lit(lo)) / width), F.lit(bins - 1)).cast("int")
+    return F.when(x.isNotNull(), F.least(F.floor((x - F.lit(lo)) / width), F.lit(bins - 1)).cast("int"))
 
 
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
@@ -223,10 +229,12 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A10: Pearson correlation of every ordered column pair, in one aggregate pass."""
     cols = list(cols)
-    pairs = [(a, b) for a in cols for b in cols]
-    r = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")) for a, b in pairs]).first()
-    return df.sparkSession.createDataFrame(
-        [(a, b, r[i]) for i, (a, b) in enumerate(pairs)], "col_a string, col_b string, corr double")
+    x = {c: F.col(c).cast("double") for c in cols}
+    half = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]  # symmetric
+    one = df.agg(*[F.corr(x[a], x[b]).alias(f"__c{i}") for i, (a, b) in enumerate(half)])
+    at = {p: f"__c{i}" for i, (a, b) in enumerate(half) for p in ((a, b), (b, a))}
+    return one.select(F.inline(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(at[a, b]).alias("corr"))
+                                         for a in cols for b in cols])))
 
 
 def pair_bins(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:

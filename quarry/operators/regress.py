@@ -47,7 +47,7 @@ def gram_summary(df: DataFrame, features: Sequence[str], label: str, intercept:
     aggs += [F.sum(x[i] * x[j]) for i in range(d) for j in range(i, d)]
     aggs += [F.sum(x[i] * y) for i in range(d)]
     aggs += [F.sum(y * y)]
-    r = df.where(y.isNotNull()).agg(*aggs).first()
+    r = df.dropna(subset=[*features, label]).agg(*aggs).first()  # rows with any null left out
     n = r[0]
     g = np.zeros((d, d))
     k = 1
@@ -79,7 +79,7 @@ def gradient_descent(df: DataFrame, features: Sequence[str], label: str, rate: f
             w = w - rate * grad
         return hist
     x = _design(features, intercept)
-    rows = df.select(*[c.alias(f"__x{i}") for i, c in enumerate(x)],
+    rows = df.dropna(subset=[*features, label]).select(*[c.alias(f"__x{i}") for i, c in enumerate(x)],
                      F.col(label).cast("double").alias("__y")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         xs = [F.col(f"__x{i}") for i in range(d)]

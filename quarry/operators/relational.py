@@ -1,9 +1,9 @@
 """Plain relational operators: projection, filters, set operations, sorts, joins.
 
 Every function maps DataFrame(s) to a DataFrame and stays inside Catalyst, so filters
-and column pruning reach the scan.  Broadcasts are only requested after a bounded row
-check (``has_at_most``); beyond the bound the join is left to the planner (sort-merge
-join with AQE skew splitting).
+and column pruning reach the scan.  Joins to tables of unknown size carry no hint: the
+planner and AQE broadcast by measured bytes or shuffle with skew splitting.  Only literal
+tables (code tables) are broadcast by hint.
 """
 
 from __future__ import annotations
@@ -13,20 +13,6 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Dimension sides up to this many rows (keys only, a few MB) may be broadcast.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def has_at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows; reads at most n+1 rows to decide."""
-    return df.limit(n + 1).count() <= n
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a proven size bound; otherwise leave the choice to Spark."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
 def col_ref(name: str) -> Column:
     """Column by exact name, also for names containing dots."""
     return F.col(f"`{name}`")
@@ -44,15 +30,13 @@ def drop_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:  # P3, absen
     return df.drop(*names)
 
 
-def join_on_dimension_keys(facts: DataFrame, dim: DataFrame, key: str | Sequence[str],
-                           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def join_on_dimension_keys(facts: DataFrame, dim: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Inner join facts to a dimension projected to its key; key kept once.
 
     Duplicated dimension keys multiply fact rows (plain inner-join semantics).
     """
     keys = [key] if isinstance(key, str) else list(key)
-    side = maybe_broadcast(dim.select(*keys), max_broadcast_rows)
-    return facts.join(side, keys, "inner")
+    return facts.join(dim.select(*keys), keys, "inner")
 
 
 def decode_codes(df: DataFrame, column: str, codes: DataFrame, code_col: str,

@@ -11,21 +11,25 @@ from quarry.operators.relational import col_ref
 from quarry.sources.files import pair_lines, read_lines
 
 # Raw review columns kept, and their new names.
-REVIEW_COLUMNS = ("id", "dateAdded", "dateUpdated", "categories", "dimension", "manufacturer",
-                  "name", "prices", "weight", "reviews.date", "reviews.numHelpful",
+REVIEW_COLUMNS = ("id", "categories", "dateAdded", "dateUpdated", "dimension", "weight",
+                  "manufacturer", "name", "prices", "reviews.date", "reviews.numHelpful",
                   "reviews.rating", "reviews.title", "reviews.text", "reviews.username")
 REVIEW_RENAMES = {"reviews.date": "reviewsDate", "reviews.numHelpful": "helpfullness",
                   "reviews.rating": "rating", "reviews.title": "reviewsTitle",
                   "reviews.text": "customerReviews", "reviews.username": "username"}
-TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-def prepare_reviews(raw: DataFrame, ts_format: str = TIMESTAMP_FORMAT) -> DataFrame:
-    """P1 (names with dots) + X11 (timestamps, unparsable -> null) + D1/P5-P7 (weight in
+def with_timestamps(df: DataFrame, columns, ts_formats: tuple[str, ...] = TIMESTAMP_FORMATS) -> DataFrame:
+    """X11: text columns as timestamps, by the first format that fits, else null."""
+    return df.withColumns({c: F.coalesce(*[scalar.text_to_timestamp(col_ref(c), f) for f in ts_formats]) for c in columns})
+
+
+def prepare_reviews(raw: DataFrame, ts_formats: tuple[str, ...] = TIMESTAMP_FORMATS) -> DataFrame:
+    """P1 (names with dots) + X11 (timestamps, first format that fits, else null) + D1/P5-P7 (weight in
     pounds) + P2 (renames) + typed helpfulness and rating.  Narrow: no shuffle."""
     df = raw.select(*[col_ref(c).alias(c) for c in REVIEW_COLUMNS if c in raw.columns])
-    df = df.withColumns({c: scalar.text_to_timestamp(col_ref(c), ts_format)
-                         for c in ("dateAdded", "dateUpdated", "reviews.date") if c in df.columns})
+    df = with_timestamps(df, [c for c in ("dateAdded", "dateUpdated", "reviews.date") if c in df.columns], ts_formats)
     if "weight" in df.columns:
         df = scalar.weight_in_pounds(df, "weight").drop("raw_units")
     df = df.withColumnsRenamed({k: v for k, v in REVIEW_RENAMES.items() if k in df.columns})

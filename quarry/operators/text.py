@@ -3,8 +3,8 @@ language tagging, line pairing and a multinomial Naive Bayes built from counts.
 
 All per-row work is built-in expressions (split/filter/transform); the only shuffles
 are the aggregations and joins the operator needs.  Token joins may meet very hot
-tokens; they run as shuffle joins with AQE skew splitting unless the small side has a
-checked row bound, in which case it is broadcast.
+tokens; they run as shuffle joins with AQE skew splitting unless the planner finds the
+small side's bytes under its broadcast threshold.
 """
 
 from __future__ import annotations
@@ -16,15 +16,11 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as tx
 from quarry.operators.indexing import dense_index
-from quarry.operators.relational import maybe_broadcast
 
 # Vocabulary specials and their indices.
 SPECIALS = ("<unk>", "<pad>", "<bos>", "<eos>")
 UNK_IDX = 0
 
-# Vocabulary rows are (token, idx); up to this many may be broadcast.
-VOCAB_BROADCAST_ROWS = 500_000
-
 
 def review_word_counts(df: DataFrame, id_col: str, text_col: str,
                        min_words_exclusive: int = 1) -> DataFrame:
@@ -73,36 +69,40 @@ def vocabulary_head(freq: DataFrame, n: int, min_freq: int = 1,
     return ranked.unionByName(sp)
 
 
-def encode(df: DataFrame, id_col: str, tokens: Column, vocab: DataFrame) -> DataFrame:
+def encode(df: DataFrame, id_col: str, tokens: Column, vocab: DataFrame,
+           as_text: bool = True) -> DataFrame:
     """Token -> index with ``<unk>`` (0) for unknown words, order kept.
 
-    Returns (id, n_tokens, n_unknown, ids) with ids as space-joined text.  The regroup
-    by id needs no shuffle when the input is already partitioned by id.
+    Returns (id, n_tokens, n_unknown, ids) with ids as space-joined text, or as an array
+    with ``as_text=False``.  A null or token-less text keeps its row with zero counts and
+    no ids.  One join by token and one regroup by id.
     """
-    exploded = df.select(id_col, F.posexplode(tokens).alias("__pos", "__token"))
-    v = maybe_broadcast(vocab.select(F.col("token").alias("__token"), F.col("idx").alias("__idx")),
-                        VOCAB_BROADCAST_ROWS)
+    exploded = df.select(id_col, F.posexplode_outer(tokens).alias("__pos", "__token"))
+    v = vocab.select(F.col("token").alias("__token"), F.col("idx").alias("__idx"))
     looked = exploded.join(v, "__token", "left").withColumn(
         "__idx", F.coalesce(F.col("__idx"), F.lit(UNK_IDX)))
+    here = F.col("__token").isNotNull()
     grouped = looked.groupBy(id_col).agg(
-        F.sort_array(F.collect_list(F.struct("__pos", "__idx"))).alias("__s"),
-        F.count(F.lit(1)).alias("n_tokens"),
-        F.sum((F.col("__idx") == UNK_IDX).cast("long")).alias("n_unknown"))
-    return grouped.select(id_col, "n_tokens", "n_unknown",
-                          F.array_join(F.transform("__s", lambda x: x["__idx"].cast("string")),
-                                       " ").alias("ids"))
+        F.sort_array(F.collect_list(F.when(here, F.struct("__pos", "__idx")))).alias("__s"),
+        F.count("__token").alias("n_tokens"),
+        F.count(F.when(here & (F.col("__idx") == UNK_IDX), F.lit(1))).alias("n_unknown"))
+    ids = F.transform("__s", lambda x: x["__idx"])
+    if as_text:
+        ids = F.array_join(F.transform(ids, lambda x: x.cast("string")), " ")
+    return grouped.select(id_col, "n_tokens", "n_unknown", ids.alias("ids"))
 
 
 def decode(encoded: DataFrame, id_col: str, vocab: DataFrame, ids_col: str = "ids") -> DataFrame:
-    """Index -> token, order kept; returns (id, text)."""
-    ex = encoded.select(id_col, F.posexplode(F.split(ids_col, " ")).alias("__pos", "__i"))
-    ex = ex.where(F.col("__i") != "").withColumn("__idx", F.col("__i").cast("long"))
-    v = maybe_broadcast(vocab.select(F.col("token").alias("__token"), F.col("idx").alias("__idx")),
-                        VOCAB_BROADCAST_ROWS)
-    j = ex.join(v, "__idx", "left")
-    return (j.groupBy(id_col)
-             .agg(F.sort_array(F.collect_list(F.struct("__pos", "__token"))).alias("__s"))
-             .select(id_col, F.array_join(F.transform("__s", lambda x: x["__token"]), " ").alias("text")))
+    """Index -> token, order kept; returns (id, text).  ``ids_col`` holds an array
+    or space-joined text; rows without ids decode to the empty text."""
+    ids = F.col(ids_col)
+    if dict(encoded.dtypes)[ids_col] == "string":
+        ids = F.transform(F.filter(F.split(ids, " "), lambda x: x != ""), lambda x: x.cast("long"))
+    ex = encoded.select(id_col, F.posexplode_outer(ids).alias("__pos", "__idx"))
+    v = vocab.select(F.col("token").alias("__token"), F.col("idx").alias("__idx"))
+    return (ex.join(v, "__idx", "left").groupBy(id_col)
+              .agg(F.sort_array(F.collect_list(F.when(F.col("__pos").isNotNull(), F.struct("__pos", "__token")))).alias("__s"))
+              .select(id_col, F.array_join(F.transform("__s", lambda x: x["__token"]), " ").alias("text")))
 
 
 # Short stop-word lists used to tag a text's language.
@@ -119,36 +119,30 @@ STOP_WORDS = {
 UNDETECTABLE = "undetectable"
 
 
-def stop_word_table(spark, stop_words: Mapping[str, Sequence[str]] = STOP_WORDS) -> DataFrame:
-    return spark.createDataFrame(
-        [(w, lang) for lang in sorted(stop_words) for w in stop_words[lang]],
-        "word string, lang string")
+def language_of(text_col: str | Column, stop_words: Mapping[str, Sequence[str]] = STOP_WORDS) -> Column:
+    """The language with most stop-word hits among a text's letter tokens, ties by
+    language code; no hit gives 'undetectable'.  A function of one row."""
+    langs = sorted(stop_words)
+
+    def hits_of(tokens: Column, words: Sequence[str]) -> Column:
+        return F.size(F.filter(tokens, lambda t: t.isin(*words)))
+
+    def best(tokens: Column) -> Column:
+        hits = [hits_of(tokens, stop_words[k]) for k in langs]
+        rank = F.array(*[F.struct((-h).alias("h"), F.lit(k).alias("lang")) for h, k in zip(hits, langs)])
+        return F.array_min(rank)
+
+    # through a one-element array, so that the tokens are split once for all languages
+    top = F.transform(F.array(tx.letter_tokens(text_col)), best)[0]
+    return F.when(top["h"] < 0, top["lang"]).otherwise(F.lit(UNDETECTABLE))
 
 
 def tag_language(df: DataFrame, id_col: str, text_col: str,
                  stop_words: Mapping[str, Sequence[str]] = STOP_WORDS,
                  out: str = "language") -> DataFrame:
-    """The language with most stop-word hits, ties by language code; no hit gives
-    'undetectable'.  Other columns of ``df`` are carried along.
-
-    One pass: letter tokens are exploded (``explode_outer`` keeps texts without tokens),
-    left-joined to the stop-word table (fixed size, so broadcast) and counted per
-    (document, language) with partial aggregation; the best language is the minimum of
-    (no language, -hits, code).  When ``df`` is partitioned by the id nothing is
-    shuffled after the scan.
-    """
-    spark = df.sparkSession
+    """The rows of ``df`` with their language in place of the text; no shuffle."""
     keep = [c for c in df.columns if c not in (id_col, text_col)]
-    toks = df.select(id_col, *keep, F.explode_outer(tx.letter_tokens(text_col)).alias("__word"))
-    stops = stop_word_table(spark, stop_words).toDF("__word", "__lang")
-    joined = toks.join(F.broadcast(stops), "__word", "left")
-    hits = joined.groupBy(id_col, "__lang").agg(F.count(F.lit(1)).alias("__hits"),
-                                                *[F.first(c).alias(c) for c in keep])
-    rank = F.struct(F.col("__lang").isNull().alias("none"), (-F.col("__hits")).alias("h"),
-                    F.col("__lang").alias("lang"))
-    best = hits.groupBy(id_col).agg(F.min(rank).alias("__b"), *[F.first(c).alias(c) for c in keep])
-    return best.select(id_col, *keep,
-                       F.coalesce(F.col("__b.lang"), F.lit(UNDETECTABLE)).alias(out))
+    return df.select(id_col, *keep, language_of(text_col, stop_words).alias(out))
 
 
 def next_turn_pairs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
@@ -206,7 +200,7 @@ def naive_bayes(train: DataFrame, label: str, tokens: Column, score: DataFrame,
         F.log((F.col(f"__n{i}") + F.lit(smoothing)) / (totals[i] + F.lit(smoothing) * vsize)).alias(f"__lp{i}")
         for i in range(k)])
     st = score.select(score_id, F.explode(score_tokens).alias("token"))
-    sums = st.join(maybe_broadcast(model, VOCAB_BROADCAST_ROWS), "token").groupBy(score_id).agg(
+    sums = st.join(model, "token").groupBy(score_id).agg(
         *[F.sum(f"__lp{i}").alias(f"__s{i}") for i in range(k)])
     scored = score.select(score_id).distinct().join(sums, score_id, "left")
     s = {i: F.coalesce(F.col(f"__s{i}"), F.lit(0.0)) + F.log(prior[i]) for i in range(k)}

@@ -1,10 +1,10 @@
 """Vector operators: centroids, nearest vectors by cosine (top-k) and scaled
 dot-product attention of a small query set over a table of key/value vectors.
 
-Queries meet keys without a join: the query set -- checked to be at most
-``MAX_QUERIES`` rows -- is turned into one array value by a scalar subquery and
-``inline``-d next to every key row, so each key row yields one row per query (work
-linear in the keys).  Top-k uses ``row_number() <= k``, which Spark plans with a
+Queries meet keys without a join: the stated query set is written once and dealt into
+blocks of about ``QUERY_BLOCK`` rows; each block is turned into one array value by a scalar
+subquery and ``inline``-d next to every key row, so each key row yields one row per query
+(work linear in the keys, one scan per block).  Top-k uses ``row_number() <= k``, which Spark plans with a
 partial group limit before the shuffle, so only k rows per query and map partition
 move.  Softmax needs the per-query maximum first (a tiny aggregate), then one
 aggregate sums exp(s - max) and exp(s - max) * v_i for every dimension i.
@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import vectors as vf
-from quarry.operators.relational import has_at_most
+from quarry.operators.indexing import materialize
 
-MAX_QUERIES = 4096
+QUERY_BLOCK = 2048
 
 
 def centroids(df: DataFrame, key: str, vec: str, out: str = "centroid") -> DataFrame:
@@ -33,26 +33,37 @@ def centroids(df: DataFrame, key: str, vec: str, out: str = "centroid") -> DataF
                    .select(key, F.transform("s", lambda e: e["x"]).alias(out)))
 
 
-def _with_queries(keys: DataFrame, queries: DataFrame, qid: str, qvec: str) -> DataFrame:
-    if not has_at_most(queries, MAX_QUERIES):
-        raise ValueError(f"query set larger than {MAX_QUERIES} rows; split it into batches")
-    packed = queries.select(F.collect_list(F.struct(
-        F.col(qid).alias("__qid"), vf.as_double_array(qvec).alias("__qvec"))).alias("q")).scalar()
-    return keys.select("*", F.inline(packed))
+def _stated(queries: DataFrame, qid: str, qvec: str) -> DataFrame:
+    """The query set with its vectors as doubles and their norms, computed and written once."""
+    q = vf.as_double_array(qvec)
+    return materialize(queries.select(F.col(qid).alias("__qid"), q.alias("__qvec"), vf.norm(q).alias("__qnorm")), "queries")
+
+
+def _with_queries(keys: DataFrame, stated: DataFrame, block: int) -> DataFrame:
+    blocks = max(1, math.ceil(stated.count() / block))
+    part = F.pmod(F.xxhash64("__qid"), F.lit(blocks))
+    out = None
+    for b in range(blocks):
+        packed = stated.where(part == b).select(F.collect_list(F.struct("__qid", "__qvec", "__qnorm"))).scalar()
+        one = keys.select("*", F.inline(packed))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def cosine_top_k(keys: DataFrame, key_id: str, key_vec: str, queries: DataFrame,
-                 qid: str, qvec: str, k: int = 5) -> DataFrame:
+                 qid: str, qvec: str, k: int = 5, block: int = QUERY_BLOCK) -> DataFrame:
     """T6 + V2: the k keys most similar to each query, ties by key id."""
-    scored = _with_queries(keys.select(key_id, key_vec), queries, qid, qvec).select(
-        F.col("__qid").alias(qid), key_id, vf.cosine("__qvec", key_vec).alias("similarity"))
+    normed = keys.select(key_id, key_vec, vf.norm(key_vec).alias("__knorm"))
+    scored = _with_queries(normed, _stated(queries, qid, qvec), block).select(
+        F.col("__qid").alias(qid), key_id,
+        F.try_divide(vf.dot("__qvec", key_vec), F.col("__qnorm") * F.col("__knorm")).alias("similarity"))
     w = Window.partitionBy(qid).orderBy(F.col("similarity").desc(), F.col(key_id).asc())
     return (scored.withColumn("rank", F.row_number().over(w))
                   .where(F.col("rank") <= k))
 
 
-def _scores(keys, key_id, key_vec, queries, qid, qvec, dim):
-    return _with_queries(keys.select(key_id, key_vec), queries, qid, qvec).select(
+def _scores(keys, key_id, key_vec, stated, qid, dim, block):
+    return _with_queries(keys.select(key_id, key_vec), stated, block).select(
         F.col("__qid").alias(qid), key_id, key_vec,
         (vf.dot("__qvec", key_vec) / F.lit(math.sqrt(dim))).alias("score"))
 
@@ -63,10 +74,11 @@ def vector_dim(df: DataFrame, vec: str) -> int:
 
 
 def attention_weights(keys: DataFrame, key_id: str, key_vec: str, queries: DataFrame,
-                      qid: str, qvec: str) -> DataFrame:
+                      qid: str, qvec: str, block: int = QUERY_BLOCK) -> DataFrame:
     """N1 + N3: softmax over the keys of each query of q.k / sqrt(d)."""
-    dim = vector_dim(queries, qvec)
-    s = _scores(keys, key_id, key_vec, queries, qid, qvec, dim)
+    stated = _stated(queries, qid, qvec)
+    dim = vector_dim(stated, "__qvec")
+    s = _scores(keys, key_id, key_vec, stated, qid, dim, block)
     mx = s.groupBy(qid).agg(F.max("score").alias("__m"))
     e = s.join(F.broadcast(mx), qid).withColumn("__e", F.exp(F.col("score") - F.col("__m")))
     z = e.groupBy(qid).agg(F.sum("__e").alias("__z"))
@@ -75,15 +87,17 @@ def attention_weights(keys: DataFrame, key_id: str, key_vec: str, queries: DataF
 
 
 def attention_context(keys: DataFrame, key_id: str, key_vec: str, queries: DataFrame,
-                      qid: str, qvec: str, value_vec: str | None = None) -> DataFrame:
+                      qid: str, qvec: str, value_vec: str | None = None,
+                      block: int = QUERY_BLOCK) -> DataFrame:
     """N2 + N3: context_q = sum_k softmax_k(q.k / sqrt(d)) v_k, as (query, dim, value).
 
     The per-query sums are one aggregate with a sum per dimension; weights per key are
     never materialised.  Values default to the keys (self-attention over the table).
     """
     value_vec = value_vec or key_vec
-    dim = vector_dim(queries, qvec)
-    s = _scores(keys, key_id, key_vec, queries, qid, qvec, dim)
+    stated = _stated(queries, qid, qvec)
+    dim = vector_dim(stated, "__qvec")
+    s = _scores(keys, key_id, key_vec, stated, qid, dim, block)
     if value_vec != key_vec:
         s = s.join(keys.select(key_id, value_vec), key_id)
     mx = s.groupBy(qid).agg(F.max("score").alias("__m"))

@@ -15,8 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.scalar import day_key_to_date
-from quarry.operators.relational import DEFAULT_BROADCAST_ROWS, has_at_most
+from quarry.functions.scalar import day_key_to_date, scale_by
 
 MEASURE_FIELDS = ("measurement_value", "measurement_flag", "qc_flag", "source_flag")
 
@@ -53,18 +52,21 @@ def measurements_from_events(events: DataFrame) -> DataFrame:
 
 
 def pivot_daily(long_df: DataFrame, types: Sequence[str],
-                keys: Sequence[str] = ("station_id", "date_key")) -> DataFrame:
+                keys: Sequence[str] = ("station_id", "date_key"), presence: bool = False) -> DataFrame:
     """A2: max of value and of each flag per (station, day, type), one column per type.
 
     Written as conditional aggregates over the given type list: one hash aggregate
     with partial aggregation and a single shuffle on the keys.  A type absent from the
-    data gives null columns, as a pivot with given values does.
+    data gives null columns, as a pivot with given values does.  ``presence`` adds one
+    boolean per type: whether the (station, day) has a row of it, null values included.
     """
     aggs = []
     for t in types:
         hit = F.col("measurement_type") == F.lit(t)
         for f in MEASURE_FIELDS:
             aggs.append(F.max(F.when(hit, F.col(f))).alias(f"{t}_{f}"))
+        if presence:
+            aggs.append((F.count(F.when(hit, F.lit(1))) > 0).alias(f"{t}_present"))
     return long_df.groupBy(*keys).agg(*aggs)
 
 
@@ -78,47 +80,47 @@ def add_day_columns(df: DataFrame) -> DataFrame:
 
 
 def scale_tenths(df: DataFrame, types: Sequence[str], divisor: int = 10) -> DataFrame:
-    """Value.cast('int') / 10 -- fraction cut toward zero first (-55.9 -> -5.5)."""
+    """Value.cast('int') / 10 -- fraction cut toward zero first (-55.9 -> -5.5);
+    a value beyond the int range gives null."""
     return df.withColumns({
-        f"{t}_measurement_value": F.col(f"{t}_measurement_value").cast("int") / F.lit(divisor)
-        for t in types})
+        f"{t}_measurement_value": scale_by(f"{t}_measurement_value", divisor) for t in types})
 
 
 def daily_table(measurements: DataFrame, stations: DataFrame, types: Sequence[str],
                 scaled: Sequence[str] = (), station_key: str = "station_id",
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                presence: bool = False) -> DataFrame:
     """Filter to types (F2), keep listed stations (J1), pivot (A2), day columns.
 
     Max is insensitive to repeated rows, so keeping the listed stations is a semi join
-    and gives the inner join's result.  A station list under the bound is broadcast
-    and filters the facts before the aggregation (no shuffle for the join).  A larger
-    list is applied after the aggregation: the pivot shuffles on (station, day) with
-    partial aggregation, so a station holding a third of the rows is spread over its
-    days, and only one row per (station, day) meets the station shuffle.
+    and gives the inner join's result.  It is written after the aggregation: the pivot
+    shuffles on (station, day) with partial aggregation, so a station holding a third of
+    the rows is spread over its days and only one row per (station, day) meets the
+    station join.  A list that the planner can broadcast by its bytes is pushed below the
+    aggregation by the optimizer (the join key is a grouping key).
     """
     facts = measurements.filter(F.col("measurement_type").isin(list(types)))
-    keys = stations.select(station_key)
-    if has_at_most(keys, max_broadcast_rows):
-        wide = pivot_daily(facts.join(F.broadcast(keys), station_key, "left_semi"), types)
-    else:
-        wide = pivot_daily(facts, types).join(keys, station_key, "left_semi")
+    wide = pivot_daily(facts, types, presence=presence).join(stations.select(station_key), station_key, "left_semi")
     if scaled:
         wide = scale_tenths(wide, scaled)
     return add_day_columns(wide)
 
 
-def daily_tables(measurements: DataFrame, stations: DataFrame) -> dict[str, DataFrame]:
+TABLE_TYPES = {"precipitation": PRECIPITATION_TYPES, "temperature": TEMPERATURE_TYPES,
+               "wind": WIND_TYPES, "sunshine": SUNSHINE_TYPES}
+
+
+def daily_tables(measurements: DataFrame, stations: DataFrame, groups: dict = TABLE_TYPES,
+                 scaled: Sequence[str] = TEMPERATURE_TYPES) -> dict[str, DataFrame]:
     """The four published tables from one scan/join/pivot; each is a projection of it
-    (a (station, day) belongs to a table when it has any of that table's types)."""
-    groups = {"precipitation": PRECIPITATION_TYPES, "temperature": TEMPERATURE_TYPES,
-              "wind": WIND_TYPES, "sunshine": SUNSHINE_TYPES}
+    (a (station, day) belongs to a table when it has any row of that table's types, also
+    one whose value is null)."""
     all_types = [t for g in groups.values() for t in g]
-    wide = daily_table(measurements, stations, all_types, scaled=TEMPERATURE_TYPES)
-    return _split_daily(wide, groups)
+    return _split_daily(daily_table(measurements, stations, all_types, scaled, presence=True), groups)
 
 
 # Code tables for the flags of the daily climate files (public format
-# description).  code -> meaning.
+# description; where its text and the common short wording differ, as for W and X of the
+# quality flags, the description's is kept).  code -> meaning.
 MEASUREMENT_FLAG_CODES = {
     "B": "precipitation total formed from two 12-hour totals",
     "D": "precipitation total formed from four six-hour totals",
@@ -158,10 +160,9 @@ def write_daily_tables(measurements: DataFrame, stations: DataFrame, out_base: s
     """K3 + K6: the four daily tables as parquet partitioned by year, from one pivot
     that is persisted for the four writes and released afterwards."""
     from quarry.sources.sinks import persisted, write_parquet
-    groups = {"precipitation": PRECIPITATION_TYPES, "temperature": TEMPERATURE_TYPES,
-              "wind": WIND_TYPES, "sunshine": SUNSHINE_TYPES}
+    groups = TABLE_TYPES
     all_types = [t for g in groups.values() for t in g]
-    wide = daily_table(measurements, stations, all_types, scaled=TEMPERATURE_TYPES)
+    wide = daily_table(measurements, stations, all_types, scaled=TEMPERATURE_TYPES, presence=True)
     paths = {}
     with persisted(wide):
         for name, df in _split_daily(wide, groups).items():
@@ -175,8 +176,8 @@ def _split_daily(wide: DataFrame, groups) -> dict[str, DataFrame]:
     out = {}
     for name, ts in groups.items():
         cols = ["station_id", "date_key"] + [f"{t}_{f}" for t in ts for f in MEASURE_FIELDS]
-        has = F.col(f"{ts[0]}_measurement_value").isNotNull()
+        has = F.col(f"{ts[0]}_present")
         for t in ts[1:]:
-            has = has | F.col(f"{t}_measurement_value").isNotNull()
+            has = has | F.col(f"{t}_present")
         out[name] = wide.where(has).select(*cols, "year", "date")
     return out

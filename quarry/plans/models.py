@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quarry.functions import scalar
 from quarry.operators import density, prices, regress
 from quarry.plans.registry import DIGITS, register, rounded
-from quarry.sources.tables import by_key, load
+from quarry.sources.tables import load
 
 # ---------------------------------------------------------------- gradient descent
 
@@ -154,17 +154,17 @@ def gmm_density(spark, sf_dir):
 
 # ---------------------------------------------------------------- nested prices
 
-PRICE_LIST_CHUNK = 64
+PRICE_LIST_PARTS = 64
 
 
 def price_text_per_order(lineitem):
     """Build the reference's input shape from lineitem: rows keyed by order holding a
     price list as text (a list of dicts in single quotes).
 
-    Lists hold at most ``PRICE_LIST_CHUNK`` lines (an order with more lines gives
-    several rows with its id), so even an order holding a large share of the lines is
-    spread over many small lists; unnesting is per element, so the result is the same
-    as with one list per order."""
+    An order gives up to ``PRICE_LIST_PARTS`` rows with its id, its lines dealt by a hash
+    of the line, so an order holding a large share of the lines is spread over as many
+    lists and tasks; unnesting is per element, so the result is the same as with one list
+    per order."""
     day = F.to_date("l_shipdate")
     url = F.concat(F.lit("https://shop.example/p/"), F.col("l_partkey").cast("string"))
     url2 = F.concat(url, F.lit("?s="), F.col("l_suppkey").cast("string"))
@@ -183,7 +183,7 @@ def price_text_per_order(lineitem):
         F.concat(F.lit("supplier#"), F.col("l_suppkey").cast("string")).alias("merchant"),
         F.col("l_linestatus").alias("shipping"),
         urls.alias("sourceURLs"))
-    chunk = F.floor((F.col("l_linenumber") - 1) / F.lit(PRICE_LIST_CHUNK))
+    chunk = F.pmod(F.xxhash64("l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"), F.lit(PRICE_LIST_PARTS))
     return (lineitem.groupBy(F.col("l_orderkey").alias("id"), chunk.alias("__chunk"))
                     .agg(F.translate(F.to_json(F.collect_list(elem)), '"', "'").alias("prices"))
                     .drop("__chunk"))
@@ -212,6 +212,17 @@ SELECT id, amountMax, amountMin, currency, dateAdded, dateSeen, isSale, merchant
 def price_unnest(spark, sf_dir):
     """X14-X16 + D3 + L9 + A7: parse each order's price text, one row per element,
     unnest dates and URLs, drop duplicates, drop the sparse columns."""
-    # hash-partitioned by order once: the lists are then built without another shuffle
-    texts = price_text_per_order(by_key(load(spark, sf_dir, "lineitem"), "l_orderkey"))
+    texts = price_text_per_order(load(spark, sf_dir, "lineitem"))
     return prices.unnest_prices(texts, "id", "prices")
+
+
+@register("price_parse_report", """
+WITH t AS (SELECT l_orderkey % 10 = 0 AS broken FROM lineitem)
+SELECT count(*) AS lists, count(*) FILTER (NOT broken) AS parsed, count(*) FILTER (broken) AS rejected FROM t""")
+def price_parse_report(spark, sf_dir):
+    """Lists present, parsed and rejected; every line is a list of one price here, and
+    those of each tenth order lack their closing bracket."""
+    li = load(spark, sf_dir, "lineitem")
+    whole = F.format_string("[{'amountMax': %s, 'isSale':                     True}", F.col("l_extendedprice").cast("string"))
+    texts = li.select(F.concat(whole, F.when(F.col("l_orderkey") % 10 != 0, F.lit("]")).otherwise(F.lit(", {"))).alias("prices"))
+    return prices.price_parse_report(texts, "prices")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.operators import profile, relational as rel, weather
+from quarry.operators import profile, relational as rel, reviews, weather
 from quarry.plans.registry import register
 from quarry.sources.tables import load
 
@@ -58,6 +58,61 @@ def pivot_scaled(spark, sf_dir):
     return weather.daily_table(m, stations, SCALED_TYPES, scaled=SCALED_TYPES)
 
 
+# Event types standing for the published tables' types; values with one decimal are null,
+# so that some (station, day) has rows of a type but no value of it.
+TABLE_GROUPS = {"first": EVENT_TYPES[:1], "others": EVENT_TYPES[1:]}
+
+
+def _with_null_values(m):
+    return m.withColumn("measurement_value", F.when(F.col("measurement_value") >= 5, F.col("measurement_value")))
+
+
+def _daily_split_sql() -> str:
+    parts = []
+    for name, types in TABLE_GROUPS.items():
+        vals = ", ".join(_quoted(t) for t in types)
+        parts.append(f"""SELECT '{name}' AS "table", count(*) AS days, count(v) AS days_with_value, count(f) AS days_with_flag
+FROM (SELECT max(CASE WHEN value >= 5 THEN value END) AS v, max(json_extract_string(props, '$.k')) AS f
+      FROM events JOIN customer ON c_custkey = user_id WHERE event_type IN ({vals})
+      GROUP BY user_id, strftime(ts, '%Y%m%d'))""")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _quoted(t: str) -> str:
+    return "'" + t + "'"
+
+
+@register("daily_split", _daily_split_sql())
+def daily_split(spark, sf_dir):
+    """The published tables split off one pivot; days whose values are all null
+    stay in their table."""
+    m = _with_null_values(weather.measurements_from_events(load(spark, sf_dir, "events")))
+    stations = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("station_id"))
+    tables = weather.daily_tables(m, stations, TABLE_GROUPS, scaled=())
+    out = None
+    for name, df in tables.items():
+        types = TABLE_GROUPS[name]
+        value = F.coalesce(*[F.col(f"{t}_measurement_value") for t in types])
+        flag = F.coalesce(*[F.col(f"{t}_measurement_flag") for t in types])
+        one = df.agg(F.count(F.lit(1)).alias("days"), F.count(value).alias("days_with_value"),
+                     F.count(flag).alias("days_with_flag")).select(F.lit(name).alias("table"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("review_timestamps", """
+SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 3 THEN CAST(l_shipdate AS TIMESTAMP) END AS added FROM lineitem""")
+def review_timestamps(spark, sf_dir):
+    """X11: text in the review format parsed to timestamps; text in no known format (here
+    every third line's) gives null."""
+    text = F.when(F.col("l_linenumber") == 3, F.date_format("l_shipdate", "dd.MM.yyyy")) \
+        .when(F.col("l_linenumber") == 2, F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")) \
+        .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
+    raw = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", text.alias("dateAdded"))
+    stamped = reviews.with_timestamps(raw, ("dateAdded",))
+    return stamped.select("l_orderkey", "l_linenumber", F.col("dateAdded").alias("added"))
+
+
 @register("distinct_types", "SELECT DISTINCT event_type FROM events")
 def distinct_types(spark, sf_dir):
     return rel.distinct_values(load(spark, sf_dir, "events"), "event_type")
@@ -67,13 +122,12 @@ def distinct_types(spark, sf_dir):
 
 @register("dim_join", """
 SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_quantity, l.l_extendedprice
-FROM lineitem l JOIN (SELECT p_partkey AS l_partkey FROM part WHERE p_type = 'SMALL') p
+FROM lineitem l JOIN (SELECT p_partkey AS l_partkey FROM part) p
 USING (l_partkey)""")
 def dim_join(spark, sf_dir):
     facts = load(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
-    dim = (load(spark, sf_dir, "part").where(F.col("p_type") == "SMALL")
-           .select(F.col("p_partkey").alias("l_partkey")))
+    dim = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"))
     return rel.join_on_dimension_keys(facts, dim, "l_partkey")
 
 
@@ -264,7 +318,7 @@ def describe_numeric(spark, sf_dir):
 @register("null_report", """
 WITH j AS (SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
            FROM documents d LEFT JOIN labels l USING (doc_id))
-SELECT * FROM (
+SELECT c.*, r."rows", non_null / r."rows" AS non_null_share FROM (
   SELECT 'doc_id' AS "column", 'bigint' AS dtype, count(doc_id) AS non_null FROM j UNION ALL
   SELECT 'lang', 'string', count(lang) FROM j UNION ALL
   SELECT 'source', 'string', count(source) FROM j UNION ALL
@@ -275,7 +329,7 @@ SELECT * FROM (
 def null_report(spark, sf_dir):
     docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
     j = docs.join(load(spark, sf_dir, "labels"), "doc_id", "left")
-    return profile.missing_report(j).select("column", "dtype", "non_null", "rows")
+    return profile.missing_report(j).select("column", "dtype", "non_null", "rows", "non_null_share")
 
 
 @register("minmax_rows", """

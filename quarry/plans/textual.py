@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quarry.functions import text as tx
 from quarry.operators import text as ops
 from quarry.plans.registry import register
-from quarry.sources.tables import load, load_by_key, load_spread, spread
+from quarry.sources.tables import load, load_spread
 
 
 def _q(s: str) -> str:
@@ -80,36 +80,35 @@ def vocab_top(spark, sf_dir):
     return ops.vocabulary_head(ops.token_frequencies(d, tx.basic_english_tokens("text")), 10)
 
 
-def _english_vocab(spark, sf_dir):
-    d = spread(load(spark, sf_dir, "documents").where(F.col("lang") == "en").select("text"))
+def _vocabulary(spark, sf_dir):
+    d = load_spread(spark, sf_dir, "documents", "text")
     return ops.build_vocabulary(ops.token_frequencies(d, tx.basic_english_tokens("text")))
 
 
-_ENCODED_SQL = f"""WITH v AS ({_vocab_sql("WHERE lang = 'en'")}),
+_ENCODED_SQL = f"""WITH v AS ({_vocab_sql()}),
 t AS (SELECT doc_id, unnest(toks) AS token, generate_subscripts(toks, 1) AS pos
       FROM (SELECT doc_id, {_duck_basic_english('text')} AS toks FROM documents)),
 e AS (SELECT t.doc_id, t.pos, coalesce(v.idx, 0) AS idx FROM t LEFT JOIN v USING (token))"""
 
 
 @register("encode_texts", _ENCODED_SQL + """
-SELECT doc_id, count(*) AS n_tokens, CAST(sum(CASE WHEN idx = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_unknown,
-       string_agg(CAST(idx AS VARCHAR), ' ' ORDER BY pos) AS ids
-FROM e GROUP BY doc_id""")
+SELECT d.doc_id, count(e.pos) AS n_tokens, count(CASE WHEN idx = 0 THEN 1 END) AS n_unknown,
+       coalesce(string_agg(CAST(idx AS VARCHAR), ' ' ORDER BY pos), '') AS ids
+FROM documents d LEFT JOIN e USING (doc_id) GROUP BY d.doc_id""")
 def encode_texts(spark, sf_dir):
-    """J3 + L7: every document encoded with the vocabulary of the English documents,
-    so words of the other languages become <unk>."""
-    d = load_by_key(spark, sf_dir, "documents", "doc_id", "doc_id", "text")
-    return ops.encode(d, "doc_id", tx.basic_english_tokens("text"), _english_vocab(spark, sf_dir))
+    """J3 + L7: every document encoded with the vocabulary of all documents."""
+    d = load_spread(spark, sf_dir, "documents", "doc_id", "text")
+    return ops.encode(d, "doc_id", tx.basic_english_tokens("text"), _vocabulary(spark, sf_dir))
 
 
 @register("decode_texts", _ENCODED_SQL + """
-SELECT e.doc_id, string_agg(v.token, ' ' ORDER BY e.pos) AS text
-FROM e LEFT JOIN v USING (idx) GROUP BY e.doc_id""")
+SELECT d.doc_id, coalesce(string_agg(v.token, ' ' ORDER BY e.pos), '') AS text
+FROM documents d LEFT JOIN e USING (doc_id) LEFT JOIN v USING (idx) GROUP BY d.doc_id""")
 def decode_texts(spark, sf_dir):
     """J4 + L7: decode the encoded documents back to tokens."""
-    v = _english_vocab(spark, sf_dir)
-    d = load_by_key(spark, sf_dir, "documents", "doc_id", "doc_id", "text")
-    enc = ops.encode(d, "doc_id", tx.basic_english_tokens("text"), v)
+    v = _vocabulary(spark, sf_dir)
+    d = load_spread(spark, sf_dir, "documents", "doc_id", "text")
+    enc = ops.encode(d, "doc_id", tx.basic_english_tokens("text"), v, as_text=False)
     return ops.decode(enc, "doc_id", v)
 
 
@@ -147,7 +146,7 @@ FROM (SELECT doc_id, {hits} FROM (SELECT doc_id, {_duck_letter_tokens('text')} A
 
 @register("lang_tag", _lang_sql())
 def lang_tag(spark, sf_dir):
-    d = load_by_key(spark, sf_dir, "documents", "doc_id", "doc_id", "text")
+    d = load_spread(spark, sf_dir, "documents", "doc_id", "text")
     return ops.tag_language(d, "doc_id", "text").select("doc_id", "language")
 
 
@@ -162,7 +161,7 @@ SELECT d.doc_id, d.n_chars FROM documents d JOIN ({_lang_sql()}) t USING (doc_id
 WHERE t.language = 'en'""")
 def english_only(spark, sf_dir):
     """L1 + F1: keep the documents tagged English."""
-    d = load_by_key(spark, sf_dir, "documents", "doc_id", "doc_id", "n_chars", "text")
+    d = load_spread(spark, sf_dir, "documents", "doc_id", "n_chars", "text")
     return ops.tag_language(d, "doc_id", "text").where(F.col("language") == "en").select("doc_id", "n_chars")
 
 
@@ -172,7 +171,7 @@ SELECT d.lang, count(*) AS docs, CAST(sum(CASE WHEN t.language = d.lang THEN 1 E
 FROM documents d JOIN ({_lang_sql()}) t USING (doc_id) GROUP BY d.lang""")
 def lang_accuracy(spark, sf_dir):
     """L1 measured: per labelled language, documents tagged with that language."""
-    d = load_by_key(spark, sf_dir, "documents", "doc_id", "doc_id", "lang", "text")
+    d = load_spread(spark, sf_dir, "documents", "doc_id", "lang", "text")
     t = ops.tag_language(d, "doc_id", "text")
     hit = (F.col("language") == F.col("lang")).cast("long")
     return t.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), F.sum(hit).alias("correct"),
@@ -230,7 +229,7 @@ sc AS (SELECT d.doc_id, coalesce(s0, 0) + ln(p0) AS a0, coalesce(s1, 0) + ln(p1)
 SELECT doc_id, CASE WHEN a0 >= a1 THEN 0 ELSE 1 END AS predicted FROM sc""")
 def naive_bayes_counts(spark, sf_dir):
     """Train on the labelled documents (label = quality), predict every document."""
-    docs = load_by_key(spark, sf_dir, "documents", "doc_id", "doc_id", "text")
+    docs = load_spread(spark, sf_dir, "documents", "doc_id", "text")
     train = docs.join(load(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")),
                       "doc_id")
     return ops.naive_bayes(train, "label", tx.letter_tokens("text"), docs, "doc_id",

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import strip_unicode
-from quarry.operators.relational import maybe_broadcast
 from quarry.sources.tables import spread
 
 # The text tokens a pandas CSV reader turns into missing values by default.
@@ -117,9 +116,8 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     before = Window.partitionBy("file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     offs = splits.select("file", "__block", "__first",
                          F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    # one row per file split (path + two numbers, ~100 bytes): broadcast up to 200k
-    # splits (about 25 TB of text at 128 MB splits), else a shuffle join
-    out = raw.join(maybe_broadcast(offs, 200_000), ["file", "__block"])
+    # one row per file split: broadcast by its bytes, else a shuffle join
+    out = raw.join(offs, ["file", "__block"])
     return out.select("file", (F.col("__off") + F.col("__mid") - F.col("__first")).alias("line_no"),
                       strip_unicode("value").alias("value"))
 

@@ -14,15 +14,17 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when the input has fewer partitions than the
-    cluster's parallelism (e.g. one unsplittable file or a single row group).
+# Inputs of fewer splits than this may be dealt out anew; larger ones never are.
+SPREAD_SPLITS = 16
+
 
-    Large inputs arrive in many splits and pass through untouched, so this never adds
-    a shuffle at scale; it only keeps per-row heavy work (tokenising, parsing) from
-    running in one task on small or unsplittable inputs.
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition of an input with fewer than ``SPREAD_SPLITS`` splits (one
+    unsplittable file, a single row group), so that per-row heavy work such as tokenising
+    does not run in one task.  The bound is fixed: it does not grow with the cluster, and
+    at 128 MB a split no input above 2 GB is shuffled for it.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    target = min(min_partitions or df.sparkSession.sparkContext.defaultParallelism, SPREAD_SPLITS)
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 

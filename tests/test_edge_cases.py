@@ -123,18 +123,73 @@ def test_scale_conf():
     assert int(scale_conf(10**6, 8)["spark.sql.shuffle.partitions"]) == 16
 
 
-def test_spread_and_bounded_broadcast(spark):
-    from quarry.sources.tables import spread
-    wide = spark.range(0, 1000, numPartitions=16)
-    assert "Exchange" not in spread(wide, 8)._jdf.queryExecution().executedPlan().toString()
+def test_spread_only_below_a_fixed_split_count(spark):
+    from quarry.sources.tables import SPREAD_SPLITS, spread
+    wide = spark.range(0, 1000, numPartitions=SPREAD_SPLITS)
+    assert "Exchange" not in spread(wide, 8000)._jdf.queryExecution().executedPlan().toString()
     narrow = spark.range(0, 1000, numPartitions=1)
     assert "RoundRobinPartitioning" in spread(narrow, 8)._jdf.queryExecution().executedPlan().toString()
-    big = spark.range(0, 5000).withColumnRenamed("id", "k")
-    facts = spark.range(0, 20000).select((F.col("id") % 5000).alias("k"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        under = facts.join(rel.maybe_broadcast(big, 10_000), "k")._jdf.queryExecution().executedPlan().toString()
-        over = facts.join(rel.maybe_broadcast(big, 100), "k")._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in under and "BroadcastHashJoin" not in over
+
+
+def test_days_with_null_values_stay_in_their_table(spark):
+    from quarry.operators import weather
+    m = spark.createDataFrame([("a", "20200101", "PRCP", None, "T", None, None), ("a", "20200101", "TMAX", 5.0, None, None, None),
+                               ("a", "20200102", "TMIN", 3e9, None, None, None)], weather.MEASUREMENT_DDL.replace(", hour string", ""))
+    stations = spark.createDataFrame([("a",)], "station_id string")
+    t = weather.daily_tables(m, stations)
+    assert [r.PRCP_measurement_flag for r in t["precipitation"].collect()] == ["T"]
+    assert {(r.date_key, r.TMIN_measurement_value) for r in t["temperature"].collect()} == {("20200101", None), ("20200102", None)}
+    assert t["wind"].count() == 0 and "PRCP_present" not in t["precipitation"].columns
+
+
+def test_empty_texts_keep_their_rows(spark):
+    from quarry.functions import text as tx
+    from quarry.operators import text as ops
+    docs = spark.createDataFrame([(1, "a b a zzz"), (2, ""), (3, None)], "i long, t string")
+    vocab = spark.createDataFrame([("a", 4), ("b", 5)], "token string, idx long")
+    for as_text in (True, False):
+        enc = ops.encode(docs, "i", tx.split_whitespace("t"), vocab, as_text)
+        got = {r.i: (r.n_tokens, r.n_unknown) for r in enc.collect()}
+        assert got == {1: (4, 1), 2: (0, 0), 3: (0, 0)}
+        with_unk = vocab.unionByName(spark.createDataFrame([("<unk>", 0)], "token string, idx long"))
+        assert {r.i: r.text for r in ops.decode(enc, "i", with_unk).collect()} == {1: "a b a <unk>", 2: "", 3: ""}
+
+
+def test_price_literals_after_any_number_of_spaces(spark):
+    from quarry.operators import prices
+    rows = [(n, "[{'amountMax': 1.5, 'isSale':" + " " * n + "True}]") for n in (0, 1, 15, 17, 300)] + [(999, "[{'amountMax': 1"), (1000, None)]
+    df = spark.createDataFrame(rows, "id long, p string")
+    assert {r.id for r in prices.unnest_prices(df, "id", "p").collect()} == {0, 1, 15, 17, 300}
+    assert tuple(prices.price_parse_report(df, "p").first()) == (6, 5, 1)
+
+
+def test_many_queries_in_blocks(spark):
+    from quarry.operators import vectors
+    keys = spark.createDataFrame([(i, [float(i + 1), 1.0]) for i in range(4)], "k long, v array<double>")
+    queries = spark.range(5000).select(F.col("id").alias("q"), F.array(F.col("id") + 1.0, F.lit(2.0)).alias("qv"))
+    few = vectors.cosine_top_k(keys, "k", "v", queries.where("q < 50"), "q", "qv", 2)
+    blocks = vectors.cosine_top_k(keys, "k", "v", queries.where("q < 50"), "q", "qv", 2, block=7)
+    assert sorted(few.collect()) == sorted(blocks.collect())
+    assert vectors.cosine_top_k(keys, "k", "v", queries, "q", "qv", 1).count() == 5000
+
+
+def test_numbers_out_of_the_ordinary(spark):
+    from quarry.operators import density, profile, regress
+    odd = spark.createDataFrame([(float(x),) for x in (1, 2, 3, 1e10, -1e300)] + [(float("nan"),), (float("inf"),), (None,)], "x double")
+    plain = spark.createDataFrame([(float(x),) for x in (1, 2, 3, 1e10, -1e300, 1e11)], "x double")
+    a, b = ([round(r.density, 12) for r in density.gaussian_kde(d, "x", 0.0, 5.0, 21, 0.5).orderBy("grid_idx").collect()] for d in (odd, plain))
+    assert a == b and max(a) > 0
+    bins = profile.histogram(odd.where("x is null or isnan(x) or x < 10 and x > 0 or x > 1e300"), ["x"], 2)
+    assert {(r.bin, r["count"]) for r in bins.collect()} == {(0, 1), (1, 2)}
+    d = profile.describe(spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "x double"), ["x"], digits=0).first()
+    assert (d["count"], d["mean"], d.q50, d["max"]) == (2, 2.0, 2.0, 3.0)
+    rows = spark.createDataFrame([(1.0, 2.0), (2.0, 3.0), (None, 9.0), (4.0, None)], "x double, y double")
+    gram, passes = (regress.gradient_descent(rows, ["x"], "y", 0.1, 3, method=m) for m in ("gram", "passes"))
+    assert all(abs(p[1] - q[1]) < 1e-9 for p, q in zip(gram, passes))
+
+
+def test_language_needs_no_shuffle(spark):
+    from quarry.operators import text as ops
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = ops.tag_language(docs.select("doc_id", "text"), "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan

@@ -112,7 +112,12 @@ def test_flag_code_tables(spark):
 def test_large_station_list_path_same_result(spark):
     types = ["PRCP", "TMIN", "TMAX", "TAVG"]
     small = weather.daily_table(_facts(spark), _stations(spark), types)
-    big = weather.daily_table(_facts(spark), _stations(spark), types, max_broadcast_rows=0)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.select(*small.columns).collect()))
-    plan = big._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = weather.daily_table(_facts(spark), _stations(spark), types)
+        rows = sorted(map(tuple, big.select(*small.columns).collect()))
+        plan = big._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(map(tuple, small.collect())) == rows
     assert "LeftSemi" in plan
