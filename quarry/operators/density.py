@@ -66,26 +66,43 @@ def interpolate(points: DataFrame, col: str, curve: DataFrame, lo: float, hi: fl
             .drop("grid_idx", "__x0", "__y0", "__x1", "__y1")
 
 
-def gaussian_mixture_density(values: DataFrame, col: str, k: int, seed: int, lo: float,
-                             hi: float, n: int, max_iter: int = 100, tol: float = 1e-3) -> DataFrame:
-    """Fit a k-component Gaussian mixture with MLlib (100 iterations and tolerance
-    1e-3 by default, the usual library defaults for this fit), evaluate its density on
-    the grid as a column expression of the fitted weights, means and variances."""
-    from pyspark.ml.clustering import GaussianMixture
-    from pyspark.ml.feature import VectorAssembler
-    # EM on (distinct value, count) with the count as weight is the same EM as on the
-    # rows; equal values are collapsed by a partial aggregate first.
-    freq = (values.where(F.col(col).isNotNull())
-                  .groupBy(F.col(col).cast("double").alias(col))
-                  .agg(F.count(F.lit(1)).cast("double").alias("__w")))
-    feats = VectorAssembler(inputCols=[col], outputCol="features").transform(freq)
-    model = GaussianMixture(k=k, seed=seed, maxIter=max_iter, tol=tol, weightCol="__w").fit(feats)
-    g = model.gaussians
-    dens = F.lit(0.0)
-    x = F.col("x")
-    for wgt, gau in zip(model.weights, g):
-        mu = float(gau.mean[0])
-        var = float(gau.cov.toArray()[0][0])
-        dens = dens + F.lit(wgt / math.sqrt(2 * math.pi * var)) * F.exp(
-            -((x - F.lit(mu)) * (x - F.lit(mu))) / F.lit(2 * var))
+VARIANCE_FLOOR = 1e-6
+
+
+def gaussian_mixture(values: DataFrame, col: str, k: int, iterations: int = 8) -> list[tuple[float, float, float]]:
+    """(weight, mean, variance) of a k-component Gaussian mixture by expectation
+    maximization: a fixed number of iterations from evenly spaced means over the values'
+    range, equal weights and one shared variance, so the result does not depend on how the
+    rows are laid out.  Each iteration is one aggregate of 3 sums per component over the
+    one column it reads; nulls, NaN and infinities are left out.  No values: no components."""
+    v = F.col(col).cast("double")
+    x = values.where(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))).select(v.alias("v"))
+    n, lo, hi = x.agg(F.count("v"), F.min("v"), F.max("v")).first()
+    if not n:
+        return []
+    width = (hi - lo) / k
+    parts = [(1.0 / k, lo + (j + 0.5) * width, width * width + VARIANCE_FLOOR) for j in range(k)]
+    for _ in range(iterations):
+        shares = [F.lit(w / math.sqrt(2 * math.pi * s)) * F.exp(-(F.col("v") - m) * (F.col("v") - m) / (2 * s))
+                  for w, m, s in parts]
+        dens = x.select("v", *[d.alias(f"d{j}") for j, d in enumerate(shares)])
+        total = sum((F.col(f"d{j}") for j in range(1, k)), F.col("d0"))
+        dens = dens.withColumn("t", total)
+        sums = []
+        for j in range(k):
+            r = F.try_divide(F.col(f"d{j}"), F.col("t"))
+            sums += [F.sum(r), F.sum(r * F.col("v")), F.sum(r * F.col("v") * F.col("v"))]
+        got = dens.agg(*sums).first()
+        parts = [(got[3 * j] / n, got[3 * j + 1] / got[3 * j],
+                  max(0.0, got[3 * j + 2] / got[3 * j] - (got[3 * j + 1] / got[3 * j]) ** 2) + VARIANCE_FLOOR)
+                 if got[3 * j] else (0.0, parts[j][1], parts[j][2]) for j in range(k)]
+    return parts
+
+
+def gaussian_mixture_density(values: DataFrame, col: str, k: int, lo: float, hi: float, n: int,
+                             iterations: int = 8) -> DataFrame:
+    """The fitted mixture's density on the grid."""
+    x, dens = F.col("x"), F.lit(0.0)
+    for w, m, s in gaussian_mixture(values, col, k, iterations):
+        dens = dens + F.lit(w / math.sqrt(2 * math.pi * s)) * F.exp(-((x - F.lit(m)) * (x - F.lit(m))) / F.lit(2 * s))
     return grid(values.sparkSession, lo, hi, n).withColumn("density", dens)

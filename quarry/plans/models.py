@@ -144,12 +144,32 @@ def kde_interp(spark, sf_dir):
     return rounded(density.interpolate(ev, "value", k, GRID_LO, GRID_HI, GRID_N), "interpolated")
 
 
-@register("gmm_density")
+GMM_PARTS, GMM_ITERATIONS, GMM_DIGITS = 13, 8, 6
+
+
+def _gmm_sql() -> str:
+    ctes = [_GRID_SQL, """f AS (SELECT value AS v, CAST(count(*) AS DOUBLE) AS c FROM events
+      WHERE value IS NOT NULL AND isfinite(value) GROUP BY value)""",
+            "n AS (SELECT sum(c) AS n, min(v) AS lo, max(v) AS hi FROM f)",
+            f"""p0 AS (SELECT j, {_d(1.0)} / {GMM_PARTS} AS w, lo + (j + 0.5) * ((hi - lo) / {GMM_PARTS}) AS m,
+      ((hi - lo) / {GMM_PARTS}) * ((hi - lo) / {GMM_PARTS}) + {_d(density.VARIANCE_FLOOR)} AS s FROM n, range({GMM_PARTS}) t(j))"""]
+    for i in range(1, GMM_ITERATIONS + 1):
+        ctes.append(f"""d{i} AS (SELECT v, c, j, w / sqrt(2 * pi() * s) * exp(-(v - m) * (v - m) / (2 * s)) AS d FROM f, p{i - 1})""")
+        ctes.append(f"""r{i} AS (SELECT v, c, j, d / sum(d) OVER (PARTITION BY v) AS r FROM d{i})""")
+        ctes.append(f"""q{i} AS (SELECT j, sum(c * r) AS a, sum(c * r * v) AS b, sum(c * r * v * v) AS e FROM r{i} GROUP BY j)""")
+        ctes.append(f"""p{i} AS (SELECT j, a / n AS w, b / a AS m,
+      greatest(0, e / a - (b / a) * (b / a)) + {_d(density.VARIANCE_FLOOR)} AS s FROM q{i}, n)""")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT grid_idx, x, round(sum(w / sqrt(2 * pi() * s) * exp(-((x - m) * (x - m)) / (2 * s))), {GMM_DIGITS}) AS density
+FROM g, p{GMM_ITERATIONS} GROUP BY grid_idx, x"""
+
+
+@register("gmm_density", _gmm_sql())
 def gmm_density(spark, sf_dir):
-    """13-component Gaussian mixture of event values, density on the grid (MLlib;
-    starting points differ between libraries, so no SQL oracle)."""
+    """13-component Gaussian mixture of event values, density on the grid."""
     ev = load(spark, sf_dir, "events")
-    return density.gaussian_mixture_density(ev, "value", 13, 42, GRID_LO, GRID_HI, GRID_N)
+    return rounded(density.gaussian_mixture_density(ev, "value", GMM_PARTS, GRID_LO, GRID_HI, GRID_N, GMM_ITERATIONS),
+                   "density", digits=GMM_DIGITS)
 
 
 # ---------------------------------------------------------------- nested prices

@@ -36,25 +36,6 @@ def load_spread(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> Data
     return spread(df)
 
 
-def by_key(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """Hash-partition by ``key``.
-
-    Per-key pipelines (explode -> broadcast join -> regroup by the same key) then run
-    without another shuffle: Spark sees the existing partitioning.  One shuffle of the
-    rows replaces a shuffle of their (larger) exploded pieces.  Without an explicit
-    count the shuffle uses ``spark.sql.shuffle.partitions`` and AQE may coalesce small
-    partitions (keeping the cluster's parallelism by default).
-    """
-    return df.repartition(partitions, key) if partitions else df.repartition(key)
-
-
-def load_by_key(spark: SparkSession, sf_dir: str, name: str, key: str, *cols: str) -> DataFrame:
-    df = load(spark, sf_dir, name)
-    if cols:
-        df = df.select(*cols)
-    return by_key(df, key)
-
-
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     for t in TABLES:
         load(spark, sf_dir, t).createOrReplaceTempView(t)

@@ -78,6 +78,11 @@ def test_gmm_density_integrates(spark):
     rng = np.random.default_rng(5)
     x = np.concatenate([rng.normal(0, 1, 500), rng.normal(10, 2, 500)])
     df = spark.createDataFrame([(float(v),) for v in np.round(x, 2)], "v double")
-    g = density.gaussian_mixture_density(df, "v", 2, 42, -10.0, 30.0, 1000)
+    g = density.gaussian_mixture_density(df, "v", 2, -10.0, 30.0, 1000, iterations=30)
+    layouts = [density.gaussian_mixture(df.repartition(n), "v", 2, 30) for n in (8, 13)]
+    for a, b in zip(*layouts):
+        assert np.allclose(a, b, rtol=1e-9)
+    assert sorted(round(m) for _, m, _ in layouts[0]) == [0, 10]
+    assert density.gaussian_mixture(df.where("v > 99"), "v", 2) == []
     mass = g.agg(F.sum("density")).first()[0] * 40.0 / 999
     assert abs(mass - 1.0) < 0.02
