@@ -57,9 +57,8 @@ def unnest_prices(df: DataFrame, id_col: str, text_col: str, drop_sparse: bool =
 
 def price_parse_report(df: DataFrame, text_col: str) -> DataFrame:
     """One row: lists present, lists parsed, lists rejected (from one parse)."""
-    ok = df.select(F.col(text_col).isNotNull().alias("here"), parse_price_list(text_col).isNotNull().alias("ok"))
-    return ok.agg(F.count_if("here").alias("lists"), F.count_if("ok").alias("parsed"),
-                  F.count_if(F.col("here") & ~F.col("ok")).alias("rejected"))
+    got = df.agg(F.count(text_col).alias("lists"), F.count(parse_price_list(text_col)).alias("parsed"))
+    return got.withColumn("rejected", F.col("lists") - F.col("parsed"))
 
 
 def bad_price_lists(df: DataFrame, text_col: str) -> DataFrame:

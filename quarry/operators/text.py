@@ -125,16 +125,16 @@ def language_of(text_col: str | Column, stop_words: Mapping[str, Sequence[str]]
     langs = sorted(stop_words)
 
     def hits_of(tokens: Column, words: Sequence[str]) -> Column:
-        return F.size(F.filter(tokens, lambda t: t.isin(*words)))
+        return F.coalesce(F.size(F.filter(tokens, lambda t: t.isin(*words))), F.lit(0))
 
     def best(tokens: Column) -> Column:
         hits = [hits_of(tokens, stop_words[k]) for k in langs]
-        rank = F.array(*[F.struct((-h).alias("h"), F.lit(k).alias("lang")) for h, k in zip(hits, langs)])
-        return F.array_min(rank)
+        none = F.struct(F.lit(0).alias("h"), F.lit(0).alias("o"), F.lit(UNDETECTABLE).alias("lang"))
+        return F.array_min(F.array(none, *[F.struct((-h).alias("h"), F.lit(1).alias("o"), F.lit(k).alias("lang"))
+                                           for h, k in zip(hits, langs)]))
 
     # through a one-element array, so that the tokens are split once for all languages
-    top = F.transform(F.array(tx.letter_tokens(text_col)), best)[0]
-    return F.when(top["h"] < 0, top["lang"]).otherwise(F.lit(UNDETECTABLE))
+    return F.transform(F.array(tx.letter_tokens(text_col)), best)[0]["lang"]
 
 
 def tag_language(df: DataFrame, id_col: str, text_col: str,
