@@ -178,3 +178,24 @@ def test_oracle_of_exact_dedup(spark):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{MEDIUM}/documents.parquet'")
     want = sorted(con.execute(queries.ORACLE["op6_exact_dedup"]).fetchall())
     assert sorted(tuple(r) for r in queries.QUERIES["op6_exact_dedup"](spark, MEDIUM).collect()) == want
+
+
+def test_pipeline_equals_brute_force(spark):
+    from tests.llm.test_duplicates import norm, plain_components, plain_fingerprint
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{SMALL}/documents.parquet' ORDER BY doc_id").fetchall()
+    bench = [decontaminate.plain(t) for (t,) in duckdb.sql(f"SELECT text FROM '{SMALL}/benchmark.parquet'").fetchall()]
+    rows = [r for r in rows if r[1] and re.search(r"[^\W\d_]", r[1])]
+    first = {}
+    for i, t in rows:
+        first.setdefault(norm(t), (i, t))
+    rows = list(first.values())
+    roots = plain_components([plain_fingerprint(t) for _, t in rows], 3)
+    rows = [r for k, r in enumerate(rows) if roots[k] == k]
+    want = [i for i, t in rows if not any(b in decontaminate.plain(t) for b in bench)]
+    got = corpus_pipeline.run(spark, SMALL)
+    assert sorted(r.doc_id for r in got.collect()) == want
+    import sentencepiece
+    import public_tokenizers
+    lib = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    texts = dict(rows)
+    assert {r.doc_id: r.n_tokens for r in got.collect()} == {i: len(lib.encode(texts[i])) + 1 for i in want}
