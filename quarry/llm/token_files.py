@@ -8,7 +8,7 @@ selective reads: ``read_metadata`` never touches the token pages and ``read_toke
 the row groups and pages outside its range of documents.
 
 Encoding runs the tokenizers library on the distinct space-separated words of a batch, many
-in one text, and joins their ids.  With the byte-level pattern a token never holds a non-space character
+in one text, and gathers their ids in Arrow.  With the byte-level pattern a token never holds a non-space character
 followed by a space, so every such place is a boundary; a line feed between two non-space
 characters is a token of its own.  Texts with other or adjacent white space go to the
 library whole.
@@ -26,12 +26,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from quarry.llm.common import Memo, broadcast_file, chunks, per_worker, whole_text
+from quarry.llm.common import broadcast_file, chunks, per_worker, whole_text
 
 SCHEMA = ("doc_id long, file_key int, local_start long, n_tokens long, "
           "ids array<int>")
@@ -53,9 +54,13 @@ def parquet_options(row_group_bytes: int = 32 << 20, page_bytes: int = 256 << 10
 
 
 class WordEncoder:
-    """Ids of whole texts as little-endian 32-bit integers, by way of distinct words."""
+    """Ids of whole texts, by way of their distinct words; all steps but the library's own
+    run on Arrow arrays.
 
-    def __init__(self, vocabulary: bytes):
+    Words met before are kept with their ids, ``limit`` of them at most (and one call's
+    words); beyond that, the half used least recently goes."""
+
+    def __init__(self, vocabulary: bytes, limit: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -64,43 +69,73 @@ class WordEncoder:
         # a space or line feed only ever begins a token, and each word begins with one
         size = self.tokenizer.get_vocab_size()
         self.begins = np.array([(self.tokenizer.id_to_token(i) or "")[:1] in ("\u0120", "\u010a") for i in range(size)])
-        self.words = Memo(self._words)
-        self.firsts = Memo(self._library, limit=50_000)
+        self.limit, self.clock = limit, 0
+        self.words, self.ids = pa.array([], pa.string()), _lists([])
+        self.used = np.zeros(0, np.int64)
 
-    def _library(self, texts: list[str]) -> list[bytes]:
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words, empty for one with other white space in it; the library
-        gets many words in one text, which is cut where words begin."""
-        out, plain = dict.fromkeys(words, b""), []
-        for w in words:
-            body = w[1:] if w[:1] == "\n" else w
-            if body.split() == [body]:
-                plain.append(w)
+        return [np.array(e.ids, np.int32) for e in found]
+
+    def _encode_words(self, words: list[str]) -> pa.ListArray:
+        """Ids of distinct words that follow a space (or begin with a line feed), empty for
+        one with other white space in it; the library gets many words in one text, which is
+        cut where words begin."""
+        plain = [i for i, w in enumerate(words) if (body := w[1:] if w[:1] == "\n" else w).split() == [body]]
+        sizes, flat = np.zeros(len(words), np.int64), []
         for at in range(0, len(plain), 512):
             part = plain[at:at + 512]
-            raw = self._library(["".join([w if w[0] == "\n" else " " + w for w in part])])[0]
-            cuts = np.append(np.flatnonzero(self.begins[np.frombuffer(raw, "<u4")]) * 4, len(raw)).tolist()
-            if len(cuts) != len(part) + 1:
+            ids = self._library(["".join([w if w[0] == "\n" else " " + w for w in map(words.__getitem__, part)])])[0]
+            cuts = np.append(np.flatnonzero(self.begins[ids]), len(ids))
+            if len(cuts) != len(part) + 1 or cuts[0]:
                 raise ValueError("the vocabulary does not begin every word with a white-space token")
-            out.update(zip(part, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
-        return list(out.values())
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split, keys = [], []
-        for t in texts:
-            pieces = t.replace("\n", " \n").split(" ")
-            keys += pieces[1:]
-            split.append((pieces[0], len(keys)))
-        found, at, out = self.words.look(keys), 0, []
-        for t, (first, end), head in zip(texts, split, self.firsts.look([f for f, _ in split])):
-            own = found[at:end]
-            regular = first.split() == [first] and b"" not in own
-            out.append(head + b"".join(own) if regular else self._library([t])[0])
-            at = end
-        return out
+            sizes[part] = np.diff(cuts)
+            flat.append(ids)
+        return _lists(flat, sizes)
+
+    def _look(self, words: pa.Array) -> pa.ListArray:
+        """Ids of distinct words, from those met before or from the library."""
+        self.clock += 1
+        at = pc.index_in(words, value_set=self.words)
+        if at.null_count:
+            new = words.filter(at.is_null())
+            if len(self.words) + len(new) > self.limit:
+                keep = np.sort(np.argsort(self.used, kind="stable")[len(self.used) // 2:])
+                keep = np.union1d(keep, at.drop_null().to_numpy())
+                self.words, self.ids, self.used = self.words.take(keep), self.ids.take(keep), self.used[keep]
+            self.words = pa.concat_arrays([self.words, new])
+            self.ids = pa.concat_arrays([self.ids, self._encode_words(new.to_pylist())])
+            self.used = np.append(self.used, np.zeros(len(new), np.int64))
+            at = pc.index_in(words, value_set=self.words)
+        self.used[at.to_numpy()] = self.clock
+        return self.ids.take(at)
+
+    def __call__(self, texts: pa.Array, end_id: int) -> pa.ListArray:
+        """The ids of every text, ``end_id`` last."""
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        bounds = split.offsets.to_numpy().astype(np.int64)
+        pieces = split.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
+        bounds = bounds - bounds[0]
+        words, at = self._look(pieces.dictionary), pieces.indices.to_numpy().astype(np.int64)
+        # a text whose words do not cut at single spaces or line feeds goes to the library whole
+        heads = pieces.dictionary.take(pa.array(at[bounds[:-1]])).to_pylist()
+        odd = (np.diff(words.offsets.to_numpy()) == 0)[at]
+        odd[bounds[:-1]] = [h.split() != [h] for h in heads]
+        whole = np.logical_or.reduceat(odd, bounds[:-1])
+        own = [t if w else h for t, w, h in zip(texts.to_pylist(), whole.tolist(), heads)]
+        none, end = len(words) + len(own), len(words) + len(own) + 1
+        table = pa.concat_arrays([words, _lists(self._library(own)), _lists([np.array([], np.int32), np.array([end_id], np.int32)])])
+        at[np.repeat(whole, np.diff(bounds))] = none
+        at[bounds[:-1]] = len(words) + np.arange(len(own))
+        found = table.take(pa.array(np.insert(at, bounds[1:], end)))
+        return pa.ListArray.from_arrays(found.offsets.take(pa.array(bounds + np.arange(len(bounds)))), found.values)
+
+
+def _lists(parts: list[np.ndarray], sizes: np.ndarray | None = None) -> pa.ListArray:
+    """Lists of 32-bit ids: one a part, or of the given sizes over all parts."""
+    sizes = np.array([len(x) for x in parts], np.int64) if sizes is None else sizes
+    flat = np.concatenate(parts) if parts else np.array([], np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(flat, pa.int32()))
 
 
 def encode(docs: DataFrame, vocabulary: str, end_id: int = 0) -> DataFrame:
@@ -108,7 +143,6 @@ def encode(docs: DataFrame, vocabulary: str, end_id: int = 0) -> DataFrame:
     ``end_id``; see SCHEMA.  ``file_key`` numbers the ranges in order and ``local_start``
     counts the ids before a document within its range."""
     held = broadcast_file(docs.sparkSession, vocabulary)
-    end = np.array([end_id], "<u4").tobytes()
     rows = (docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"))
                 .withColumn("h", F.xxhash64("text"))
                 .repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h"))
@@ -117,19 +151,16 @@ def encode(docs: DataFrame, vocabulary: str, end_id: int = 0) -> DataFrame:
         encoder, key, start = per_worker(WordEncoder, held.value), TaskContext.get().partitionId(), 0
         for batch in batches:
             at = 0
-            for part in chunks(batch.column("text")):
-                ids = [x + end for x in encoder(part.to_pylist())]
-                counts = np.array([len(x) >> 2 for x in ids], np.int64)
-                ends = np.cumsum(counts)
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], ends]).astype(np.int32)),
-                    pa.array(np.frombuffer(b"".join(ids), "<i4")))
+            for part in chunks(batch.column("text"), rows=1 << 16, nbytes=8 << 20):
+                lists = encoder(part, end_id)
+                ends = lists.offsets.to_numpy().astype(np.int64)
+                counts = np.diff(ends)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(at, len(ids)),
-                     pa.array(np.full(len(ids), key, np.int32)),
-                     pa.array(start + ends - counts), pa.array(counts), lists],
+                    [batch.column("doc_id").slice(at, len(part)),
+                     pa.array(np.full(len(part), key, np.int32)),
+                     pa.array(start + ends[:-1]), pa.array(counts), lists],
                     names=["doc_id", "file_key", "local_start", "n_tokens", "ids"])
-                at, start = at + len(ids), start + int(ends[-1])
+                at, start = at + len(part), start + int(ends[-1])
 
     return rows.mapInArrow(run, SCHEMA)
 
