@@ -12,18 +12,16 @@ table -- as many rows as partitions -- is broadcast.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import shared_folder
 
 
 def materialize(df: DataFrame, tag: str = "table") -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-{tag}-{uuid.uuid4().hex}"
+    path = shared_folder(spark, tag)
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
 

@@ -150,6 +150,39 @@ QC_FLAG_CODES = {
 }
 
 
+# code -> meaning; codes are case-sensitive.
+SOURCE_FLAG_CODES = {
+    "0": "US Cooperative Summary of the Day",
+    "6": "CDMP Cooperative Summary of the Day",
+    "7": "US Cooperative Summary of the Day Transmitted via WxCoder3",
+    "A": "Automated Surface Observing System real time data since January 1 2006",
+    "a": "Australian data from the Australian Bureau of Meteorology",
+    "B": "US ASOS data for October 2000 to December 2005",
+    "b": "Belarus update",
+    "C": "Environment Canada",
+    "E": "European Climate Assessment and Dataset",
+    "F": "US Fort data",
+    "G": "Official Global Climate Observing System",
+    "H": "High Plains Regional Climate Center real time data",
+    "I": "International collection non U.S. data received through personal contacts",
+    "K": "US Cooperative Summary of the Day data digitized from paper observer forms",
+    "M": "Monthly METAR Extract",
+    "N": "Community Collaborative Rain Hail and Snow",
+    "Q": "Data from several African countries that had been quarantined",
+    "R": "Climate Reference Network and Historical Climatology Network Modernized",
+    "r": "All Russian Research Institute of Hydrometeorological Information World Data Center",
+    "S": "Global Summary of the Day",
+    "s": "China Meteorological Administration National Meteorological Information Center",
+    "T": "SNOwpack TELemtry data obtained from the Western Regional Climate Center",
+    "U": "Remote Automatic Weather Station data obtained from the Western Regional Climate Center",
+    "u": "Ukraine update",
+    "W": "WBAN ASOS Summary of the Day from Integrated Surface Data ISD",
+    "X": "US First Order Summary of the Day",
+    "Z": "Datzilla official additions or replacements",
+    "z": "Uzbekistan update",
+}
+
+
 def code_table(spark, codes: dict[str, str], code_col: str = "code",
                desc_col: str = "description") -> DataFrame:
     return spark.createDataFrame(sorted(codes.items()), f"{code_col} string, {desc_col} string")

@@ -2,6 +2,6 @@
 state the same result.  Importing this package fills the registry."""
 
 from quarry.plans.registry import ORACLE, QUERIES, register
-from quarry.plans import tabular, textual, vectorial, models  # noqa: F401  (registration)
+from quarry.plans import tabular, textual, vectorial, models, transfers  # noqa: F401  (registration)
 
 __all__ = ["ORACLE", "QUERIES", "register"]

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -65,6 +66,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def shared_folder(spark: SparkSession, tag: str) -> str:
+    """A new folder name under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-{tag}-{uuid.uuid4().hex}"
+
+
 def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20,
                broadcast_bytes: int = 64 << 20) -> dict[str, str]:
     """Session settings sized for a given input volume and cluster (pass to

@@ -8,6 +8,7 @@ back through ``spread`` so later per-row work is not stuck in one task per file.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -122,6 +123,16 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
                       strip_unicode("value").alias("value"))
 
 
+def number_across_files(lines: DataFrame) -> DataFrame:
+    """The files of ``read_lines`` as one text: (line_no, value) with line numbers that run
+    on from file to file in the order of the file names.  The window is over one row per
+    file."""
+    sizes = lines.groupBy("file").agg((F.max("line_no") + 1).alias("__n"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    offs = sizes.select("file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    return lines.join(offs, "file").select((F.col("__off") + F.col("line_no")).alias("line_no"), "value")
+
+
 def pair_lines(left: DataFrame, right: DataFrame, left_name: str = "src",
                right_name: str = "tgt", strict: bool = True) -> DataFrame:
     """Pair two line tables by line number.  Extra lines of the right side are
@@ -136,11 +147,12 @@ def pair_lines(left: DataFrame, right: DataFrame, left_name: str = "src",
 
 def read_years(spark: SparkSession, base: str, years: Sequence[int] | None, schema: str,
                pattern: str = "{year}.csv.gz", header: bool = False) -> DataFrame:
-    """A list of yearly files as one table, with the year taken from the file name;
-    ``years=None`` loads the current year (X13)."""
+    """A list of yearly files (or folders) as one table, with the year taken from the
+    part of the path that ``pattern`` stands for; ``years=None`` loads the current year (X13)."""
     if years is None:
         years = [spark.range(1).select(F.year(F.current_date())).first()[0]]
     paths = [f"{base.rstrip('/')}/{pattern.format(year=y)}" for y in years]
     df = read_csv_schema(spark, paths, schema, header)
+    before, after = (re.escape(p) for p in pattern.split("{year}"))
     return spread(df.withColumn("file_year", F.regexp_extract(
-        F.col("_metadata.file_name"), r"(\d{4})", 1).cast("int")))
+        F.col("_metadata.file_path"), rf"/{before}(\d{{4}}){after}(?:/[^/]*)?$", 1).cast("int")))

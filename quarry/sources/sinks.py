@@ -10,9 +10,18 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
-    """K1/K2: CSV with a header row; no row-index column is written."""
-    df.write.mode(mode).option("header", header).csv(path)
+def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite",
+              doubled_quotes: bool = False, partition_by: Sequence[str] = (), **options: str) -> None:
+    """K1/K2: CSV with a header row; no row-index column is written.  White space at the
+    ends of a field is kept.  ``doubled_quotes`` writes a quote inside a field as two
+    (what ``read_csv_quoted`` expects) instead of with a backslash."""
+    w = (df.write.mode(mode).option("header", header).options(**options)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    if doubled_quotes:
+        w = w.option("escape", '"')
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (),
@@ -33,9 +42,12 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     w.parquet(path)
 
 
-def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
-    """K4: managed table in the session catalog."""
-    df.write.mode(mode).saveAsTable(name)
+def save_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | None = None) -> None:
+    """K4: table in the session catalog, managed unless a ``path`` for its files is given."""
+    w = df.write.mode(mode)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
 
 
 @contextmanager

@@ -7,9 +7,9 @@ whole landing folder (late files may change old days) and overwrites just those
 partitions (dynamic overwrite).  Re-running a batch rewrites the same partitions, so a
 retried batch leaves the same result.
 
-At scale, land the files under one folder per year (or keep one file per year, as the
-yearly archive does): the re-read of a touched year then lists and scans that year only,
-instead of filtering every file by its date keys.
+With ``year_folder`` the files lie in one folder per year (``<year_folder>=2024/``), as the
+year of their date keys says: the re-read of a touched year then lists and scans that
+year's folder only, instead of filtering every file by its date keys.
 """
 
 from __future__ import annotations
@@ -27,18 +27,19 @@ from quarry.sources.sinks import write_parquet
 def run_incremental_daily(spark: SparkSession, landing_dir: str, stations: DataFrame,
                           out_dir: str, checkpoint_location: str, types: Sequence[str],
                           scaled: Sequence[str] = (), header: bool = True,
-                          partitions: int | None = None) -> None:
-    stream = (spark.readStream.schema(MEASUREMENT_DDL).option("header", header)
-              .csv(landing_dir))
+                          partitions: int | None = None, year_folder: str | None = None) -> None:
+    schema = MEASUREMENT_DDL + (f", {year_folder} string" if year_folder else "")
+    year = F.substring(F.trim("date_key"), 1, 4)
+    stream = spark.readStream.schema(schema).option("header", header).csv(landing_dir)
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         # the distinct years of one batch: a handful of values
-        years = [r[0] for r in batch.select(F.substring(F.trim("date_key"), 1, 4).alias("y"))
+        years = [r[0] for r in batch.select(year.alias("y"))
                  .where(F.col("y").isNotNull()).distinct().collect()]
         if not years:
             return
-        full = read_csv_schema(batch.sparkSession, landing_dir, MEASUREMENT_DDL, header)
-        full = full.where(F.substring(F.trim("date_key"), 1, 4).isin(years))
+        full = read_csv_schema(batch.sparkSession, landing_dir, schema, header)
+        full = full.where((F.col(year_folder) if year_folder else year).isin(years))
         table = daily_table(full, stations, types, scaled=scaled)
         write_parquet(table, out_dir, partition_by=("year",), partitions=partitions)
 
