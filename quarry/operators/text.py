@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as tx
-from quarry.operators.indexing import dense_index
+from quarry.operators.indexing import dense_index, materialize
 
 # Vocabulary specials and their indices.
 SPECIALS = ("<unk>", "<pad>", "<bos>", "<eos>")
@@ -175,11 +175,12 @@ def naive_bayes(train: DataFrame, label: str, tokens: Column, score: DataFrame,
                 smoothing: float = 1.0) -> DataFrame:
     """Multinomial Naive Bayes from counts, add-one smoothing, unsmoothed priors.
 
-    Training is one aggregation of per-token class counts; the vocabulary size, the
-    per-class token totals and the priors are scalar subqueries of the same plan (the
-    count shuffle is shared, nothing is collected).  Scoring joins each scored token to
-    its per-token log-likelihood row and sums per document.  Tokens outside the training
-    vocabulary are ignored; ties go to the smaller class.
+    Training is one aggregation of per-token class counts, written once: the vocabulary
+    size and the per-class token totals are scalar subqueries over that small table, the
+    priors one over the labels.  Scoring explodes each scored text once, joins its tokens to
+    their log-likelihood rows and sums per document; a text without known tokens is scored
+    by the priors.  Tokens outside the training vocabulary are ignored; ties go to the
+    smaller class.  Give ``classes`` to save a pass over the labels.
     """
     if classes is None:  # the class list is a handful of labels
         classes = sorted(r[0] for r in train.select(label).distinct().collect())
@@ -191,7 +192,7 @@ def naive_bayes(train: DataFrame, label: str, tokens: Column, score: DataFrame,
                                  *[F.sum(h).alias(f"c{i}") for i, h in enumerate(hit)])).scalar()
     prior = [docs.getField(f"c{i}") / docs.getField("n") for i in range(k)]
     tok = train.select(label, F.explode(tokens).alias("token"))
-    counts = tok.groupBy("token").agg(*[F.sum(h).alias(f"__n{i}") for i, h in enumerate(hit)])
+    counts = materialize(tok.groupBy("token").agg(*[F.sum(h).alias(f"__n{i}") for i, h in enumerate(hit)]), "counts")
     tot = counts.select(F.struct(F.count(F.lit(1)).alias("v"),
                                  *[F.sum(f"__n{i}").alias(f"t{i}") for i in range(k)])).scalar()
     vsize = tot.getField("v")
@@ -199,10 +200,9 @@ def naive_bayes(train: DataFrame, label: str, tokens: Column, score: DataFrame,
     model = counts.select("token", *[
         F.log((F.col(f"__n{i}") + F.lit(smoothing)) / (totals[i] + F.lit(smoothing) * vsize)).alias(f"__lp{i}")
         for i in range(k)])
-    st = score.select(score_id, F.explode(score_tokens).alias("token"))
-    sums = st.join(model, "token").groupBy(score_id).agg(
+    st = score.select(score_id, F.explode_outer(score_tokens).alias("token"))
+    scored = st.join(model, "token", "left").groupBy(score_id).agg(
         *[F.sum(f"__lp{i}").alias(f"__s{i}") for i in range(k)])
-    scored = score.select(score_id).distinct().join(sums, score_id, "left")
     s = {i: F.coalesce(F.col(f"__s{i}"), F.lit(0.0)) + F.log(prior[i]) for i in range(k)}
     best = F.greatest(*s.values()) if k > 1 else s[0]
     pick = F.lit(classes[-1])
