@@ -6,6 +6,7 @@ import hashlib
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,17 +55,18 @@ def row_type(fields: dict[str, str]) -> pa.DataType:
     return pa.struct([(k, ARROW[t]) for k, t in fields.items()])
 
 
-def text_udf(setup: Callable[[], Callable[[list], list]], fields: dict[str, str]):
+def text_udf(setup: Callable[[], Callable[[list], list]], fields: dict[str, str], **slices: int):
     """A column function from whole texts to a struct of ``fields``.
 
     ``setup()`` runs once per task and returns a function from a list of texts to a list
-    of tuples.  Texts travel in Arrow batches and are handled in slices of a few MB."""
+    of tuples.  Texts travel in Arrow batches and are handled in slices of a few MB
+    (``slices`` as for ``chunks``)."""
     kind = row_type(fields)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         fn = setup()
         for batch in batches:
-            parts = [pa.array(fn(c.to_pylist()), type=kind) for c in chunks(batch)]
+            parts = [pa.array(fn(c.to_pylist()), type=kind) for c in chunks(batch, **slices)]
             yield pa.concat_arrays(parts) if parts else pa.array([], type=kind)
 
     ddl = ", ".join(f"{k} {t}" for k, t in fields.items())
@@ -102,6 +104,45 @@ class Memo:
         return list(map(own.__getitem__, keys))
 
 
+def id_lists(flat: np.ndarray, sizes: Iterable[int]) -> pa.ListArray:
+    """Lists of 32-bit ids of the given sizes, one after another in ``flat``."""
+    ends = np.cumsum(np.fromiter(sizes, np.int64))
+    return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(flat, pa.int32()))
+
+
+class ListMemo:
+    """Id lists of ``fn`` by word, for streams of words that often repeat, in Arrow arrays.
+
+    ``limit`` words are kept at most (and one call's); beyond that, the half used least
+    recently goes."""
+
+    def __init__(self, fn: Callable[[list[str]], pa.ListArray], limit: int = 1_000_000):
+        self.fn, self.limit, self.clock = fn, limit, 0
+        self.words, self.ids = pa.array([], pa.string()), id_lists(np.array([], np.int32), [])
+        self.used = np.zeros(0, np.int64)
+
+    def peek(self, words: pa.Array) -> pa.ListArray:
+        """The lists of words met before, null for others."""
+        return self.ids.take(pc.index_in(words, value_set=self.words))
+
+    def look(self, words: pa.Array) -> pa.ListArray:
+        """The lists of distinct words; missing ones are computed in one call."""
+        self.clock += 1
+        at = pc.index_in(words, value_set=self.words)
+        if at.null_count:
+            new = words.filter(at.is_null())
+            if len(self.words) + len(new) > self.limit:
+                keep = np.argsort(self.used, kind="stable")[len(self.used) // 2:]
+                keep = np.union1d(keep, at.drop_null().to_numpy())
+                self.words, self.ids, self.used = self.words.take(keep), self.ids.take(keep), self.used[keep]
+            ids = self.fn(new.to_pylist())
+            self.words, self.ids = pa.concat_arrays([self.words, new]), pa.concat_arrays([self.ids, ids])
+            self.used = np.append(self.used, np.zeros(len(new), np.int64))
+            at = pc.index_in(words, value_set=self.words)
+        self.used[at.to_numpy()] = self.clock
+        return self.ids.take(at)
+
+
 _KEPT: dict = {}
 
 

@@ -24,10 +24,11 @@ import struct
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import Memo, broadcast_file, per_worker, text_udf, whole_text
+from quarry.llm.common import ListMemo, broadcast_file, id_lists, per_worker, text_udf, whole_text
 
 MARK = "▁"
 FIELDS = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
@@ -51,7 +52,7 @@ class PieceModel:
         self.said = [str(i) for i in range(lib.get_piece_size())]
         self.pairs = {a + b for p in self.ids for a, b in zip(p, p[1:])}
         self.closers = {c for c in ".,!?;:" if c in self.ids}
-        self.memo = Memo(self._encode_segments, limit=350_000)
+        self.memo = ListMemo(self._encode_segments, limit=800_000)
 
     def merge(self, text: str) -> list[str]:
         """The pieces of one segment, by the agenda: a list in text order while it is
@@ -106,19 +107,18 @@ class PieceModel:
         return tuple(chain.from_iterable([i] if i is not None else [self.bytes[b] for b in p.encode("utf-8")]
                                          for p, i in zip(pieces, found)))
 
-    def _encode_segments(self, segments: list[str]) -> list[bytes]:
-        """Ids of each segment as 32-bit integers."""
-        known, pairs, found = self.memo.young, self.pairs, []
-        for s in segments:
-            # a last character that joins no piece with the one before it stands alone
-            stem = known.get(s[:-1]) if s[-1] in self.closers and s[-2:] not in pairs else None
-            if stem is None:
-                ids = self.piece_ids(self.merge(s.replace(" ", MARK)))
-                found.append(struct.pack(f"<{len(ids)}i", *ids))
-            else:
-                found.append(stem + struct.pack("<i", self.ids[s[-1]]))
+    def _encode_segments(self, segments: list[str]) -> pa.ListArray:
+        """Ids of each segment."""
+        # a last character that joins no piece with the one before it stands alone
+        stems = [s[:-1] if s[-1] in self.closers and s[-2:] not in self.pairs else None for s in segments]
+        known = iter(self.memo.peek(pa.array([s for s in stems if s], pa.string())).to_pylist())
+        found = []
+        for s, stem in zip(segments, stems):
+            ids = next(known) if stem else None
+            ids = self.piece_ids(self.merge(s.replace(" ", MARK))) if ids is None else [*ids, self.ids[s[-1]]]
+            found.append(struct.pack(f"<{len(ids)}i", *ids))
         self.check(segments, found)
-        return found
+        return id_lists(np.frombuffer(b"".join(found), "<i4"), [len(x) >> 2 for x in found])
 
     def check(self, segments: list[str], found: list[bytes]) -> None:
         """The library on the same segments: it adds one mark in front itself, so one
@@ -131,13 +131,13 @@ class PieceModel:
             if struct.pack(f"<{len(ids)}i", *ids) != own and s != " ":
                 raise ValueError(f"pieces of {s!r} differ from the sentencepiece library")
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.segment.findall(x.replace(MARK, " ")) for x in self.library.normalize(texts)]
-        found, out, at = self.memo.look(list(chain.from_iterable(split))), [], 0
-        for segments in split:
-            out.append(np.frombuffer(b"".join(found[at:at + len(segments)]), "<i4").tolist())
-            at += len(segments)
-        return out
+        segments = pa.array(list(chain.from_iterable(split)), pa.string()).dictionary_encode()
+        found = self.memo.look(segments.dictionary).take(segments.indices)
+        bounds, ids = np.append(0, np.cumsum([len(x) for x in split])), found.values.to_numpy()
+        ends = found.offsets.to_numpy()[bounds].tolist()
+        return [ids[a:b] for a, b in zip(ends, ends[1:])]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.library.decode(ids, num_threads=1)
@@ -146,12 +146,14 @@ class PieceModel:
 def round_trips(model: PieceModel, texts: list[str]) -> list[tuple[int, str, str]]:
     """Per text, with an end id: ids, sha256 of the ids, sha256 of the decoded text."""
     end, said = model.library.eos_id(), model.said.__getitem__
-    found = [ids + [end] for ids in model.encode(texts)]
-
     def sha(s: str) -> str:
         return hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
 
-    return [(len(ids), sha(" ".join(map(said, ids))), sha(back)) for ids, back in zip(found, model.decode(found))]
+    out, encoded = [], model.encode(texts)
+    for at in range(0, len(encoded), 256):  # as Python numbers, ids take much more memory
+        found = [[*ids.tolist(), end] for ids in encoded[at:at + 256]]
+        out += [(len(ids), sha(" ".join(map(said, ids))), sha(back)) for ids, back in zip(found, model.decode(found))]
+    return out
 
 
 def encode_documents(docs: DataFrame, model: str) -> DataFrame:
@@ -162,4 +164,4 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
         own = per_worker(PieceModel, held.value)
         return lambda texts: round_trips(own, texts)
 
-    return docs.select(F.col("doc_id"), text_udf(setup, FIELDS)(whole_text()).alias("__r")).select("doc_id", "__r.*")
+    return docs.select(F.col("doc_id"), text_udf(setup, FIELDS, rows=4096, nbytes=6 << 20)(whole_text()).alias("__r")).select("doc_id", "__r.*")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from quarry.llm.common import broadcast_file, chunks, per_worker, whole_text
+from quarry.llm.common import ListMemo, broadcast_file, chunks, id_lists, per_worker, whole_text
 
 SCHEMA = ("doc_id long, file_key int, local_start long, n_tokens long, "
           "ids array<int>")
@@ -55,12 +55,9 @@ def parquet_options(row_group_bytes: int = 32 << 20, page_bytes: int = 256 << 10
 
 class WordEncoder:
     """Ids of whole texts, by way of their distinct words; all steps but the library's own
-    run on Arrow arrays.
+    run on Arrow arrays."""
 
-    Words met before are kept with their ids, ``limit`` of them at most (and one call's
-    words); beyond that, the half used least recently goes."""
-
-    def __init__(self, vocabulary: bytes, limit: int = 1_000_000):
+    def __init__(self, vocabulary: bytes, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -69,9 +66,7 @@ class WordEncoder:
         # a space or line feed only ever begins a token, and each word begins with one
         size = self.tokenizer.get_vocab_size()
         self.begins = np.array([(self.tokenizer.id_to_token(i) or "")[:1] in ("\u0120", "\u010a") for i in range(size)])
-        self.limit, self.clock = limit, 0
-        self.words, self.ids = pa.array([], pa.string()), _lists([])
-        self.used = np.zeros(0, np.int64)
+        self.words = ListMemo(self._encode_words, limit)
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -82,7 +77,7 @@ class WordEncoder:
         one with other white space in it; the library gets many words in one text, which is
         cut where words begin."""
         plain = [i for i, w in enumerate(words) if (body := w[1:] if w[:1] == "\n" else w).split() == [body]]
-        sizes, flat = np.zeros(len(words), np.int64), []
+        sizes, flat = np.zeros(len(words), np.int64), [np.array([], np.int32)]
         for at in range(0, len(plain), 512):
             part = plain[at:at + 512]
             ids = self._library(["".join([w if w[0] == "\n" else " " + w for w in map(words.__getitem__, part)])])[0]
@@ -91,24 +86,7 @@ class WordEncoder:
                 raise ValueError("the vocabulary does not begin every word with a white-space token")
             sizes[part] = np.diff(cuts)
             flat.append(ids)
-        return _lists(flat, sizes)
-
-    def _look(self, words: pa.Array) -> pa.ListArray:
-        """Ids of distinct words, from those met before or from the library."""
-        self.clock += 1
-        at = pc.index_in(words, value_set=self.words)
-        if at.null_count:
-            new = words.filter(at.is_null())
-            if len(self.words) + len(new) > self.limit:
-                keep = np.sort(np.argsort(self.used, kind="stable")[len(self.used) // 2:])
-                keep = np.union1d(keep, at.drop_null().to_numpy())
-                self.words, self.ids, self.used = self.words.take(keep), self.ids.take(keep), self.used[keep]
-            self.words = pa.concat_arrays([self.words, new])
-            self.ids = pa.concat_arrays([self.ids, self._encode_words(new.to_pylist())])
-            self.used = np.append(self.used, np.zeros(len(new), np.int64))
-            at = pc.index_in(words, value_set=self.words)
-        self.used[at.to_numpy()] = self.clock
-        return self.ids.take(at)
+        return id_lists(np.concatenate(flat), sizes)
 
     def __call__(self, texts: pa.Array, end_id: int) -> pa.ListArray:
         """The ids of every text, ``end_id`` last."""
@@ -116,7 +94,7 @@ class WordEncoder:
         bounds = split.offsets.to_numpy().astype(np.int64)
         pieces = split.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
         bounds = bounds - bounds[0]
-        words, at = self._look(pieces.dictionary), pieces.indices.to_numpy().astype(np.int64)
+        words, at = self.words.look(pieces.dictionary), pieces.indices.to_numpy().astype(np.int64)
         # a text whose words do not cut at single spaces or line feeds goes to the library whole
         heads = pieces.dictionary.take(pa.array(at[bounds[:-1]])).to_pylist()
         odd = (np.diff(words.offsets.to_numpy()) == 0)[at]
@@ -124,20 +102,14 @@ class WordEncoder:
         whole = np.logical_or.reduceat(odd, bounds[:-1])
         own = [t if w else h for t, w, h in zip(texts.to_pylist(), whole.tolist(), heads)]
         none, end = len(words) + len(own), len(words) + len(own) + 1
-        table = pa.concat_arrays([words, _lists(self._library(own)), _lists([np.array([], np.int32), np.array([end_id], np.int32)])])
+        whole_ids = self._library(own)
+        table = pa.concat_arrays([words, id_lists(np.concatenate(whole_ids), map(len, whole_ids)), id_lists([end_id], [0, 1])])
         at[np.repeat(whole, np.diff(bounds))] = none
         at[bounds[:-1]] = len(words) + np.arange(len(own))
         found = table.take(pa.array(np.insert(at, bounds[1:], end)))
         return pa.ListArray.from_arrays(found.offsets.take(pa.array(bounds + np.arange(len(bounds)))), found.values)
 
 
-def _lists(parts: list[np.ndarray], sizes: np.ndarray | None = None) -> pa.ListArray:
-    """Lists of 32-bit ids: one a part, or of the given sizes over all parts."""
-    sizes = np.array([len(x) for x in parts], np.int64) if sizes is None else sizes
-    flat = np.concatenate(parts) if parts else np.array([], np.int32)
-    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(flat, pa.int32()))
-
-
 def encode(docs: DataFrame, vocabulary: str, end_id: int = 0) -> DataFrame:
     """``docs`` (doc_id, text) in ascending doc_id order with their token ids and
     ``end_id``; see SCHEMA.  ``file_key`` numbers the ranges in order and ``local_start``
@@ -151,7 +123,7 @@ def encode(docs: DataFrame, vocabulary: str, end_id: int = 0) -> DataFrame:
         encoder, key, start = per_worker(WordEncoder, held.value), TaskContext.get().partitionId(), 0
         for batch in batches:
             at = 0
-            for part in chunks(batch.column("text"), rows=1 << 16, nbytes=8 << 20):
+            for part in chunks(batch.column("text"), rows=1 << 16, nbytes=6 << 20):
                 lists = encoder(part, end_id)
                 ends = lists.offsets.to_numpy().astype(np.int64)
                 counts = np.diff(ends)
