@@ -26,8 +26,8 @@ a component (with null) only if it has no id; repeated rows share a component.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -74,6 +74,14 @@ class Tree:
         self.levels, self.radius = levels, radius
         self.top, self.fine = self._slices(levels), self._slices(16)
         self.vantage = self._choose(sample)
+        self.steps = [s for s in self._signed(levels, radius) if s >= (0,) * levels]
+
+    @classmethod
+    def _signed(cls, levels: int, budget: int) -> list[tuple[int, ...]]:
+        """Changes of the distances, one a level, that add up to ``budget`` at most."""
+        if not levels:
+            return [()]
+        return [(j, *rest) for j in range(-budget, budget + 1) for rest in cls._signed(levels - 1, budget - abs(j))]
 
     @staticmethod
     def _slices(n: int) -> list[np.uint64]:
@@ -101,10 +109,8 @@ class Tree:
         width = [int(np.bitwise_count(m)) for m in self.top]
         own = [self.distances(codes, m) for m in self.top]
         zero = (0,) * self.levels
-        steps = [s for s in product(range(-self.radius, self.radius + 1), repeat=self.levels)
-                 if sum(map(abs, s)) <= self.radius and s >= zero]
         index, shard, home = [], [], []
-        for s in steps:
+        for s in self.steps:
             at = [d + j for d, j in zip(own, s)]
             fits = np.logical_and.reduce([(a >= 0) & (a <= w) for a, w in zip(at, width)])
             found = np.flatnonzero(fits)
@@ -162,9 +168,13 @@ def shard_links(tree: Tree, codes: np.ndarray, residents: int) -> np.ndarray:
     return root
 
 
-def tree_levels(n: int) -> int:
-    """Slices that name a shard: the more fingerprints, the finer the shards."""
-    return 2 if n <= 50_000_000 else 4 if n <= 20_000_000_000 else 8
+def tree_levels(n: int, most: int = 1_000_000) -> int:
+    """Slices that name a shard: the fewest, two or more, for which evenly spread
+    fingerprints put about ``most`` into the largest shard (that of the middle distances)."""
+    def share(levels: int) -> float:
+        widths = [int(np.bitwise_count(m)) for m in Tree._slices(levels)]
+        return math.prod(math.comb(w, w // 2) / 2 ** w for w in widths)
+    return next((k for k in range(2, 10) if n * share(k) <= most), 10)
 
 
 def links(codes: DataFrame, radius: int, levels: int | None = None) -> DataFrame:
