@@ -123,7 +123,7 @@ def encode(docs: DataFrame, vocabulary: str, end_id: int = 0) -> DataFrame:
         encoder, key, start = per_worker(WordEncoder, held.value), TaskContext.get().partitionId(), 0
         for batch in batches:
             at = 0
-            for part in chunks(batch.column("text"), rows=1 << 16, nbytes=6 << 20):
+            for part in chunks(batch.column("text"), rows=1 << 16, nbytes=4 << 20):
                 lists = encoder(part, end_id)
                 ends = lists.offsets.to_numpy().astype(np.int64)
                 counts = np.diff(ends)
