@@ -28,9 +28,10 @@ def csv_round_trip(spark, sf_dir):
     return _as(files.read_csv_inferred(spark, path), t)
 
 
-@register("quoted_csv_round_trip", "SELECT doc_id, lang, text FROM documents")
+@register("quoted_csv_round_trip", "SELECT doc_id, nullif(lang, '') AS lang, nullif(text, '') AS text FROM documents")
 def quoted_csv_round_trip(spark, sf_dir):
-    """K2 + S2: whole texts with quotes, commas and line breaks."""
+    """K2 + S2: whole texts with quotes, commas and line breaks; an empty field reads as
+    missing, as in pandas."""
     t, path = load(spark, sf_dir, "documents").select("doc_id", "lang", "text"), shared_folder(spark, "quoted")
     sinks.write_csv(t, path, doubled_quotes=True)
     return files.read_csv_quoted(spark, path, "doc_id bigint, lang string, text string")
@@ -82,7 +83,7 @@ def fixed_width_round_trip(spark, sf_dir):
 
 @register("labelled_round_trip", r"""
 SELECT CAST(doc_id AS VARCHAR) AS id, CAST(quality AS INTEGER) AS label, CAST(NULL AS VARCHAR) AS title,
-       regexp_replace(text, '[\t\r\n]', ' ', 'g') AS body
+       nullif(regexp_replace(text, '[\t\r\n]', ' ', 'g'), '') AS body
 FROM documents JOIN labels USING (doc_id)""")
 def labelled_round_trip(spark, sf_dir):
     """Tab-separated id, label, empty title, text."""

@@ -30,7 +30,8 @@ def read_csv_inferred(spark: SparkSession, path: str | Sequence[str]) -> DataFra
 
 def read_csv_quoted(spark: SparkSession, path: str | Sequence[str], schema: str | None = None,
                     header: bool = True) -> DataFrame:
-    """Free text with quotes, embedded commas and line breaks (pandas-like).
+    """Free text with quotes, embedded commas and line breaks (pandas-like); an empty
+    field, quoted or not, is missing.
 
     Multi-line CSV files cannot be split, so each is read by one task; the result is
     spread when there are fewer files than the cluster's parallelism."""

@@ -178,3 +178,40 @@ def test_bucketed_tables_join_without_exchange(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Exchange" not in plan and "SortMergeJoin" in plan
     assert n == li.join(od, "l_orderkey").count()
+
+
+def test_sinks_keep_field_ends_and_years_come_from_the_pattern(spark, tmp_dir):
+    t = spark.createDataFrame([(1, ' "a", b \nc ', 2023), (2, "", 2024), (3, None, 2024)], "k int, s string, y int")
+    sinks.write_csv(t, f"{tmp_dir}/q", doubled_quotes=True)
+    got = files.read_csv_quoted(spark, f"{tmp_dir}/q", "k int, s string, y int")
+    assert sorted(map(tuple, got.collect())) == [(1, ' "a", b \nc ', 2023), (2, None, 2024), (3, None, 2024)]
+    sinks.write_csv(t.select("k", "y"), f"{tmp_dir}/years", header=False, partition_by=("y",), compression="gzip")
+    years = files.read_years(spark, f"{tmp_dir}/years", [2024], "k int", pattern="y={year}")
+    assert sorted(map(tuple, years.collect())) == [(2, 2024), (3, 2024)]
+
+
+def test_lines_numbered_across_files(spark, tmp_dir):
+    spark.range(1000).selectExpr("concat('row ', id) AS value").repartitionByRange(5, "value").sortWithinPartitions("value") \
+        .write.text(f"{tmp_dir}/lines")
+    got = files.number_across_files(files.read_lines(spark, f"{tmp_dir}/lines")).orderBy("line_no").collect()
+    assert [r.line_no for r in got] == list(range(1000))
+    assert [r.value for r in got] == sorted(f"row {i}" for i in range(1000))
+
+
+def test_incremental_load_reads_year_folders(spark, tmp_dir):
+    from quarry.operators.weather import MEASUREMENT_DDL
+    from quarry.streaming.daily import run_incremental_daily
+    stations = spark.createDataFrame([("S1",)], "station_id string")
+
+    def land(*rows):
+        t = spark.createDataFrame([(s, d, "PRCP", v, None, None, None, None, d[:4]) for s, d, v in rows],
+                                  MEASUREMENT_DDL + ", landing_year string")
+        sinks.write_csv(t, f"{tmp_dir}/in", mode="append", partition_by=("landing_year",))
+        run_incremental_daily(spark, f"{tmp_dir}/in", stations, f"{tmp_dir}/out", f"{tmp_dir}/state", ["PRCP"],
+                              year_folder="landing_year")
+        got = spark.read.parquet(f"{tmp_dir}/out")
+        return sorted((r.date_key, r.PRCP_measurement_value) for r in got.collect())
+
+    assert land(("S1", "20230101", 1.0), ("S1", "20240101", 2.0), ("S2", "20240101", 9.0)) == \
+        [("20230101", 1.0), ("20240101", 2.0)]
+    assert land(("S1", "20240101", 5.0)) == [("20230101", 1.0), ("20240101", 5.0)]
