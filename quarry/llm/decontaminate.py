@@ -14,8 +14,8 @@ q-gram index is broadcast and its scan of the documents is one pass without a sh
 
 Items whose budget leaves a bound below one q-gram get a smaller budget, down to none;
 items shorter than q characters are looked up as whole words.  Empty items match nothing.
-Null texts count as empty and match nothing; null ids come through; repeated rows are all
-reported; other columns are ignored.  Whole texts of any length.
+Null texts count as empty and match nothing; null ids come through; repeated documents are
+all reported, repeated items once; other columns are ignored.  Whole texts of any length.
 """
 
 from __future__ import annotations
@@ -186,8 +186,8 @@ class ItemIndex:
 
 
 def item_blocks(items: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple]]:
-    """Items (item_id, text) in blocks of about ``block_chars`` characters."""
-    kept = items.select(F.col("item_id").cast("long"), F.col("text")).filter("text <> ''")
+    """Distinct items (item_id, text) in blocks of about ``block_chars`` characters."""
+    kept = items.select(F.col("item_id").cast("long"), F.col("text")).filter("text <> ''").distinct()
     total = kept.agg(F.sum(F.length("text")).alias("n")).first().n or 0
     blocks = max(1, math.ceil(total / block_chars))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
