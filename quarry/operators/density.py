@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import grid_point
+from quarry.operators.indexing import materialize
+from quarry.operators.profile import exact_quantiles
 
 # exp(-z) is exactly 0.0 in IEEE double for z > ~745.13; 750 leaves a margin.
 _EXP_ZERO = 750.0
@@ -67,40 +69,71 @@ def interpolate(points: DataFrame, col: str, curve: DataFrame, lo: float, hi: fl
 
 
 VARIANCE_FLOOR = 1e-6
+# The fit ends once a step raises the mean log-likelihood of a value by no more than this.
+TOLERANCE = 1e-5
 
 
-def gaussian_mixture(values: DataFrame, col: str, k: int, iterations: int = 8) -> list[tuple[float, float, float]]:
+def _starts(counted: DataFrame, x: DataFrame, k: int) -> list[float]:
+    """k means at even ranks of the values; of the distinct values where a hot value holds
+    several ranks."""
+    probs = [(j + 0.5) / k for j in range(k)]
+    found = exact_quantiles(x, ["v"], probs)
+    if len(set(found.values())) < k:
+        found = exact_quantiles(counted, ["v"], probs)
+    return [found["v", p] for p in probs]
+
+
+def gaussian_mixture(values: DataFrame, col: str, k: int, iterations: int | None = None,
+                     tolerance: float = TOLERANCE) -> list[tuple[float, float, float]]:
     """(weight, mean, variance) of a k-component Gaussian mixture by expectation
-    maximization: a fixed number of iterations from evenly spaced means over the values'
-    range, equal weights and one shared variance, so the result does not depend on how the
-    rows are laid out.  Each iteration is one aggregate of 3 sums per component over the
-    one column it reads; nulls, NaN and infinities are left out.  No values: no components."""
+    maximization, from means at the values' quantiles, equal weights and one shared
+    variance, until the mean log-likelihood rises by ``tolerance`` or less (no bound on the
+    steps; ``iterations`` asks for so many instead).  Equal values are counted once,
+    before the first step; a step is one aggregate of 3 sums per component and the
+    likelihood over the counted rows, so the result does not depend on how the rows are
+    laid out.  Nulls, NaN and infinities are left out; every other value counts at any
+    distance (shares are taken relative to the largest).  No values: no components."""
     v = F.col(col).cast("double")
     x = values.where(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))).select(v.alias("v"))
-    n, lo, hi = x.agg(F.count("v"), F.min("v"), F.max("v")).first()
+    counted = materialize(x.groupBy("v").agg(F.count(F.lit(1)).cast("double").alias("c")), "counted")
+    n = counted.agg(F.sum("c")).first()[0]
     if not n:
         return []
-    width = (hi - lo) / k
-    parts = [(1.0 / k, lo + (j + 0.5) * width, width * width + VARIANCE_FLOOR) for j in range(k)]
-    for _ in range(iterations):
-        shares = [F.lit(w / math.sqrt(2 * math.pi * s)) * F.exp(-(F.col("v") - m) * (F.col("v") - m) / (2 * s))
-                  for w, m, s in parts]
-        dens = x.select("v", *[d.alias(f"d{j}") for j, d in enumerate(shares)])
-        total = sum((F.col(f"d{j}") for j in range(1, k)), F.col("d0"))
-        dens = dens.withColumn("t", total)
-        sums = []
-        for j in range(k):
-            r = F.try_divide(F.col(f"d{j}"), F.col("t"))
-            sums += [F.sum(r), F.sum(r * F.col("v")), F.sum(r * F.col("v") * F.col("v"))]
-        got = dens.agg(*sums).first()
-        parts = [(got[3 * j] / n, got[3 * j + 1] / got[3 * j],
-                  max(0.0, got[3 * j + 2] / got[3 * j] - (got[3 * j + 1] / got[3 * j]) ** 2) + VARIANCE_FLOOR)
-                 if got[3 * j] else (0.0, parts[j][1], parts[j][2]) for j in range(k)]
+    starts = _starts(counted, x, k)
+    parts = [(1.0 / k, m, ((starts[-1] - starts[0]) / k) ** 2 + VARIANCE_FLOOR) for m in starts]
+    best, step = -math.inf, 0
+    while iterations is None or step < iterations:
+        step += 1
+        # one short plan with the parameters as an array literal, so that all steps share
+        # their compiled code
+        given = ", ".join(f"named_struct('a', double('{math.log(w / math.sqrt(2 * math.pi * s)) if w else -math.inf!r}'), "
+                          f"'m', double('{m!r}'), 'h', double('{0.5 / s!r}'))" for w, m, s in parts)
+        logs = counted.select("v", "c", F.expr(f"array({given})").alias("p"))
+        logs = logs.selectExpr("v", "c", "p", "transform(p, q -> q.a - (v - q.m) * (v - q.m) * q.h) AS e")
+        dens = logs.selectExpr("v", "c", "p", "e", "array_max(e) AS top")
+        dens = dens.selectExpr("v", "c", "p", "top", "transform(e, y -> exp(y - top)) AS d")
+        dens = dens.selectExpr("v", "c", "p", "top", "d", "aggregate(d, 0D, (x, y) -> x + y) AS t")
+        shares = dens.selectExpr("c * (top + log(t)) AS l", "posexplode(transform(d, (y, j) -> "
+                                 "named_struct('r', c * y / t, 'o', v - p[j].m))) AS (j, s)")
+        got = {r.j: r for r in shares.groupBy("j").agg(
+            F.sum("l").alias("l"), F.sum("s.r").alias("r"), F.sum(F.expr("s.r * s.o")).alias("by"),
+            F.sum(F.expr("s.r * s.o * s.o")).alias("sq")).collect()}
+        likelihood = got[0].l / n
+        if math.isnan(likelihood):
+            raise ValueError("values so far apart that their squared distance is no double")
+        if iterations is None and likelihood - best <= tolerance:
+            break
+        best = max(best, likelihood)
+        new = []
+        for j, (_, m, s) in enumerate(parts):
+            r, by, sq = got[j].r, got[j].by, got[j].sq
+            new.append((r / n, m + by / r, max(0.0, sq / r - (by / r) ** 2) + VARIANCE_FLOOR) if r else (0.0, m, s))
+        parts = new
     return parts
 
 
 def gaussian_mixture_density(values: DataFrame, col: str, k: int, lo: float, hi: float, n: int,
-                             iterations: int = 8) -> DataFrame:
+                             iterations: int | None = None) -> DataFrame:
     """The fitted mixture's density on the grid."""
     x, dens = F.col("x"), F.lit(0.0)
     for w, m, s in gaussian_mixture(values, col, k, iterations):

@@ -86,3 +86,38 @@ def test_gmm_density_integrates(spark):
     assert density.gaussian_mixture(df.where("v > 99"), "v", 2) == []
     mass = g.agg(F.sum("density")).first()[0] * 40.0 / 999
     assert abs(mass - 1.0) < 0.02
+
+
+def plain_mixture(x, k, tolerance):
+    """Expectation maximization in NumPy, run until the likelihood rises no more."""
+    m = np.quantile(x, [(j + 0.5) / k for j in range(k)])
+    w, s, best = np.full(k, 1 / k), np.full(k, ((m[-1] - m[0]) / k) ** 2 + 1e-6), -np.inf
+    for step in range(100_000):
+        e = np.log(w) - 0.5 * np.log(2 * np.pi * s) - (x[:, None] - m) ** 2 / (2 * s)
+        top = e.max(1)
+        d = np.exp(e - top[:, None])
+        likelihood = np.mean(top + np.log(d.sum(1)))
+        if likelihood - best <= tolerance:
+            return step, likelihood, list(zip(w, m, s))
+        best, r = likelihood, d / d.sum(1)[:, None]
+        a, off = r.sum(0), x[:, None] - m
+        by = (r * off).sum(0) / a
+        w, m, s = a / len(x), m + by, (r * off ** 2).sum(0) / a - by ** 2 + 1e-6
+
+
+def test_gmm_runs_to_its_tolerance(spark):
+    rng = np.random.default_rng(9)
+    x = np.round(np.concatenate([rng.normal(0, 1, 700), rng.normal(3, 1, 300), 5 * rng.standard_cauchy(40)]), 2)
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,), (math.nan,), (math.inf,)], "v double")
+    steps, _, want = plain_mixture(x, 3, density.TOLERANCE)
+    assert steps > 8
+    got = density.gaussian_mixture(df, "v", 3)
+    assert np.allclose(got, want, rtol=1e-6, atol=1e-8)
+    assert not np.allclose(density.gaussian_mixture(df, "v", 3, 8), want, rtol=1e-2)
+
+
+def test_gmm_keeps_far_values_and_hot_values(spark):
+    df = spark.createDataFrame([(0.0,)] * 90 + [(float(v),) for v in range(1, 10)] + [(1e6,)], "v double")
+    got = density.gaussian_mixture(df, "v", 2)
+    assert abs(sum(w for w, _, _ in got) - 1) < 1e-12
+    assert abs(sum(w * m for w, m, _ in got) - (45 + 1e6) / 100) < 1e-3
