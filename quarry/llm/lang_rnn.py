@@ -12,7 +12,8 @@ bound is per_lang x languages windows.  Only text and a non-null label are used,
 documents whose crc32(doc_id as text) mod 4 is not 2; the rest are held out.
 
 Defined results: null texts and texts without a letter read ``und`` with score 0, as does
-every text when nothing can be learned from (no labelled row); a null ``doc_id`` is neither
+every text when nothing can be learned from (no labelled row; ``keep_identified`` then
+rejects the null texts and texts without a letter only); a null ``doc_id`` is neither
 held out nor trained on.  Equal rows give equal results; other columns are ignored.
 """
 
@@ -231,6 +232,12 @@ def predicted(network: Network | None, text: Column) -> Column:
     return text_udf(lambda: lambda texts: label(network, texts), FIELDS)(text)
 
 
+def has_letter(text: Column) -> Column:
+    """Whether a text can be told at all; null for a null text."""
+    found = text_udf(lambda: lambda texts: [(bool(t and LETTER.search(t)),) for t in texts], {"letter": "boolean"})
+    return found(text)["letter"]
+
+
 def identify(docs: DataFrame, network: Network | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row; no shuffle of texts."""
     network = network or train(docs)
@@ -239,7 +246,10 @@ def identify(docs: DataFrame, network: Network | None = None) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least: float = 0.0) -> DataFrame:
-    """The rows with a language (not ``und``) and a score of ``least`` or more."""
+    """The rows with a language (not ``und``) and a score of ``least`` or more; when nothing
+    can be learned from, the rows whose text has a letter."""
     network = train(docs)
+    if network is None:
+        return docs.filter(F.coalesce(has_letter(F.col("text")), F.lit(False)))
     return (docs.select(F.struct("*").alias("__row"), predicted(network, F.col("text")).alias("__r"))
                 .filter((F.col("__r.lang_pred") != "und") & (F.col("__r.score") >= least)).select("__row.*"))

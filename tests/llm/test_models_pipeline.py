@@ -79,6 +79,25 @@ def test_identify_odd_rows(docs_of, small_docs):
     assert lang_rnn.identify(docs.filter("doc_id < -5")).collect() == []
 
 
+def test_unlabelled_corpus_passes_the_language_stage(spark, docs_of, small_docs):
+    from pyspark.sql import functions as F
+    docs = docs_of([(i + 500, t) for i, t in small_docs[:40]] + ODD).withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.language_id(spark, docs, "")
+    assert kept.columns == docs.columns
+    want = [(i + 500, t) for i, t in small_docs[:40]] + ODD
+    want = [r for r in want if r[1] and lang_rnn.LETTER.search(r[1])]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
+def test_unlabelled_corpus_passes_the_pipeline(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs.withColumn("lang", F.lit(None).cast("string")).write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").write.parquet(f"{tmp_dir}/benchmark.parquet")
+    got = {r.doc_id for r in corpus_pipeline.run(spark, tmp_dir).collect()}
+    assert got == {r.doc_id for r in corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()} and got
+
+
 # -- decontamination
 
 def edits_inside(item, text):
