@@ -43,7 +43,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     Each pass re-reads the (pruned) input; ``persist`` keeps the value table cached
     instead, which pays off only when it fits the cluster's memory.  ``stats`` --
     column -> (non-null count, min, max) already known to the caller -- saves the
-    first pass.
+    first pass.  Infinities are counted as ranks below and above the finite values, which
+    alone are refined.
     """
     cols = list(cols)
     spark: SparkSession = df.sparkSession
@@ -51,37 +52,43 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     if persist:
         long = long.persist()
     try:
-        if stats is not None:
-            info = {i: tuple(float(x) if k else x for k, x in enumerate(stats[c]))
+        # column -> (count, finite min, finite max, values at -inf, finite values)
+        if stats is not None and all(math.isfinite(x) for s in stats.values() if s[0] for x in s[1:]):
+            info = {i: (stats[c][0], float(stats[c][1]), float(stats[c][2]), 0, stats[c][0])
                     for i, c in enumerate(cols) if stats[c][0]}
         else:
-            rows = long.groupBy("ci").agg(F.count("*").alias("n"), F.min("v").alias("lo"),
-                                          F.max("v").alias("hi")).collect()
-            info = {r["ci"]: (r["n"], r["lo"], r["hi"]) for r in rows}
+            finite = F.when(F.abs("v") < float("inf"), F.col("v"))
+            rows = long.groupBy("ci").agg(F.count("*").alias("n"), F.min(finite).alias("lo"),
+                                          F.max(finite).alias("hi"), F.count(finite).alias("within"),
+                                          F.count_if(F.col("v") == float("-inf")).alias("under")).collect()
+            info = {r["ci"]: (r["n"], r["lo"], r["hi"], r["under"], r["within"]) for r in rows}
         # target (ci, rank) -> [lo, hi, below]; resolved -> value
         pending: dict[tuple[int, int], list] = {}
         resolved: dict[tuple[int, int], float] = {}
         for ci in info:
-            n, lo, hi = info[ci]
+            n, lo, hi, under, within = info[ci]
             for p in probs:
                 h = (n - 1) * p
                 for r in {math.floor(h), math.ceil(h)}:
-                    if lo == hi:
+                    if not under <= r < under + within:
+                        resolved[(ci, r)] = math.copysign(math.inf, r - under)
+                    elif lo == hi:
                         resolved[(ci, r)] = lo
                     else:
-                        pending[(ci, r)] = [lo, hi, 0]
+                        pending[(ci, r)] = [lo, hi, under]
         passes = 0
         while pending and passes < max_passes:
             passes += 1
             intervals = sorted({(ci, st[0], st[1]) for (ci, _), st in pending.items()})
             iv = spark.createDataFrame(
-                [(k, ci, lo, hi) for k, (ci, lo, hi) in enumerate(intervals)],
-                "k int, ci int, lo double, hi double")
+                # halved first where the width is no double
+                [(k, ci, lo, hi, 1.0 if math.isfinite(hi - lo) else 0.5) for k, (ci, lo, hi) in enumerate(intervals)],
+                "k int, ci int, lo double, hi double, f double")
             # the interval table has at most (columns x probs x 2) rows
             hits = long.join(F.broadcast(iv), "ci").where(
                 (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-            b = F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
-                                * F.lit(buckets)), F.lit(buckets - 1))
+            v, low, high = (F.col(c) * F.col("f") for c in ("v", "lo", "hi"))
+            b = F.least(F.floor((v - low) / (high - low) * F.lit(buckets)), F.lit(buckets - 1))
             hist = (hits.groupBy("k", b.alias("b"))
                         .agg(F.count("*").alias("c"), F.min("v").alias("mn"),
                              F.max("v").alias("mx"))
@@ -140,10 +147,17 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         for p in probs:
             h = (n - 1) * p
             a, bv = resolved[(ci, math.floor(h))], resolved[(ci, math.ceil(h))]
-            out[(c, p)] = a + (h - math.floor(h)) * (bv - a)
+            out[(c, p)] = _between(a, bv, h - math.floor(h))
     return out
 
 
+def _between(a: float, b: float, share: float) -> float:
+    """The point a ``share`` of the way from a to b."""
+    if a == b or not share:
+        return a
+    return a + share * (b - a) if math.isfinite(b - a) else (1 - share) * a + share * b
+
+
 DESCRIBE_SCHEMA = ("column string, count bigint, mean double, std double, min double, "
                    "q25 double, q50 double, q75 double, max double")
 

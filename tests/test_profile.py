@@ -44,3 +44,27 @@ def test_histogram_correlation_pairs_extremes(spark):
     kinds = {(r.kind, r.rank): r.id for r in ex}
     assert kinds[("first", 1)] == 30 and kinds[("last", 1)] == 0
     assert kinds[("argmin", 1)] == 30 and kinds[("argmax", 1)] == 0
+
+
+def test_quantiles_with_infinities_and_the_widest_range(spark):
+    inf = float("inf")
+    probs = (0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0)
+    a = [-inf] * 3 + [float(i) for i in range(40)] + [inf] * 2
+    b = [-1e308, 1e308] + [float(i) for i in range(43)]
+    c = [inf] * 45
+    df = spark.createDataFrame(list(zip(a, b, c)), "a double, b double, c double").repartition(4)
+    qs = profile.exact_quantiles(df, ["a", "b", "c"], probs, buckets=8, final_rows=2)
+    for p in probs:
+        for name, values in (("a", a), ("b", b), ("c", c)):
+            h = sorted(values)
+            k, share = divmod((len(h) - 1) * p, 1)
+            lo, hi = h[int(k)], h[min(int(k) + 1, len(h) - 1)]
+            want = lo if lo == hi or not share else (1 - share) * lo + share * hi
+            assert qs[(name, p)] == want or abs(qs[(name, p)] - want) < 1e-9, (name, p)
+
+
+def test_describe_with_infinities(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(float(v),) for v in (-inf, 1, 2, 3, 4, 5, inf)], "x double")
+    d = profile.describe(df, ["x"], digits=3).first()
+    assert (d["count"], d["min"], d["q25"], d["q50"], d["q75"], d["max"]) == (7, -inf, 1.5, 3.0, 4.5, inf)
