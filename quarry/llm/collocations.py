@@ -38,6 +38,7 @@ from quarry.llm.common import chunks, whole_text, written
 
 EVERY, LONGEST = 32, 128
 LEAST_BITS, MOST_BITS = 16, 29
+PARTS = 32
 SLICE = 6 << 20
 MARK = "\n"  # between pieces; no word holds a line break
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -259,7 +260,10 @@ def collocations(docs: DataFrame, longest: int = 4, least: int = 30, scale: int
     kept = best.join(inside, ["lang", "phrase"], "left").filter(
         F.col("outer").isNull() | (F.col("outer").cast("decimal(19,0)") * 100 < F.col("a").cast("decimal(19,0)") * share))
     words_of = every_word.groupBy("lang").agg(F.sum("n").alias("words"))
-    order = Window.partitionBy("lang").orderBy(F.desc("c.score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
-    return ranked.join(words_of, "lang").select("lang", F.col("rank").cast("long"), "phrase", "a", F.col("c.l").alias("l"), F.col("c.r").alias("r"),
+    best_first = (F.desc("c.score"), F.desc("a"), F.col("phrase"))
+    def ranked(rows: DataFrame, *by) -> DataFrame:
+        return rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang", *by).orderBy(*best_first))).filter(F.col("rank") <= top)
+    # first within parts of a language, so that the last task of a language reads a fixed number of rows
+    kept = ranked(ranked(kept, F.pmod(F.xxhash64("phrase"), F.lit(PARTS))))
+    return kept.join(words_of, "lang").select("lang", F.col("rank").cast("long"), "phrase", "a", F.col("c.l").alias("l"), F.col("c.r").alias("r"),
                                                 F.col("words").alias("n"), F.col("c.score").cast("long").alias("score"))
