@@ -110,7 +110,7 @@ class PieceModel:
     def _encode_segments(self, segments: list[str]) -> pa.ListArray:
         """Ids of each segment."""
         # a last character that joins no piece with the one before it stands alone
-        stems = [s[:-1] if s[-1] in self.closers and s[-2:] not in self.pairs else None for s in segments]
+        stems = [s[:-1] if s[-1] in self.closers and s[-2:].replace(" ", MARK) not in self.pairs else None for s in segments]
         known = iter(self.memo.peek(pa.array([s for s in stems if s], pa.string())).to_pylist())
         found = []
         for s, stem in zip(segments, stems):
