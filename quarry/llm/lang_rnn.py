@@ -11,7 +11,7 @@ hashes of doc_id) and one window of ``train_window`` bytes from a hashed place i
 bound is per_lang x languages windows.  Only text and a non-null label are used, of
 documents whose crc32(doc_id as text) mod 4 is not 2; the rest are held out.
 
-Defined results: null texts and texts without a letter read ``und`` with score 0, as does
+Defined results: null texts and texts without a letter (category L) read ``und`` with score 0, as does
 every text when nothing can be learned from (no labelled row; ``keep_identified`` then
 rejects the null texts and texts without a letter only); a null ``doc_id`` is neither
 held out nor trained on.  Equal rows give equal results; other columns are ignored.
@@ -19,8 +19,6 @@ held out nor trained on.  Equal rows give equal results; other columns are ignor
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,7 +26,6 @@ from pyspark.sql import functions as F
 from quarry.llm.common import text_udf
 
 FIELDS = {"lang_pred": "string", "score": "double"}
-LETTER = re.compile(r"[^\W\d_]")
 GATES = ("in", "rec", "bias")
 
 
@@ -215,9 +212,14 @@ def train(docs: DataFrame, per_lang: int = 400, train_window: int = 96) -> Netwo
     return network
 
 
+def has_letters(text: str | None) -> bool:
+    """Whether a text has a character of the Unicode category L."""
+    return text is not None and any(map(str.isalpha, text))
+
+
 def label(network: Network | None, texts: list[str | None]) -> list[tuple[str, float]]:
     """(language, pooled probability) per text."""
-    spoken = [i for i, t in enumerate(texts) if network and t and LETTER.search(t)]
+    spoken = [i for i, t in enumerate(texts) if network and has_letters(t)]
     out = [("und", 0.0)] * len(texts)
     if spoken:
         pooled = network.pooled([as_bytes(texts[i]) for i in spoken])
@@ -234,7 +236,7 @@ def predicted(network: Network | None, text: Column) -> Column:
 
 def has_letter(text: Column) -> Column:
     """Whether a text can be told at all; null for a null text."""
-    found = text_udf(lambda: lambda texts: [(bool(t and LETTER.search(t)),) for t in texts], {"letter": "boolean"})
+    found = text_udf(lambda: lambda texts: [(has_letters(t),) for t in texts], {"letter": "boolean"})
     return found(text)["letter"]
 
 
