@@ -8,8 +8,8 @@ other node follows its parent's links until its symbol can be read, adding up wh
 pop.  One pass over a word then adds popped counts and never goes back, so the number of
 greedy longest-match pieces takes time linear in the word, without building the pieces.
 
-Words: the text in NFC and lower case; contractions, runs of letters, single digits, runs
-of other visible characters.  Each word is UTF-8.  A word the vocabulary cannot spell counts
+Words: the text in NFC and lower case (character by character); contractions, runs of
+letters (category L), single number signs (category N), runs of other visible characters.  Each word is UTF-8.  A word the vocabulary cannot spell counts
 as one piece and as unknown (a byte-complete vocabulary spells all).
 
 Defined results: null or empty text has zero words and pieces; whole texts of any length;
@@ -19,18 +19,19 @@ equal rows give equal counts.  Other columns are ignored.
 from __future__ import annotations
 
 import json
-import re
 import unicodedata
 from collections import deque
 from collections.abc import Iterable
 from itertools import chain
 
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import Memo, broadcast_file, per_worker, text_udf, whole_text
 
-WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+# fixed value: the vocabulary's own splitting pattern
+WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 LAST = 256  # added to the last byte of a word
 FIELDS = {"n_words": "long", "n_tokens": "long", "n_unknown": "long"}
 
@@ -115,7 +116,8 @@ class Counter:
         self.memo = Memo(lambda words: [automaton.count(word_symbols(w)) for w in words])
 
     def __call__(self, texts: list[str]) -> list[tuple[int, int, int]]:
-        split = [WORD.findall(unicodedata.normalize("NFC", t).lower()) for t in texts]
+        # one character's lower case does not depend on its neighbours: no final sigma
+        split = [WORD.findall(unicodedata.normalize("NFC", t).replace("Σ", "σ").lower()) for t in texts]
         found, out, at = self.memo.look(list(chain.from_iterable(split))), [], 0
         for words in split:
             own = found[at:at + len(words)]

@@ -101,6 +101,26 @@ def test_agenda_equals_the_library_on_hard_segments():
         model.check([" hello"], [b"1234"])
 
 
+def test_pieces_do_not_depend_on_what_a_worker_met_before(spark, docs_of):
+    lib = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    model = piece_bpe.PieceModel(open(PIECES, "rb").read())
+    # runs of spaces are known words once a line feed follows; then marks stand behind them
+    for texts in [["a \nb"], ["c . d"], ["a  \nb   \n "]] + [[f"x{' ' * n}{m} y"] for n in range(1, 6) for m in ".!?,;:"]:
+        assert [x.tolist() for x in model.encode(texts)] == lib.encode(texts)
+    rng = np.random.default_rng(8)
+    letters = list("abcdeE .,!?;:\n\t -'0123▁é日🙂\r\x00") + [" "] * 6 + ["the", "ing", " th", "\n\n", "  ", "...", " ."]
+    for _ in range(300):
+        texts = ["".join(rng.choice(letters, rng.integers(0, 40))) for _ in range(100)]
+        assert [x.tolist() for x in model.encode(texts)] == lib.encode(texts)
+    rows = [(i, t) for i, t in enumerate(["a \nb", "c . d", " \n", "e ! f", "g  \n", "h  , i"] * 4)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
+    try:
+        got = {r.doc_id: r.n_tokens for r in piece_bpe.encode_documents(docs_of(rows, parts=1), PIECES).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {i: len(lib.encode(t)) + 1 for i, t in rows}
+
+
 def greedy(word, vocabulary):
     symbols, n = tuple(wordpiece_counts.word_symbols(word)), 0
     while symbols:
@@ -125,14 +145,33 @@ def test_automaton_counts_equal_greedy_matching():
             assert auto.count(wordpiece_counts.word_symbols(w)) == greedy(w, words), (w, words)
 
 
+def file_words():
+    """Words by the vocabulary file's own normaliser and splitter."""
+    t = Tokenizer.from_file(WORDS)
+
+    def split(text):
+        text = t.normalizer.normalize_str(text)
+        return [text[a:b] for _, (a, b) in t.pre_tokenizer.pre_tokenize_str(text)]
+    return split
+
+
+def test_words_equal_the_files_splitter():
+    split, counter = file_words(), wordpiece_counts.Counter(open(WORDS, "rb").read())
+    rng = np.random.default_rng(6)
+    letters = list("ab1²½Ⅷ①x_-'., \t\n\x1c\x85\xa0ΣΑİßé日_'s٣€🙂\u200b\u2028\x00") + ["'s", "'ll", "e\u0301", "½cup", "x²y", "ⅷx"]
+    texts = ["x²y ½cup ⅷx", "ΟΔΟΣ ΣΑΣ"] + ["".join(rng.choice(letters, rng.integers(0, 14))) for _ in range(3000)]
+    for t, (n, *_) in zip(texts, counter(texts)):
+        assert n == len(split(t)), t
+
+
 def test_counts_equal_the_word_piece_model(docs_of, small_docs):
     symbols = wordpiece_counts.vocabulary_symbols(open(WORDS, "rb").read())
     spell = {"".join(chr(0xE000 + s) for s in w): i + 1 for i, w in enumerate(symbols)}
     model = Tokenizer(models.WordPiece({"[UNK]": 0} | spell, unk_token="[UNK]", continuing_subword_prefix="", max_input_chars_per_word=10**6))
     rows = small_docs[:60] + [r for r in ODD if r[0] != 9]
     got = {(r.doc_id, r.n_words): (r.n_tokens, r.n_unknown) for r in wordpiece_counts.count_documents(docs_of(rows), WORDS).collect()}
-    import unicodedata
+    split = file_words()
     for i, t in rows:
-        words = wordpiece_counts.WORD.findall(unicodedata.normalize("NFC", t or "").lower())
+        words = split(t or "")
         n = sum(len(model.encode("".join(chr(0xE000 + s) for s in wordpiece_counts.word_symbols(w))).ids) for w in words)
         assert got[i, len(words)] == (n, 0)
