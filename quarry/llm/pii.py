@@ -78,6 +78,7 @@ class Finder:
         """Spans by kind, in order of their starts."""
         spans: dict[str, list[tuple[int, int]]] = {k: [] for k in BASE + ADDED}
         past = dict.fromkeys(spans, 0)  # where the last candidate of a kind ended
+        failed = 0  # where the last run of characters that is no secret ended
 
         def keep(kind: str, start: int, end: int, valid: bool) -> None:
             past[kind] = end
@@ -104,16 +105,17 @@ class Finder:
                     digits = sum("0" <= c <= "9" for c in m[0])
                     keep("phone", at, m.end(), 9 <= digits <= 15)
             elif kind == "url":
-                if at >= past["url"] and (m := URL.match(text, at)):
-                    start = at
-                    while start > past["url"] and text[start - 1] in SCHEME:
-                        start -= 1
+                start = at
+                while start > past["url"] and text[start - 1] in SCHEME:
+                    start -= 1
+                while start < at and not text[start].isalpha():
+                    start += 1
+                # the rest is read only behind a scheme, so never twice
+                if start < at and at >= past["url"] and (m := URL.match(text, at)):
                     stop = at + len(m[0].rstrip(".,;:!?)]}"))
-                    while start < at and not text[start].isalpha():
-                        start += 1
-                    if start < at and stop > at + 3:
+                    if stop > at + 3:
                         keep("url", start, stop, True)
-            elif at >= past[kind] and (at == 0 or not text[at - 1].isalnum()):
+            elif at >= past[kind] and end + 1 >= failed and (at == 0 or not text[at - 1].isalnum()):
                 if m := (ACCOUNT if kind == "account" else SECRET).match(text, end + 1):
                     found = m[1]
                     plain = re.sub("[ -]", "", found)
@@ -122,6 +124,8 @@ class Finder:
                         else digits > 0 and any(c.isalpha() for c in found)
                     if valid:
                         keep(kind, m.start(1), m.end(1), True)
+                    elif kind == "secret":
+                        failed = m.end(1)  # no part of a run without digits or letters is valid
         return spans
 
 
