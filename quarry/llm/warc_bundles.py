@@ -41,7 +41,7 @@ INDEX = ("page_id long, archive string, frame int, frame_start long, frame_bytes
          "record_start long, record_bytes long")
 RECORD = ("page_id long, payload_bytes long, payload_digest string, record_type string, "
           "refers_to long")
-MOST_TASKS = 100_000
+MOST_TASKS, PART_FRAMES = 100_000, 4
 # fixed values of the formats
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -154,13 +154,14 @@ def seek_table(file) -> list[tuple[int, int, int]]:
     return out
 
 
-def read_frames(path: str) -> Iterator[bytes]:
+def read_frames(path: str, first: int = 0, frames: int | None = None) -> Iterator[bytes]:
+    """``frames`` frames from number ``first`` on (None: all), found by the seek table."""
     import zstandard
 
     where, name = fs.FileSystem.from_uri(path)
     with where.open_input_file(name) as file:
         unpack = zstandard.ZstdDecompressor()
-        for start, packed, plain in seek_table(file):
+        for start, packed, plain in seek_table(file)[first:None if frames is None else first + frames]:
             yield unpack.decompress(file.read_at(packed, start), max_output_size=plain)
 
 
@@ -221,18 +222,18 @@ def _described(found: list[tuple]) -> pa.RecordBatch:
 
 
 def read_bundles(index: DataFrame) -> DataFrame:
-    """The RECORD columns of every record in the index's archives, one task's work per
-    archive, read frame by frame."""
+    """The RECORD columns of every record in the index's archives, read frame by frame; the
+    work is dealt in runs of ``PART_FRAMES`` frames, so that a large archive is split."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch.column("archive").to_pylist():
-                for data in read_frames(path):
+            for path, part in zip(*(batch.column(c).to_pylist() for c in ("archive", "part"))):
+                for data in read_frames(path, part * PART_FRAMES, PART_FRAMES):
                     yield _described([describe(*r) for r in parse_records(data)])
 
-    # one row per archive, but much work per row: spread by count, not by bytes
-    archives = index.select("archive").distinct()
-    tasks = max(1, min(archives.count(), MOST_TASKS))
-    return archives.repartition(tasks, "archive").mapInArrow(run, RECORD)
+    # few rows, but much work per row: dealt by their order, not by hash or bytes
+    parts = index.select("archive", F.floor(F.col("frame") / PART_FRAMES).cast("int").alias("part")).distinct()
+    tasks = max(1, min(parts.count(), MOST_TASKS))
+    return parts.repartitionByRange(tasks, "archive", "part").mapInArrow(run, RECORD)
 
 
 def read_records(index: DataFrame, wanted: DataFrame) -> DataFrame:
