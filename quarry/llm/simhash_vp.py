@@ -235,10 +235,14 @@ def components(docs: DataFrame, words: int = 3, radius: int = 3, levels: int | N
     return _components(marks, radius, levels)
 
 
-def _components(marks: DataFrame, radius: int, levels: int | None) -> DataFrame:
-    codes = written(marks.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-codes")
+def _classes(codes: DataFrame, radius: int, levels: int | None) -> DataFrame:
+    """fp, first (a row's key), root: every fingerprint with the one that names its component."""
     roots = stars(links(codes, radius, levels)).withColumnRenamed("node", "fp")
-    known = codes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    return codes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
+def _components(marks: DataFrame, radius: int, levels: int | None) -> DataFrame:
+    known = _classes(written(marks.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-codes"), radius, levels)
     lowest = known.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = known.join(lowest, "root").select("fp", "component_id")
     return (marks.join(classes, "fp")
@@ -246,10 +250,24 @@ def _components(marks: DataFrame, radius: int, levels: int | None) -> DataFrame:
 
 
 def dedupe(docs: DataFrame, words: int = 3, radius: int = 3, levels: int | None = None) -> DataFrame:
-    """The rows whose ``doc_id`` names their component, with all their columns; rows
-    without an id cannot be told apart and all stay."""
-    nameless = docs.sparkSession.range(1).select(F.lit(None).cast("long").alias("__keep"))
-    kept = (components(docs, words, radius, levels).filter("doc_id = component_id")
-            .select(F.col("doc_id").alias("__keep")).distinct().unionByName(nameless))
-    return (docs.select(F.struct("*").alias("__row"), F.col("doc_id").cast("long").alias("__id"))
-                .join(kept, F.col("__id").eqNullSafe(F.col("__keep")), "left_semi").select("__row.*"))
+    """One row of each component, with all its columns: that with the smallest ``doc_id``
+    (without any id, a nameless one), the smallest fingerprint among repeated ids, and any
+    one of rows that agree in both.  Only rows whose id is null or repeated are
+    fingerprinted again, to tell them apart."""
+    marks = written(docs.select(F.col("doc_id").cast("long"), fingerprint(whole_text(), words).alias("fp")),
+                    "simhash-fingerprints")
+    key = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "fp")
+    codes = written(marks.groupBy("fp").agg(F.min(key).alias("first")), "simhash-codes")
+    kept = _classes(codes, radius, levels).groupBy("root").agg(F.min("first").alias("k"))
+    kept = kept.select(F.col("k.doc_id").alias("__id"), F.col("k.fp").alias("__fp"))
+    often = marks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n")).withColumnRenamed("doc_id", "__of")
+    kept = written(kept.join(often, F.col("__id").eqNullSafe(F.col("__of"))).drop("__of"), "simhash-kept")
+    packed = docs.select(F.struct("*").alias("__row"), F.col("doc_id").cast("long").alias("__doc"), whole_text().alias("__text"))
+    single = (F.col("__n") == 1) & F.col("__id").isNotNull()
+    plain = packed.join(kept.filter(single), F.col("__doc") == F.col("__id"), "left_semi").select("__row.*")
+    unclear = kept.filter(~single).select("__id", "__fp")
+    again = (packed.join(unclear, F.col("__doc").eqNullSafe(F.col("__id")), "left_semi")
+                   .withColumn("__own", fingerprint(F.col("__text"), words))
+                   .join(unclear, F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__fp")), "left_semi")
+                   .dropDuplicates(["__doc", "__own"]).select("__row.*"))
+    return plain.unionByName(again)
