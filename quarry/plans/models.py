@@ -144,31 +144,87 @@ def kde_interp(spark, sf_dir):
     return rounded(density.interpolate(ev, "value", k, GRID_LO, GRID_HI, GRID_N), "interpolated")
 
 
-GMM_PARTS, GMM_ITERATIONS, GMM_DIGITS = 13, 8, 6
+GMM_PARTS, GMM_DIGITS = 13, 6
 
 
 def _gmm_sql() -> str:
-    ctes = [_GRID_SQL, """f AS (SELECT value AS v, CAST(count(*) AS DOUBLE) AS c FROM events
-      WHERE value IS NOT NULL AND isfinite(value) GROUP BY value)""",
-            "n AS (SELECT sum(c) AS n, min(v) AS lo, max(v) AS hi FROM f)",
-            f"""p0 AS (SELECT j, {_d(1.0)} / {GMM_PARTS} AS w, lo + (j + 0.5) * ((hi - lo) / {GMM_PARTS}) AS m,
-      ((hi - lo) / {GMM_PARTS}) * ((hi - lo) / {GMM_PARTS}) + {_d(density.VARIANCE_FLOOR)} AS s FROM n, range({GMM_PARTS}) t(j))"""]
-    for i in range(1, GMM_ITERATIONS + 1):
-        ctes.append(f"""d{i} AS (SELECT v, c, j, w / sqrt(2 * pi() * s) * exp(-(v - m) * (v - m) / (2 * s)) AS d FROM f, p{i - 1})""")
-        ctes.append(f"""r{i} AS (SELECT v, c, j, d / sum(d) OVER (PARTITION BY v) AS r FROM d{i})""")
-        ctes.append(f"""q{i} AS (SELECT j, sum(c * r) AS a, sum(c * r * v) AS b, sum(c * r * v * v) AS e FROM r{i} GROUP BY j)""")
-        ctes.append(f"""p{i} AS (SELECT j, a / n AS w, b / a AS m,
-      greatest(0, e / a - (b / a) * (b / a)) + {_d(density.VARIANCE_FLOOR)} AS s FROM q{i}, n)""")
-    return "WITH " + ",\n".join(ctes) + f"""
-SELECT grid_idx, x, round(sum(w / sqrt(2 * pi() * s) * exp(-((x - m) * (x - m)) / (2 * s))), {GMM_DIGITS}) AS density
-FROM g, p{GMM_ITERATIONS} GROUP BY grid_idx, x"""
+    """The same fit as a recursive query, one row a step.  ``x`` holds the parameters (13
+    weights, means, variances) that the step measures and ``y`` those after it; phase 0
+    measures the start of two steps, 1 the first of them (and extrapolates), 2 the place
+    extrapolated to."""
+    k, floor = GMM_PARTS, _d(density.VARIANCE_FLOOR)
+    js = range(1, k + 1)
+
+    def each(term: str, sep: str = ", ") -> str:
+        return sep.join(term.format(j=j, m=f"x[{k + j}]", s=f"x[{2 * k + j}]") for j in js)
+
+    def free(col: str) -> str:
+        return f"list_transform({col}, lambda z, i: CASE WHEN i > {k} AND i <= {2 * k} THEN z ELSE ln(greatest(z, 1e-300)) END)"
+
+    probs = ", ".join(repr((j - 0.5) / k) for j in js)
+    return f"""WITH RECURSIVE {_GRID_SQL},
+f AS MATERIALIZED (SELECT CAST(value AS DOUBLE) AS v, CAST(count(*) AS DOUBLE) AS c FROM events
+      WHERE value IS NOT NULL AND isfinite(value) GROUP BY value),
+n AS (SELECT sum(c) AS n FROM f),
+q AS (SELECT quantile_cont(CAST(value AS DOUBLE), [{probs}]) AS m FROM events WHERE isfinite(value)),
+d AS (SELECT CASE WHEN len(list_distinct(q.m)) < {k} THEN (SELECT quantile_cont(v, [{probs}]) FROM f) ELSE q.m END AS m FROM q),
+fit AS (
+  SELECT 0 AS it, 0 AS phase, false AS done, x, x AS p, x AS p2, CAST(0 AS DOUBLE) AS l0, CAST(0 AS DOUBLE) AS l1,
+         {_d(4.0)} AS longest, {_d(1.0)} AS length
+  FROM (SELECT list_concat(list_transform(m, lambda z: {_d(1.0)} / {k}), list_concat(m,
+               list_transform(m, lambda z: ((m[{k}] - m[1]) / {k}) * ((m[{k}] - m[1]) / {k}) + {floor}))) AS x FROM d)
+  UNION ALL
+  SELECT it + 1,
+         CASE WHEN phase = 0 OR phase = 2 AND l >= l1 THEN 1 WHEN phase = 1 AND step > 1 THEN 2 ELSE 0 END,
+         phase = 1 AND l - l0 <= {_d(density.TOLERANCE)},
+         CASE WHEN phase = 1 AND l - l0 <= {_d(density.TOLERANCE)} THEN x WHEN phase = 0 OR phase = 2 AND l >= l1 THEN y
+              WHEN phase = 2 THEN p2 WHEN step > 1 THEN far ELSE y END,
+         CASE WHEN phase = 2 AND l >= l1 THEN x WHEN phase = 2 THEN p2 WHEN phase = 1 AND step = 1 THEN y ELSE p END,
+         CASE WHEN phase = 1 THEN y ELSE p2 END,
+         CASE WHEN phase = 0 OR phase = 2 AND l >= l1 THEN l ELSE l0 END,
+         CASE WHEN phase = 1 THEN l ELSE l1 END,
+         CASE WHEN phase = 2 AND l >= l1 THEN (CASE WHEN length = longest THEN 4 * longest ELSE longest END)
+              WHEN phase = 2 THEN greatest(2, longest / 4) ELSE longest END,
+         CASE WHEN phase = 1 THEN step ELSE length END
+  FROM (
+    SELECT *, list_concat(list_transform(z[1:{k}], lambda e: exp(e - list_max(z[1:{k}])) / list_sum(list_transform(z[1:{k}], lambda h: exp(h - list_max(z[1:{k}]))))),
+              list_concat(z[{k + 1}:{2 * k}], list_transform(z[{2 * k + 1}:], lambda e: greatest(exp(least(e, 700)), {floor})))) AS far
+    FROM (
+      SELECT *, list_transform(zp, lambda e, i: e + 2 * step * r[i] + step * step * u[i]) AS z
+      FROM (
+        SELECT *, greatest(1, least(sqrt(list_sum(list_transform(r, lambda e: e * e)) / greatest(list_sum(list_transform(u, lambda e: e * e)), 1e-300)), longest)) AS step
+        FROM (
+          SELECT *, list_transform(zx, lambda e, i: e - zp[i]) AS r, list_transform(zy, lambda e, i: e - zx[i] - (zx[i] - zp[i])) AS u
+          FROM (
+            SELECT *, {free('p')} AS zp, {free('x')} AS zx, {free('y')} AS zy
+            FROM (
+              SELECT it, phase, x, p, p2, l0, l1, longest, length, l / n AS l, list_concat([{each("a{j} / n")}], list_concat(
+                     [{each("CASE WHEN a{j} > 0 THEN {m} + b{j} / a{j} ELSE {m} END")}],
+                     [{each(f"CASE WHEN a{{j}} > 0 THEN greatest(0, e{{j}} / a{{j}} - (b{{j}} / a{{j}}) * (b{{j}} / a{{j}})) + {floor} ELSE {{s}} END")}])) AS y
+              FROM (
+                SELECT it, phase, x, p, p2, l0, l1, longest, length, sum(c * (top + ln(t))) AS l,
+                       {each("sum(c * d{j} / t) AS a{j}")}, {each("sum(c * d{j} / t * (v - {m})) AS b{j}")},
+                       {each("sum(c * d{j} / t * (v - {m}) * (v - {m})) AS e{j}")}
+                FROM (
+                  SELECT *, {each("d{j}", " + ")} AS t
+                  FROM (
+                    SELECT *, {each("exp(g{j} - top) AS d{j}")}
+                    FROM (
+                      SELECT *, greatest({each("g{j}")}) AS top
+                      FROM (
+                        SELECT fit.*, v, c, {each("ln(x[{j}] / sqrt(2 * pi() * {s})) - (v - {m}) * (v - {m}) * (0.5 / {s}) AS g{j}")}
+                        FROM fit, f WHERE NOT done))))
+                GROUP BY ALL), n))))))
+),
+p AS (SELECT unnest(x[1:{k}]) AS w, unnest(x[{k + 1}:{2 * k}]) AS m, unnest(x[{2 * k + 1}:]) AS s FROM fit WHERE done)
+SELECT grid_idx, g.x, round(sum(w / sqrt(2 * pi() * s) * exp(-((g.x - m) * (g.x - m)) / (2 * s))), {GMM_DIGITS}) AS density
+FROM g, p GROUP BY grid_idx, g.x"""
 
 
 @register("gmm_density", _gmm_sql())
 def gmm_density(spark, sf_dir):
     """13-component Gaussian mixture of event values, fitted to its likelihood
-    tolerance, density on the grid.  The SQL above stops at GMM_ITERATIONS steps from
-    evenly spaced means, so its rows differ; tests hold the fit against brute force."""
+    tolerance, density on the grid.  The SQL runs the same fit as a recursive query."""
     ev = load(spark, sf_dir, "events")
     return rounded(density.gaussian_mixture_density(ev, "value", GMM_PARTS, GRID_LO, GRID_HI, GRID_N),
                    "density", digits=GMM_DIGITS)
