@@ -1,12 +1,11 @@
 """Column profiling: describe, info / missing-value report, histograms, correlations,
 2-D bin counts and the rows at a column's extremes.
 
-Exact quantiles without gathering a column into one task: ``exact_quantiles`` narrows
-a value interval around each wanted rank with one distributed histogram aggregate per
-pass (partial aggregation, so a hot value costs nothing extra) and only bucket
-summaries -- at most ``targets x buckets`` rows -- reach the driver.  When the interval
-holds a single value, or few enough rows, the rank is read off exactly.  The result
-equals linear-interpolated quantiles (``percentile`` / DuckDB ``quantile_cont``).
+Exact quantiles without gathering a column into one task: a quantile sketch brackets each
+wanted rank in one pass, and a second pass counts what lies inside the brackets; the counts
+are sorted in ranges, never in one task, and only the values at the wanted ranks reach the
+driver.  The result equals linear-interpolated quantiles (``percentile`` / DuckDB
+``quantile_cont``).
 """
 
 from __future__ import annotations
@@ -14,10 +13,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.operators.indexing import materialize
+
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
            T.DoubleType, T.DecimalType)
 
@@ -34,123 +35,89 @@ def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
               .where(F.col("v").isNotNull() & ~F.isnan("v")))
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    buckets: int = 1024, final_rows: int = 100_000,
-                    max_passes: int = 64, persist: bool = False,
-                    stats: dict[str, tuple] | None = None) -> dict[tuple[str, float], float | None]:
-    """Linear-interpolated quantiles, exact, computed by distributed refinement.
+# A rank is bracketed within BRACKET / k of the rows, several times the sketch's error.
+SKETCH_K, BRACKET = 4096, 8.0
 
-    Each pass re-reads the (pruned) input; ``persist`` keeps the value table cached
-    instead, which pays off only when it fits the cluster's memory.  ``stats`` --
-    column -> (non-null count, min, max) already known to the caller -- saves the
-    first pass.  Infinities are counted as ranks below and above the finite values, which
-    alone are refined.
-    """
-    cols = list(cols)
-    spark: SparkSession = df.sparkSession
-    long = _long_values(df, cols)
-    if persist:
-        long = long.persist()
-    try:
-        # column -> (count, finite min, finite max, values at -inf, finite values)
-        if stats is not None and all(math.isfinite(x) for s in stats.values() if s[0] for x in s[1:]):
-            info = {i: (stats[c][0], float(stats[c][1]), float(stats[c][2]), 0, stats[c][0])
-                    for i, c in enumerate(cols) if stats[c][0]}
-        else:
-            finite = F.when(F.abs("v") < float("inf"), F.col("v"))
-            rows = long.groupBy("ci").agg(F.count("*").alias("n"), F.min(finite).alias("lo"),
-                                          F.max(finite).alias("hi"), F.count(finite).alias("within"),
-                                          F.count_if(F.col("v") == float("-inf")).alias("under")).collect()
-            info = {r["ci"]: (r["n"], r["lo"], r["hi"], r["under"], r["within"]) for r in rows}
-        # target (ci, rank) -> [lo, hi, below]; resolved -> value
-        pending: dict[tuple[int, int], list] = {}
-        resolved: dict[tuple[int, int], float] = {}
-        for ci in info:
-            n, lo, hi, under, within = info[ci]
-            for p in probs:
-                h = (n - 1) * p
-                for r in {math.floor(h), math.ceil(h)}:
-                    if not under <= r < under + within:
-                        resolved[(ci, r)] = math.copysign(math.inf, r - under)
-                    elif lo == hi:
-                        resolved[(ci, r)] = lo
-                    else:
-                        pending[(ci, r)] = [lo, hi, under]
-        passes = 0
-        while pending and passes < max_passes:
-            passes += 1
-            intervals = sorted({(ci, st[0], st[1]) for (ci, _), st in pending.items()})
-            iv = spark.createDataFrame(
-                # halved first where the width is no double
-                [(k, ci, lo, hi, 1.0 if math.isfinite(hi - lo) else 0.5) for k, (ci, lo, hi) in enumerate(intervals)],
-                "k int, ci int, lo double, hi double, f double")
-            # the interval table has at most (columns x probs x 2) rows
-            hits = long.join(F.broadcast(iv), "ci").where(
-                (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-            v, low, high = (F.col(c) * F.col("f") for c in ("v", "lo", "hi"))
-            b = F.least(F.floor((v - low) / (high - low) * F.lit(buckets)), F.lit(buckets - 1))
-            hist = (hits.groupBy("k", b.alias("b"))
-                        .agg(F.count("*").alias("c"), F.min("v").alias("mn"),
-                             F.max("v").alias("mx"))
-                        .collect())
-            by_k: dict[int, list] = {}
-            for r in hist:
-                by_k.setdefault(r["k"], []).append((r["b"], r["c"], r["mn"], r["mx"]))
-            key_of = {iv_: k for k, iv_ in enumerate(intervals)}
-            fetch: dict[tuple[int, float, float], list] = {}
-            for tgt, st in list(pending.items()):
-                lo, hi, below = st
-                rows = sorted(by_k.get(key_of[(tgt[0], lo, hi)], []))
-                local = tgt[1] - below
-                acc = 0
-                for _, c, mn, mx in rows:
-                    if local < acc + c:
-                        st[0], st[1], st[2] = mn, mx, below + acc
-                        if mn == mx:
-                            resolved[tgt] = mn
-                            del pending[tgt]
-                        elif c <= final_rows:
-                            fetch.setdefault((tgt[0], mn, mx), []).append(tgt)
-                        break
-                    acc += c
-            if fetch:
-                conds = [(F.col("ci") == ci) & (F.col("v") >= mn) & (F.col("v") <= mx)
-                         for (ci, mn, mx) in fetch]
-                cond = conds[0]
-                for c_ in conds[1:]:
-                    cond = cond | c_
-                vals = long.where(cond).groupBy("ci", "v").count().collect()
-                for (ci, mn, mx), tgts in fetch.items():
-                    seq = sorted((r["v"], r["count"]) for r in vals
-                                 if r["ci"] == ci and mn <= r["v"] <= mx)
-                    for tgt in tgts:
-                        local = tgt[1] - pending[tgt][2]
-                        acc = 0
-                        for v, c in seq:
-                            if local < acc + c:
-                                resolved[tgt] = v
-                                break
-                            acc += c
-                        del pending[tgt]
-        if pending:
-            raise RuntimeError("quantile refinement did not converge")
-    finally:
-        if persist:
-            long.unpersist()
+
+def _present(col: str) -> Column:
+    """The value as a double; NaN counts as missing."""
+    return F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
+
+
+def _bracket(n: Column, sketch: Column, p: float, k: int) -> Column:
+    """(lo, hi) around the values at the ranks next to (n - 1) * p: four ranks to each side
+    or more, so all values of fewer than k / 2 rows; null without values."""
+    def at(rank: float) -> Column:
+        return F.kll_sketch_get_quantile_double(sketch, F.lit(rank))
+
+    wide = n < k / 2
+    return F.when(n > 0, F.array(F.when(wide, at(0.0)).otherwise(at(max(0.0, p - BRACKET / k))),
+                                 F.when(wide, at(1.0)).otherwise(at(min(1.0, p + BRACKET / k)))))
+
+
+def quantile_brackets(df: DataFrame, cols: Sequence[str], probs: Sequence[float], k: int = SKETCH_K,
+                      *more: Column):
+    """One row from one pass: ``more`` aggregates, then per column its count and the
+    brackets of its quantiles, read off a mergeable sketch."""
+    aggs = [x for i, c in enumerate(cols) for x in (F.count(_present(c)).alias(f"__n{i}"),
+                                                    F.kll_sketch_agg_double(_present(c), F.lit(k)).alias(f"__s{i}"))]
+    found = [F.struct(F.col(f"__n{i}").alias("n"),
+                      F.array(*[_bracket(F.col(f"__n{i}"), F.col(f"__s{i}"), p, k) for p in probs]).alias("ends")).alias(f"__b{i}")
+             for i in range(len(cols))]
+    own = [x.alias(f"__m{i}") for i, x in enumerate(more)]
+    return df.agg(*own, *aggs).select(*[f"__m{i}" for i in range(len(more))], *found).first()
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], k: int = SKETCH_K,
+                    brackets: Sequence | None = None) -> dict[tuple[str, float], float | None]:
+    """Linear-interpolated quantiles, exact, in two passes whatever the distribution.
+
+    The first pass builds a quantile sketch (``brackets``: what a caller's own pass found);
+    the second counts the distinct values inside the brackets and the rows below each.
+    These counts are sorted in ranges, and running sums within a range on top of the ranges
+    before it give every value its ranks.  Were a bracket to miss its rank, its whole column
+    would be counted in one more pass."""
+    cols, probs, spark = list(cols), list(probs), df.sparkSession
+    if brackets is None:
+        brackets = list(quantile_brackets(df, cols, probs, k))
+    wanted = {}  # (column, prob) -> (bracket, ranks)
+    for i, c in enumerate(cols):
+        for j, p in enumerate(probs):
+            if brackets[i].n:
+                h = (brackets[i].n - 1) * p
+                wanted[i, j] = (tuple(brackets[i].ends[j]), {math.floor(h), math.ceil(h)})
+    found: dict[tuple[int, int, int], float] = {}
+    while wanted:
+        names = sorted(wanted)
+        found |= {(*names[r.b], r.rank): r.v for r in _ranked(df, cols, [(i, *wanted[i, j][0], wanted[i, j][1]) for i, j in names], spark)}
+        wanted = {(i, j): ((-math.inf, math.inf), ranks) for (i, j), (_, ranks) in wanted.items() if any((i, j, r) not in found for r in ranks)}
     out: dict[tuple[str, float], float | None] = {}
-    for ci, c in enumerate(cols):
-        if ci not in info:
-            for p in probs:
-                out[(c, p)] = None
-            continue
-        n = info[ci][0]
-        for p in probs:
-            h = (n - 1) * p
-            a, bv = resolved[(ci, math.floor(h))], resolved[(ci, math.ceil(h))]
-            out[(c, p)] = _between(a, bv, h - math.floor(h))
+    for i, c in enumerate(cols):
+        for j, p in enumerate(probs):
+            h = (brackets[i].n - 1) * p
+            out[c, p] = _between(found[i, j, math.floor(h)], found[i, j, math.ceil(h)], h - math.floor(h)) if brackets[i].n else None
     return out
 
 
+def _ranked(df: DataFrame, cols: list[str], targets: list[tuple], spark: SparkSession) -> list:
+    """b (number of the target), rank, v: values at the wanted ranks of each target (column,
+    lo, hi, ranks), where they lie in its bracket."""
+    held = spark.createDataFrame([(b, ci, lo, hi) for b, (ci, lo, hi, _) in enumerate(targets)], "b int, ci int, lo double, hi double")
+    ranks = spark.createDataFrame([(b, r) for b, t in enumerate(targets) for r in sorted(t[3])], "b int, rank long")
+    # both tables have a few rows a column; a null value stands for all rows below the bracket
+    inside = (_long_values(df, cols).join(F.broadcast(held), "ci").where(F.col("v") <= F.col("hi"))
+              .groupBy("b", F.when(F.col("v") >= F.col("lo"), F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("c")))
+    ordered = materialize(inside.repartitionByRange("b", "v").sortWithinPartitions("b", "v")
+                                .withColumn("part", F.spark_partition_id()), "ranks")
+    earlier = Window.partitionBy("b").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = (ordered.groupBy("b", "part").agg(F.sum("c").alias("n"))
+              .select("b", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")))
+    upto = Window.partitionBy("b", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ends = ordered.withColumn("end", F.sum("c").over(upto)).join(before, ["b", "part"]).withColumn("end", F.col("end") + F.col("before"))
+    return (ends.join(F.broadcast(ranks), "b").where((F.col("rank") < F.col("end")) & (F.col("rank") >= F.col("end") - F.col("c")) & F.col("v").isNotNull())
+                .select("b", "rank", "v").collect())
+
+
 def _between(a: float, b: float, share: float) -> float:
     """The point a ``share`` of the way from a to b."""
     if a == b or not share:
@@ -168,11 +135,11 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None,
     cols = list(cols or numeric_columns(df))
     aggs = []
     for c in cols:
-        x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))  # NaN counts as missing
+        x = _present(c)
         aggs += [F.count(x), F.avg(x), F.stddev_samp(x), F.min(x), F.max(x)]
-    row = df.agg(*aggs).first()
-    known = {c: (row[5 * i], row[5 * i + 3], row[5 * i + 4]) for i, c in enumerate(cols)}
-    qs = exact_quantiles(df, cols, (0.25, 0.5, 0.75), stats=known)
+    probs = (0.25, 0.5, 0.75)
+    row = quantile_brackets(df, cols, probs, SKETCH_K, *aggs)
+    qs = exact_quantiles(df, cols, probs, brackets=row[len(aggs):])
 
     def rnd(v):
         return None if v is None or digits is None else round(v, digits)

@@ -13,8 +13,7 @@ def test_exact_quantiles_with_hot_value_and_nulls(spark):
     b = rng.integers(0, 5, 20_000).astype(float)
     rows = [(float(x), float(y) if i % 10 else None) for i, (x, y) in enumerate(zip(a, b))]
     df = spark.createDataFrame(rows, "a double, b double").repartition(6)
-    qs = profile.exact_quantiles(df, ["a", "b"], (0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0),
-                                 buckets=64, final_rows=50)
+    qs = profile.exact_quantiles(df, ["a", "b"], (0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0), k=64)
     bb = np.array([y for i, y in enumerate(b) if i % 10])
     for p in (0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0):
         assert abs(qs[("a", p)] - np.quantile(a, p)) < 1e-9
@@ -53,7 +52,7 @@ def test_quantiles_with_infinities_and_the_widest_range(spark):
     b = [-1e308, 1e308] + [float(i) for i in range(43)]
     c = [inf] * 45
     df = spark.createDataFrame(list(zip(a, b, c)), "a double, b double, c double").repartition(4)
-    qs = profile.exact_quantiles(df, ["a", "b", "c"], probs, buckets=8, final_rows=2)
+    qs = profile.exact_quantiles(df, ["a", "b", "c"], probs)
     for p in probs:
         for name, values in (("a", a), ("b", b), ("c", c)):
             h = sorted(values)
@@ -68,3 +67,25 @@ def test_describe_with_infinities(spark):
     df = spark.createDataFrame([(float(v),) for v in (-inf, 1, 2, 3, 4, 5, inf)], "x double")
     d = profile.describe(df, ["x"], digits=3).first()
     assert (d["count"], d["min"], d["q25"], d["q50"], d["q75"], d["max"]) == (7, -inf, 1.5, 3.0, 4.5, inf)
+
+
+def test_quantiles_of_any_spread_take_two_passes(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = [10.0 ** e for e in range(-300, 300)] + [-(10.0 ** e) for e in range(-300, 300, 3)] + rng.normal(size=30_000).tolist()
+    df = spark.createDataFrame([(float(v),) for v in x], "x double").repartition(5)
+    probs = (0.0, 0.001, 0.25, 0.5, 0.75, 0.999, 1.0)
+    passes, ranked = [], profile._ranked
+    monkeypatch.setattr(profile, "_ranked", lambda *a: (passes.append(1), ranked(*a))[1])
+    for k in (64, 4096):
+        qs = profile.exact_quantiles(df, ["x"], probs, k=k)
+        for p in probs:
+            assert np.isclose(qs["x", p], np.quantile(x, p), rtol=1e-12, atol=0)
+    assert len(passes) == 2  # one after each sketch
+
+
+def test_quantiles_outside_their_brackets_are_found(spark):
+    from pyspark.sql import Row
+    df = spark.createDataFrame([(float(v),) for v in range(100)], "x double")
+    wrong = [Row(n=100, ends=[[70.0, 80.0], [10.0, 20.0], [40.0, 60.0]])]
+    got = profile.exact_quantiles(df, ["x"], (0.25, 0.75, 0.5), brackets=wrong)
+    assert got == {("x", 0.25): 24.75, ("x", 0.75): 74.25, ("x", 0.5): 49.5}
