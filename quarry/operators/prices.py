@@ -37,13 +37,42 @@ def python_literals_to_json(c):
     return c
 
 
+# Fields that hold lists.
+LIST_FIELDS = ("dateSeen", "sourceURLs")
+_SCALAR_DDL = "array<struct<" + ", ".join(f"{f}:string" for f in LIST_FIELDS) + ">>"
+
+
 def parse_price_list(text_col: str):
     """Text of a list of dicts -> ARRAY<STRUCT>; single quotes accepted.  Text that
     does not parse as JSON is retried with Python literals rewritten (only for those
-    rows: ``coalesce`` stops at the first non-null); what still fails is null."""
+    rows: ``coalesce`` stops at the first non-null); what still fails is null.  A scalar
+    where a list field is expected counts as a list of one: lists with an element that
+    lacks such a field are read once more for it."""
     c = F.col(text_col)
-    return F.coalesce(F.from_json(c, PRICE_LIST_DDL, _JSON_OPTS),
-                      F.from_json(python_literals_to_json(c), PRICE_LIST_DDL, _JSON_OPTS))
+
+    def read(text):
+        found = F.from_json(text, PRICE_LIST_DDL, _JSON_OPTS)
+        scalars = F.from_json(text, _SCALAR_DDL, _JSON_OPTS)
+
+        def filled(e, i):
+            for f in LIST_FIELDS:
+                one = scalars[i][f]
+                e = e.withField(f, F.coalesce(e[f], F.when(one.isNotNull(), F.array(one))))
+            return e
+
+        lacking = F.exists(found, lambda e: e[LIST_FIELDS[0]].isNull() | e[LIST_FIELDS[1]].isNull())
+        return F.when(lacking, F.transform(found, filled)).otherwise(found)
+
+    return F.coalesce(read(c), read(python_literals_to_json(c)))
+
+
+def read_prices(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Id, ``prices`` (parsed) and ``reason`` (null for accepted rows) from one parse;
+    rejected rows keep their id and say why."""
+    out = df.select(id_col, F.col(text_col).alias("__t"), parse_price_list(text_col).alias("prices"))
+    reason = (F.when(F.col("__t").isNull(), "no text").when(F.trim("__t") == "", "empty text")
+               .when(F.col("prices").isNull(), "not a list of dicts"))
+    return out.select(id_col, "prices", reason.alias("reason"))
 
 
 def unnest_prices(df: DataFrame, id_col: str, text_col: str, drop_sparse: bool = True) -> DataFrame:

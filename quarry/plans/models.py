@@ -232,17 +232,17 @@ def gmm_density(spark, sf_dir):
 
 # ---------------------------------------------------------------- nested prices
 
-PRICE_LIST_PARTS = 64
+PRICE_LIST_LINES = 64
 
 
 def price_text_per_order(lineitem):
     """Build the reference's input shape from lineitem: rows keyed by order holding a
     price list as text (a list of dicts in single quotes).
 
-    An order gives up to ``PRICE_LIST_PARTS`` rows with its id, its lines dealt by a hash
-    of the line, so an order holding a large share of the lines is spread over as many
-    lists and tasks; unnesting is per element, so the result is the same as with one list
-    per order."""
+    A list holds an order's lines among ``PRICE_LIST_LINES`` consecutive rows of a split,
+    so no list is longer, whatever the order's size and however many of its lines are
+    equal, and it is complete before the shuffle; unnesting is per element, so the result
+    is the same as with one list per order."""
     day = F.to_date("l_shipdate")
     url = F.concat(F.lit("https://shop.example/p/"), F.col("l_partkey").cast("string"))
     url2 = F.concat(url, F.lit("?s="), F.col("l_suppkey").cast("string"))
@@ -261,10 +261,10 @@ def price_text_per_order(lineitem):
         F.concat(F.lit("supplier#"), F.col("l_suppkey").cast("string")).alias("merchant"),
         F.col("l_linestatus").alias("shipping"),
         urls.alias("sourceURLs"))
-    chunk = F.pmod(F.xxhash64("l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"), F.lit(PRICE_LIST_PARTS))
-    return (lineitem.groupBy(F.col("l_orderkey").alias("id"), chunk.alias("__chunk"))
-                    .agg(F.translate(F.to_json(F.collect_list(elem)), '"', "'").alias("prices"))
-                    .drop("__chunk"))
+    block = F.floor(F.monotonically_increasing_id() / PRICE_LIST_LINES).alias("__block")
+    return (lineitem.select(F.col("l_orderkey").alias("id"), elem.alias("__line"), block).groupBy("id", "__block")
+                    .agg(F.translate(F.to_json(F.collect_list("__line")), '"', "'").alias("prices"))
+                    .drop("__block"))
 
 
 @register("price_unnest", """

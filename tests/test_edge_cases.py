@@ -193,3 +193,27 @@ def test_language_needs_no_shuffle(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = ops.tag_language(docs.select("doc_id", "text"), "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_price_lists_of_a_hot_order_stay_short(spark):
+    from quarry.plans import models
+    line = (1, 2, 3, 10.0, 100.0, 0.1, "N", "O")
+    rows = [(7, i % 7 + 1, *line[1:]) for i in range(5000)] + [(7, 1, *line[1:])] * 500 + [(8, 1, *line[1:])]
+    li = spark.createDataFrame([r + (f"1994-01-{r[1]:02d}",) for r in rows],
+                               "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, "
+                               "l_discount double, l_returnflag string, l_linestatus string, l_shipdate string").withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
+    from quarry.operators import prices
+    lists = models.price_text_per_order(li.repartition(5)).select("id", F.size(prices.parse_price_list("prices")).alias("n"))
+    n = {r.id: (r.most, r.all) for r in lists.groupBy("id").agg(F.max("n").alias("most"), F.sum("n").alias("all")).collect()}
+    assert n[7][0] <= models.PRICE_LIST_LINES and (n[7][1], n[8][1]) == (5500, 1)
+
+
+def test_scalars_in_list_fields_and_rejected_lists(spark):
+    from quarry.operators import prices
+    rows = [(1, "[{'dateSeen': 'd', 'sourceURLs': ['u', 'v'], 'merchant': 'm'}, {'sourceURLs': 'w'}]"), (2, "[{'dateSeen': [], 'sourceURLs': null}]"),
+            (3, "[{'dateSeen': 5, 'isSale': True}]"), (4, "no list"), (5, None), (6, " "), (7, "[]")]
+    df = spark.createDataFrame(rows, "id int, prices string")
+    got = sorted((tuple(r) for r in prices.unnest_prices(df, "id", "prices").select("id", "dateSeen", "sourceURLs").collect()), key=str)
+    assert got == sorted([(1, "d", "u"), (1, "d", "v"), (1, None, "w"), (2, None, None), (3, "5", None)], key=str)
+    told = {r.id: r.reason for r in prices.read_prices(df, "id", "prices").collect()}
+    assert told == {1: None, 2: None, 3: None, 4: "not a list of dicts", 5: "no text", 6: "empty text", 7: None}
