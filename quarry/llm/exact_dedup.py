@@ -9,8 +9,10 @@ names two slots of a filter of 2^k bits; slots named by more than one row make u
 filter, kept as 4 KB bitmaps of 32,768 slots.  Pass two probes it: a hash that is not in it
 occurs once, and its row goes straight to the result.  Only possibly repeated rows are
 shuffled by hash, pre-aggregated to (smallest doc_id, rows).  The filter has about 16 bits a
-row and at most 64 MB, the proven bound of its broadcast; a fuller filter lets more rows
-through to the exact second pass and changes no result.
+row at every size, so about 1.4 % of the lone rows pass as maybe repeated.  Up to 64 MB
+(33 million rows) it is broadcast.  Beyond that it is joined by bitmap number, evenly spread
+by the hash: ``groups`` then shuffles its written rows (id and hash) once for it, ``dedupe``
+its documents, and the rows that it lets through still go to the exact pass alone.
 
 Defined results: rows with a null ``doc_id`` stay only if their group has no other id;
 repeated rows with the smallest ``doc_id`` of a group all read ``kept`` in ``groups``, and
@@ -27,7 +29,8 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import whole_text, written
 
-BITS_PER_ROW, LEAST_BITS, MOST_BITS = 16, 16, 29
+BITS_PER_ROW, LEAST_BITS = 16, 16
+BROADCAST_BITS = 29  # 64 MB
 
 
 def text_key(name: str = "text") -> Column:
@@ -54,21 +57,22 @@ def repeated_filter(keys: DataFrame, bits: int) -> DataFrame:
 
 def probe(rows: DataFrame, repeated: DataFrame, bits: int) -> DataFrame:
     """``rows`` with ``__maybe``: whether the hash may occur more than once.  ``repeated``
-    has at most 2^bits / 8 bytes, at most 64 MB."""
+    has at most 2^bits / 8 bytes: up to 64 MB it is broadcast, beyond that joined by the
+    number of the bitmap."""
     bitmap, first, second = _slots(F.col("text_sha256"), bits)
 
     def hit(slot: Column) -> Column:
         byte = F.conv(F.hex(F.substring(F.col("bits"), (F.shiftright(slot, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
         return F.getbit(byte, slot.bitwiseAND(F.lit(7)).cast("int")) == 1
 
-    small = F.broadcast(repeated.withColumnRenamed("bitmap", "__bitmap"))
-    return (rows.join(small, bitmap == F.col("__bitmap"), "left")
+    maps = repeated.withColumnRenamed("bitmap", "__bitmap")
+    return (rows.join(F.broadcast(maps) if bits <= BROADCAST_BITS else maps, bitmap == F.col("__bitmap"), "left")
                 .withColumn("__maybe", F.coalesce(hit(first) & hit(second), F.lit(False)))
                 .drop("__bitmap", "bits"))
 
 
 def filter_bits(n: int) -> int:
-    return min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(1, n) * BITS_PER_ROW))))
+    return max(LEAST_BITS, math.ceil(math.log2(max(1, n) * BITS_PER_ROW)))
 
 
 def groups(docs: DataFrame) -> DataFrame:

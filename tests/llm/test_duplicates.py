@@ -46,6 +46,22 @@ def test_saturated_filter_changes_nothing(spark, docs_of, monkeypatch):
     assert exact_dedup.probe(alone, exact_dedup.repeated_filter(alone, bits), bits).filter("__maybe").count() < 150
 
 
+def test_filter_beyond_its_broadcast_size(docs_of, small_docs, monkeypatch):
+    assert exact_dedup.filter_bits(10 ** 9) >= 33  # 16 bits a row, however many rows
+    rows = small_docs + ODD + COPIES
+    docs = docs_of(rows)
+    want = sorted(plain_groups(rows), key=str)
+    monkeypatch.setattr(exact_dedup, "BROADCAST_BITS", 15)
+    docs.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        groups = exact_dedup.groups(docs)
+        assert "SortMergeJoin" in groups._jdf.queryExecution().executedPlan().toString()
+        assert sorted((tuple(r) for r in groups.collect()), key=str) == want
+        assert exact_dedup.dedupe(docs).count() == len({norm(t) for _, t in rows})
+    finally:
+        docs.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_exact_dedupe_keeps_columns_and_one_row(docs_of, small_docs):
     rows = small_docs + ODD + COPIES
     docs = docs_of(rows)
