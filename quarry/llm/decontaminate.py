@@ -1,19 +1,25 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
-Texts and items are compared as lower-case words joined by single spaces.  An item of n
-characters is found in a text if some region of the text lies within ``edits`` = n x rate
-edits (insertions, deletions, substitutions) of it.  By the q-gram lemma such a region
-shares at least n + 1 - q - q x edits character q-grams with the item, and all these
-matches lie on at most 2 x edits + 1 neighbouring diagonals (text place minus item place).
-Diagonals are dealt into bands of twice that width that overlap by half, so some band holds
-all of them: shared q-grams are counted per item and band, bands below the bound are
-dropped, and the rest are verified by an alignment banded to the same diagonals.
+Texts and items are compared as lower-case words joined by single spaces.  Items are read as
+overlapping passages of half their length, 64 to 160 characters, a fifth apart (shorter
+items: one passage), so that a quote of 60 % of an item, or of 192 characters of a long one,
+holds a whole passage.  A passage of n characters is found in a text if some region of the
+text lies within ``edits`` = n x rate edits (insertions, deletions, substitutions) of it.
+By the q-gram lemma such a region shares at least n + 1 - q - q x edits character q-grams
+with the passage, and all these matches lie on at most 2 x edits + 1 neighbouring diagonals
+(text place minus item place).  Diagonals are dealt into bands of twice that width that
+overlap by half, so some band holds all of them: shared q-grams are counted per item and
+band; in bands that meet the bound they are counted per passage, and the passages that meet
+it are verified by an alignment banded to the same diagonals.
 
 The items are the stated query set.  They are read in blocks of bounded size; each block's
 q-gram index is broadcast and its scan of the documents is one pass without a shuffle.
 
-Items whose budget leaves a bound below one q-gram get a smaller budget, down to none;
-items shorter than q characters are looked up as whole words.  Empty items match nothing.
+Every place of an item is reported, once: found passages that overlap in the text are one
+place.  Its distance is that of the whole item where that lies within its own budget, else
+the most edits of a passage there.  Where 8-grams leave no bound (some items under 32
+characters) 4-grams are used, so that the same rate holds at every length; items shorter
+than 8 characters are looked up as whole words.  Empty items match nothing.
 Null texts count as empty and match nothing; null ids come through; repeated documents are
 all reported, repeated items once; other columns are ignored.  Whole texts of any length.
 """
@@ -35,6 +41,7 @@ from quarry.llm.common import chunks, whole_text
 
 WORD = re.compile(r"\w+")
 Q, RATE, BLOCK_CHARS = 8, 0.1, 1_000_000
+LEAST, MOST = 64, 160  # characters of a passage
 BASE = 0x9E3779B97F4A7C15
 FOUND = "array<struct<item_id:bigint,match_start:bigint,match_end:bigint,distance:bigint>>"
 FOUND_TYPE = pa.list_(pa.struct([("item_id", pa.int64()), ("match_start", pa.int64()),
@@ -59,9 +66,16 @@ def grams(c: np.ndarray, q: int = Q) -> np.ndarray:
     return c
 
 
-def budget(n: int, q: int = Q, rate: float = RATE) -> int:
-    """Edits allowed for n characters, so that the lemma asks for a q-gram at least."""
-    return max(0, min(int(n * rate), (n - q) // q))
+def budget(n: int, rate: float = RATE) -> int:
+    """Edits allowed for n characters."""
+    return int(n * rate)
+
+
+def passages(n: int) -> tuple[int, list[int]]:
+    """Length and starts of the passages of an item of n characters."""
+    size = min(n, max(LEAST, min(n // 2, MOST)))
+    step = max(1, size // 5)
+    return size, sorted({*range(0, n - size + 1, step), n - size}) if n else []
 
 
 def _edits(item: np.ndarray, region: np.ndarray, low: int, high: int, limit: int, free: bool) -> np.ndarray | None:
@@ -106,21 +120,13 @@ def align(item: np.ndarray, region: np.ndarray, low: int, high: int, limit: int)
     return int(cost[k]), max(0, end - length), end
 
 
-class ItemIndex:
-    """Q-gram index over a block of items (id, text)."""
+class GramIndex:
+    """The q-grams of some items, by hash."""
 
-    def __init__(self, items: list[tuple[int | None, str]], q: int = Q, rate: float = RATE):
-        self.q = q
-        self.ids = [i for i, _ in items]
-        self.texts = [plain(t) for _, t in items]
-        self.codes = [codes(t) for t in self.texts]
-        self.edits = np.array([budget(len(t), q, rate) for t in self.texts], np.int64)
-        sizes = np.array([len(t) for t in self.texts], np.int64)
-        self.bound = sizes + 1 - q - q * self.edits
-        self.short = [k for k, n in enumerate(sizes) if 0 < n < q]
-        hashes = [grams(c, q) for c in self.codes]
+    def __init__(self, items: list[int], codes_of: list[np.ndarray], q: int):
+        self.q, hashes = q, [grams(codes_of[k], q) for k in items]
         allh = np.concatenate([*hashes, np.zeros(0, np.uint64)])
-        item = np.repeat(np.arange(len(items)), [len(h) for h in hashes])
+        item = np.repeat(np.array(items, np.int64), [len(h) for h in hashes])
         place = np.concatenate([*(np.arange(len(h)) for h in hashes), np.zeros(0, np.int64)])
         order = np.argsort(allh, kind="stable")
         self.item, self.place = item[order], place[order]
@@ -129,59 +135,124 @@ class ItemIndex:
         self.seen = np.zeros(1 << 20, bool)
         self.seen[(self.keys >> np.uint64(44)).astype(np.int64)] = True
 
-    def candidates(self, c: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(item, lowest and highest diagonal, shared q-grams) of the bands that meet the
-        bound, the most q-grams first; the diagonals reach one width past the band, since
-        an alignment may stray there between its kept q-grams."""
+    def hits(self, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """Item, place in the item, place in the text of all shared q-grams."""
+        if not len(self.keys):
+            return None
         h = grams(c, self.q)
-        at = np.flatnonzero(self.seen[(h >> np.uint64(44)).astype(np.int64)]) if len(self.keys) else np.zeros(0, np.int64)
+        at = np.flatnonzero(self.seen[(h >> np.uint64(44)).astype(np.int64)])
         slot = np.searchsorted(self.keys, h[at])
         slot[slot == len(self.keys)] = 0
-        hit = self.keys[slot] == h[at] if len(at) else np.zeros(0, bool)
+        hit = self.keys[slot] == h[at]
         at, slot = at[hit], slot[hit]
         n = self.count[slot]
         if not n.sum():
-            return []
+            return None
         entry = np.repeat(self.first[slot] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
-        item, place, at = self.item[entry], self.place[entry], np.repeat(at, n)
-        # cells of one band width; a band is a cell and the next
-        span = 1 << 32
-        cell = item * span + (at - place) // (2 * self.edits[item] + 1) + (span >> 1)
-        order = np.argsort(cell, kind="stable")
-        cell, place, at = cell[order], place[order], at[order]
-        first = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
-        key, last = cell[first], np.append(first[1:], len(cell))
-        joined = np.append(key[1:] == key[:-1] + 1, False)
-        last = np.where(joined, np.append(last[1:], 0), last)
+        return self.item[entry], self.place[entry], np.repeat(at, n)
+
+
+class ItemIndex:
+    """Q-gram indexes over a block of items (id, text)."""
+
+    def __init__(self, items: list[tuple[int | None, str]], q: int = Q, rate: float = RATE):
+        self.ids = [i for i, _ in items]
+        self.texts = [plain(t) for _, t in items]
+        self.codes = [codes(t) for t in self.texts]
+        sizes = [len(t) for t in self.texts]
+        self.size, self.starts = zip(*map(passages, sizes)) if sizes else ((), ())
+        self.whole = [budget(n, rate) for n in sizes]
+        self.edits = np.array([budget(n, rate) for n in self.size], np.int64)
+        long, short = (np.array(self.size, np.int64) >= k * (self.edits + 1) for k in (q, q // 2))
+        self.short = [k for k, n in enumerate(sizes) if 0 < n < q or n and not short[k]]
+        grouped = {q: [k for k, n in enumerate(sizes) if n >= q and long[k]],
+                   q // 2: [k for k, n in enumerate(sizes) if n >= q and not long[k] and short[k]]}
+        self.q = np.where(long, q, q // 2)
+        self.bound = np.array(self.size, np.int64) + 1 - self.q - self.q * self.edits
+        self.grams = [GramIndex(own, self.codes, k) for k, own in grouped.items()]
+
+    def bands(self, c: np.ndarray) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray]]:
+        """(item, lowest and highest diagonal, places in the item and in the text of the
+        shared q-grams) of the bands that meet the bound, the fullest first; the diagonals
+        reach one width past the band, since an alignment may stray there between its kept
+        q-grams."""
         good = []
-        for k in np.flatnonzero(last - first >= self.bound[key // span]).tolist():
-            i, mine = int(key[k] // span), slice(first[k], last[k])
-            # each kept q-gram of the item meets a place of its own in the text
-            alone = min(len(np.unique(place[mine])), len(np.unique(at[mine])))
-            if alone >= self.bound[i]:
+        for index in self.grams:
+            if (found := index.hits(c)) is None:
+                continue
+            item, place, at = found
+            # cells of one band width; a band is a cell and the next
+            span = 1 << 32
+            cell = item * span + (at - place) // (2 * self.edits[item] + 1) + (span >> 1)
+            order = np.argsort(cell, kind="stable")
+            cell, place, at = cell[order], place[order], at[order]
+            first = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+            key, last = cell[first], np.append(first[1:], len(cell))
+            joined = np.append(key[1:] == key[:-1] + 1, False)
+            last = np.where(joined, np.append(last[1:], 0), last)
+            for k in np.flatnonzero(last - first >= self.bound[key // span]).tolist():
+                i, mine = int(key[k] // span), slice(first[k], last[k])
                 width = 2 * int(self.edits[i]) + 1
                 low = int(key[k] % span - (span >> 1)) * width
-                good.append((i, low - width, low + 3 * width, alone))
-        return sorted(good, key=lambda g: -g[3])
+                good.append((i, low - width, low + 3 * width, place[mine], at[mine]))
+        return iter(sorted(good, key=lambda g: -len(g[3])))
+
+    def passage(self, text: str, c: np.ndarray, k: int, start: int, size: int, limit: int, low: int, high: int) -> tuple[int, int, int] | None:
+        """(edits, start, end) in the text of a part of item ``k``, near these diagonals."""
+        begin, end = max(0, low + start), min(len(c), high + start + size + 1)
+        if end <= begin:
+            return None
+        p = text.find(self.texts[k][start:start + size], begin, end)
+        if p >= 0:
+            return 0, p, p + size
+        found = align(self.codes[k][start:start + size], c[begin:end], low + start - begin, high + start - begin, limit)
+        return found and (found[0], begin + found[1], begin + found[2])
 
     def search(self, text: str) -> list[tuple]:
-        """One match (item id, start, end, edits) per item found in the text."""
+        """(item id, start, end, edits) of every place of every item found in the text."""
         text = plain(text)
-        out = [(self.ids[k], p, p + len(self.texts[k]), 0) for k in self.short
-               if (p := f" {text} ".find(f" {self.texts[k]} ")) >= 0]
-        c, done = codes(text), set()
-        for k, low, high, _ in self.candidates(c):
-            if k in done:
-                continue
-            n = len(self.texts[k])
-            begin = max(0, low)
-            end = min(len(c), high + n + 1)
-            p = text.find(self.texts[k], begin, end)
-            found = (0, p - begin, p - begin + n) if p >= 0 else \
-                align(self.codes[k], c[begin:end], low - begin, high - begin, int(self.edits[k]))
-            if found:
-                done.add(k)
-                out.append((self.ids[k], begin + found[1], begin + found[2], found[0]))
+        out = []
+        for k in self.short:
+            n, p = len(self.texts[k]), f" {text} ".find(f" {self.texts[k]} ")
+            while p >= 0:
+                out.append((self.ids[k], p, p + n, 0))
+                p = f" {text} ".find(f" {self.texts[k]} ", p + n)
+        c, places = codes(text), {}
+        for k, low, high, place, at in self.bands(c):
+            known, size, limit = places.setdefault(k, []), self.size[k], int(self.edits[k])
+            before = list(known)
+            # what lies in places already found is not counted again
+            new = np.ones(len(at), bool)
+            for a, b, _ in known:
+                new &= (at < a) | (at >= b)
+            place, at = place[new], at[new]
+            order = np.argsort(place, kind="stable")
+            place, at = place[order], at[order]
+            starts = np.array(self.starts[k])
+            from_, to = np.searchsorted(place, starts), np.searchsorted(place, starts + size - int(self.q[k]), "right")
+            for j in np.flatnonzero(to - from_ >= self.bound[k]).tolist():
+                mine = slice(from_[j], to[j])
+                # each kept q-gram of the item meets a place of its own in the text
+                if min(len(np.unique(place[mine])), len(np.unique(at[mine]))) < self.bound[k]:
+                    continue
+                if found := self.passage(text, c, k, int(starts[j]), size, limit, low, high):
+                    d, a, b = found
+                    if len(starts) > 1:
+                        for other in [x for x in known if x[0] <= b and a <= x[1]]:
+                            known.remove(other)
+                            a, b, d = min(a, other[0]), max(b, other[1]), max(d, other[2])
+                    elif any(x[0] < b and a < x[1] for x in known):
+                        continue
+                    known.append((a, b, d))
+            # a place that holds the whole item within its own budget
+            if len(starts) > 1:
+                for at_place in [x for x in known if x not in before]:
+                    a, b, d = at_place
+                    if b - a >= len(self.texts[k]) - self.whole[k] and low <= a <= high:
+                        if found := self.passage(text, c, k, 0, len(self.texts[k]), self.whole[k], low, high):
+                            known.remove(at_place)
+                            known.append((min(a, found[1]), max(b, found[2]), found[0]))
+        out += [(self.ids[k], *p) for k, found in places.items() for p in found]
         return sorted(out, key=lambda m: (m[0] is None, m[0], m[1]))
 
 
@@ -198,7 +269,7 @@ def item_blocks(items: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[li
 def matches(docs: DataFrame, items: DataFrame, q: int = Q, rate: float = RATE,
             block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, item_id, match_start, match_end (in the plain text), distance: one row per
-    contaminated row of ``docs`` and item found in it."""
+    row of ``docs``, item found in it and place."""
     found = [_found(docs.select("doc_id", whole_text().alias("text")), block, q, rate)
              .select("doc_id", F.inline("__found")) for block in item_blocks(items, block_chars)]
     if not found:

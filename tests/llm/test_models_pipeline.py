@@ -113,19 +113,25 @@ def edits_inside(item, text):
     return min(row)
 
 
+def passages_of(t):
+    """Overlapping parts of half an item, 64 to 160 characters, a fifth apart."""
+    n = min(len(t), max(64, min(len(t) // 2, 160)))
+    return [t[a:a + n] for a in {*range(0, len(t) - n + 1, n // 5 or 1), len(t) - n}]
+
+
 def test_search_equals_brute_force():
     rng = np.random.default_rng(4)
     letters = list("abcdefgh ")
-    items = ["".join(rng.choice(letters, n)) for n in (20, 45, 60, 90, 130, 7, 3)]
+    items = ["".join(rng.choice(letters, n)) for n in (20, 45, 60, 90, 130, 7, 3, 12, 31)]
     items = [(i, decontaminate.plain(t)) for i, t in enumerate(items)]
     index = decontaminate.ItemIndex(items)
     seen = set()
     for trial in range(250):
         text = list("".join(rng.choice(letters, rng.integers(0, 150))))
-        item = list(items[trial % 5][1])
-        for _ in range(rng.integers(0, len(item) // 7)):
+        item = list(items[trial % 9 if trial % 2 else trial % 5][1])
+        for _ in range(rng.integers(0, len(item) // 7 + 1)):
             k, kind = int(rng.integers(len(item))), rng.integers(3)
-            item[k:k + (kind != 1)] = [] if kind == 0 else [str(rng.choice(letters))]
+            item[k:k + (kind != 1)] = [] if kind == 0 and len(item) > 1 else [str(rng.choice(letters))]
         at = int(rng.integers(len(text) + 1))
         text[at:at] = item[: rng.integers(len(item) // 2, len(item) + 1) if trial % 3 == 0 else None]
         text = decontaminate.plain("".join(text))
@@ -134,13 +140,36 @@ def test_search_equals_brute_force():
             if len(t) < decontaminate.Q:
                 assert (i in got) == (f" {t} " in f" {text} ")
                 continue
-            best = edits_inside(t, text)
-            assert (i in got) == (best <= decontaminate.budget(len(t))), (t, text)
-            seen.add((i in got, best > 0))
-            if i in got:
+            best = min(edits_inside(x, text) - len(x) // 10 for x in passages_of(t))
+            assert (i in got) == (best <= 0), (t, text)
+            seen.add((i in got, best > -(len(t) // 10), len(passages_of(t)) > 1, len(t) < 40))
+            if i in got and len(passages_of(t)) == 1:
                 _, a, b, d = got[i]
-                assert edits_inside(t, text[a:b]) <= d <= decontaminate.budget(len(t))
-    assert len(seen) >= 3
+                assert edits_inside(t, text[a:b]) <= d <= len(t) // 10
+    assert len(seen) >= 6
+
+
+def test_partial_quotes_and_all_places_are_found(spark, docs_of):
+    rng = np.random.default_rng(12)
+    words = lambda n: " ".join("".join(rng.choice(list("abcdefghijklmno"), rng.integers(3, 9))) for _ in range(n))
+    item = words(60)
+    n = len(item)
+    quotes = {100 + i: item[a:a + int(n * 0.6)] for i, a in enumerate(range(0, int(n * 0.4), 7))}
+    long = words(400)
+    quotes |= {200 + i: long[a:a + 200] for i, a in enumerate(range(0, len(long) - 200, 101))}
+    texts = {i: f"{words(30)} {q} {words(20)}" for i, q in quotes.items()}
+    texts |= {300: f"{item} {words(9)} {item} {words(9)} {long}", 301: words(300), 302: item[:60] + " " + words(40), 303: " ".join(item.split()[::-1])}
+    items = spark.createDataFrame([(1, item), (2, long)], "item_id long, text string")
+    docs = docs_of(sorted(texts.items()))
+    got = decontaminate.matches(docs, items).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(i, 1 if i < 200 else 2) for i in quotes} | {(300, 1), (300, 2)}
+    for r in got:
+        quote = quotes.get(r.doc_id, item if r.item_id == 1 else long)
+        assert quote[40:-40] in decontaminate.plain(texts[r.doc_id])[max(0, r.match_start - 40):r.match_end + 40]
+    full = [r for r in got if r.doc_id == 300]
+    assert len(full) == 3 and all(r.distance == 0 for r in full)
+    assert {r.match_end - r.match_start for r in full} == {n, len(long)}
+    assert {r.doc_id for r in decontaminate.clean(docs, items).collect()} == {301, 302, 303}
 
 
 @pytest.mark.parametrize("block_chars", [10**6, 2000])
