@@ -14,7 +14,8 @@ most ``radius``.  The top levels cut the fingerprints into shards, named by the
 A fingerprint resides in its own shard and is sent as a query to the later ones (in the
 order of names) that its distances reach within the radius, so the shards on both sides of
 a boundary overlap and every linked pair meets in the shard of its later member.  A shard
-is one task: it prunes further with finer slices in the same way, compares what is left
+is one task (one with more than ``GROUP`` rows, as a large family of near copies makes,
+is counted and dealt to several): it prunes further with finer slices in the same way, compares what is left
 exactly, joins links in a union-find and returns at most one link per fingerprint.  Stars
 of links are merged by alternating large-star and small-star rounds, each written to the
 shared folder; nothing of the corpus goes to the driver but a bounded sample for choosing
@@ -39,6 +40,7 @@ from quarry.llm.common import text_udf, whole_text, written
 
 SAMPLE = 2048  # fingerprints that choose the vantage codes
 PAIRS = 1 << 21  # pairs compared at once in a shard
+GROUP = 1 << 17  # rows of a shard, or of a block of a large one, in a task
 
 
 # -- fingerprints
@@ -177,7 +179,7 @@ def tree_levels(n: int, most: int = 1_000_000) -> int:
     return next((k for k in range(2, 10) if n * share(k) <= most), 10)
 
 
-def links(codes: DataFrame, radius: int, levels: int | None = None) -> DataFrame:
+def links(codes: DataFrame, radius: int, levels: int | None = None, group: int = GROUP) -> DataFrame:
     """(u, v), v < u: links that join the same classes as all pairs of distinct codes
     (column fp) within ``radius`` bits; at most one per code and shard."""
     n = codes.count()
@@ -199,14 +201,39 @@ def links(codes: DataFrame, radius: int, levels: int | None = None) -> DataFrame
         order = np.argsort(~home, kind="stable")
         ordered = np.ascontiguousarray(fp[order]).astype(np.int64)
         root = shard_links(tree, ordered.view(np.uint64), int(home.sum()))
-        hit = np.flatnonzero(root != np.arange(len(root)))
-        u, v = ordered[hit], ordered[root[hit]]
+        u, v = ordered, ordered[root]
+        u, v = u[u != v], v[u != v]
         return pa.table({"u": np.maximum(u, v), "v": np.minimum(u, v)})
 
+    routed = written(codes.select("fp").mapInArrow(route, "shard long, fp long, home boolean"), "simhash-routed")
     # little data but much work per byte: keep all partitions instead of joining small ones
     tasks = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    routed = codes.select("fp").mapInArrow(route, "shard long, fp long, home boolean").repartition(tasks, "shard")
-    return routed.groupBy("shard").applyInArrow(search, "u long, v long")
+    groups = in_blocks(routed, group).repartition(tasks, "shard", "own", "ask")
+    return groups.groupBy("shard", "own", "ask").applyInArrow(search, "u long, v long")
+
+
+def in_blocks(routed: DataFrame, group: int) -> DataFrame:
+    """shard, own, ask, fp, home: the rows of a shard that holds more than ``group`` are
+    dealt by hash, residents to blocks ``own`` and all members to blocks ``ask``, so that
+    every resident meets every member in the group of their two blocks."""
+    large = (routed.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.count_if("home").alias("residents"))
+                   .filter(F.col("n") > group)
+                   .select("shard", F.ceil(F.col("residents") / group).alias("owns"), F.ceil(F.col("n") / group).alias("asks")))
+    # written first: a few rows, so that the planner knows its size
+    rows = routed.join(written(large, "simhash-large-shards"), "shard", "left")
+    h = F.xxhash64("fp")
+    own, ask = F.pmod(h, F.col("owns")), F.pmod(h, F.col("asks"))
+
+    def place(own, ask, home):
+        return F.struct(own.cast("long").alias("own"), ask.cast("long").alias("ask"), home.alias("home"))
+
+    lives = F.transform(F.sequence(F.lit(0), F.col("asks") - 1), lambda j: place(own, j, F.lit(True)))
+    asks = F.transform(F.sequence(F.lit(0), F.col("owns") - 1), lambda i: place(i, ask, F.lit(False)))
+    # visitors of a shard without residents have nothing to ask
+    whole = F.array(place(F.lit(0), F.lit(0), F.col("home")))
+    parts = (F.when(F.col("owns").isNull(), whole).when(F.col("owns") == 0, F.slice(whole, 1, 0))
+              .when(F.col("home"), F.concat(lives, asks)).otherwise(asks))
+    return rows.select("shard", "fp", F.explode(parts).alias("p")).select("shard", "fp", "p.*")
 
 
 def stars(edges: DataFrame) -> DataFrame:

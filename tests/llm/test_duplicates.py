@@ -162,6 +162,31 @@ def test_dense_shard_prunes_exactly():
     assert root.tolist() == plain_components([int(c) for c in codes], 3)
 
 
+def test_family_of_near_copies_is_split_over_tasks(spark):
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(21)
+    template, codes = int(rng.integers(2**62)), set()
+    while len(codes) < 2500:  # a few bits from one template, and chains that leave it
+        c = template
+        for b in rng.integers(0, 63, rng.integers(0, 6)).tolist():
+            c ^= 1 << b
+        codes.add(c)
+    codes |= set(rng.integers(-2**63, 2**63 - 1, 300).tolist())
+    codes = sorted(codes)
+    df = spark.createDataFrame([(c,) for c in codes], "fp long")
+    want = plain_components([c & (2**64 - 1) for c in codes], 3)
+    want = {c: codes[r] for c, r in zip(codes, want) if codes[r] != c}
+    for levels in (1, 2):
+        found = simhash_vp.stars(simhash_vp.links(df, 3, levels, group=150)).collect()
+        assert {r.node: r.root for r in found} == want
+    sizes = []
+    routed = df.withColumns({"shard": F.lit(0).cast("long"), "home": F.col("fp") % 3 != 0})
+    sizes = [r["count"] for r in simhash_vp.in_blocks(routed, 150).groupBy("shard", "own", "ask").count().collect()]
+    assert len(sizes) > 100 and max(sizes) < 450
+    alone = simhash_vp.in_blocks(routed.filter("not home"), 10)
+    assert alone.collect() == []
+
+
 def test_stars_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(300)] + [(1001, 1000)], "u long, v long")
     got = {r.node: r.root for r in simhash_vp.stars(edges).collect()}
