@@ -21,17 +21,20 @@ import hashlib
 import heapq
 import re
 import struct
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
-from quarry.llm.common import ListMemo, broadcast_file, id_lists, per_worker, text_udf, whole_text
+from quarry.llm.common import ListMemo, broadcast_file, chunks, id_lists, per_worker, row_type, text_udf, whole_text
 
 MARK = "▁"
 FIELDS = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
+IDS_TYPE = pa.struct([*row_type(FIELDS), ("ids", pa.list_(pa.int32()))])
 
 
 class PieceModel:
@@ -156,12 +159,29 @@ def round_trips(model: PieceModel, texts: list[str]) -> list[tuple[int, str, str
     return out
 
 
-def encode_documents(docs: DataFrame, model: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row; no shuffle."""
+def encode_documents(docs: DataFrame, model: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row; no shuffle.  With columns
+    to ``carry``, these follow, and the ids with the end id."""
     held = broadcast_file(docs.sparkSession, model)
 
     def setup():
         own = per_worker(PieceModel, held.value)
         return lambda texts: round_trips(own, texts)
 
-    return docs.select(F.col("doc_id"), text_udf(setup, FIELDS, rows=4096, nbytes=6 << 20)(whole_text()).alias("__r")).select("doc_id", "__r.*")
+    def with_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = per_worker(PieceModel, held.value)
+        for batch in batches:
+            parts = []
+            for c in chunks(batch, rows=1024, nbytes=2 << 20):
+                texts = c.to_pylist()
+                ids = [np.append(x, own.library.eos_id()).astype(np.int32) for x in own.encode(texts)]
+                columns = [pa.array(x) for x in zip(*round_trips(own, texts))]
+                parts.append(pa.StructArray.from_arrays([*columns, id_lists(np.concatenate(ids), map(len, ids))], names=[*FIELDS, "ids"]))
+            yield pa.concat_arrays(parts) if parts else pa.array([], type=IDS_TYPE)
+
+    if carry:
+        kind = "struct<" + ",".join(f"{k}:{t}" for k, t in FIELDS.items()) + ",ids:array<int>>"
+        made = arrow_udf(with_ids, kind)(whole_text())
+    else:
+        made = text_udf(setup, FIELDS, rows=4096, nbytes=6 << 20)(whole_text())
+    return docs.select("doc_id", *carry, made.alias("__r")).select("doc_id", *[f"__r.{f}" for f in FIELDS], *carry, *["__r.ids"] * bool(carry))

@@ -249,3 +249,27 @@ def test_pipeline_equals_brute_force(spark):
     lib = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     texts = dict(rows)
     assert {r.doc_id: r.n_tokens for r in got.collect()} == {i: len(lib.encode(texts[i])) + 1 for i in want}
+    assert {r.doc_id: r.ids for r in got.collect()} == {i: lib.encode(texts[i]) + [lib.eos_id()] for i in want}
+    labels = dict(duckdb.sql(f"SELECT doc_id, lang FROM '{SMALL}/documents.parquet'").fetchall())
+    assert {r.doc_id: r.lang for r in got.collect()} == {i: labels[i] for i in want}
+
+
+def test_language_stage_decides(spark, docs_of, small_docs):
+    from pyspark.sql import functions as F
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    # every fifth label is taken away and comes back from the text
+    dark = docs.withColumn("lang", F.when(F.col("doc_id") % 5 != 0, F.col("lang")))
+    kept = lang_rnn.keep_identified(dark)
+    assert kept.columns == docs.columns
+    truth = {r.doc_id: r.lang for r in docs.collect()}
+    got = {r.doc_id: r.lang for r in kept.collect()}
+    assert all(got[i] == truth[i] for i in got if i % 5)
+    filled = [got[i] == truth[i] for i in got if i % 5 == 0]
+    assert None not in got.values() and np.mean(filled) > 0.97
+    # nothing is lost at the documented score, much at a high one
+    network = lang_rnn.train(dark)
+    score = {r.doc_id: r.score for r in lang_rnn.identify(dark, network).collect()}
+    for over in (lang_rnn.OVER_CHANCE, 3.9):
+        kept = {r.doc_id for r in lang_rnn.keep_identified(dark, over).collect()}
+        assert kept == {i for i, s in score.items() if s > over / len(network.languages)}
+        assert (len(kept) == len([i for i, s in score.items() if s])) == (over == lang_rnn.OVER_CHANCE)
