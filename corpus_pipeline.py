@@ -14,7 +14,8 @@ from quarry.sources.tables import load
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that could be told; texts without letters go."""
+    """Documents in a language that could be told, null labels filled; texts without letters
+    and texts that score no better than chance go."""
     return lang_rnn.keep_identified(docs)
 
 
@@ -34,8 +35,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of what is left."""
-    return piece_bpe.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    """Token counts, digests, language, source and piece ids of what is left."""
+    return piece_bpe.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), carry=("lang", "source"))
 
 
 STAGES = [("language ID", language_id), ("exact dedup", exact), ("SimHash near-dedup", near),
