@@ -28,13 +28,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udf
 
-from quarry.llm.common import ListMemo, broadcast_file, chunks, id_lists, per_worker, row_type, text_udf, whole_text
+from quarry.llm.common import ListMemo, broadcast_file, chunks, id_lists, per_worker, text_udf, whole_text
 
 MARK = "▁"
 FIELDS = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
-IDS_TYPE = pa.struct([*row_type(FIELDS), ("ids", pa.list_(pa.int32()))])
 
 
 class PieceModel:
@@ -146,13 +144,13 @@ class PieceModel:
         return self.library.decode(ids, num_threads=1)
 
 
-def round_trips(model: PieceModel, texts: list[str]) -> list[tuple[int, str, str]]:
-    """Per text, with an end id: ids, sha256 of the ids, sha256 of the decoded text."""
+def round_trips(model: PieceModel, encoded: list[np.ndarray]) -> list[tuple[int, str, str]]:
+    """Per encoded text, with an end id: ids, sha256 of the ids, sha256 of the decoded text."""
     end, said = model.library.eos_id(), model.said.__getitem__
     def sha(s: str) -> str:
         return hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
 
-    out, encoded = [], model.encode(texts)
+    out = []
     for at in range(0, len(encoded), 256):  # as Python numbers, ids take much more memory
         found = [[*ids.tolist(), end] for ids in encoded[at:at + 256]]
         out += [(len(ids), sha(" ".join(map(said, ids))), sha(back)) for ids, back in zip(found, model.decode(found))]
@@ -166,22 +164,22 @@ def encode_documents(docs: DataFrame, model: str, carry: tuple[str, ...] = ()) -
 
     def setup():
         own = per_worker(PieceModel, held.value)
-        return lambda texts: round_trips(own, texts)
+        return lambda texts: round_trips(own, own.encode(texts))
 
-    def with_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = per_worker(PieceModel, held.value)
         for batch in batches:
-            parts = []
-            for c in chunks(batch, rows=1024, nbytes=2 << 20):
-                texts = c.to_pylist()
-                ids = [np.append(x, own.library.eos_id()).astype(np.int32) for x in own.encode(texts)]
-                columns = [pa.array(x) for x in zip(*round_trips(own, texts))]
-                parts.append(pa.StructArray.from_arrays([*columns, id_lists(np.concatenate(ids), map(len, ids))], names=[*FIELDS, "ids"]))
-            yield pa.concat_arrays(parts) if parts else pa.array([], type=IDS_TYPE)
+            at = 0
+            for part in chunks(batch.column("text"), rows=1024, nbytes=2 << 20):
+                encoded = own.encode(part.to_pylist())
+                ids = [np.append(x, own.library.eos_id()).astype(np.int32) for x in encoded]
+                made = [pa.array(x) for x in zip(*round_trips(own, encoded))]
+                kept = [batch.column(c).slice(at, len(part)) for c in ("doc_id", *carry)]
+                yield pa.RecordBatch.from_arrays([kept[0], *made, *kept[1:], id_lists(np.concatenate(ids), map(len, ids))],
+                                                 names=["doc_id", *FIELDS, *carry, "ids"])
+                at += len(part)
 
     if carry:
-        kind = "struct<" + ",".join(f"{k}:{t}" for k, t in FIELDS.items()) + ",ids:array<int>>"
-        made = arrow_udf(with_ids, kind)(whole_text())
-    else:
-        made = text_udf(setup, FIELDS, rows=4096, nbytes=6 << 20)(whole_text())
-    return docs.select("doc_id", *carry, made.alias("__r")).select("doc_id", *[f"__r.{f}" for f in FIELDS], *carry, *["__r.ids"] * bool(carry))
+        kinds = {"doc_id": docs.schema["doc_id"].dataType.simpleString()} | FIELDS | {c: docs.schema[c].dataType.simpleString() for c in carry}
+        return docs.select("doc_id", *carry, whole_text().alias("text")).mapInArrow(with_ids, ", ".join(f"{k} {t}" for k, t in kinds.items()) + ", ids array<int>")
+    return docs.select(F.col("doc_id"), text_udf(setup, FIELDS, rows=4096, nbytes=6 << 20)(whole_text()).alias("__r")).select("doc_id", "__r.*")

@@ -292,7 +292,8 @@ def dedupe(docs: DataFrame, words: int = 3, radius: int = 3, levels: int | None
     packed = docs.select(F.struct("*").alias("__row"), F.col("doc_id").cast("long").alias("__doc"), whole_text().alias("__text"))
     single = (F.col("__n") == 1) & F.col("__id").isNotNull()
     plain = packed.join(kept.filter(single), F.col("__doc") == F.col("__id"), "left_semi").select("__row.*")
-    unclear = kept.filter(~single).select("__id", "__fp")
+    # written: usually no or few rows, and the planner then knows it
+    unclear = written(kept.filter(~single).select("__id", "__fp"), "simhash-unclear")
     again = (packed.join(unclear, F.col("__doc").eqNullSafe(F.col("__id")), "left_semi")
                    .withColumn("__own", fingerprint(F.col("__text"), words))
                    .join(unclear, F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__fp")), "left_semi")
