@@ -145,6 +145,61 @@ def tag_language(df: DataFrame, id_col: str, text_col: str,
     return df.select(id_col, *keep, language_of(text_col, stop_words).alias(out))
 
 
+# Sizes of the trained language model: code points are taken modulo CODES, so a pair of
+# neighbouring characters is one of CODES^2 features; PER_LANGUAGE texts train a language.
+CODES, PER_LANGUAGE, LOG_SCALE = 128, 200, 1000
+
+
+def letter_pairs(text_col: str | Column) -> Column:
+    """Numbers of the neighbouring characters of a text in lower case, runs of other
+    characters than letters counting as one space; null for a null text."""
+    plain = F.regexp_replace(F.lower(tx.as_col(text_col)), r"[^\p{L}]+", " ")
+    codes = F.transform(F.filter(F.split(plain, ""), lambda c: c != ""), lambda c: F.ascii(c) % CODES)
+    # through a one-element array, so that the codes are found once
+    return F.filter(F.transform(F.array(codes), lambda c: F.zip_with(c, F.slice(c, 2, F.greatest(F.size(c), F.lit(1))),
+                                                                      lambda a, b: a * CODES + b))[0], lambda x: x.isNotNull())
+
+
+def held_out_text(id_col: str | Column) -> Column:
+    """Whether a row is kept for measuring: a quarter of all ids, by their md5."""
+    return F.substring(F.md5(tx.as_col(id_col).cast("string")), 1, 1) < "4"
+
+
+def language_model(df: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int = PER_LANGUAGE) -> DataFrame:
+    """L1: one row, ``model``: per language (in order) the log-probability of every
+    character pair, in thousandths as whole numbers, with add-one-half smoothing.
+
+    Learned from at most ``per_language`` labelled texts a language that are not held out
+    (the smallest md5 of the id), so that fitting is bounded; the model has CODES^2 numbers
+    a language.  Without labelled texts it is an empty list."""
+    from pyspark.sql import Window
+    key = F.md5(F.col(id_col).cast("string"))
+    rows = df.select(id_col, F.col(lang_col).alias("lang"), text_col).where(
+        F.col("lang").isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out_text(id_col))
+    chosen = rows.withColumn("__n", F.row_number().over(
+        Window.partitionBy("lang").orderBy(key, id_col, text_col))).where(F.col("__n") <= per_language)
+    counts = materialize(chosen.select("lang", F.explode(letter_pairs(text_col)).alias("pair")).groupBy("lang", "pair").count(), "pairs")
+    totals = counts.groupBy("lang").agg(F.sum("count").alias("total"))
+    every = totals.select("lang", "total", F.explode(F.sequence(F.lit(0), F.lit(CODES * CODES - 1))).alias("pair"))
+    share = (F.coalesce(F.col("count"), F.lit(0)) + 0.5) / (F.col("total") + 0.5 * CODES * CODES)
+    weights = every.join(counts, ["lang", "pair"], "left").select("lang", "pair", F.round(F.log(share) * LOG_SCALE).cast("int").alias("w"))
+    lists = weights.groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("pair", "w"))), lambda x: x["w"]).alias("w"))
+    return lists.agg(F.array_sort(F.collect_list(F.struct("lang", "w"))).alias("model"))
+
+
+def tag_by_model(df: DataFrame, text_col: str, model: DataFrame, out: str = "language") -> DataFrame:
+    """``df`` with the language under which a text's character pairs are likeliest, ties
+    by language code; a text without letters gives 'undetectable', as do all without a
+    model.  Scored row by row against the model (a scalar subquery): no shuffle, no Python."""
+    def best(pairs: Column, table: Column) -> Column:
+        return F.array_min(F.transform(table, lambda m: F.struct(
+            (-F.aggregate(pairs, F.lit(0).cast("long"), lambda s, i: s + F.get(m["w"], i))).alias("s"), m["lang"].alias("lang"))))
+
+    found = F.transform(F.array(letter_pairs(text_col)), lambda pairs: best(pairs, F.col("__model")))[0]["lang"]
+    tagged = F.when(F.col(text_col).rlike(r"\p{L}"), F.coalesce(found, F.lit(UNDETECTABLE))).otherwise(UNDETECTABLE)
+    return df.withColumn("__model", model.select("model").scalar()).withColumn(out, tagged).drop("__model")
+
+
 def next_turn_pairs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
                     role: str = "role", text: str = "text", src_role: str = "user",
                     tgt_role: str = "assistant") -> DataFrame:

@@ -133,49 +133,61 @@ def truncate_315(spark, sf_dir):
              .select("doc_id", tx.truncate_words("text", 315).alias("truncated")))
 
 
-def _lang_sql() -> str:
-    langs = sorted(ops.STOP_WORDS)
-    hits = ", ".join(
-        f"len(list_filter(toks, lambda t: list_contains([{', '.join(_q(w) for w in ops.STOP_WORDS[k])}], t))) AS h_{k}"
-        for k in langs)
-    best = f"greatest({', '.join('h_' + k for k in langs)})"
-    case = " ".join(f"WHEN h_{k} = {best} THEN '{k}'" for k in langs)
-    return f"""SELECT doc_id, CASE WHEN {best} = 0 THEN 'undetectable' {case} END AS language
-FROM (SELECT doc_id, {hits} FROM (SELECT doc_id, {_duck_letter_tokens('text')} AS toks FROM documents))"""
-
-
-@register("lang_tag", _lang_sql())
+_PAIRS_OF = f"""list_transform(range(1, len(c)), lambda i: c[i] * {ops.CODES} + c[i + 1])"""
+_CODES_OF = f"""list_transform(list_filter(string_split(regexp_replace(lower(text), '[^\\p{{L}}]+', ' ', 'g'), ''), lambda x: x <> ''),
+               lambda x: unicode(x) % {ops.CODES})"""
+# per row: the pairs of characters; the model as one list per language; the likeliest
+_LANG_SQL = f"""WITH chosen AS (
+  SELECT lang, {_CODES_OF} AS c FROM documents
+  WHERE lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL AND md5(CAST(doc_id AS VARCHAR))[1] >= '4'
+  QUALIFY row_number() OVER (PARTITION BY lang ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id, text) <= {ops.PER_LANGUAGE}),
+counts AS (SELECT lang, pair, count(*) AS n FROM (SELECT lang, unnest({_PAIRS_OF}) AS pair FROM chosen) GROUP BY ALL),
+totals AS (SELECT lang, sum(n) AS total FROM counts GROUP BY lang),
+weights AS (SELECT lang, list(CAST(round(ln((coalesce(n, 0) + 0.5) / (total + {0.5 * ops.CODES ** 2})) * {ops.LOG_SCALE}) AS BIGINT) ORDER BY pair) AS w
+  FROM totals CROSS JOIN (SELECT unnest(range({ops.CODES ** 2})) AS pair) LEFT JOIN counts USING (lang, pair) GROUP BY lang),
+told AS (SELECT doc_id, lang AS said, n_chars, regexp_matches(text, '\\p{{L}}') AS any_letter, {_CODES_OF} AS c FROM documents),
+scored AS (SELECT t.*, w.lang AS language, coalesce(list_sum(list_transform({_PAIRS_OF.replace('c[', 't.c[').replace('len(c)', 'len(t.c)')}, lambda p: w.w[p + 1])), 0) AS s
+  FROM told t, weights w),
+t AS (SELECT doc_id, said, n_chars, CASE WHEN any_letter THEN language ELSE '{ops.UNDETECTABLE}' END AS language FROM scored
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, language) = 1)"""
+
+
+def _tagged(spark, sf_dir, *more):
+    """The documents with their language by the trained model."""
+    d = load_spread(spark, sf_dir, "documents", "doc_id", "text", "lang", *more)
+    model = ops.language_model(load(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+    return ops.tag_by_model(d, "text", model).drop("text")
+
+
+@register("lang_tag", _LANG_SQL + "\nSELECT doc_id, language FROM t")
 def lang_tag(spark, sf_dir):
-    d = load_spread(spark, sf_dir, "documents", "doc_id", "text")
-    return ops.tag_language(d, "doc_id", "text").select("doc_id", "language")
+    """L1 + D2: the language of every document by character pairs, learned from the labels
+    of documents that are not held out."""
+    return _tagged(spark, sf_dir).select("doc_id", "language")
 
 
-@register("lang_counts", f"""SELECT language, count(*) AS "count" FROM ({_lang_sql()}) GROUP BY language""")
+@register("lang_counts", _LANG_SQL + """\nSELECT language, count(*) AS "count" FROM t GROUP BY language""")
 def lang_counts(spark, sf_dir):
     """L1 + A1: documents per detected language."""
     return lang_tag(spark, sf_dir).groupBy("language").count()
 
 
-@register("english_only", f"""
-SELECT d.doc_id, d.n_chars FROM documents d JOIN ({_lang_sql()}) t USING (doc_id)
-WHERE t.language = 'en'""")
+@register("english_only", _LANG_SQL + "\nSELECT doc_id, n_chars FROM t WHERE language = 'en'")
 def english_only(spark, sf_dir):
     """L1 + F1: keep the documents tagged English."""
-    d = load_spread(spark, sf_dir, "documents", "doc_id", "n_chars", "text")
-    return ops.tag_language(d, "doc_id", "text").where(F.col("language") == "en").select("doc_id", "n_chars")
+    return _tagged(spark, sf_dir, "n_chars").where(F.col("language") == "en").select("doc_id", "n_chars")
 
 
-@register("lang_accuracy", f"""
-SELECT d.lang, count(*) AS docs, CAST(sum(CASE WHEN t.language = d.lang THEN 1 ELSE 0 END) AS BIGINT) AS correct,
-       sum(CASE WHEN t.language = d.lang THEN 1 ELSE 0 END) / count(*) AS accuracy
-FROM documents d JOIN ({_lang_sql()}) t USING (doc_id) GROUP BY d.lang""")
+@register("lang_accuracy", _LANG_SQL + """
+SELECT said AS lang, md5(CAST(doc_id AS VARCHAR))[1] < '4' AS held_out, count(*) AS docs,
+       CAST(sum(CASE WHEN language = said THEN 1 ELSE 0 END) AS BIGINT) AS correct,
+       sum(CASE WHEN language = said THEN 1 ELSE 0 END) / count(*) AS accuracy
+FROM t GROUP BY ALL""")
 def lang_accuracy(spark, sf_dir):
-    """L1 measured: per labelled language, documents tagged with that language."""
-    d = load_spread(spark, sf_dir, "documents", "doc_id", "lang", "text")
-    t = ops.tag_language(d, "doc_id", "text")
+    """L1 measured: per labelled language, held-out and other documents tagged with it."""
     hit = (F.col("language") == F.col("lang")).cast("long")
-    return t.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), F.sum(hit).alias("correct"),
-                                 (F.sum(hit) / F.count(F.lit(1))).alias("accuracy"))
+    return (_tagged(spark, sf_dir).groupBy("lang", ops.held_out_text("doc_id").alias("held_out"))
+            .agg(F.count(F.lit(1)).alias("docs"), F.sum(hit).alias("correct"), (F.sum(hit) / F.count(F.lit(1))).alias("accuracy")))
 
 
 _EN_STOPS_SQL = ", ".join(_q(w) for w in ops.STOP_WORDS["en"])

@@ -155,3 +155,33 @@ def test_vocabulary_head_equals_filtered_vocabulary(spark):
     head = {(r.token, r.idx) for r in ops.vocabulary_head(freq, 25).collect()}
     assert head == full and len(head) == 25
     assert {r.idx for r in ops.vocabulary_head(freq, 2).collect()} == {0, 1}
+
+
+def test_trained_language_tags(spark):
+    d = load(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "lang", "text")
+    model = ops.language_model(d, "doc_id", "text", "lang")
+    got = model.first()["model"]
+    assert [m.lang for m in got] == ["de", "en", "es", "fr"] and {len(m.w) for m in got} == {ops.CODES ** 2}
+    t = ops.tag_by_model(d, "text", model)
+    held = t.where(ops.held_out_text("doc_id")).agg(F.count("*"), F.avg((F.col("lang") == F.col("language")).cast("double"))).first()
+    assert held[0] > 150 and held[1] >= 0.97
+    plan = t._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan.split("Subquery")[0]
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "12 ½ !"), (4, "z")], "id int, text string")
+    assert {r.id: r.language for r in ops.tag_by_model(odd, "text", model).collect()}[4] in ("de", "en", "es", "fr")
+    assert {r.language for r in ops.tag_by_model(odd.where("id < 4"), "text", model).collect()} == {"undetectable"}
+    # without labels there is no model; a bounded sample decides, whatever else there is
+    dark = ops.language_model(d.withColumn("lang", F.lit(None).cast("string")), "doc_id", "text", "lang")
+    assert {r.language for r in ops.tag_by_model(odd, "text", dark).collect()} == {"undetectable"}
+
+
+def test_language_model_counts(spark):
+    import hashlib
+    import math
+    ids = [i for i in range(60) if hashlib.md5(str(i).encode()).hexdigest()[0] >= "4"][:3]
+    rows = [(ids[0], "x", "ab, AB"), (ids[1], "x", None), (ids[2], "y", "b")]
+    model = ops.language_model(spark.createDataFrame(rows, "id long, lang string, t string"), "id", "t", "lang").first()["model"]
+    n = ops.CODES ** 2
+    pairs = {97 * ops.CODES + 98: 2, 98 * ops.CODES + 32: 1, 32 * ops.CODES + 97: 1}
+    assert [m.lang for m in model] == ["x"]  # one character has no pair
+    assert model[0].w == [round(1000 * math.log((pairs.get(i, 0) + 0.5) / (4 + 0.5 * n))) for i in range(n)]
