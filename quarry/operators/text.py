@@ -69,40 +69,82 @@ def vocabulary_head(freq: DataFrame, n: int, min_freq: int = 1,
     return ranked.unionByName(sp)
 
 
+# Entries of the part of a vocabulary that is looked up inside the row.
+HEAD = 1 << 16
+
+
+def _looked_up(df: DataFrame, id_col: str, keys: Column, head: DataFrame, of_head, table: DataFrame) -> DataFrame:
+    """(id, ``__values``): the value of every key in order, null for unknown ones, one row
+    per row of ``df``.
+
+    ``head`` (one row, column ``head``, of bounded size) holds the most frequent keys;
+    ``of_head(head, key)`` reads it inside the row, without a join.  Only the other keys are
+    exploded and joined with ``table`` (key, value); rows that have none do not move, and
+    the others move as arrays of values."""
+    rows = df.select(id_col, keys.alias("__keys"))
+    rows = rows.withColumn("__head", head.select("head").scalar())
+    rows = rows.select(id_col, "__keys", F.transform("__keys", lambda k: of_head(F.col("__head"), k)).alias("__values"))
+    missing = F.filter(F.transform("__keys", lambda k, i: F.struct(i.alias("pos"), k.alias("key"))),
+                       lambda s: F.get("__values", s["pos"]).isNull())
+    # written once, so that the numbers of the rows hold in both reads below
+    rows = materialize(rows.select(id_col, "__values", missing.alias("__missing"))
+                           .withColumn("__row", F.monotonically_increasing_id()), "looked-up")
+    some = F.coalesce(F.size("__missing"), F.lit(0)) > 0
+    tail = (rows.where(some).select("__row", F.inline("__missing")).join(table, "key", "left")
+                .groupBy("__row").agg(F.collect_list(F.struct("pos", "value")).alias("__tail")))
+    known = F.filter(F.transform("__values", lambda v, i: F.struct(i.alias("pos"), v.alias("value"))), lambda s: s["value"].isNotNull())
+    filled = F.transform(F.array_sort(F.concat(known, "__tail")), lambda s: s["value"])
+    moved = rows.where(some).join(tail, "__row").select(id_col, filled.alias("__values"))
+    return rows.where(~some).select(id_col, "__values").unionByName(moved)
+
+
+def _slot(token: Column, slots: int) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(slots)).cast("int")
+
+
 def encode(df: DataFrame, id_col: str, tokens: Column, vocab: DataFrame,
-           as_text: bool = True) -> DataFrame:
+           as_text: bool = True, head: int = HEAD) -> DataFrame:
     """Token -> index with ``<unk>`` (0) for unknown words, order kept.
 
     Returns (id, n_tokens, n_unknown, ids) with ids as space-joined text, or as an array
     with ``as_text=False``.  A null or token-less text keeps its row with zero counts and
-    no ids.  One join by token and one regroup by id.
+    no ids.  The vocabulary's head is a table of ``head`` slots, each with the most frequent
+    token that hashes to it; only tokens outside it are joined.
     """
-    exploded = df.select(id_col, F.posexplode_outer(tokens).alias("__pos", "__token"))
-    v = vocab.select(F.col("token").alias("__token"), F.col("idx").alias("__idx"))
-    looked = exploded.join(v, "__token", "left").withColumn(
-        "__idx", F.coalesce(F.col("__idx"), F.lit(UNK_IDX)))
-    here = F.col("__token").isNotNull()
-    grouped = looked.groupBy(id_col).agg(
-        F.sort_array(F.collect_list(F.when(here, F.struct("__pos", "__idx")))).alias("__s"),
-        F.count("__token").alias("n_tokens"),
-        F.count(F.when(here & (F.col("__idx") == UNK_IDX), F.lit(1))).alias("n_unknown"))
-    ids = F.transform("__s", lambda x: x["__idx"])
-    if as_text:
-        ids = F.array_join(F.transform(ids, lambda x: x.cast("string")), " ")
-    return grouped.select(id_col, "n_tokens", "n_unknown", ids.alias("ids"))
-
-
-def decode(encoded: DataFrame, id_col: str, vocab: DataFrame, ids_col: str = "ids") -> DataFrame:
+    best = vocab.groupBy(_slot(F.col("token"), head).alias("slot")).agg(F.min(F.struct("idx", "token")).alias("e"))
+    slots = df.sparkSession.range(head).select(F.col("id").cast("int").alias("slot")).join(best, "slot", "left")
+    table = slots.agg(F.transform(F.array_sort(F.collect_list(F.struct("slot", "e"))), lambda s: s["e"]).alias("head"))
+
+    def of_head(held: Column, t: Column) -> Column:
+        e = F.get(held, _slot(t, head))
+        return F.when(e["token"] == t, e["idx"])
+
+    found = _looked_up(df, id_col, F.coalesce(tokens, F.array().cast("array<string>")), table, of_head,
+                       vocab.select(F.col("token").alias("key"), F.col("idx").alias("value")))
+    ids = F.transform("__values", lambda x: F.coalesce(x, F.lit(UNK_IDX)))
+    unknown = F.size(F.filter("__ids", lambda x: x == UNK_IDX)).cast("long").alias("n_unknown")
+    out = F.array_join(F.transform("__ids", lambda x: x.cast("string")), " ") if as_text else F.col("__ids")
+    return (found.select(id_col, ids.alias("__ids"))
+                 .select(id_col, F.size("__ids").cast("long").alias("n_tokens"), unknown, out.alias("ids")))
+
+
+def decode(encoded: DataFrame, id_col: str, vocab: DataFrame, ids_col: str = "ids", head: int = HEAD) -> DataFrame:
     """Index -> token, order kept; returns (id, text).  ``ids_col`` holds an array
-    or space-joined text; rows without ids decode to the empty text."""
+    or space-joined text; rows without ids decode to the empty text.  Indices below
+    ``head`` are read from an array inside the row, only others are joined."""
     ids = F.col(ids_col)
     if dict(encoded.dtypes)[ids_col] == "string":
         ids = F.transform(F.filter(F.split(ids, " "), lambda x: x != ""), lambda x: x.cast("long"))
-    ex = encoded.select(id_col, F.posexplode_outer(ids).alias("__pos", "__idx"))
-    v = vocab.select(F.col("token").alias("__token"), F.col("idx").alias("__idx"))
-    return (ex.join(v, "__idx", "left").groupBy(id_col)
-              .agg(F.sort_array(F.collect_list(F.when(F.col("__pos").isNotNull(), F.struct("__pos", "__token")))).alias("__s"))
-              .select(id_col, F.array_join(F.transform("__s", lambda x: x["__token"]), " ").alias("text")))
+    first = vocab.where((F.col("idx") >= 0) & (F.col("idx") < head))
+    places = encoded.sparkSession.range(head).withColumnRenamed("id", "idx").join(first, "idx", "left")
+    table = places.agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "token"))), lambda s: s["token"]).alias("head"))
+
+    def of_head(held: Column, i: Column) -> Column:
+        return F.when((i >= 0) & (i < head), F.get(held, i.cast("int")))
+
+    found = _looked_up(encoded, id_col, F.coalesce(ids, F.array().cast("array<long>")), table, of_head,
+                       vocab.select(F.col("idx").alias("key"), F.col("token").alias("value")))
+    return found.select(id_col, F.array_join("__values", " ").alias("text"))
 
 
 # Short stop-word lists used to tag a text's language.

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as tx
 from quarry.operators import text as ops
+from quarry.operators.indexing import materialize
 from quarry.plans.registry import register
 from quarry.sources.tables import load, load_spread
 
@@ -81,8 +82,9 @@ def vocab_top(spark, sf_dir):
 
 
 def _vocabulary(spark, sf_dir):
+    """The vocabulary of all documents, written once: its readers need parts of it."""
     d = load_spread(spark, sf_dir, "documents", "text")
-    return ops.build_vocabulary(ops.token_frequencies(d, tx.basic_english_tokens("text")))
+    return materialize(ops.build_vocabulary(ops.token_frequencies(d, tx.basic_english_tokens("text"))), "vocabulary")
 
 
 _ENCODED_SQL = f"""WITH v AS ({_vocab_sql()}),

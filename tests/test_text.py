@@ -185,3 +185,24 @@ def test_language_model_counts(spark):
     pairs = {97 * ops.CODES + 98: 2, 98 * ops.CODES + 32: 1, 32 * ops.CODES + 97: 1}
     assert [m.lang for m in model] == ["x"]  # one character has no pair
     assert model[0].w == [round(1000 * math.log((pairs.get(i, 0) + 0.5) / (4 + 0.5 * n))) for i in range(n)]
+
+
+def test_encode_and_decode_beyond_the_head(spark):
+    import random
+    random.seed(1)
+    texts = [" ".join(random.choice("abcdefghijklmnopqrst") * random.randint(1, 3) for _ in range(random.randint(0, 30))) for _ in range(120)]
+    rows = list(enumerate(texts)) + [(7, "a b zzzz"), (7, None), (None, "c")]
+    df = spark.createDataFrame(rows, "i int, t string").repartition(3)
+    vocab = ops.build_vocabulary(ops.token_frequencies(df.where("t not like '%zzzz%'"), tx.split_whitespace("t"))).cache()
+    idx = {r.token: r.idx for r in vocab.collect()}
+    want = sorted(((i, " ".join(str(idx.get(w, 0)) for w in (t or "").split()), len((t or "").split())) for i, t in rows), key=str)
+    back = sorted(((i, " ".join(w if w in idx else "<unk>" for w in (t or "").split())) for i, t in rows), key=str)
+    for head in (1, 8, ops.HEAD):  # nothing, some and all tokens are looked up in the row
+        enc = ops.encode(df, "i", tx.split_whitespace("t"), vocab, head=head)
+        assert sorted(((r.i, r.ids, r.n_tokens) for r in enc.collect()), key=str) == want
+        lists = ops.encode(df, "i", tx.split_whitespace("t"), vocab, as_text=False, head=head)
+        for e in (enc, lists):
+            assert sorted(map(tuple, ops.decode(e, "i", vocab, head=head).collect()), key=str) == back
+    assert {r.n_unknown for r in enc.where("i = 7").collect()} >= {1}
+    odd = spark.createDataFrame([(1, [4, 10 ** 9, -1, 0])], "i int, ids array<long>")
+    assert ops.decode(odd, "i", vocab, head=8).first().text == {v: k for k, v in idx.items()}[4] + " <unk>"
