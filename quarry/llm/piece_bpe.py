@@ -157,20 +157,20 @@ def round_trips(model: PieceModel, encoded: list[np.ndarray]) -> list[tuple[int,
     return out
 
 
-def encode_documents(docs: DataFrame, model: str, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row; no shuffle.  With columns
-    to ``carry``, these follow, and the ids with the end id."""
+def encode_documents(docs: DataFrame, model: str, carry: tuple[str, ...] = (), with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, the columns to ``carry`` and, if asked
+    for, the ids with the end id, of every row; no shuffle."""
     held = broadcast_file(docs.sparkSession, model)
 
     def setup():
         own = per_worker(PieceModel, held.value)
         return lambda texts: round_trips(own, own.encode(texts))
 
-    def with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encoded_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = per_worker(PieceModel, held.value)
         for batch in batches:
             at = 0
-            for part in chunks(batch.column("text"), rows=1024, nbytes=2 << 20):
+            for part in chunks(batch.column("text"), rows=4096, nbytes=6 << 20):
                 encoded = own.encode(part.to_pylist())
                 ids = [np.append(x, own.library.eos_id()).astype(np.int32) for x in encoded]
                 made = [pa.array(x) for x in zip(*round_trips(own, encoded))]
@@ -179,7 +179,8 @@ def encode_documents(docs: DataFrame, model: str, carry: tuple[str, ...] = ()) -
                                                  names=["doc_id", *FIELDS, *carry, "ids"])
                 at += len(part)
 
-    if carry:
+    if with_ids:
         kinds = {"doc_id": docs.schema["doc_id"].dataType.simpleString()} | FIELDS | {c: docs.schema[c].dataType.simpleString() for c in carry}
-        return docs.select("doc_id", *carry, whole_text().alias("text")).mapInArrow(with_ids, ", ".join(f"{k} {t}" for k, t in kinds.items()) + ", ids array<int>")
-    return docs.select(F.col("doc_id"), text_udf(setup, FIELDS, rows=4096, nbytes=6 << 20)(whole_text()).alias("__r")).select("doc_id", "__r.*")
+        return docs.select("doc_id", *carry, whole_text().alias("text")).mapInArrow(encoded_rows, ", ".join(f"{k} {t}" for k, t in kinds.items()) + ", ids array<int>")
+    made = text_udf(setup, FIELDS, rows=4096, nbytes=6 << 20)(whole_text()).alias("__r")
+    return docs.select("doc_id", *carry, made).select("doc_id", "__r.*", *carry)

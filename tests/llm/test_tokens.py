@@ -92,6 +92,17 @@ def test_pieces_match_the_library(docs_of, small_docs):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_piece_ids_and_carried_columns(docs_of, small_docs):
+    lib = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    rows = small_docs[:50] + ODD
+    plain = piece_bpe.encode_documents(docs_of(rows), PIECES, carry=("source",))
+    full = piece_bpe.encode_documents(docs_of(rows), PIECES, carry=("source",), with_ids=True)
+    assert full.columns == plain.columns + ["ids"]
+    assert sorted((str(tuple(r)[:-1]) for r in full.collect())) == sorted(str(tuple(r)) for r in plain.collect())
+    want = sorted(((i, lib.encode(t or "") + [lib.eos_id()]) for i, t in rows), key=str)
+    assert sorted(((r.doc_id, r.ids) for r in full.collect()), key=str) == want
+
+
 def test_agenda_equals_the_library_on_hard_segments():
     model = piece_bpe.PieceModel(open(PIECES, "rb").read())
     for s in ["▁", "▁▁▁▁▁▁a", "▁aaaaaaaaaaaaaaaaaaaa", "▁...!!!...", "▁🙂🙂é", "▁1234567890" * 3, "▁ininining", "\n", "Next"]:
