@@ -35,7 +35,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts, digests, language, source and piece ids of what is left."""
+    """Token counts, digests, language and source of what is left."""
     return piece_bpe.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), carry=("lang", "source"))
 
 
