@@ -68,6 +68,7 @@ def text_udf(setup: Callable[[], Callable[[list], list]], fields: dict[str, str]
         for batch in batches:
             parts = [pa.array(fn(c.to_pylist()), type=kind) for c in chunks(batch, **slices)]
             yield pa.concat_arrays(parts) if parts else pa.array([], type=kind)
+        pa.default_memory_pool().release_unused()  # worker processes outlive their tasks
 
     ddl = ", ".join(f"{k} {t}" for k, t in fields.items())
     return arrow_udf(run, f"struct<{ddl.replace(' ', ':').replace(',:', ',')}>")
@@ -148,9 +149,10 @@ _KEPT: dict = {}
 
 def per_worker(make: Callable, data: bytes):
     """``make(data)``, built once in each Python worker process and kept for its later
-    tasks (with the memos inside)."""
+    tasks (with the memos inside), until another one is asked for."""
     key = (make.__module__, make.__qualname__, hashlib.sha256(data).digest())
     if key not in _KEPT:
+        _KEPT.clear()
         _KEPT[key] = make(data)
     return _KEPT[key]
 

@@ -53,7 +53,7 @@ class PieceModel:
         self.said = [str(i) for i in range(lib.get_piece_size())]
         self.pairs = {a + b for p in self.ids for a, b in zip(p, p[1:])}
         self.closers = {c for c in ".,!?;:" if c in self.ids}
-        self.memo = ListMemo(self._encode_segments, limit=800_000)
+        self.memo = ListMemo(self._encode_segments, limit=250_000)
 
     def merge(self, text: str) -> list[str]:
         """The pieces of one segment, by the agenda: a list in text order while it is
