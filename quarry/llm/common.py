@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import hashlib
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -55,6 +57,14 @@ def row_type(fields: dict[str, str]) -> pa.DataType:
     return pa.struct([(k, ARROW[t]) for k, t in fields.items()])
 
 
+def give_back() -> None:
+    """Returns unused memory to the system: worker processes outlive their tasks, and an
+    executor holds idle ones."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_udf(setup: Callable[[], Callable[[list], list]], fields: dict[str, str], **slices: int):
     """A column function from whole texts to a struct of ``fields``.
 
@@ -68,7 +78,7 @@ def text_udf(setup: Callable[[], Callable[[list], list]], fields: dict[str, str]
         for batch in batches:
             parts = [pa.array(fn(c.to_pylist()), type=kind) for c in chunks(batch, **slices)]
             yield pa.concat_arrays(parts) if parts else pa.array([], type=kind)
-        pa.default_memory_pool().release_unused()  # worker processes outlive their tasks
+        give_back()
 
     ddl = ", ".join(f"{k} {t}" for k, t in fields.items())
     return arrow_udf(run, f"struct<{ddl.replace(' ', ':').replace(',:', ',')}>")

@@ -53,7 +53,7 @@ class PieceModel:
         self.said = [str(i) for i in range(lib.get_piece_size())]
         self.pairs = {a + b for p in self.ids for a, b in zip(p, p[1:])}
         self.closers = {c for c in ".,!?;:" if c in self.ids}
-        self.memo = ListMemo(self._encode_segments, limit=250_000)
+        self.memo = ListMemo(self._encode_segments, limit=150_000)
 
     def merge(self, text: str) -> list[str]:
         """The pieces of one segment, by the agenda: a list in text order while it is
@@ -170,7 +170,7 @@ def encode_documents(docs: DataFrame, model: str, carry: tuple[str, ...] = (), w
         own = per_worker(PieceModel, held.value)
         for batch in batches:
             at = 0
-            for part in chunks(batch.column("text"), rows=4096, nbytes=6 << 20):
+            for part in chunks(batch.column("text"), rows=2048, nbytes=2 << 20):
                 encoded = own.encode(part.to_pylist())
                 ids = [np.append(x, own.library.eos_id()).astype(np.int32) for x in encoded]
                 made = [pa.array(x) for x in zip(*round_trips(own, encoded))]
@@ -182,5 +182,5 @@ def encode_documents(docs: DataFrame, model: str, carry: tuple[str, ...] = (), w
     if with_ids:
         kinds = {"doc_id": docs.schema["doc_id"].dataType.simpleString()} | FIELDS | {c: docs.schema[c].dataType.simpleString() for c in carry}
         return docs.select("doc_id", *carry, whole_text().alias("text")).mapInArrow(encoded_rows, ", ".join(f"{k} {t}" for k, t in kinds.items()) + ", ids array<int>")
-    made = text_udf(setup, FIELDS, rows=4096, nbytes=6 << 20)(whole_text()).alias("__r")
+    made = text_udf(setup, FIELDS, rows=2048, nbytes=2 << 20)(whole_text()).alias("__r")
     return docs.select("doc_id", *carry, made).select("doc_id", "__r.*", *carry)
