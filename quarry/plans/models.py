@@ -68,6 +68,17 @@ def ols_exact(spark, sf_dir):
     return rounded(fit.withColumn("n", F.col("n").cast("bigint")), "slope", "intercept", "r2", digits=6)
 
 
+@register("linear_predictions", """
+SELECT l_orderkey, l_linenumber, round(b + w * l_quantity, 3) AS predicted
+FROM lineitem, (SELECT regr_intercept(l_extendedprice, l_quantity) AS b, regr_slope(l_extendedprice, l_quantity) AS w FROM lineitem)""")
+def linear_predictions(spark, sf_dir):
+    """The price of every line by the least-squares line of price on quantity."""
+    li = load(spark, sf_dir, "lineitem")
+    fit = regress.least_squares(li, "l_quantity", "l_extendedprice").first()
+    predicted = scalar.linear_prediction([F.lit(1.0), F.col("l_quantity").cast("double")], [fit.intercept, fit.slope])
+    return rounded(li.select("l_orderkey", "l_linenumber", predicted.alias("predicted")), "predicted", digits=3)
+
+
 # ---------------------------------------------------------------- densities
 
 # Grid of 1000 points from -10 to 30 and kernel bandwidth 0.1.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.functions import scalar
 from quarry.operators import profile, relational as rel, reviews, weather
 from quarry.plans.registry import register
 from quarry.sources.tables import load
@@ -113,6 +114,14 @@ def review_timestamps(spark, sf_dir):
     return stamped.select("l_orderkey", "l_linenumber", F.col("dateAdded").alias("added"))
 
 
+@register("first_order", "SELECT min(o_orderkey) AS first_key, max(year(current_date)) AS this_year FROM orders")
+def first_order(spark, sf_dir):
+    """T3 + S8 + X13: the first field of the first row, as a table made from it, with the
+    current year."""
+    first = rel.first_value(load(spark, sf_dir, "orders").select("o_orderkey").orderBy("o_orderkey"))
+    return spark.createDataFrame([(first,)], "first_key long").withColumn("this_year", scalar.current_year().cast("long"))
+
+
 @register("distinct_types", "SELECT DISTINCT event_type FROM events")
 def distinct_types(spark, sf_dir):
     return rel.distinct_values(load(spark, sf_dir, "events"), "event_type")
