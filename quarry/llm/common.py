@@ -81,7 +81,8 @@ def text_udf(setup: Callable[[], Callable[[list], list]], fields: dict[str, str]
         give_back()
 
     ddl = ", ".join(f"{k} {t}" for k, t in fields.items())
-    return arrow_udf(run, f"struct<{ddl.replace(' ', ':').replace(',:', ',')}>")
+    # not to be repeated: a filter on a result would otherwise run the function once more
+    return arrow_udf(run, f"struct<{ddl.replace(' ', ':').replace(',:', ',')}>").asNondeterministic()
 
 
 class Memo:
