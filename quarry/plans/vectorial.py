@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.operators import vectors as vo
+from quarry.operators import vector_index, vectors as vo
 from quarry.plans.registry import DIGITS, register, rounded
 from quarry.sources.tables import load
 
@@ -41,6 +41,21 @@ def cosine_topk(spark, sf_dir):
     return rounded(vo.cosine_top_k(emb, "vec_id", "embedding", c, "label", "centroid", 5), "similarity")
 
 
+@register("nearest_rows", f"""WITH k AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+n AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS size FROM k),
+s AS (SELECT q.vec_id AS query_id, n.vec_id, list_dot_product(q.v, n.v) / (q.size * n.size) AS similarity
+      FROM n q, n WHERE q.vec_id % 100 = 0)
+SELECT query_id, vec_id, round(similarity, {DIGITS}) AS similarity, "rank" FROM (SELECT *,
+  CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS INTEGER) AS "rank" FROM s)
+WHERE "rank" <= 10""")
+def nearest_rows(spark, sf_dir):
+    """T6 + J6 + V2: the ten rows nearest to every row whose id is divisible by 100, among
+    all rows, by the exact cell index."""
+    emb = load(spark, sf_dir, "embeddings")
+    asked = emb.where(F.col("vec_id") % 100 == 0).select(F.col("vec_id").alias("query_id"), "embedding")
+    return rounded(vector_index.nearest(emb, "vec_id", "embedding", asked, "query_id", "embedding", 10), "similarity")
+
+
 _ATTN_SQL = f"""WITH {_CENTROIDS_SQL},
 s AS (SELECT c.label, k.vec_id, sum(c.cx * k.x) / sqrt((SELECT max(len(embedding)) FROM embeddings)) AS score
       FROM c JOIN k USING (pos) GROUP BY c.label, k.vec_id),

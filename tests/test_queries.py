@@ -120,6 +120,7 @@ REGISTERED = {
     "line_pairs",
     "minmax_rows",
     "naive_bayes_counts",
+    "nearest_rows",
     "null_report",
     "ols_exact",
     "open_range",
