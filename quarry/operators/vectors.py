@@ -6,8 +6,10 @@ blocks of about ``QUERY_BLOCK`` rows; each block is turned into one array value
 subquery and ``inline``-d next to every key row, so each key row yields one row per query
 (work linear in the keys, one scan per block).  Top-k uses ``row_number() <= k``, which Spark plans with a
 partial group limit before the shuffle, so only k rows per query and map partition
-move.  Softmax needs the per-query maximum first (a tiny aggregate), then one
-aggregate sums exp(s - max) and exp(s - max) * v_i for every dimension i.
+move (``vector_index`` serves query sets as large as the table).  Softmax needs no pass for
+the per-query maximum: scores are grouped by ranges of ``RANGE`` and each range sums
+exp(s - start of the range), which neither overflows nor vanishes; the few ranges of a query
+are then scaled to its highest one and added.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from quarry.functions import vectors as vf
 from quarry.operators.indexing import materialize
 
 QUERY_BLOCK = 2048
+RANGE = 64.0
 
 
 def centroids(df: DataFrame, key: str, vec: str, out: str = "centroid") -> DataFrame:
@@ -62,28 +65,47 @@ def cosine_top_k(keys: DataFrame, key_id: str, key_vec: str, queries: DataFrame,
                   .where(F.col("rank") <= k))
 
 
-def _scores(keys, key_id, key_vec, stated, qid, dim, block):
-    return _with_queries(keys.select(key_id, key_vec), stated, block).select(
-        F.col("__qid").alias(qid), key_id, key_vec,
+def _scores(keys, key_id, key_vec, stated, qid, dim, block, *carry):
+    return _with_queries(keys.select(key_id, *{key_vec, *carry}), stated, block).select(
+        F.col("__qid").alias(qid), key_id, *carry,
         (vf.dot("__qvec", key_vec) / F.lit(math.sqrt(dim))).alias("score"))
 
 
+def _softmax_sums(scores: DataFrame, qid: str, *terms) -> DataFrame:
+    """Per query: ``__top`` (start of its highest range of scores), ``__z`` (sum of
+    exp(score - __top)) and ``__c0``, ``__c1`` ... (the same sum, each row times a term).
+    Mergeable: one aggregate over the scores, one over the few ranges of a query."""
+    ranged = scores.withColumn("__r", F.floor(F.col("score") / RANGE).cast("double") * RANGE)
+    e = F.exp(F.col("score") - F.col("__r"))
+    sums = ranged.groupBy(qid, "__r").agg(F.sum(e).alias("__z"), *[F.sum(e * t).alias(f"__c{i}") for i, t in enumerate(terms)])
+    names = ["__z", *[f"__c{i}" for i in range(len(terms))]]
+    tops = sums.withColumn("__top", F.max("__r").over(Window.partitionBy(qid)))
+    scale = F.exp(F.col("__r") - F.col("__top"))
+    return tops.groupBy(qid).agg(F.max("__top").alias("__top"), *[F.sum(F.col(n) * scale).alias(n) for n in names])
+
+
 def vector_dim(df: DataFrame, vec: str) -> int:
     """Largest vector length in ``df`` (used on the small query set)."""
     return df.select(F.max(F.size(vec))).first()[0] or 0
 
 
 def attention_weights(keys: DataFrame, key_id: str, key_vec: str, queries: DataFrame,
-                      qid: str, qvec: str, block: int = QUERY_BLOCK) -> DataFrame:
-    """N1 + N3: softmax over the keys of each query of q.k / sqrt(d)."""
+                      qid: str, qvec: str, block: int = QUERY_BLOCK, k: int | None = None) -> DataFrame:
+    """N1 + N3: softmax over the keys of each query of q.k / sqrt(d).
+
+    The scores are computed and written once, then summed and read back for the weights.
+    With ``k`` only the k heaviest keys of each query are returned (ties by key id, their
+    place in ``rank``); the weights are still those among all keys."""
     stated = _stated(queries, qid, qvec)
     dim = vector_dim(stated, "__qvec")
-    s = _scores(keys, key_id, key_vec, stated, qid, dim, block)
-    mx = s.groupBy(qid).agg(F.max("score").alias("__m"))
-    e = s.join(F.broadcast(mx), qid).withColumn("__e", F.exp(F.col("score") - F.col("__m")))
-    z = e.groupBy(qid).agg(F.sum("__e").alias("__z"))
-    return (e.join(F.broadcast(z), qid)
-             .select(qid, key_id, "score", (F.col("__e") / F.col("__z")).alias("weight")))
+    s = materialize(_scores(keys, key_id, key_vec, stated, qid, dim, block), "scores")
+    z = _softmax_sums(s, qid)
+    cols = [qid, key_id, "score"]
+    if k is not None:
+        w = Window.partitionBy(qid).orderBy(F.col("score").desc(), F.col(key_id).asc())
+        s = s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        cols.append("rank")
+    return s.join(z, qid).select(*cols, (F.exp(F.col("score") - F.col("__top")) / F.col("__z")).alias("weight"))
 
 
 def attention_context(keys: DataFrame, key_id: str, key_vec: str, queries: DataFrame,
@@ -91,20 +113,16 @@ def attention_context(keys: DataFrame, key_id: str, key_vec: str, queries: DataF
                       block: int = QUERY_BLOCK) -> DataFrame:
     """N2 + N3: context_q = sum_k softmax_k(q.k / sqrt(d)) v_k, as (query, dim, value).
 
-    The per-query sums are one aggregate with a sum per dimension; weights per key are
-    never materialised.  Values default to the keys (self-attention over the table).
+    One pass over the keys: the per-query sums are one aggregate with a sum per dimension;
+    scores are computed once and weights per key are never materialised.  Values default to
+    the keys (self-attention over the table); they have the length of the queries.
     """
     value_vec = value_vec or key_vec
     stated = _stated(queries, qid, qvec)
     dim = vector_dim(stated, "__qvec")
-    s = _scores(keys, key_id, key_vec, stated, qid, dim, block)
-    if value_vec != key_vec:
-        s = s.join(keys.select(key_id, value_vec), key_id)
-    mx = s.groupBy(qid).agg(F.max("score").alias("__m"))
-    e = s.join(F.broadcast(mx), qid).withColumn("__e", F.exp(F.col("score") - F.col("__m")))
+    s = _scores(keys, key_id, key_vec, stated, qid, dim, block, value_vec)
     v = vf.as_double_array(value_vec)
-    sums = e.groupBy(qid).agg(F.sum("__e").alias("__z"),
-                              *[F.sum(F.col("__e") * v[i]).alias(f"__c{i}") for i in range(dim)])
+    sums = _softmax_sums(s, qid, *[F.get(v, F.lit(i)) for i in range(dim)])
     arr = F.array(*[F.struct(F.lit(i).alias("dim"), (F.col(f"__c{i}") / F.col("__z")).alias("value"))
                     for i in range(dim)])
     return sums.select(qid, F.inline(arr))

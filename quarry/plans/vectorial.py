@@ -70,6 +70,16 @@ def attention_weights(spark, sf_dir):
     return rounded(vo.attention_weights(emb, "vec_id", "embedding", c, "label", "centroid"), "score", "weight")
 
 
+@register("attention_top", _ATTN_SQL + f"""
+SELECT label, vec_id, "rank", round(score, {DIGITS}) AS score, round(weight, {DIGITS}) AS weight FROM (SELECT *,
+  CAST(row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS INTEGER) AS "rank" FROM a) WHERE "rank" <= 20""")
+def attention_top(spark, sf_dir):
+    """N1 + T6: the twenty heaviest embeddings of each label-centroid query, with their
+    softmax weights among all."""
+    emb, c = _centroids(spark, sf_dir)
+    return rounded(vo.attention_weights(emb, "vec_id", "embedding", c, "label", "centroid", k=20), "score", "weight")
+
+
 @register("attention", _ATTN_SQL + f"""
 SELECT a.label, CAST(k.pos - 1 AS INTEGER) AS dim, round(sum(a.weight * k.x), {DIGITS}) AS value
 FROM a JOIN k USING (vec_id) GROUP BY a.label, k.pos""")
