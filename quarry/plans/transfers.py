@@ -13,7 +13,7 @@ from quarry.plans.tabular import EVENT_TYPES, _pivot_sql, _quoted
 from quarry.session import shared_folder
 from quarry.sources import files, sinks
 from quarry.sources.tables import load
-from quarry.streaming.daily import run_incremental_daily
+from quarry.streaming.merged import read_daily, run_merged_daily
 
 
 def _as(df, like):
@@ -200,8 +200,8 @@ def climate_flags(spark, sf_dir):
 
 @register("incremental_daily", _pivot_sql(EVENT_TYPES))
 def incremental_daily(spark, sf_dir):
-    """G1: the daily pivot by two runs of the incremental load; the second run's files hold
-    late rows of days that the first run has written."""
+    """G1: the daily pivot by two runs of the merging load; the second run's files hold late
+    rows of days that the first run has written."""
     m = weather.measurements_from_events(load(spark, sf_dir, "events"))
     m = m.withColumns({"hour": F.lit(None).cast("string"), "landing_year": F.substring("date_key", 1, 4)})
     stations = load(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("station_id"))
@@ -209,7 +209,6 @@ def incremental_daily(spark, sf_dir):
     late = F.coalesce(F.col("measurement_flag"), F.lit("")).endswith("7")
     for part in (m.where(~late), m.where(late)):
         sinks.write_csv(part, f"{base}/in", mode="append", partition_by=("landing_year",))
-        run_incremental_daily(spark, f"{base}/in", stations, f"{base}/out", f"{base}/state", EVENT_TYPES,
-                              year_folder="landing_year")
-    found = spark.read.parquet(f"{base}/out")
-    return found.withColumns({"station_id": F.col("station_id").cast("long"), "year": F.col("year").cast("string")})
+        run_merged_daily(spark, f"{base}/in", stations, f"{base}/out", f"{base}/state", EVENT_TYPES,
+                         year_folder="landing_year")
+    return read_daily(spark, f"{base}/out").withColumn("station_id", F.col("station_id").cast("long"))
