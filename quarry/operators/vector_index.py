@@ -195,8 +195,13 @@ class VectorIndex:
         distinct = self.rows.where("twin").select("held", F.col("id").alias("low"), "vec")
         self.count = distinct.count()
         cells = max(1, min(most_cells, math.isqrt(self.count)))
-        # bounded by most_cells * SAMPLE vectors
-        sample = distinct.select("vec").orderBy(F.xxhash64("vec")).limit(SAMPLE * cells).toArrow()["vec"]
+        # at most SAMPLE * most_cells vectors, those of least hash; the filter leaves about twice
+        # as many for the one task that orders them, however many partitions there are
+        hashed, wanted = F.xxhash64("vec"), SAMPLE * cells
+        few = distinct.select("vec")
+        if self.count > 4 * wanted:
+            few = few.where(hashed < int(2 ** 64 * (2 * wanted / self.count)) - 2 ** 63)
+        sample = few.orderBy(hashed).limit(wanted).toArrow()["vec"]
         self.router = None
         if self.count:
             self.router = _Router(fit_centroids(_matrix(sample), cells))

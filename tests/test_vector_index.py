@@ -67,6 +67,6 @@ def test_far_cells_are_pruned(spark):
     rng = np.random.default_rng(5)
     middles = rng.normal(size=(20, 16))
     keys = spark.createDataFrame([(i, (middles[i % 20] + 0.02 * rng.normal(size=16)).tolist()) for i in range(2000)], DDL)
-    index = VectorIndex(keys, "id", "v")
+    index = VectorIndex(keys, "id", "v", most_cells=30)   # the sample is drawn, not the whole
     index.search(keys.where("id % 50 = 0").withColumnRenamed("id", "q"), "q", "v", 10)
     assert 0 < index.compared < 0.3 * index.possible
