@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarry.functions import scalar
 from quarry.functions.text import clean_sentence
 from quarry.operators.relational import col_ref
-from quarry.sources.files import pair_lines, read_lines
+from quarry.sources.files import number_across_files, pair_lines, read_lines
 
 # Raw review columns kept, and their new names.
 REVIEW_COLUMNS = ("id", "categories", "dateAdded", "dateUpdated", "dimension", "weight",
@@ -39,7 +39,9 @@ def prepare_reviews(raw: DataFrame, ts_formats: tuple[str, ...] = TIMESTAMP_FORM
 
 def prepare_parallel_text(spark: SparkSession, src_path: str, tgt_path: str,
                           src: str = "en", tgt: str = "vi") -> DataFrame:
-    """S7 + J2 + L4: read two line files, pair them by line number (a shorter second
-    file is an error), clean both sides; one row per pair (line_no, src, tgt)."""
-    pairs = pair_lines(read_lines(spark, src_path), read_lines(spark, tgt_path), src, tgt)
+    """S7 + J2 + L4: read two line files (or folders of them, in order of their names), pair
+    them by line number (a shorter second file is an error), clean both sides; one row per
+    pair (line_no, src, tgt)."""
+    sides = [number_across_files(read_lines(spark, p)) for p in (src_path, tgt_path)]
+    pairs = pair_lines(*sides, src, tgt)
     return pairs.select("line_no", clean_sentence(src).alias(src), clean_sentence(tgt).alias(tgt))

@@ -114,6 +114,30 @@ def review_timestamps(spark, sf_dir):
     return stamped.select("l_orderkey", "l_linenumber", F.col("dateAdded").alias("added"))
 
 
+@register("prepared_reviews", """
+WITH r AS (SELECT *, CAST(DATE '2020-01-01' + CAST(doc_id % 1000 AS INTEGER) AS TIMESTAMP) AS day FROM documents)
+SELECT doc_id AS id, source AS manufacturer, CASE WHEN doc_id % 7 <> 0 THEN day END AS "dateAdded", day AS "reviewsDate",
+       CASE WHEN doc_id % 11 <> 0 THEN n_chars % 50 END AS helpfullness, CAST(doc_id % 5 + 1 AS DOUBLE) AS rating,
+       lang AS "reviewsTitle", text AS "customerReviews",
+       CAST(n_chars % 97 AS DOUBLE) * CASE doc_id % 3 WHEN 0 THEN CAST(0.0625 AS DOUBLE) WHEN 1 THEN CAST(0.00220462 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS weight_value,
+       'lbs' AS units
+FROM r""")
+def prepared_reviews(spark, sf_dir):
+    """P1 + X11 + D1 + P2, the whole preparation: documents in the raw review columns (names
+    with dots, dates, weights and counts as text, some of them unreadable) made into typed ones."""
+    d, n = load(spark, sf_dir, "documents"), F.col("doc_id")
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (n % 1000).cast("int"))
+    unit = F.when(n % 3 == 0, "ounces").when(n % 3 == 1, "grams").otherwise("pounds")
+    raw = d.select(n.alias("id"), F.col("source").alias("manufacturer"),
+                   F.when(n % 7 == 0, "unknown").otherwise(F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("dateAdded"),
+                   F.date_format(day, "yyyy-MM-dd HH:mm:ss").alias("reviews.date"),
+                   F.when(n % 11 == 0, "none").otherwise((F.col("n_chars") % 50).cast("string")).alias("reviews.numHelpful"),
+                   (n % 5 + 1).cast("string").alias("reviews.rating"), F.col("lang").alias("reviews.title"),
+                   F.col("text").alias("reviews.text"), F.concat_ws(" ", (F.col("n_chars") % 97).cast("string"), unit).alias("weight"))
+    return reviews.prepare_reviews(raw).select("id", "manufacturer", "dateAdded", "reviewsDate", "helpfullness", "rating",
+                                               "reviewsTitle", "customerReviews", "weight_value", "units")
+
+
 @register("first_order", "SELECT min(o_orderkey) AS first_key, max(year(current_date)) AS this_year FROM orders")
 def first_order(spark, sf_dir):
     """T3 + S8 + X13: the first field of the first row, as a table made from it, with the

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from quarry.operators import relational as rel, weather
+from quarry.operators import relational as rel, reviews, weather
 from quarry.plans.registry import register
 from quarry.plans.tabular import EVENT_TYPES, _pivot_sql, _quoted
 from quarry.session import shared_folder
@@ -111,6 +111,27 @@ def paired_lines(spark, sf_dir):
     return files.pair_lines(*sides)
 
 
+_CLEAN_LINE = r"""array_to_string(list_filter(list_transform(
+         list_filter(regexp_split_to_array(lower(line), '\s+'), lambda w: w <> ''),
+         lambda w: regexp_replace(w, '[!-/:-@\[-`{-~]', '', 'g')),
+       lambda w: regexp_matches(w, '^\p{L}+$')), ' ')"""
+
+
+@register("parallel_text", f"""
+WITH s AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS line_no, regexp_replace(text, '[\r\n]+', ' ', 'g') AS line,
+                  source || ' ' || lang AS other FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL)
+SELECT line_no, {_CLEAN_LINE} AS src, {_CLEAN_LINE.replace('line', 'other')} AS tgt FROM s""")
+def parallel_text(spark, sf_dir):
+    """S7 + J2 + L4, the whole preparation: two folders of lines (each document's text, its
+    source and language), paired by line number and cleaned."""
+    d = load(spark, sf_dir, "documents").where(F.col("text").isNotNull() & F.col("lang").isNotNull()).orderBy("doc_id")
+    paths = []
+    for tag, value in (("src", F.regexp_replace("text", r"[\r\n]+", " ")), ("tgt", F.concat("source", F.lit(" "), "lang"))):
+        paths.append(shared_folder(spark, tag))
+        d.select(value.alias("value")).write.text(paths[-1])
+    return reviews.prepare_parallel_text(spark, *paths, "src", "tgt")
+
+
 # Event types standing for the measurement types of the four published tables; views are
 # wind for even users and sunshine for odd ones.
 STANDS_FOR = {"click": "PRCP", "error": "TAVG", "purchase": "TMIN", "signup": "TMAX"}

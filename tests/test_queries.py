@@ -126,6 +126,8 @@ REGISTERED = {
     "ols_exact",
     "open_range",
     "pair_bins",
+    "parallel_text",
+    "prepared_reviews",
     "pivot_scaled",
     "price_unnest",
     "rename_drop_project",
