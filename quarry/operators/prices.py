@@ -10,7 +10,7 @@ the reference does, so duplicates may remain after the drop.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PRICE_LIST_DDL = (
@@ -51,17 +51,20 @@ def parse_price_list(text_col: str):
     c = F.col(text_col)
 
     def read(text):
-        found = F.from_json(text, PRICE_LIST_DDL, _JSON_OPTS)
         scalars = F.from_json(text, _SCALAR_DDL, _JSON_OPTS)
 
-        def filled(e, i):
-            for f in LIST_FIELDS:
-                one = scalars[i][f]
-                e = e.withField(f, F.coalesce(e[f], F.when(one.isNotNull(), F.array(one))))
-            return e
+        def filled(found):
+            def with_scalars(e, one):
+                for f in LIST_FIELDS:
+                    e = e.withField(f, F.coalesce(e[f], F.when(one[f].isNotNull(), F.array(one[f]))))
+                return e
 
-        lacking = F.exists(found, lambda e: e[LIST_FIELDS[0]].isNull() | e[LIST_FIELDS[1]].isNull())
-        return F.when(lacking, F.transform(found, filled)).otherwise(found)
+            lacking = F.exists(found, lambda e: e[LIST_FIELDS[0]].isNull() | e[LIST_FIELDS[1]].isNull())
+            each = F.transform(F.array(scalars), lambda s: F.transform(found, lambda e, i: with_scalars(e, s[i])))[0]
+            return F.when(lacking, each).otherwise(found)
+
+        # through one-element arrays, so that a text is parsed once
+        return F.transform(F.array(F.from_json(text, PRICE_LIST_DDL, _JSON_OPTS)), filled)[0]
 
     return F.coalesce(read(c), read(python_literals_to_json(c)))
 
@@ -76,11 +79,28 @@ def read_prices(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def unnest_prices(df: DataFrame, id_col: str, text_col: str, drop_sparse: bool = True) -> DataFrame:
-    parsed = df.select(id_col, parse_price_list(text_col).alias("__p"))
-    rows = parsed.select(id_col, F.explode("__p").alias("__e")).select(id_col, "__e.*")
-    rows = (rows.withColumn("dateSeen", F.explode_outer("dateSeen"))
-                .withColumn("sourceURLs", F.explode_outer("sourceURLs")))
-    rows = rows.dropDuplicates()
+    """D3 + X16 + A7: one row per element, list fields unnested, exact duplicates dropped.
+
+    Rows can only be equal if their elements agree in the id and all plain fields.  The
+    elements are dealt out and counted by these before they are unnested, so that an element
+    moves once and not once per row; one that is alone has distinct rows as soon as its
+    lists do, and only the rows of the others are compared."""
+    # the filter that explode implies stays above the inner explode: one parse a text
+    parsed = df.select(id_col, F.explode(F.array(parse_price_list(text_col))).alias("__p"))
+    elements = parsed.select(id_col, F.explode("__p").alias("__e")).select(id_col, "__e.*")
+    order = elements.columns
+    plain = [c for c in order if c not in LIST_FIELDS]
+    # -0.0 and 0.0 are one value to the comparison of rows
+    elements = elements.select(*[(F.col(c) + F.lit(0.0)).alias(c) if t == "double" and c != id_col else F.col(c)
+                                 for c, t in elements.dtypes])
+    counted = elements.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*plain)))
+
+    def unnested(some: DataFrame) -> DataFrame:
+        for f in LIST_FIELDS:
+            some = some.withColumn(f, F.explode_outer(F.array_distinct(f)))
+        return some.select(*order)
+
+    rows = unnested(counted.where("__n = 1")).unionByName(unnested(counted.where("__n > 1")).dropDuplicates())
     return rows.drop(*SPARSE_PRICE_COLUMNS) if drop_sparse else rows
 
 

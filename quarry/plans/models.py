@@ -252,30 +252,36 @@ def price_text_per_order(lineitem):
 
     A list holds an order's lines among ``PRICE_LIST_LINES`` consecutive rows of a split,
     so no list is longer, whatever the order's size and however many of its lines are
-    equal, and it is complete before the shuffle; unnesting is per element, so the result
-    is the same as with one list per order."""
-    day = F.to_date("l_shipdate")
-    url = F.concat(F.lit("https://shop.example/p/"), F.col("l_partkey").cast("string"))
-    url2 = F.concat(url, F.lit("?s="), F.col("l_suppkey").cast("string"))
-    urls = (F.when(F.col("l_linenumber") == 7, F.array().cast("array<string>"))
-             .when(F.col("l_linenumber") % 2 == 0, F.array(url, url2))
-             .otherwise(F.array(url)))
-    elem = F.struct(
-        F.col("l_extendedprice").alias("amountMax"),
-        (F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).alias("amountMin"),
-        F.when(F.col("l_linenumber") == 1, F.lit("In Stock")).alias("availability"),
-        F.when(F.col("l_returnflag") == "N", F.lit("new")).alias("condition"),
-        F.lit("USD").alias("currency"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("dateAdded"),
-        F.array(day.cast("string"), F.date_add(day, F.col("l_linenumber")).cast("string")).alias("dateSeen"),
-        F.when(F.col("l_discount") > 0.05, "true").otherwise("false").alias("isSale"),
-        F.concat(F.lit("supplier#"), F.col("l_suppkey").cast("string")).alias("merchant"),
-        F.col("l_linestatus").alias("shipping"),
-        urls.alias("sourceURLs"))
+    equal; unnesting is per element, so the result is the same as with one list per order.
+    The lines are dealt out by list as they are read, not as finished elements, which take
+    several times the bytes."""
     block = F.floor(F.monotonically_increasing_id() / PRICE_LIST_LINES).alias("__block")
-    return (lineitem.select(F.col("l_orderkey").alias("id"), elem.alias("__line"), block).groupBy("id", "__block")
-                    .agg(F.translate(F.to_json(F.collect_list("__line")), '"', "'").alias("prices"))
-                    .drop("__block"))
+    used = ("l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
+    lines = lineitem.select(F.col("l_orderkey").alias("id"), block, *used).repartition("id", "__block")
+
+    def element(line):
+        day = F.to_date(line["l_shipdate"])
+        url = F.concat(F.lit("https://shop.example/p/"), line["l_partkey"].cast("string"))
+        url2 = F.concat(url, F.lit("?s="), line["l_suppkey"].cast("string"))
+        urls = (F.when(line["l_linenumber"] == 7, F.array().cast("array<string>"))
+                 .when(line["l_linenumber"] % 2 == 0, F.array(url, url2))
+                 .otherwise(F.array(url)))
+        return F.struct(
+            line["l_extendedprice"].alias("amountMax"),
+            (line["l_extendedprice"] * (F.lit(1) - line["l_discount"])).alias("amountMin"),
+            F.when(line["l_linenumber"] == 1, F.lit("In Stock")).alias("availability"),
+            F.when(line["l_returnflag"] == "N", F.lit("new")).alias("condition"),
+            F.lit("USD").alias("currency"),
+            F.date_format(line["l_shipdate"], "yyyy-MM-dd").alias("dateAdded"),
+            F.array(day.cast("string"), F.date_add(day, line["l_linenumber"]).cast("string")).alias("dateSeen"),
+            F.when(line["l_discount"] > 0.05, "true").otherwise("false").alias("isSale"),
+            F.concat(F.lit("supplier#"), line["l_suppkey"].cast("string")).alias("merchant"),
+            line["l_linestatus"].alias("shipping"),
+            urls.alias("sourceURLs"))
+
+    elements = F.transform(F.collect_list(F.struct(*used)), element)
+    return (lines.groupBy("id", "__block").agg(F.translate(F.to_json(elements), '"', "'").alias("prices"))
+                 .drop("__block"))
 
 
 @register("price_unnest", """

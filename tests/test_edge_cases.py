@@ -217,3 +217,18 @@ def test_scalars_in_list_fields_and_rejected_lists(spark):
     assert got == sorted([(1, "d", "u"), (1, "d", "v"), (1, None, "w"), (2, None, None), (3, "5", None)], key=str)
     told = {r.id: r.reason for r in prices.read_prices(df, "id", "prices").collect()}
     assert told == {1: None, 2: None, 3: None, 4: "not a list of dicts", 5: "no text", 6: "empty text", 7: None}
+
+
+def test_prices_move_as_elements_and_are_parsed_once(spark):
+    from quarry.operators import prices
+    e = "'amountMax': 1.0, 'merchant': 'm'"
+    rows = [(1, f"[{{{e}, 'dateSeen': ['a', 'b', 'a'], 'sourceURLs': ['u']}}, {{{e}, 'dateSeen': ['b', 'c'], 'sourceURLs': ['u', 'v']}}]"),
+            (1, f"[{{{e}, 'dateSeen': ['c'], 'sourceURLs': ['v']}}, {{{e}}}, {{{e}, 'dateSeen': []}}, {{'amountMax': -0.0}}, {{'amountMax': 0.0}}]"),
+            (None, f"[{{{e}, 'offer': 'x'}}, {{{e}, 'offer': 'y'}}]"), (None, f"[{{{e}, 'offer': 'x'}}]"), (2, "[null, {'sourceURLs': ['w', null, null]}]")]
+    out = prices.unnest_prices(spark.createDataFrame(rows, "id int, prices string").repartition(3), "id", "prices")
+    got = sorted((r.id or 0, str(r.amountMax), str(r.dateSeen), str(r.sourceURLs)) for r in out.collect())
+    one = [("a", "u"), ("b", "u"), ("b", "v"), ("c", "u"), ("c", "v"), ("None", "None")]
+    assert got == sorted([(1, "1.0", *x) for x in one] + [(1, "0.0", "None", "None")] + [(0, "1.0", "None", "None")] * 2
+                         + [(2, "None", "None", x) for x in ("None", "w")])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("Exchange") and "Filter ((size(coalesce" not in plan
