@@ -269,15 +269,17 @@ def targets_per_source(pairs: DataFrame, source: str = "source",
 
 def naive_bayes(train: DataFrame, label: str, tokens: Column, score: DataFrame,
                 score_id: str, score_tokens: Column, classes: Sequence | None = None,
-                smoothing: float = 1.0) -> DataFrame:
+                smoothing: float = 1.0, head: int = HEAD) -> DataFrame:
     """Multinomial Naive Bayes from counts, add-one smoothing, unsmoothed priors.
 
     Training is one aggregation of per-token class counts, written once: the vocabulary
     size and the per-class token totals are scalar subqueries over that small table, the
-    priors one over the labels.  Scoring explodes each scored text once, joins its tokens to
-    their log-likelihood rows and sums per document; a text without known tokens is scored
-    by the priors.  Tokens outside the training vocabulary are ignored; ties go to the
-    smaller class.  Give ``classes`` to save a pass over the labels.
+    priors one over the labels.  Scoring joins tokens to their log-likelihood rows and sums
+    per document.  The ``head`` most frequent tokens are broadcast, so that none of their
+    occurrences moves or piles up in one task; only others shuffle to the rest of the
+    model.  A text without known tokens is scored by the priors.  Tokens outside the
+    training vocabulary are ignored; ties go to the smaller class.  Give ``classes`` to save
+    a pass over the labels.
     """
     if classes is None:  # the class list is a handful of labels
         classes = sorted(r[0] for r in train.select(label).distinct().collect())
@@ -297,8 +299,15 @@ def naive_bayes(train: DataFrame, label: str, tokens: Column, score: DataFrame,
     model = counts.select("token", *[
         F.log((F.col(f"__n{i}") + F.lit(smoothing)) / (totals[i] + F.lit(smoothing) * vsize)).alias(f"__lp{i}")
         for i in range(k)])
-    st = score.select(score_id, F.explode_outer(score_tokens).alias("token"))
-    scored = st.join(model, "token", "left").groupBy(score_id).agg(
+    sums = [f"__lp{i}" for i in range(k)]
+    frequent = F.broadcast(materialize(
+        counts.withColumn("__n", sum(F.col(f"__n{i}") for i in range(k))).where(F.col("token").isNotNull())
+              .orderBy(F.col("__n").desc(), "token").limit(head).select("token"), "frequent"))
+    words = score.select(score_id, F.explode(score_tokens).alias("token"))
+    parts = [words.join(F.broadcast(model.join(frequent, "token", "left_semi")), "token").select(score_id, *sums),
+             words.join(frequent, "token", "left_anti").join(model.join(frequent, "token", "left_anti"), "token").select(score_id, *sums)]
+    every = score.select(score_id, *[F.lit(None).cast("double").alias(c) for c in sums])
+    scored = parts[0].unionByName(parts[1]).unionByName(every).groupBy(score_id).agg(
         *[F.sum(f"__lp{i}").alias(f"__s{i}") for i in range(k)])
     s = {i: F.coalesce(F.col(f"__s{i}"), F.lit(0.0)) + F.log(prior[i]) for i in range(k)}
     best = F.greatest(*s.values()) if k > 1 else s[0]

@@ -206,3 +206,28 @@ def test_encode_and_decode_beyond_the_head(spark):
     assert {r.n_unknown for r in enc.where("i = 7").collect()} >= {1}
     odd = spark.createDataFrame([(1, [4, 10 ** 9, -1, 0])], "i int, ids array<long>")
     assert ops.decode(odd, "i", vocab, head=8).first().text == {v: k for k, v in idx.items()}[4] + " <unk>"
+
+
+def test_naive_bayes_frequent_tokens_do_not_move(spark):
+    import math
+    import random
+    random.seed(2)
+    words = [w * n for w in "abcdefghij" for n in (1, 2, 3)]
+    texts = [" ".join(random.choices(words, [1 / (i + 1) for i in range(30)], k=random.randint(0, 20))) for _ in range(80)]
+    rows = [(i, i % 3 == 0, t) for i, t in enumerate(texts)]
+    train = spark.createDataFrame(rows[:50], "id int, label boolean, t string")
+    score = spark.createDataFrame([r[::2] for r in rows] + [(7, "a zzz"), (None, "b b"), (81, None)], "id int, t string").repartition(3)
+    seen = {c: [w for _, k, t in rows[:50] if k == c for w in t.split()] for c in (False, True)}
+    v, n = len(set(seen[False] + seen[True])), {c: sum(r[1] == c for r in rows[:50]) for c in (False, True)}
+
+    def best(text):
+        s = [math.log(n[c] / 50) + sum(math.log((seen[c].count(w) + 1) / (len(seen[c]) + v)) for w in text.split() if w in seen[False] + seen[True])
+             for c in (False, True)]
+        return s[1] > s[0]
+
+    whole = {i: t for i, _, t in rows} | {None: "b b", 81: ""}
+    whole[7] += " a zzz"
+    for head in (1, 5, ops.HEAD):
+        got = ops.naive_bayes(train, "label", tx.letter_tokens("t"), score, "id", tx.letter_tokens("t"), head=head)
+        assert {r.id: r.predicted for r in got.collect()} == {i: best(t) for i, t in whole.items()}
+        assert "LeftAnti, BuildRight" in got._jdf.queryExecution().executedPlan().toString()
