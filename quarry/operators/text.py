@@ -1,7 +1,8 @@
 """Text operators: review cleaning, token frequencies, vocabularies, encode/decode,
 language tagging, line pairing and a multinomial Naive Bayes built from counts.
 
-All per-row work is built-in expressions (split/filter/transform); the only shuffles
+Per-row work is built-in expressions (split/filter/transform), and Arrow batches where
+tokens are looked up; the only shuffles
 are the aggregations and joins the operator needs.  Token joins may meet very hot
 tokens; they run as shuffle joins with AQE skew splitting unless the planner finds the
 small side's bytes under its broadcast threshold.
@@ -11,6 +12,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,37 +73,73 @@ def vocabulary_head(freq: DataFrame, n: int, min_freq: int = 1,
     return ranked.unionByName(sp)
 
 
-# Entries of the part of a vocabulary that is looked up inside the row.
+# Entries of the part of a vocabulary that is broadcast.
 HEAD = 1 << 16
 
 
-def _looked_up(df: DataFrame, id_col: str, keys: Column, head: DataFrame, of_head, table: DataFrame) -> DataFrame:
+def _spans(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes of the lists among their flattened values."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+    return np.cumsum(sizes) - sizes, sizes
+
+
+def _lists(sizes: np.ndarray, flat: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), flat)
+
+
+def _place(keys: pa.Array, head: pa.Array) -> pa.Array:
+    """Per list of keys: their places in ``head``, and (position, key) of those not there."""
+    flat, (starts, sizes) = keys.flatten(), _spans(keys)
+    places = pc.index_in(flat, value_set=head.cast(flat.type))
+    at = np.flatnonzero(places.is_null().to_numpy(zero_copy_only=False))
+    row = np.repeat(np.arange(len(sizes)), sizes)[at]
+    missing = pa.StructArray.from_arrays([pa.array((at - starts[row]).astype(np.int32)), flat.take(pa.array(at))], ["pos", "key"])
+    return pa.StructArray.from_arrays([_lists(sizes, places), _lists(np.bincount(row, minlength=len(sizes)), missing)], ["places", "missing"])
+
+
+def _fill(places: pa.Array, tail: pa.Array, head: pa.Array) -> pa.Array:
+    """The values of ``_place``'s lists: those in ``head``, and those of ``tail`` (position,
+    value) at their positions."""
+    starts, sizes = _spans(places)
+    pos, value = tail.flatten().flatten()
+    at = np.repeat(starts, _spans(tail)[1]) + pos.to_numpy()
+    pick = pc.fill_null(places.flatten(), -1).to_numpy().astype(np.int64)
+    pick[at] = len(head) + np.arange(len(at))
+    return _lists(sizes, pa.concat_arrays([head.cast(value.type), value]).take(pa.array(pick, mask=pick < 0)))
+
+
+def _looked_up(df: DataFrame, id_col: str, keys: Column, table: DataFrame, first: str, head: int) -> DataFrame:
     """(id, ``__values``): the value of every key in order, null for unknown ones, one row
     per row of ``df``.
 
-    ``head`` (one row, column ``head``, of bounded size) holds the most frequent keys;
-    ``of_head(head, key)`` reads it inside the row, without a join.  Only the other keys are
-    exploded and joined with ``table`` (key, value); rows that have none do not move, and
-    the others move as arrays of values."""
+    The ``head`` rows of ``table`` (key, value) with the smallest ``first`` are broadcast
+    and looked up in Arrow batches.  Only the other keys are exploded and joined with
+    ``table``; rows that have none do not move, and the others move as places in the head,
+    whatever the values are."""
+    sc = df.sparkSession.sparkContext
+    top = table.where(F.col("key").isNotNull()).orderBy(first, "key", "value").limit(head).toArrow().combine_chunks()
+    held = [sc.broadcast(pa.concat_arrays(top[c].chunks) if top.num_rows else pa.array([], top.schema.field(c).type)) for c in ("key", "value")]
     rows = df.select(id_col, keys.alias("__keys"))
-    rows = rows.withColumn("__head", head.select("head").scalar())
-    rows = rows.select(id_col, "__keys", F.transform("__keys", lambda k: of_head(F.col("__head"), k)).alias("__values"))
-    missing = F.filter(F.transform("__keys", lambda k, i: F.struct(i.alias("pos"), k.alias("key"))),
-                       lambda s: F.get("__values", s["pos"]).isNull())
+    kinds = dict(table.dtypes) | {"key": rows.schema["__keys"].dataType.elementType.simpleString()}
+
+    def place(batch: pa.Array) -> pa.Array:
+        return _place(batch, held[0].value)
+
+    def fill(places: pa.Array, tail: pa.Array) -> pa.Array:
+        return _fill(places, tail, held[1].value)
+
     # written once, so that the numbers of the rows hold in both reads below
-    rows = materialize(rows.select(id_col, "__values", missing.alias("__missing"))
+    placed = F.arrow_udf(place, f"struct<places:array<int>,missing:array<struct<pos:int,key:{kinds['key']}>>>").asNondeterministic()
+    rows = materialize(rows.select(id_col, placed("__keys").alias("__p"))
+                           .select(id_col, F.col("__p.places").alias("__places"), F.col("__p.missing").alias("__missing"))
                            .withColumn("__row", F.monotonically_increasing_id()), "looked-up")
-    some = F.coalesce(F.size("__missing"), F.lit(0)) > 0
+    some = F.size("__missing") > 0
     tail = (rows.where(some).select("__row", F.inline("__missing")).join(table, "key", "left")
                 .groupBy("__row").agg(F.collect_list(F.struct("pos", "value")).alias("__tail")))
-    known = F.filter(F.transform("__values", lambda v, i: F.struct(i.alias("pos"), v.alias("value"))), lambda s: s["value"].isNotNull())
-    filled = F.transform(F.array_sort(F.concat(known, "__tail")), lambda s: s["value"])
-    moved = rows.where(some).join(tail, "__row").select(id_col, filled.alias("__values"))
-    return rows.where(~some).select(id_col, "__values").unionByName(moved)
-
-
-def _slot(token: Column, slots: int) -> Column:
-    return F.pmod(F.xxhash64(token), F.lit(slots)).cast("int")
+    moved = rows.where(some).join(tail, "__row").select(id_col, "__places", "__tail")
+    whole = rows.where(~some).select(id_col, "__places", F.lit(None).cast(moved.schema["__tail"].dataType).alias("__tail"))
+    filled = F.arrow_udf(fill, f"array<{kinds['value']}>").asNondeterministic()
+    return whole.unionByName(moved).select(id_col, filled("__places", "__tail").alias("__values"))
 
 
 def encode(df: DataFrame, id_col: str, tokens: Column, vocab: DataFrame,
@@ -108,19 +148,10 @@ def encode(df: DataFrame, id_col: str, tokens: Column, vocab: DataFrame,
 
     Returns (id, n_tokens, n_unknown, ids) with ids as space-joined text, or as an array
     with ``as_text=False``.  A null or token-less text keeps its row with zero counts and
-    no ids.  The vocabulary's head is a table of ``head`` slots, each with the most frequent
-    token that hashes to it; only tokens outside it are joined.
+    no ids.  The ``head`` first tokens of the vocabulary are broadcast; only others are joined.
     """
-    best = vocab.groupBy(_slot(F.col("token"), head).alias("slot")).agg(F.min(F.struct("idx", "token")).alias("e"))
-    slots = df.sparkSession.range(head).select(F.col("id").cast("int").alias("slot")).join(best, "slot", "left")
-    table = slots.agg(F.transform(F.array_sort(F.collect_list(F.struct("slot", "e"))), lambda s: s["e"]).alias("head"))
-
-    def of_head(held: Column, t: Column) -> Column:
-        e = F.get(held, _slot(t, head))
-        return F.when(e["token"] == t, e["idx"])
-
-    found = _looked_up(df, id_col, F.coalesce(tokens, F.array().cast("array<string>")), table, of_head,
-                       vocab.select(F.col("token").alias("key"), F.col("idx").alias("value")))
+    found = _looked_up(df, id_col, F.coalesce(tokens, F.array().cast("array<string>")),
+                       vocab.select(F.col("token").alias("key"), F.col("idx").alias("value")), "value", head)
     ids = F.transform("__values", lambda x: F.coalesce(x, F.lit(UNK_IDX)))
     unknown = F.size(F.filter("__ids", lambda x: x == UNK_IDX)).cast("long").alias("n_unknown")
     out = F.array_join(F.transform("__ids", lambda x: x.cast("string")), " ") if as_text else F.col("__ids")
@@ -130,20 +161,13 @@ def encode(df: DataFrame, id_col: str, tokens: Column, vocab: DataFrame,
 
 def decode(encoded: DataFrame, id_col: str, vocab: DataFrame, ids_col: str = "ids", head: int = HEAD) -> DataFrame:
     """Index -> token, order kept; returns (id, text).  ``ids_col`` holds an array
-    or space-joined text; rows without ids decode to the empty text.  Indices below
-    ``head`` are read from an array inside the row, only others are joined."""
+    or space-joined text; rows without ids decode to the empty text.  The ``head`` first
+    indices are broadcast, only others are joined."""
     ids = F.col(ids_col)
     if dict(encoded.dtypes)[ids_col] == "string":
         ids = F.transform(F.filter(F.split(ids, " "), lambda x: x != ""), lambda x: x.cast("long"))
-    first = vocab.where((F.col("idx") >= 0) & (F.col("idx") < head))
-    places = encoded.sparkSession.range(head).withColumnRenamed("id", "idx").join(first, "idx", "left")
-    table = places.agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "token"))), lambda s: s["token"]).alias("head"))
-
-    def of_head(held: Column, i: Column) -> Column:
-        return F.when((i >= 0) & (i < head), F.get(held, i.cast("int")))
-
-    found = _looked_up(encoded, id_col, F.coalesce(ids, F.array().cast("array<long>")), table, of_head,
-                       vocab.select(F.col("idx").alias("key"), F.col("token").alias("value")))
+    found = _looked_up(encoded, id_col, F.coalesce(ids, F.array().cast("array<long>")),
+                       vocab.select(F.col("idx").alias("key"), F.col("token").alias("value")), "key", head)
     return found.select(id_col, F.array_join("__values", " ").alias("text"))
 
 
