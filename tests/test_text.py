@@ -233,22 +233,11 @@ def test_naive_bayes_frequent_tokens_do_not_move(spark):
         assert "LeftAnti, BuildRight" in got._jdf.queryExecution().executedPlan().toString()
 
 
-def test_looked_up_lists_in_arrow_batches(spark):
-    import pyarrow as pa
-    head, values = pa.array(["a", "b", "c"]), pa.array([4, 5, 6])
-    keys = pa.array([["x"], ["a", "y", "c", None], [], ["b"], ["y", "y"]], pa.list_(pa.string()))
-    for lists in (keys, keys.slice(1), keys.slice(2, 1), keys.slice(0, 0)):
-        got = ops._place(lists, head)
-        places, missing = got.field("places").to_pylist(), got.field("missing").to_pylist()
-        table = {"a": 0, "b": 1, "c": 2}
-        assert places == [[table.get(k) for k in x] for x in lists.to_pylist()]
-        assert missing == [[{"pos": i, "key": k} for i, k in enumerate(x) if k not in table] for x in lists.to_pylist()]
-        # the rest comes back in any order, null for lists that miss nothing
-        tail = pa.array([[{"pos": m["pos"], "value": {"y": 9}.get(m["key"])} for m in x[::-1]] or None for x in missing],
-                        pa.list_(pa.struct([("pos", pa.int32()), ("value", pa.int64())])))
-        want = [[{"a": 4, "b": 5, "c": 6, "y": 9}.get(k) for k in x] for x in lists.to_pylist()]
-        assert ops._fill(got.field("places"), tail, values).to_pylist() == want
+def test_looked_up_rows_are_sorted_natively(spark):
     vocab = spark.createDataFrame([("a", 4), ("b", 5)], "token string, idx long")
     enc = ops.encode(_df(spark, ["a b", "b zz"]), "i", tx.split_whitespace("t"), vocab, as_text=False, head=1)
-    plan = ops.decode(enc, "i", vocab, head=1)._jdf.queryExecution().executedPlan().toString()
-    assert "ArrowEvalPython" in plan and "array_sort" not in plan
+    back = ops.decode(enc, "i", vocab, head=1)
+    for found in (enc, back):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "sort_array(" in plan and "array_sort(" not in plan and "Python" not in plan
+    assert sorted(tuple(r.ids) for r in enc.collect()) == [(4, 5), (5, 0)]
